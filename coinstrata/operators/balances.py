@@ -208,10 +208,11 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFra
     spread = F.when(F.col("high") > F.col("low"), F.lit(0.0)).otherwise(0.5)
     start = F.col("low").cast("double") - spread
     step = (F.col("high").cast("double") + spread - start) / F.lit(float(bins))
-    frame = bounds.filter(F.col("low").isNotNull()).select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
-        start.alias("start"),
-        step.alias("step"),
+    frame = (
+        df.sparkSession.range(bins)
+        .select(F.col("id").cast("int").alias("bin"), low.alias("low"), high.alias("high"))
+        .filter(F.col("low").isNotNull())
+        .select("bin", start.alias("start"), step.alias("step"))
     )
     return frame.join(counts, "bin", "left").select(
         "bin",

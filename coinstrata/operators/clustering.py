@@ -3,57 +3,20 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coinstrata.functions import first_of, percent, preferred_address, size_identity, zip_fields
+from coinstrata.functions import percent, size_identity
 from coinstrata.operators.components import connected_components
-
-
-def multi_input_transactions(tx_df: DataFrame, min_inputs: int = 2, max_inputs: int = 50):
-    """Transactions usable for clustering; very large ones are mostly exchange payouts."""
-    return tx_df.filter(
-        F.col("input_count").between(min_inputs, max_inputs)
-        & (F.col("is_coinbase") == F.lit(False))
-    )
+from coinstrata.operators.spends import input_addresses, link_spends, within_input_bounds
 
 
 def enrich_clustering_inputs(
     tx_df: DataFrame, outputs_df: DataFrame, min_inputs: int = 2, max_inputs: int = 50
 ) -> DataFrame:
-    """(tx_hash, address) for every input of a usable transaction with a known address.
-
-    The address comes from the output being spent, else from the input record. Inputs
-    without a reference skip the join: their null keys would all land in one partition.
+    """(tx_hash, address) for every input with a known address of the transactions usable
+    for clustering: not coinbase, and within the bounds on the input count. Larger
+    transactions are mostly exchange payouts. Filtered before anything is exploded.
     """
-    item = zip_fields("inputs", "spent_transaction_hash", "spent_output_index", "addresses")
-    inputs = (
-        multi_input_transactions(tx_df, min_inputs, max_inputs)
-        .select(F.col("hash").alias("tx_hash"), F.explode(item).alias("i"))
-        .select(
-            "tx_hash",
-            F.col("i.spent_transaction_hash").alias("source_tx_hash"),
-            F.col("i.spent_output_index").alias("source_output_index"),
-            first_of(F.col("i.addresses")).alias("raw_address"),
-        )
-    )
-    has_reference = (
-        F.col("source_tx_hash").isNotNull() & F.col("source_output_index").isNotNull()
-    )
-    lookup = outputs_df.filter(F.col("output_index").isNotNull()).select(
-        F.col("tx_hash").alias("source_tx_hash"),
-        F.col("output_index").alias("source_output_index"),
-        F.col("addresses").alias("source_addresses"),
-    )
-    joined = (
-        inputs.filter(has_reference)
-        .join(lookup, ["source_tx_hash", "source_output_index"], "left")
-        .select(
-            "tx_hash",
-            preferred_address(F.col("source_addresses"), F.array("raw_address")).alias("address"),
-        )
-    )
-    unreferenced = inputs.filter(~has_reference).select(
-        "tx_hash", F.col("raw_address").alias("address")
-    )
-    return joined.unionByName(unreferenced).filter(F.col("address").isNotNull())
+    usable = tx_df.filter(within_input_bounds(min_inputs, max_inputs))
+    return input_addresses(link_spends(usable, outputs_df))
 
 
 def tx_address_sets(clustering_inputs: DataFrame, min_size: int = 2) -> DataFrame:

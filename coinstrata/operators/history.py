@@ -17,36 +17,32 @@ from coinstrata.operators.utxo import compute_utxo_set, spend_references
 
 
 def utxo_history(
-    outputs_df: DataFrame,
-    inputs_df: DataFrame,
-    entities: DataFrame,
-    utxo_df: DataFrame | None = None,
+    outputs_df: DataFrame, inputs_df: DataFrame, entities: DataFrame
 ) -> DataFrame:
     """Outputs of known entities with creation and spending time (null = unspent).
 
-    An output belongs to the entity of its first address. The left join of outputs with
-    spends is split into an inner join and the unspent set, which usually exists as a
-    table already: an inner join can be split on both sides when a key is skewed, and
-    the unspent outputs are not shuffled a second time. A reference repeated by several
-    inputs repeats the output.
+    The left join of outputs with spends is made of an inner join and an anti-join: both
+    can be split where a key is skewed. A reference repeated by several inputs repeats
+    the output.
     """
-    if utxo_df is None:
-        utxo_df = compute_utxo_set(outputs_df, inputs_df)
+    spends = spend_references(inputs_df, F.col("block_timestamp").alias("spent_timestamp"))
+    spent = outputs_df.join(spends, ["tx_hash", "output_index"])
+    return owned_history(spent, compute_utxo_set(outputs_df, inputs_df), entities)
 
-    def owned(df: DataFrame) -> DataFrame:
-        return df.select(
-            "tx_hash",
-            "output_index",
-            "value",
-            first_of(F.col("addresses")).alias("address"),
-            F.col("block_timestamp").alias("created_timestamp"),
-        ).filter(F.col("address").isNotNull())
 
-    spends = spend_references(inputs_df, F.col("block_timestamp").alias("spent_timestamp"))
-    spent = owned(outputs_df).join(spends, ["tx_hash", "output_index"])
-    unspent = owned(utxo_df).withColumn("spent_timestamp", F.lit(None).cast("long"))
+def owned_history(spent: DataFrame, unspent: DataFrame, entities: DataFrame) -> DataFrame:
+    """History from spent outputs (with ``spent_timestamp``) and unspent ones.
+
+    An output belongs to the entity of its first address.
+    """
+    columns = ["tx_hash", "output_index", "value", "addresses", "block_timestamp"]
+    never = F.lit(None).cast("long").alias("spent_timestamp")
+    outputs = spent.select(*columns, "spent_timestamp").unionByName(
+        unspent.select(*columns, never)
+    )
     return (
-        spent.unionByName(unspent)
+        outputs.withColumn("address", first_of(F.col("addresses")))
+        .filter(F.col("address").isNotNull())
         .join(entities, "address")
         .select(
             "tx_hash",
@@ -54,7 +50,7 @@ def utxo_history(
             "value",
             "address",
             "entity_id",
-            "created_timestamp",
+            F.col("block_timestamp").alias("created_timestamp"),
             "spent_timestamp",
         )
     )
@@ -171,26 +167,25 @@ def category_month_end(daily: DataFrame, balances: DataFrame) -> DataFrame:
     added per category and month first and only those few rows are accumulated; no
     entity is repeated for months without activity.
     """
-    month = F.trunc("event_date", "month")
     monthly = (
         _with_category(daily, balances)
-        .groupBy("category", month.alias("month"))
+        .groupBy("category", F.trunc("event_date", "month").alias("month"))
         .agg(F.sum("daily_delta").alias("change"))
     )
-    last = monthly.agg(F.max("month")).scalar()
-    calendar = monthly.groupBy("category").agg(F.min("month").alias("first")).select(
-        "category",
-        F.explode(F.sequence("first", last, F.expr("interval 1 month"))).alias("month"),
-    )
-    so_far = (
-        Window.partitionBy("category")
-        .orderBy("month")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return calendar.join(monthly, ["category", "month"], "left").select(
-        month_key(F.col("month")).alias("year_month"),
+    # From here on there are at most four rows per month.
+    by_month = Window.partitionBy("category").orderBy("month")
+    so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    spans = monthly.select(
         "category",
-        to_btc(F.sum(F.coalesce("change", F.lit(0))).over(so_far)).alias("total_btc"),
+        "month",
+        to_btc(F.sum("change").over(so_far)).alias("total_btc"),
+        F.add_months(F.lead("month").over(by_month), -1).alias("before_next"),
+        F.max("month").over(whole).alias("last"),
+    )
+    months = F.sequence("month", F.coalesce("before_next", "last"), F.expr("interval 1 month"))
+    return spans.select("category", "total_btc", F.explode(months).alias("month")).select(
+        month_key(F.col("month")).alias("year_month"), "category", "total_btc"
     )
 
 

@@ -11,48 +11,43 @@ from pyspark.sql import functions as F
 HOT_GROUP_ROWS = 5_000_000
 
 
-def split_hot(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary groups, rows of groups above ``limit`` or None).
+def hot_groups(counts: DataFrame, key: str, limit: int) -> DataFrame | None:
+    """Keys of ``counts`` (key, n) above ``limit`` rows, or None. Runs one job.
 
-    Runs one counting job. At most rows / limit keys are hot.
+    There are at most rows / limit of them.
     """
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select(key)
-    if hot.isEmpty():
-        return df, None
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+    hot = counts.filter(F.col("n") > limit).select(key)
+    return None if hot.isEmpty() else hot
 
 
 def numbered(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    bucket: list[Column],
-    name: str,
-    limit: int = HOT_GROUP_ROWS,
+    df: DataFrame, key: str, order: list[str], bucket: list[Column], name: str, hot: DataFrame | None
 ) -> DataFrame:
     """Add ``name``: position of the row in its group by ``order``, starting at 0.
 
     ``bucket`` must be non-decreasing along ``order`` and take few values per group.
+    ``hot`` lists the groups to solve in two steps.
     """
-    ordinary, hot = split_hot(df, key, limit)
     position = F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1
-    result = ordinary.withColumn(name, position.cast("long"))
     if hot is None:
-        return result
+        return df.withColumn(name, position.cast("long"))
+    result = df.join(hot, key, "left_anti").withColumn(name, position.cast("long"))
 
     parts = [f"_bucket{i}" for i in range(len(bucket))]
-    hot = hot.select("*", *[b.alias(p) for b, p in zip(bucket, parts)])
+    large = df.join(hot, key, "left_semi").select(
+        "*", *[b.alias(p) for b, p in zip(bucket, parts)]
+    )
     earlier = (
         Window.partitionBy(key).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        hot.groupBy(key, *parts)
+        large.groupBy(key, *parts)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(key, *parts, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
     inner = F.row_number().over(Window.partitionBy(key, *parts).orderBy(*order)) - 1
     solved = (
-        hot.withColumn("_inner", inner)
+        large.withColumn("_inner", inner)
         .join(offsets, [key, *parts])
         .withColumn(name, (F.col("_inner") + F.col("_offset")).cast("long"))
     )
@@ -65,28 +60,26 @@ def with_neighbours(
     order: list[str],
     bucket: Column,
     carry: list[str],
-    limit: int = HOT_GROUP_ROWS,
+    hot: DataFrame | None,
 ) -> DataFrame:
     """Add ``previous`` and ``following``: structs of ``carry`` from the rows next to this
     one in its group by ``order``, null at the ends.
 
     ``bucket`` must be non-decreasing along ``order`` and take few values per group;
-    ``order`` must be unique within a group.
+    ``order`` must be unique within a group. ``hot`` lists the groups to solve in two steps.
     """
-    ordinary, hot = split_hot(df, key, limit)
     row = F.struct(*carry)
     whole = Window.partitionBy(key).orderBy(*order)
-    result = ordinary.select(
-        "*", F.lag(row).over(whole).alias("previous"), F.lead(row).over(whole).alias("following")
-    )
+    both = ["*", F.lag(row).over(whole).alias("previous"), F.lead(row).over(whole).alias("following")]
     if hot is None:
-        return result
+        return df.select(*both)
+    result = df.join(hot, key, "left_anti").select(*both)
 
-    hot = hot.withColumn("_bucket", bucket)
+    large = df.join(hot, key, "left_semi").withColumn("_bucket", bucket)
     sort_key = F.struct(*order)
     between = Window.partitionBy(key).orderBy("_bucket")
     edges = (
-        hot.groupBy(key, "_bucket")
+        large.groupBy(key, "_bucket")
         .agg(
             F.min_by(row, sort_key).alias("_first"),
             F.max_by(row, sort_key).alias("_last"),
@@ -100,7 +93,7 @@ def with_neighbours(
     )
     inside = Window.partitionBy(key, "_bucket").orderBy(*order)
     solved = (
-        hot.withColumn("_lag", F.lag(row).over(inside))
+        large.withColumn("_lag", F.lag(row).over(inside))
         .withColumn("_lead", F.lead(row).over(inside))
         .join(edges, [key, "_bucket"])
         .withColumn("previous", F.coalesce("_lag", "_before"))

@@ -16,7 +16,6 @@ from coinstrata.operators.balances import address_balances, entity_balances
 from coinstrata.operators.clustering import (
     cluster_addresses,
     co_input_pairs,
-    enrich_clustering_inputs,
     tx_address_sets,
 )
 from coinstrata.operators.flatten import explode_inputs, explode_outputs
@@ -24,7 +23,13 @@ from coinstrata.operators.history import (
     balance_events,
     balance_timeline,
     daily_changes,
-    utxo_history,
+    owned_history,
+)
+from coinstrata.operators.spends import (
+    input_addresses,
+    link_spends,
+    spent_outputs,
+    within_input_bounds,
 )
 from coinstrata.operators.utxo import compute_utxo_set
 from coinstrata.session import stage_folder
@@ -124,13 +129,15 @@ class LedgerPipeline:
     def utxos(self) -> DataFrame:
         return self.stage("utxos", lambda: compute_utxo_set(self.outputs, self.inputs))
 
+    @property
+    def spends(self) -> DataFrame:
+        """Inputs with the outputs they spend, for clustering and for the history."""
+        return self.stage("spends", lambda: link_spends(self.records, self.outputs))
+
     @property
     def clustering_inputs(self) -> DataFrame:
-        return self.stage(
-            "clustering_inputs",
-            lambda: enrich_clustering_inputs(
-                self.records, self.outputs, self.min_inputs, self.max_inputs
-            ),
+        return input_addresses(
+            self.spends.filter(within_input_bounds(self.min_inputs, self.max_inputs))
         )
 
     @property
@@ -158,7 +165,7 @@ class LedgerPipeline:
     def history(self) -> DataFrame:
         return self.stage(
             "history",
-            lambda: utxo_history(self.outputs, self.inputs, self.entities, self.utxos),
+            lambda: owned_history(spent_outputs(self.spends), self.utxos, self.entities),
         )
 
     @property

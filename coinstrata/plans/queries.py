@@ -231,7 +231,7 @@ def balance_histogram(p):
 
 @query
 def utxo_history(p):
-    return history.utxo_history(p.outputs, p.inputs, p.entities, p.utxos)
+    return history.utxo_history(p.outputs, p.inputs, p.entities)
 
 
 @query

@@ -15,12 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coinstrata.functions import day_of_epoch
-from coinstrata.operators.skew import HOT_GROUP_ROWS, numbered, with_neighbours
+from coinstrata.operators.skew import HOT_GROUP_ROWS, hot_groups, numbered, with_neighbours
 from coinstrata.sources.tables import write_table
 
 RECORD_CHUNK = 1000
 PART_BUCKETS = 1024
 
+TX_TYPE = (
+    "struct<ok:bigint,block_timestamp:bigint,input_count:bigint,n:bigint,output_value:bigint>"
+)
 OUTPUT_TYPE = "struct<index:int,type:string,addresses:array<string>,value:bigint>"
 INPUT_TYPE = (
     "struct<index:int,spent_transaction_hash:string,spent_output_index:int,"
@@ -33,51 +36,59 @@ def derive_transactions(
 ) -> DataFrame:
     """Nested transaction records, see the module text.
 
-    The per-order facts are used twice, so they are written below ``folder`` first.
+    The per-order facts are written below ``folder`` first: they also tell which orders
+    are too large for one window. Line items are then shuffled twice, by order for the
+    position and by record for the arrays. The facts of the order and of the next one
+    travel with each line item, so the finished records need no further join.
     """
     headers = write_table(_headers(spark, sf_dir, hot_limit), f"{folder}/headers")
-    lines = _numbered_lines(spark, sf_dir, hot_limit)
-    placed = lines.join(
-        headers.select("ok", "ck", F.col("following.ok").alias("next_ok")), "ok"
-    )
-    items = placed.select(
-        "ok", "next_ok", "idx", _value().alias("value"), *_addresses(), _input_index().alias("in_idx")
+    lines = _numbered_lines(spark, sf_dir, hot_groups(headers, "ok", hot_limit))
+    own = F.struct("ok", "block_timestamp", "input_count", "n", "output_value")
+    spender = F.struct(
+        "following.ok",
+        "following.block_timestamp",
+        _spends_of("ok", "n").alias("input_count"),
+        "following.n",
+        "following.output_value",
     )
-    spent = (
-        ((F.col("ok") + F.col("idx")) % 4 != 0) & F.col("next_ok").isNotNull()
+    facts = headers.select("ok", "ck", own.alias("own"), "following", spender.alias("spender"))
+    items = lines.join(facts, "ok").select(
+        "ok",
+        "idx",
+        "own",
+        F.when(F.col("following").isNotNull(), F.col("spender")).alias("spender"),
+        _value().alias("value"),
+        *_addresses(),
+        _input_index().alias("in_idx"),
     )
-    as_output = F.struct(
-        F.col("ok").alias("tx"),
-        F.expr(f"idx div {RECORD_CHUNK}").alias("part"),
-        F.struct(
+    as_output = _entry(
+        F.col("own"),
+        F.expr(f"idx div {RECORD_CHUNK}"),
+        output=F.struct(
             F.col("idx").cast("int").alias("index"),
             F.col("output_type").alias("type"),
-            F.col("addresses"),
-            F.col("value"),
-        ).cast(OUTPUT_TYPE).alias("output"),
-        F.lit(None).cast(INPUT_TYPE).alias("input"),
-    )
-    as_input = F.struct(
-        F.col("next_ok").alias("tx"),
-        F.expr(f"in_idx div {RECORD_CHUNK}").alias("part"),
-        F.lit(None).cast(OUTPUT_TYPE).alias("output"),
-        F.struct(
+            "addresses",
+            "value",
+        ),
+    )
+    as_input = _entry(
+        F.col("spender"),
+        F.expr(f"in_idx div {RECORD_CHUNK}"),
+        input=F.struct(
             F.col("in_idx").cast("int").alias("index"),
-            _hash("ok").alias("spent_transaction_hash"),
+            _hash(F.col("ok")).alias("spent_transaction_hash"),
             F.col("idx").cast("int").alias("spent_output_index"),
             F.when((F.col("ok") + F.col("idx")) % 3 == 0, F.col("addresses")).alias("addresses"),
-            F.col("value"),
-        ).cast(INPUT_TYPE).alias("input"),
+            "value",
+        ),
     )
+    is_spent = F.col("spender").isNotNull() & ((F.col("ok") + F.col("idx")) % 4 != 0)
     # Each line item is read once and gives its output and, if spent, the next order's input.
     entries = items.select(
-        F.inline(F.when(spent, F.array(as_output, as_input)).otherwise(F.array(as_output)))
+        F.inline(F.when(is_spent, F.array(as_output, as_input)).otherwise(F.array(as_output)))
     )
     first_parts = headers.select(
-        F.col("ok").alias("tx"),
-        F.lit(0).cast("long").alias("part"),
-        F.lit(None).cast(OUTPUT_TYPE).alias("output"),
-        F.lit(None).cast(INPUT_TYPE).alias("input"),
+        F.inline(F.array(_entry(own, F.lit(0).cast("long"))))
     )
     records = (
         entries.unionByName(first_parts)
@@ -87,32 +98,32 @@ def derive_transactions(
             F.sort_array(F.collect_list("input")).alias("inputs"),
         )
     )
-    input_count = F.coalesce(_spends_of("previous.ok", "previous.n"), F.lit(0)).cast("int")
-    facts = headers.select(
-        F.col("ok").alias("tx"),
-        _hash("ok").alias("hash"),
-        "block_timestamp",
-        F.floor(F.col("block_timestamp") / 86400).cast("long").alias("block_number"),
-        input_count.alias("input_count"),
-        F.col("n").cast("int").alias("output_count"),
-        "output_value",
-    )
-    return records.join(facts, "tx").select(
-        "hash",
-        "block_number",
-        "block_timestamp",
-        (F.col("input_count") == 0).alias("is_coinbase"),
+    return records.select(
+        _hash(F.col("tx.ok")).alias("hash"),
+        F.floor(F.col("tx.block_timestamp") / 86400).cast("long").alias("block_number"),
+        "tx.block_timestamp",
+        (F.col("tx.input_count") == 0).alias("is_coinbase"),
         F.when(F.size("inputs") > 0, F.col("inputs")).alias("inputs"),
         F.when(F.size("outputs") > 0, F.col("outputs")).alias("outputs"),
-        "input_count",
-        "output_count",
-        "output_value",
+        F.col("tx.input_count").cast("int").alias("input_count"),
+        F.col("tx.n").cast("int").alias("output_count"),
+        "tx.output_value",
         F.lit(None).cast("long").alias("fee"),
-        day_of_epoch(F.col("block_timestamp")).alias("date"),
+        day_of_epoch(F.col("tx.block_timestamp")).alias("date"),
         F.col("part").alias("record_part"),
     )
 
 
+def _entry(tx: Column, part: Column, output: Column | None = None, input: Column | None = None):
+    """One element of a record: the transaction, the part, and an output or an input."""
+    return F.struct(
+        tx.cast(TX_TYPE).alias("tx"),
+        part.alias("part"),
+        (F.lit(None) if output is None else output).cast(OUTPUT_TYPE).alias("output"),
+        (F.lit(None) if input is None else input).cast(INPUT_TYPE).alias("input"),
+    )
+
+
 def derive_blocks(transactions: DataFrame) -> DataFrame:
     """One block per distinct block number."""
     return (
@@ -127,7 +138,7 @@ def derive_blocks(transactions: DataFrame) -> DataFrame:
 
 
 def _headers(spark: SparkSession, sf_dir: str, hot_limit: int) -> DataFrame:
-    """One row per order: times, output count, and the customer's orders before and after."""
+    """One row per order: its facts, and those of the customer's next order."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         F.col("o_orderkey").alias("ok"), F.col("o_custkey").alias("ck"), "o_orderdate"
     )
@@ -136,36 +147,39 @@ def _headers(spark: SparkSession, sf_dir: str, hot_limit: int) -> DataFrame:
         .groupBy(F.col("l_orderkey").alias("ok"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(_tenth_cents()).alias("raw_value"))
     )
+    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)")
     counted = orders.join(per_order, "ok", "left").select(
         "ok",
         "ck",
         "o_orderdate",
+        (seconds + F.col("ok") % 86400).alias("block_timestamp"),
         F.coalesce("n", F.lit(0)).alias("n"),
         F.try_multiply(F.coalesce("raw_value", F.lit(0)), _scale()).alias("output_value"),
     )
+    per_customer = orders.groupBy("ck").agg(F.count(F.lit(1)).alias("n"))
     linked = with_neighbours(
         counted,
         key="ck",
         order=["o_orderdate", "ok"],
         bucket=F.to_date("o_orderdate"),
-        carry=["ok", "n"],
-        limit=hot_limit,
-    )
-    seconds = F.expr(
-        "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)"
+        carry=["ok", "block_timestamp", "n", "output_value"],
+        hot=hot_groups(per_customer, "ck", hot_limit),
     )
+    input_count = F.when(
+        F.col("previous").isNotNull(), _spends_of("previous.ok", "previous.n")
+    ).otherwise(0)
     return linked.select(
         "ok",
         "ck",
+        "block_timestamp",
+        input_count.alias("input_count"),
         "n",
         "output_value",
-        (seconds + F.col("ok") % 86400).alias("block_timestamp"),
-        "previous",
         "following",
     )
 
 
-def _numbered_lines(spark: SparkSession, sf_dir: str, hot_limit: int) -> DataFrame:
+def _numbered_lines(spark: SparkSession, sf_dir: str, hot: DataFrame | None) -> DataFrame:
     """Line items with their position in the order as ``idx``."""
     order = [
         "l_linenumber",
@@ -189,12 +203,12 @@ def _numbered_lines(spark: SparkSession, sf_dir: str, hot_limit: int) -> DataFra
         order=order,
         bucket=[F.col("l_linenumber"), part_range],
         name="idx",
-        limit=hot_limit,
+        hot=hot,
     ).select("ok", "idx", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
-def _hash(order_key: str) -> Column:
-    return F.concat(F.lit("tx"), F.col(order_key).cast("string"))
+def _hash(order_key: Column) -> Column:
+    return F.concat(F.lit("tx"), order_key.cast("string"))
 
 
 def _tenth_cents() -> Column:
