@@ -70,14 +70,17 @@ def _read_batches(
     spark: SparkSession, batches: list[str], kind: str, schema: StructType | None
 ) -> DataFrame:
     """One reader per batch: ``date=`` folders below several roots in a single reader are
-    rejected as conflicting partition layouts."""
+    rejected as conflicting partition layouts. Without a schema, one is inferred over the
+    files of all batches, so that the batches agree."""
     roots = [f"{batch}/{kind}" for batch in batches]
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     roots = [root for root in roots if _file_system(spark, root).exists(fs_path(root))]
     if not roots:
         raise ValueError(f"no {kind}/ folder in any batch")
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    tables = [reader.json(root) for root in roots]
+    if schema is None:
+        schema = spark.read.option("recursiveFileLookup", "true").json(roots).schema
+    tables = [spark.read.schema(schema).json(root) for root in roots]
+    # A batch without ``date=`` folders has no such column.
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
 
 
