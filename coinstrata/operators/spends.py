@@ -9,17 +9,30 @@ from pyspark.sql import functions as F
 
 from coinstrata.functions import first_of, preferred_address, zip_fields
 
-_REFERENCE = ["source_tx_hash", "source_output_index"]
+_REFERENCE = {"tx_hash": "source_tx_hash", "output_index": "source_output_index"}
+_FACTS = {
+    "value": "source_value",
+    "addresses": "source_addresses",
+    "block_timestamp": "created_timestamp",
+}
+
+
+_NO_OUTPUT = -1
 
 
 def link_spends(tx_df: DataFrame, outputs_df: DataFrame) -> DataFrame:
     """One row per input of a non-coinbase transaction with the output it spends.
 
+    Of ``outputs_df`` the key is needed; value, addresses and time are taken if present.
     ``has_source`` is false for an input without a matching output. Inputs without a
-    reference skip the join: their null keys would all land in one partition. Inputs are
-    on the left, so that an output referred to again and again can be split.
+    reference would all land in one partition with their null keys, so they get one of
+    their own that no output has. Inputs are on the left, so that an output referred to
+    again and again can be split.
     """
     item = zip_fields("inputs", "spent_transaction_hash", "spent_output_index", "addresses")
+    complete = (
+        F.col("i.spent_transaction_hash").isNotNull() & F.col("i.spent_output_index").isNotNull()
+    )
     inputs = (
         tx_df.filter(F.col("is_coinbase") == F.lit(False))
         .select(
@@ -32,23 +45,21 @@ def link_spends(tx_df: DataFrame, outputs_df: DataFrame) -> DataFrame:
             "tx_hash",
             "spent_timestamp",
             "input_count",
-            F.col("i.spent_transaction_hash").alias("source_tx_hash"),
-            F.col("i.spent_output_index").alias("source_output_index"),
+            F.when(complete, F.col("i.spent_transaction_hash"))
+            .otherwise(F.col("tx_hash"))
+            .alias("source_tx_hash"),
+            F.when(complete, F.col("i.spent_output_index"))
+            .otherwise(_NO_OUTPUT)
+            .alias("source_output_index"),
             first_of(F.col("i.addresses")).alias("raw_address"),
         )
     )
+    renamed = {**_REFERENCE, **_FACTS}
     sources = outputs_df.filter(F.col("output_index").isNotNull()).select(
-        F.col("tx_hash").alias("source_tx_hash"),
-        F.col("output_index").alias("source_output_index"),
-        F.col("value").alias("source_value"),
-        F.col("addresses").alias("source_addresses"),
-        F.col("block_timestamp").alias("created_timestamp"),
+        *[F.col(name).alias(renamed[name]) for name in renamed if name in outputs_df.columns],
         F.lit(True).alias("has_source"),
     )
-    complete = F.col("source_tx_hash").isNotNull() & F.col("source_output_index").isNotNull()
-    linked = inputs.filter(complete).join(sources, _REFERENCE, "left")
-    unlinked = inputs.filter(~complete)
-    return linked.unionByName(unlinked, allowMissingColumns=True).withColumn(
+    return inputs.join(sources, list(_REFERENCE.values()), "left").withColumn(
         "has_source", F.coalesce("has_source", F.lit(False))
     )
 
@@ -67,11 +78,7 @@ def input_addresses(spends: DataFrame) -> DataFrame:
 
 def spent_outputs(spends: DataFrame) -> DataFrame:
     """The linked outputs, named as in the flat output table, with their spending time."""
+    original = {**_REFERENCE, **_FACTS}
     return spends.filter("has_source").select(
-        F.col("source_tx_hash").alias("tx_hash"),
-        F.col("source_output_index").alias("output_index"),
-        F.col("source_value").alias("value"),
-        F.col("source_addresses").alias("addresses"),
-        F.col("created_timestamp").alias("block_timestamp"),
-        "spent_timestamp",
+        *[F.col(new).alias(name) for name, new in original.items()], "spent_timestamp"
     )

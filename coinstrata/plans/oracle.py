@@ -452,6 +452,7 @@ ORACLE: dict[str, str] = {
             {_HISTOGRAM})""",
     ),
     "utxo_history": _with("hist", "SELECT * FROM hist"),
+    "utxo_history_direct": _with("hist", "SELECT * FROM hist"),
     "history_counts": _with(
         "hist",
         """SELECT count(*) AS total_outputs, count(spent_timestamp) AS spent_outputs,

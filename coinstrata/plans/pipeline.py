@@ -114,25 +114,42 @@ class LedgerPipeline:
         further part without elements must not add another row of nulls."""
         records = self.records
         if "record_part" in records.columns:
-            return records.filter((F.col("record_part") == 0) | F.col(nested).isNotNull())
+            # Asking for one field rather than the whole array keeps the scan narrow.
+            has_items = F.col(f"{nested}.index").isNotNull()
+            return records.filter((F.col("record_part") == 0) | has_items)
         return records
 
+    def flat_outputs(self, *columns: str) -> DataFrame:
+        """Flat outputs, all columns or the given ones."""
+        return explode_outputs(self._with_or_first("outputs"), columns=list(columns))
+
+    def flat_inputs(self, *columns: str) -> DataFrame:
+        return explode_inputs(self._with_or_first("inputs"), columns=list(columns))
+
     @property
     def outputs(self) -> DataFrame:
-        return explode_outputs(self._with_or_first("outputs"))
+        return self.flat_outputs()
 
     @property
     def inputs(self) -> DataFrame:
-        return explode_inputs(self._with_or_first("inputs"))
+        return self.flat_inputs()
+
+    @property
+    def references(self) -> DataFrame:
+        """Flat inputs with just what tells which outputs are spent."""
+        return self.flat_inputs("is_coinbase", "spent_tx_hash", "spent_output_index")
 
     @property
     def utxos(self) -> DataFrame:
-        return self.stage("utxos", lambda: compute_utxo_set(self.outputs, self.inputs))
+        return self.stage("utxos", lambda: compute_utxo_set(self.outputs, self.references))
 
     @property
     def spends(self) -> DataFrame:
         """Inputs with the outputs they spend, for clustering and for the history."""
-        return self.stage("spends", lambda: link_spends(self.records, self.outputs))
+        sources = ["tx_hash", "output_index", "value", "addresses", "block_timestamp"]
+        return self.stage(
+            "spends", lambda: link_spends(self.records, self.flat_outputs(*sources))
+        )
 
     @property
     def clustering_inputs(self) -> DataFrame:

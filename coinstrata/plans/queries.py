@@ -9,7 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coinstrata.functions import month_key
-from coinstrata.operators import balances, clustering, distribution, flatten, history, utxo
+from coinstrata.operators import (
+    balances,
+    clustering,
+    distribution,
+    flatten,
+    history,
+    spends,
+    utxo,
+)
 from coinstrata.plans import reports
 from coinstrata.plans.pipeline import LedgerPipeline
 from coinstrata.sources.json_export import load_blocks, load_transactions
@@ -46,17 +54,17 @@ def inputs_flat(p):
 
 @query
 def spent_references(p):
-    return utxo.spend_references(p.inputs).distinct()
+    return utxo.spend_references(p.references).distinct()
 
 
 @query
 def utxo_set(p):
-    return utxo.compute_utxo_set(p.outputs, p.inputs).withColumn("addresses", _text("addresses"))
+    return utxo.compute_utxo_set(p.outputs, p.references).withColumn("addresses", _text("addresses"))
 
 
 @query
 def spent_summary(p):
-    return utxo.spent_summary(p.outputs, p.utxos)
+    return utxo.spent_summary(p.flat_outputs("output_index"), p.utxos)
 
 
 @query
@@ -109,7 +117,8 @@ def tx_preview(p):
 
 @query
 def clustering_inputs(p):
-    return clustering.enrich_clustering_inputs(p.records, p.outputs)
+    sources = p.flat_outputs("tx_hash", "output_index", "addresses")
+    return clustering.enrich_clustering_inputs(p.records, sources)
 
 
 @query
@@ -137,7 +146,7 @@ def entities(p):
 @query
 def entities_with_singletons(p):
     """Every address that inputs or outputs name first, alone or clustered."""
-    paid = p.outputs.select(F.get("addresses", F.lit(0)).alias("address"))
+    paid = p.flat_outputs("addresses").select(F.get("addresses", F.lit(0)).alias("address"))
     return clustering.with_singletons(p.entities, paid)
 
 
@@ -231,6 +240,12 @@ def balance_histogram(p):
 
 @query
 def utxo_history(p):
+    return history.owned_history(spends.spent_outputs(p.spends), p.utxos, p.entities)
+
+
+@query
+def utxo_history_direct(p):
+    """The same from flat outputs and inputs alone, without the shared link."""
     return history.utxo_history(p.outputs, p.inputs, p.entities)
 
 

@@ -17,7 +17,7 @@ def global_counts(pipeline) -> DataFrame:
     return pipeline.transactions.agg(F.count(F.lit(1)).alias("transactions")).select(
         "transactions",
         _count(pipeline.blocks).alias("blocks"),
-        _count(pipeline.outputs).alias("outputs"),
+        _count(pipeline.flat_outputs("output_index")).alias("outputs"),
         _count(pipeline.utxos).alias("utxos"),
         _count(pipeline.clustering_inputs).alias("clustering_inputs"),
         _count(pipeline.edges).alias("edges"),
@@ -35,7 +35,7 @@ def executive_report(pipeline) -> DataFrame:
     return mega.select(
         _count(pipeline.blocks).alias("blocks"),
         _count(pipeline.transactions).alias("transactions"),
-        _count(pipeline.outputs).alias("outputs"),
+        _count(pipeline.flat_outputs("output_index")).alias("outputs"),
         _count(pipeline.utxos).alias("utxos"),
         clustering.select("address_count").scalar().alias("addresses"),
         clustering.select("entity_count").scalar().alias("entities"),

@@ -52,7 +52,7 @@ def derive_transactions(
         "following.output_value",
     )
     facts = headers.select("ok", "ck", own.alias("own"), "following", spender.alias("spender"))
-    items = lines.join(facts, "ok").select(
+    items = lines.join(facts.hint("merge"), "ok").select(
         "ok",
         "idx",
         "own",

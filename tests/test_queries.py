@@ -70,6 +70,13 @@ def test_query_matches_sql(request, data, name):
     assert fetched(df.columns, [tuple(r) for r in df.collect()]) == expected
 
 
+@pytest.mark.parametrize("name", QUERIES)
+def test_plan_has_no_product_and_no_python(plain, name):
+    plan = QUERIES[name](plain[0])._jdf.queryExecution().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        assert operator not in plan
+
+
 def test_contract(spark):
     assert set(contract.queries()) == set(contract.oracle_sql())
     assert contract.entry(spark).count() == 20
