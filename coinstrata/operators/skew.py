@@ -1,8 +1,8 @@
 """Window functions over groups of any size.
 
-A window sorts one group in one task. Groups above ``limit`` rows are found first and
-solved in two steps: within (group, bucket), where the bucket follows the sort order,
-and between the few buckets of a group. Both ways give the same rows.
+A window sorts one group in one task. Large groups are found first and solved in two
+steps: within (group, bucket), where the bucket follows the sort order, and between the
+few buckets of a group. Both ways give the same rows.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,37 +21,29 @@ def hot_groups(counts: DataFrame, key: str, limit: int) -> DataFrame | None:
 
 
 def numbered(
-    df: DataFrame, key: str, order: list[str], bucket: list[Column], name: str, hot: DataFrame | None
+    df: DataFrame, key: str, order: list[str], bucket: list[Column], name: str
 ) -> DataFrame:
     """Add ``name``: position of the row in its group by ``order``, starting at 0.
 
-    ``bucket`` must be non-decreasing along ``order`` and take few values per group.
-    ``hot`` lists the groups to solve in two steps.
+    For groups of any size. ``bucket`` must be non-decreasing along ``order`` and take
+    few values per group.
     """
-    position = F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1
-    if hot is None:
-        return df.withColumn(name, position.cast("long"))
-    result = df.join(hot, key, "left_anti").withColumn(name, position.cast("long"))
-
     parts = [f"_bucket{i}" for i in range(len(bucket))]
-    large = df.join(hot, key, "left_semi").select(
-        "*", *[b.alias(p) for b, p in zip(bucket, parts)]
-    )
+    split = df.select("*", *[b.alias(p) for b, p in zip(bucket, parts)])
     earlier = (
         Window.partitionBy(key).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        large.groupBy(key, *parts)
+        split.groupBy(key, *parts)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(key, *parts, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
     inner = F.row_number().over(Window.partitionBy(key, *parts).orderBy(*order)) - 1
-    solved = (
-        large.withColumn("_inner", inner)
+    return (
+        split.withColumn("_inner", inner)
         .join(offsets, [key, *parts])
-        .withColumn(name, (F.col("_inner") + F.col("_offset")).cast("long"))
+        .select(*df.columns, (F.col("_inner") + F.col("_offset")).cast("long").alias(name))
     )
-    return result.unionByName(solved.select(result.columns))
 
 
 def with_neighbours(

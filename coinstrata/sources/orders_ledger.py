@@ -21,14 +21,24 @@ from coinstrata.sources.tables import write_table
 RECORD_CHUNK = 1000
 PART_BUCKETS = 1024
 
-TX_TYPE = (
-    "struct<ok:bigint,block_timestamp:bigint,input_count:bigint,n:bigint,output_value:bigint>"
-)
-OUTPUT_TYPE = "struct<index:int,type:string,addresses:array<string>,value:bigint>"
-INPUT_TYPE = (
-    "struct<index:int,spent_transaction_hash:string,spent_output_index:int,"
-    "addresses:array<string>,value:bigint>"
+OUTPUTS = "array<struct<index:int,type:string,addresses:array<string>,value:bigint>>"
+INPUTS = (
+    "array<struct<index:int,spent_transaction_hash:string,spent_output_index:int,"
+    "addresses:array<string>,value:bigint>>"
 )
+FACTS = ["block_timestamp", "input_count", "n", "output_value"]
+
+# The order of a transaction's outputs.
+LINE_ORDER = [
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_extendedprice",
+    "l_quantity",
+    "l_discount",
+    "l_tax",
+    "l_shipdate",
+]
 
 
 def derive_transactions(
@@ -37,93 +47,85 @@ def derive_transactions(
     """Nested transaction records, see the module text.
 
     The per-order facts are written below ``folder`` first: they also tell which orders
-    are too large for one window. Line items are then shuffled twice, by order for the
-    position and by record for the arrays. The facts of the order and of the next one
-    travel with each line item, so the finished records need no further join.
+    exceed one record. Line items are shuffled once, to gather those of an order (part)
+    in an array; outputs, and the inputs of the next order, are made from that array, so
+    that only whole arrays move when both sides of a transaction meet.
     """
     headers = write_table(_headers(spark, sf_dir, hot_limit), f"{folder}/headers")
-    lines = _numbered_lines(spark, sf_dir, hot_groups(headers, "ok", hot_limit))
-    own = F.struct("ok", "block_timestamp", "input_count", "n", "output_value")
-    spender = F.struct(
-        "following.ok",
-        "following.block_timestamp",
-        _spends_of("ok", "n").alias("input_count"),
-        "following.n",
-        "following.output_value",
-    )
-    facts = headers.select("ok", "ck", own.alias("own"), "following", spender.alias("spender"))
-    items = lines.join(facts.hint("merge"), "ok").select(
+    # Whatever is the same for all items of an order is computed here, once per order.
+    customer = F.col("ck").cast("string")
+    facts = headers.select(
         "ok",
-        "idx",
-        "own",
-        F.when(F.col("following").isNotNull(), F.col("spender")).alias("spender"),
-        _value().alias("value"),
-        *_addresses(),
-        _input_index().alias("in_idx"),
+        _scale().alias("scale"),
+        F.concat(F.lit("c"), customer, F.lit("-")).alias("own_prefix"),
+        F.concat(F.lit("m"), F.shiftright("ck", 1).cast("string")).alias("shared_address"),
+        _hash(F.col("ok")).alias("hash"),
+        F.struct("ok", *FACTS).alias("own"),
+        F.when(
+            F.col("following").isNotNull(),
+            F.struct(
+                "following.ok",
+                "following.block_timestamp",
+                _spends_of("ok", "n").alias("input_count"),
+                "following.n",
+                "following.output_value",
+            ),
+        ).alias("spender"),
     )
-    as_output = _entry(
-        F.col("own"),
-        F.expr(f"idx div {RECORD_CHUNK}"),
-        output=F.struct(
-            F.col("idx").cast("int").alias("index"),
-            F.col("output_type").alias("type"),
-            "addresses",
-            "value",
+    gathered = _gathered_lines(spark, sf_dir, headers).join(facts, "ok")
+    with_outputs = gathered.withColumn("outputs", F.transform("items", _as_output))
+    with_inputs = with_outputs.withColumn(
+        "inputs",
+        F.when(
+            F.col("spender").isNotNull(),
+            F.transform(F.filter("outputs", _is_spent), _as_input),
         ),
     )
-    as_input = _entry(
-        F.col("spender"),
-        F.expr(f"in_idx div {RECORD_CHUNK}"),
-        input=F.struct(
-            F.col("in_idx").cast("int").alias("index"),
-            _hash(F.col("ok")).alias("spent_transaction_hash"),
-            F.col("idx").cast("int").alias("spent_output_index"),
-            F.when((F.col("ok") + F.col("idx")) % 3 == 0, F.col("addresses")).alias("addresses"),
-            "value",
-        ),
+    paid = F.struct(
+        F.col("own").alias("tx"), "part", "outputs", F.lit(None).cast(INPUTS).alias("inputs")
+    )
+    spending = F.struct(
+        F.col("spender").alias("tx"), "part", F.lit(None).cast(OUTPUTS).alias("outputs"), "inputs"
     )
-    is_spent = F.col("spender").isNotNull() & ((F.col("ok") + F.col("idx")) % 4 != 0)
-    # Each line item is read once and gives its output and, if spent, the next order's input.
-    entries = items.select(
-        F.inline(F.when(is_spent, F.array(as_output, as_input)).otherwise(F.array(as_output)))
+    sides = with_inputs.select(
+        F.inline(F.when(F.size("inputs") > 0, F.array(paid, spending)).otherwise(F.array(paid)))
     )
-    first_parts = headers.select(
-        F.inline(F.array(_entry(own, F.lit(0).cast("long"))))
+    unpaid = headers.filter(F.col("n") == 0).select(
+        F.struct("ok", *FACTS).alias("tx"),
+        F.lit(0).cast("long").alias("part"),
+        F.lit(None).cast(OUTPUTS).alias("outputs"),
+        F.lit(None).cast(INPUTS).alias("inputs"),
     )
+    # Two sides at most meet in a record, so combining before the shuffle would only cost.
     records = (
-        entries.unionByName(first_parts)
-        .groupBy("tx", "part")
+        sides.unionByName(unpaid)
+        .withColumn("ok", F.col("tx.ok"))
+        .repartition("ok", "part")
+        .groupBy("ok", "part")
         .agg(
-            F.sort_array(F.collect_list("output")).alias("outputs"),
-            F.sort_array(F.collect_list("input")).alias("inputs"),
+            F.first("tx").alias("tx"),
+            F.first("outputs", ignorenulls=True).alias("outputs"),
+            F.first("inputs", ignorenulls=True).alias("inputs"),
         )
     )
+    tx = F.col("tx")
+    block_timestamp = tx["block_timestamp"]
     return records.select(
-        _hash(F.col("tx.ok")).alias("hash"),
-        F.floor(F.col("tx.block_timestamp") / 86400).cast("long").alias("block_number"),
-        "tx.block_timestamp",
-        (F.col("tx.input_count") == 0).alias("is_coinbase"),
-        F.when(F.size("inputs") > 0, F.col("inputs")).alias("inputs"),
-        F.when(F.size("outputs") > 0, F.col("outputs")).alias("outputs"),
-        F.col("tx.input_count").cast("int").alias("input_count"),
-        F.col("tx.n").cast("int").alias("output_count"),
-        "tx.output_value",
+        _hash(F.col("ok")).alias("hash"),
+        F.floor(block_timestamp / 86400).cast("long").alias("block_number"),
+        block_timestamp.alias("block_timestamp"),
+        (tx["input_count"] == 0).alias("is_coinbase"),
+        "inputs",
+        "outputs",
+        tx["input_count"].cast("int").alias("input_count"),
+        tx["n"].cast("int").alias("output_count"),
+        tx["output_value"].alias("output_value"),
         F.lit(None).cast("long").alias("fee"),
-        day_of_epoch(F.col("tx.block_timestamp")).alias("date"),
+        day_of_epoch(block_timestamp).alias("date"),
         F.col("part").alias("record_part"),
     )
 
 
-def _entry(tx: Column, part: Column, output: Column | None = None, input: Column | None = None):
-    """One element of a record: the transaction, the part, and an output or an input."""
-    return F.struct(
-        tx.cast(TX_TYPE).alias("tx"),
-        part.alias("part"),
-        (F.lit(None) if output is None else output).cast(OUTPUT_TYPE).alias("output"),
-        (F.lit(None) if input is None else input).cast(INPUT_TYPE).alias("input"),
-    )
-
-
 def derive_blocks(transactions: DataFrame) -> DataFrame:
     """One block per distinct block number."""
     return (
@@ -145,7 +147,7 @@ def _headers(spark: SparkSession, sf_dir: str, hot_limit: int) -> DataFrame:
     per_order = (
         spark.read.parquet(f"{sf_dir}/lineitem.parquet")
         .groupBy(F.col("l_orderkey").alias("ok"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(_tenth_cents()).alias("raw_value"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(_tenth_cents(F.col("l_extendedprice"))).alias("raw_value"))
     )
     seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)")
     counted = orders.join(per_order, "ok", "left").select(
@@ -179,81 +181,102 @@ def _headers(spark: SparkSession, sf_dir: str, hot_limit: int) -> DataFrame:
     )
 
 
-def _numbered_lines(spark: SparkSession, sf_dir: str, hot: DataFrame | None) -> DataFrame:
-    """Line items with their position in the order as ``idx``."""
-    order = [
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        "l_extendedprice",
-        "l_quantity",
-        "l_discount",
-        "l_tax",
-        "l_shipdate",
-    ]
+def _gathered_lines(spark: SparkSession, sf_dir: str, headers: DataFrame) -> DataFrame:
+    """(ok, part, items): the line items of an order in output order, with their position
+    ``idx`` in the order, at most ``RECORD_CHUNK`` per row."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        F.col("l_orderkey").alias("ok"), *order
+        F.col("l_orderkey").alias("ok"), *LINE_ORDER
     )
+    large = hot_groups(headers, "ok", RECORD_CHUNK)
+    usual = lines if large is None else lines.join(large, "ok", "left_anti")
+    gathered = (
+        usual.groupBy("ok")
+        .agg(F.sort_array(F.collect_list(F.struct(*LINE_ORDER))).alias("sorted"))
+        .select(
+            "ok",
+            F.lit(0).cast("long").alias("part"),
+            F.transform("sorted", lambda line, idx: _item(line, idx.cast("long"))).alias("items"),
+        )
+    )
+    if large is None:
+        return gathered
+
     # Line numbers run from 1 to 7; part keys are cut into a fixed number of ranges.
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").agg(F.max("p_partkey")).scalar()
-    part_range = F.floor(F.col("l_partkey") * F.lit(PART_BUCKETS) / (parts + 1))
-    return numbered(
-        lines,
+    in_order = numbered(
+        lines.join(large, "ok", "left_semi"),
         key="ok",
-        order=order,
-        bucket=[F.col("l_linenumber"), part_range],
+        order=LINE_ORDER,
+        bucket=[
+            F.col("l_linenumber"),
+            F.floor(F.col("l_partkey") * F.lit(PART_BUCKETS) / (parts + 1)),
+        ],
         name="idx",
-        hot=hot,
-    ).select("ok", "idx", "l_linenumber", "l_partkey", "l_extendedprice")
+    )
+    chunked = (
+        in_order.select(
+            "ok",
+            F.expr(f"idx div {RECORD_CHUNK}").alias("part"),
+            _item(F.struct(*LINE_ORDER), F.col("idx")).alias("item"),
+        )
+        .groupBy("ok", "part")
+        .agg(F.sort_array(F.collect_list("item")).alias("items"))
+    )
+    return gathered.unionByName(chunked)
 
 
-def _hash(order_key: Column) -> Column:
-    return F.concat(F.lit("tx"), order_key.cast("string"))
+def _item(line: Column, idx: Column) -> Column:
+    fields = ["l_linenumber", "l_partkey", "l_extendedprice"]
+    return F.struct(idx.alias("idx"), *[line[name].alias(name) for name in fields])
 
 
-def _tenth_cents() -> Column:
-    return F.round(F.col("l_extendedprice") * 10).cast("long")
+def _as_output(item: Column) -> Column:
+    nobody = item["l_partkey"] % 97 == 0
+    two = item["l_linenumber"] == 7
+    own = F.concat(F.col("own_prefix"), (item["l_partkey"] % 16).cast("string"))
+    return F.struct(
+        item["idx"].cast("int").alias("index"),
+        F.when(nobody, "nulldata").when(two, "multisig").otherwise("pubkeyhash").alias("type"),
+        F.when(nobody, F.array().cast("array<string>"))
+        .when(two, F.array(own, F.col("shared_address")))
+        .otherwise(F.array(own))
+        .alias("addresses"),
+        (_tenth_cents(item["l_extendedprice"]) * F.col("scale")).alias("value"),
+    )
 
 
-def _scale() -> Column:
-    return F.pow(F.lit(10.0), F.col("ck") % 5).cast("long")
+def _is_spent(output: Column) -> Column:
+    return (F.col("ok") + output["index"]) % 4 != 0
 
 
-def _value() -> Column:
-    return _tenth_cents() * _scale()
+def _as_input(output: Column) -> Column:
+    ok, idx = F.col("ok"), output["index"]
+    # Every output is spent unless (ok + idx) is divisible by 4, so the unspent ones
+    # before it can be counted without a window.
+    unspent_before = F.shiftright(ok + idx + 3, 2) - F.shiftright(ok + 3, 2)
+    return F.struct(
+        (idx - unspent_before).cast("int").alias("index"),
+        F.col("hash").alias("spent_transaction_hash"),
+        idx.alias("spent_output_index"),
+        F.when((ok + idx) % 3 == 0, output["addresses"]).alias("addresses"),
+        output["value"].alias("value"),
+    )
 
 
-def _addresses() -> list[Column]:
-    """``addresses`` and ``output_type`` of a line item."""
-    none = F.col("l_partkey") % 97 == 0
-    two = F.col("l_linenumber") == 7
-    own = F.concat(
-        F.lit("c"),
-        F.col("ck").cast("string"),
-        F.lit("-"),
-        (F.col("l_partkey") % 16).cast("string"),
-    )
-    shared = F.concat(F.lit("m"), F.expr("ck div 2").cast("string"))
-    return [
-        F.when(none, F.array().cast("array<string>"))
-        .when(two, F.array(own, shared))
-        .otherwise(F.array(own))
-        .alias("addresses"),
-        F.when(none, "nulldata").when(two, "multisig").otherwise("pubkeyhash").alias("output_type"),
-    ]
+def _hash(order_key: Column) -> Column:
+    return F.concat(F.lit("tx"), order_key.cast("string"))
 
 
-def _input_index() -> Column:
-    """Position of an output among the spent outputs of its order.
+def _tenth_cents(price: Column) -> Column:
+    return F.round(price * 10).cast("long")
 
-    Every output is spent unless (ok + idx) is divisible by 4, so the unspent ones
-    before it can be counted without a window.
-    """
-    return F.expr("idx - ((ok + idx + 3) div 4 - (ok + 3) div 4)")
+
+def _scale() -> Column:
+    return F.pow(F.lit(10.0), F.col("ck") % 5).cast("long")
 
 
 def _spends_of(order_key: str, outputs: str) -> Column:
-    """How many of an order's first n outputs are spent, by the same count."""
+    """How many of an order's first n outputs are spent, counted like an input's index."""
     return F.expr(
         f"{outputs} - (({order_key} + {outputs} + 3) div 4 - ({order_key} + 3) div 4)"
     )
