@@ -73,10 +73,11 @@ class LedgerPipeline:
 
     @classmethod
     def from_export(cls, spark: SparkSession, base_path: str, **options) -> "LedgerPipeline":
-        """Ledger read from a JSON export. Staging turns the text into Parquet once."""
+        """Ledger read from a JSON export. Staging turns the text into Parquet once, with
+        only the fields that some operator uses."""
         return cls(
             spark,
-            records=lambda pipeline: load_transactions(spark, base_path),
+            records=lambda pipeline: load_transactions(spark, base_path, slim=True),
             blocks=lambda pipeline: load_blocks(spark, base_path),
             **options,
         )

@@ -20,7 +20,7 @@ from coinstrata.operators import (
 )
 from coinstrata.plans import reports
 from coinstrata.plans.pipeline import LedgerPipeline
-from coinstrata.sources.json_export import load_blocks, load_transactions
+from coinstrata.sources.json_export import fingerprint, load_blocks, load_transactions
 from coinstrata.sources.tables import load_results
 
 QUERIES: dict[str, Callable[[LedgerPipeline], DataFrame]] = {}
@@ -395,12 +395,14 @@ def parquet_roundtrip(p):
     return saved.withColumn("addresses", _text("addresses"))
 
 
-_pipelines: dict[tuple[str, str], LedgerPipeline] = {}
+_pipelines: dict[tuple, LedgerPipeline] = {}
 
 
 def pipeline_for(spark: SparkSession, sf_dir: str) -> LedgerPipeline:
-    """One pipeline per application and input folder, so that queries share its stages."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """One pipeline per application and state of the input files, so that queries share
+    its stages."""
+    tables = [f"{sf_dir}/{name}.parquet" for name in ("orders", "lineitem", "part")]
+    key = (spark.sparkContext.applicationId, fingerprint(spark, tables))
     if key not in _pipelines:
         _pipelines[key] = LedgerPipeline.from_orders(spark, sf_dir)
     return _pipelines[key]

@@ -78,3 +78,39 @@ BLOCK_SCHEMA = StructType(
         StructField("transaction_count", IntegerType()),
     ]
 )
+
+
+# What the operators use; scripts, signatures and sizes are most of an export's bytes.
+_USED = {
+    "hash",
+    "block_number",
+    "block_timestamp",
+    "is_coinbase",
+    "inputs",
+    "outputs",
+    "input_count",
+    "output_count",
+    "output_value",
+    "fee",
+    "index",
+    "spent_transaction_hash",
+    "spent_output_index",
+    "type",
+    "addresses",
+    "value",
+}
+
+
+def _slim(schema: StructType) -> StructType:
+    """``schema`` without unused fields, also inside arrays of structs."""
+    fields = []
+    for field in schema:
+        if field.name in _USED:
+            kind = field.dataType
+            if isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType):
+                kind = ArrayType(_slim(kind.elementType))
+            fields.append(StructField(field.name, kind))
+    return StructType(fields)
+
+
+SLIM_TRANSACTION_SCHEMA = _slim(TRANSACTION_SCHEMA)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from coinstrata.functions import timestamp_of_epoch
-from coinstrata.schemas import BLOCK_SCHEMA, TRANSACTION_SCHEMA
+from coinstrata.schemas import BLOCK_SCHEMA, SLIM_TRANSACTION_SCHEMA, TRANSACTION_SCHEMA
 
 
 def load_transactions(
@@ -21,15 +21,18 @@ def load_transactions(
     use_schema: bool = True,
     start_date: str | None = None,
     end_date: str | None = None,
+    slim: bool = False,
 ) -> DataFrame:
     """Transactions of all batches, with ``date`` and ``block_datetime``.
 
     ``start_date`` and ``end_date`` (inclusive) prune ``date=`` folders before reading.
+    ``slim`` leaves out scripts and everything else no operator uses while parsing.
     """
     batches = _batch_folders(spark, base_path)
     if not batches:
         raise ValueError(f"no batch folder in {base_path}")
-    df = _read_batches(spark, batches, "transactions", TRANSACTION_SCHEMA if use_schema else None)
+    schema = SLIM_TRANSACTION_SCHEMA if slim else TRANSACTION_SCHEMA
+    df = _read_batches(spark, batches, "transactions", schema if use_schema else None)
     return _between(df, start_date, end_date).withColumn(
         "block_datetime", timestamp_of_epoch(F.col("block_timestamp"))
     )
@@ -50,6 +53,17 @@ def load_blocks(
     )
 
 
+def fingerprint(spark: SparkSession, paths: list[str]) -> tuple:
+    """Size and modification time of each path, to notice changed input."""
+    state = []
+    for path in paths:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = _file_system(spark, path)
+        modified = fs.getFileStatus(hadoop_path).getModificationTime()
+        state.append((path, fs.getContentSummary(hadoop_path).getLength(), modified))
+    return tuple(state)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
