@@ -146,20 +146,24 @@ def entity_addresses(entities: DataFrame, chosen: DataFrame) -> DataFrame:
 def holder_addresses(
     balances_by_address: DataFrame, entities: DataFrame, chosen: DataFrame
 ) -> DataFrame:
-    """Balance of each address of the chosen entities; addresses without outputs drop out."""
+    """Balance of each address of the chosen entities; addresses without outputs drop out.
+
+    Unordered: an entity may own a large part of all addresses. See ``top_addresses``.
+    """
     members = entity_addresses(entities, chosen).select("address")
-    return (
-        balances_by_address.join(members, "address", "left_semi")
-        .select(
-            "address",
-            "balance_satoshi",
-            "utxo_count",
-            to_btc(F.col("balance_satoshi")).alias("balance_btc"),
-        )
-        .orderBy(F.desc("balance_satoshi"), "address")
+    return balances_by_address.join(members, "address", "left_semi").select(
+        "address",
+        "balance_satoshi",
+        "utxo_count",
+        to_btc(F.col("balance_satoshi")).alias("balance_btc"),
     )
 
 
+def top_addresses(balances_by_address: DataFrame, k: int = 10) -> DataFrame:
+    """The k addresses holding most."""
+    return balances_by_address.orderBy(F.desc("balance_satoshi"), "address").limit(k)
+
+
 def largest_balances(balances: DataFrame, n: int = 10_000) -> DataFrame:
     """The n largest balances, the bounded set behind statistics and histogram."""
     return (

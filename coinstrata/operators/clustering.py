@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coinstrata.functions import percent, size_identity
-from coinstrata.operators.components import connected_components
+from coinstrata.operators.components import connected_groups
 from coinstrata.operators.spends import input_addresses, link_spends, within_input_bounds
 
 
@@ -75,10 +75,14 @@ def star_edges(clustering_inputs: DataFrame) -> DataFrame:
 def cluster_addresses(clustering_inputs: DataFrame, workdir: str) -> DataFrame:
     """(address, entity_id): addresses linked by common spending share an entity.
 
+    ``clustering_inputs`` is read twice; hand over a stage table. A transaction has at
+    most ``max_inputs`` rows in it.
+
     ``entity_id`` is the smallest address of the entity. Addresses never spent with
     another one have no entity; ``with_singletons`` adds them.
     """
-    components = connected_components(star_edges(clustering_inputs), workdir)
+    members = clustering_inputs.select(F.col("tx_hash").alias("group"), F.col("address").alias("id"))
+    components = connected_groups(members, workdir)
     return components.select(F.col("id").alias("address"), F.col("component").alias("entity_id"))
 
 

@@ -16,7 +16,7 @@ vertex on the right, the shape whose oversized partitions adaptive execution spl
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coinstrata.sources.tables import write_table
@@ -32,26 +32,56 @@ def connected_components(edges: DataFrame, workdir: str) -> DataFrame:
     below ``workdir``, which must be a folder that all executors share; they also cut
     the lineage, so a lost executor costs at most the round being computed.
     """
-    root = f"{workdir}/components-{uuid.uuid4().hex}"
+    root = _new_folder(workdir)
     edges = edges.select("src", "dst").filter(
         F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst"))
     )
     edges = write_table(edges, f"{root}/edges")
-
-    # Numbers instead of texts in the rounds: small shuffles, hash aggregation. The
-    # numbers depend on task layout, so they are read from the written table only.
-    vertices = write_table(
-        edges.select(F.explode(F.array("src", "dst")).alias("id"))
-        .distinct()
-        .select(F.monotonically_increasing_id().alias("v"), "id"),
-        f"{root}/vertices",
-    )
+    vertices = _numbered_ids(edges.select(F.explode(F.array("src", "dst")).alias("id")), root)
     numbered = (
         edges.join(vertices.select(F.col("id").alias("src"), F.col("v").alias("a")), "src")
         .join(vertices.select(F.col("id").alias("dst"), F.col("v").alias("b")), "dst")
         .select("a", "b")
     )
+    return _components(numbered, vertices, root)
+
+
+def connected_groups(members: DataFrame, workdir: str) -> DataFrame:
+    """(id, component) for ``members`` (group, id): ids that share a group are connected.
+
+    The same as ``connected_components`` over the edges between a group's smallest id and
+    its others, but ids turn into numbers first, so no edge is ever made of texts. An id
+    that never shares a group is left out. A group is ordered in one window, so groups
+    must be of bounded size.
+    """
+    root = _new_folder(workdir)
+    vertices = _numbered_ids(members.select("id"), root)
+    smallest = F.min("v").over(Window.partitionBy("group"))
+    stars = (
+        members.join(vertices, "id")
+        .select(smallest.alias("a"), F.col("v").alias("b"))
+        .filter(F.col("a") < F.col("b"))
+        .distinct()
+    )
+    return _components(stars, vertices, root)
+
+
+def _new_folder(workdir: str) -> str:
+    return f"{workdir}/components-{uuid.uuid4().hex}"
+
+
+def _numbered_ids(ids: DataFrame, root: str) -> DataFrame:
+    """(v, id): a number for each distinct id.
+
+    Numbers instead of texts make small shuffles and hash aggregation in the rounds. They
+    depend on task layout, so they are only ever read from the written table.
+    """
+    numbers = ids.distinct().select(F.monotonically_increasing_id().alias("v"), "id")
+    return write_table(numbers, f"{root}/vertices")
+
 
+def _components(numbered: DataFrame, vertices: DataFrame, root: str) -> DataFrame:
+    """(id, component) for the ends of the ``numbered`` edges (a, b)."""
     moves = []
     current = write_table(numbered, f"{root}/round-0")
     while not current.isEmpty():
@@ -61,7 +91,7 @@ def connected_components(edges: DataFrame, workdir: str) -> DataFrame:
         current = write_table(_rewrite(current, moves[-1]), f"{root}/round-{seed + 1}")
 
     if not moves:
-        return vertices.select("id", F.col("id").alias("component"))
+        return vertices.limit(0).select("id", F.col("id").alias("component"))
     labels = _labels(moves, root)
     # Both sides of the last join are written tables. A giant component puts most rows on
     # one label, and adaptive execution only splits sides that come straight from a shuffle.

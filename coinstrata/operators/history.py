@@ -125,14 +125,19 @@ def timeline_counts(timeline: DataFrame) -> DataFrame:
     )
 
 
+def holder_days(daily: DataFrame, balances: DataFrame, k: int) -> DataFrame:
+    """Daily changes of the entities with the k largest current balances."""
+    chosen = balances.orderBy(F.desc("balance_satoshi"), "entity_id").limit(k)
+    return daily.join(chosen.select("entity_id"), "entity_id", "left_semi")
+
+
 def holder_trajectories(daily: DataFrame, balances: DataFrame, k: int = 5) -> DataFrame:
     """Timelines of the k largest current balances.
 
     Days are filtered before the running sum, so only k entities reach the window.
     """
-    chosen = balances.orderBy(F.desc("balance_satoshi"), "entity_id").limit(k)
-    wanted = daily.join(chosen.select("entity_id"), "entity_id", "left_semi")
-    return balance_timeline(wanted).select("entity_id", "event_date", "cumulative_btc")
+    timeline = balance_timeline(holder_days(daily, balances, k))
+    return timeline.select("entity_id", "event_date", "cumulative_btc")
 
 
 def _with_category(df: DataFrame, balances: DataFrame) -> DataFrame:

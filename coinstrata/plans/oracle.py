@@ -438,6 +438,15 @@ ORACLE: dict[str, str] = {
                              WHERE entity_id = (SELECT entity_id FROM ranked WHERE rank = 1))
            GROUP BY address""",
     ),
+    "top_whale_addresses": _with(
+        "utxo_address ent ranked",
+        """SELECT address, CAST(sum(value) AS BIGINT) AS balance_satoshi, count(*) AS utxo_count,
+                  CAST(sum(value) AS DOUBLE) / 1e8 AS balance_btc
+           FROM utxo_address
+           WHERE address IN (SELECT address FROM ent
+                             WHERE entity_id = (SELECT entity_id FROM ranked WHERE rank = 1))
+           GROUP BY address ORDER BY balance_satoshi DESC, address LIMIT 10""",
+    ),
     "balance_statistics": _with(
         "ranked",
         """SELECT count(*) AS entity_count, min(balance_btc) AS min_btc,
@@ -488,6 +497,21 @@ ORACLE: dict[str, str] = {
            FROM timeline
            WHERE entity_id IN (SELECT entity_id FROM ranked WHERE rank <= 5)""",
     ),
+    "largest_entity_timeline": _with(
+        "timeline ranked",
+        """SELECT CAST(event_date AS VARCHAR) AS event_date, daily_delta,
+                  CAST(units AS DOUBLE) / 1e4 AS cumulative_btc
+           FROM timeline
+           WHERE entity_id = (SELECT entity_id FROM ranked WHERE rank = 1)
+           ORDER BY event_date LIMIT 10""",
+    ),
+    "category_by_month_head": _with(
+        "timeline coarse",
+        """SELECT strftime(event_date, '%Y-%m') AS year_month, category,
+                  CAST(sum(units) AS DOUBLE) / 1e4 AS total_btc
+           FROM timeline JOIN coarse USING (entity_id) GROUP BY ALL
+           ORDER BY year_month, category LIMIT 10""",
+    ),
     "category_by_month": _with(
         "timeline coarse",
         """SELECT strftime(event_date, '%Y-%m') AS year_month, category,
@@ -517,6 +541,14 @@ ORACLE: dict[str, str] = {
                   CAST(out_units AS DOUBLE) / 1e2 AS outflows_btc
            FROM flow_btc""",
     ),
+    "whale_recent_flow": _with(
+        "flow_btc",
+        """SELECT year_month, net_change_satoshi, inflows, outflows,
+                  CAST(net_units AS DOUBLE) / 1e2 AS net_change_btc,
+                  CAST(in_units AS DOUBLE) / 1e2 AS inflows_btc,
+                  CAST(out_units AS DOUBLE) / 1e2 AS outflows_btc
+           FROM flow_btc ORDER BY year_month DESC LIMIT 12""",
+    ),
     "whale_trend": _with(
         "flow_btc",
         """SELECT year_month, CAST(net_units AS DOUBLE) / 1e2 AS net_change_btc,

@@ -223,6 +223,11 @@ def whale_addresses(p):
     )
 
 
+@query
+def top_whale_addresses(p):
+    return balances.top_addresses(whale_addresses(p), 10)
+
+
 @query
 def balance_statistics(p):
     return balances.balance_statistics(p.entity_balances)
@@ -284,11 +289,25 @@ def top_whale_trajectories(p):
     return _day_as_text(history.holder_trajectories(p.daily, p.entity_balances, 5))
 
 
+@query
+def largest_entity_timeline(p):
+    """The first ten days of the largest entity."""
+    days = history.holder_days(p.daily, p.entity_balances, 1)
+    first = history.balance_timeline(days).orderBy("event_date").limit(10)
+    return _day_as_text(first.select("event_date", "daily_delta", "cumulative_btc"))
+
+
 @query
 def category_by_month(p):
     return history.category_by_month(p.timeline, p.entity_balances)
 
 
+@query
+def category_by_month_head(p):
+    """The first ten rows by month and category."""
+    return category_by_month(p).orderBy("year_month", "category").limit(10)
+
+
 @query
 def category_month_end(p):
     return history.category_month_end(p.daily, p.entity_balances)
@@ -299,6 +318,12 @@ def whale_monthly_flow(p):
     return history.holder_monthly_flow(p.daily, p.entity_balances)
 
 
+@query
+def whale_recent_flow(p):
+    """The last twelve active months."""
+    return whale_monthly_flow(p).orderBy(F.desc("year_month")).limit(12)
+
+
 @query
 def whale_trend(p):
     return history.holder_trend(history.holder_monthly_flow(p.daily, p.entity_balances))

@@ -5,7 +5,14 @@ from conftest import BTC, rows
 from pyspark.sql import functions as F
 
 from coinstrata import entity_balances, top_holders
-from coinstrata.functions import holder_category, holder_category_coarse, size_identity
+from coinstrata.functions import (
+    holder_category,
+    holder_category_coarse,
+    percent,
+    rounded_btc,
+    size_identity,
+    to_btc,
+)
 from coinstrata.operators import balances as b
 
 
@@ -135,7 +142,14 @@ def test_addresses_of_the_largest_entity(spark):
     largest = b.largest_entity(entity_balances(unspent, owners))
     assert rows(b.entity_addresses(owners, largest), "address") == [("A",), ("B",), ("C",)]
     by_address = b.holder_addresses(b.address_balances(unspent), owners, largest)
-    assert [tuple(r) for r in by_address.collect()] == [
-        ("A", 6 * BTC, 2, 6.0),
-        ("B", 2 * BTC, 1, 2.0),
-    ]
+    assert rows(by_address) == [("A", 6 * BTC, 2, 6.0), ("B", 2 * BTC, 1, 2.0)]
+    assert rows(b.top_addresses(by_address, 1), "address") == [("A",)]
+
+
+def test_amounts(spark):
+    """0.5 + 0.3 in and 0.7 + 0.09 out leave a fee of 0.01."""
+    one = spark.range(1)
+    fee = F.lit(50_000_000 + 30_000_000 - 70_000_000 - 9_000_000)
+    assert one.select(to_btc(fee)).first()[0] == 0.01
+    assert one.select(rounded_btc(F.lit(-1_500_000), 2)).first()[0] == -0.02
+    assert one.select(percent(F.lit(1), F.lit(0))).first()[0] is None

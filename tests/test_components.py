@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 
 from coinstrata import connected_components
+from coinstrata.operators.components import connected_groups
 
 
 def brute_force(edges):
@@ -70,3 +71,17 @@ def test_loops_and_nulls_are_no_edges(spark, workdir):
 def test_number_ids(spark, workdir):
     edges = spark.createDataFrame([(3, 2), (9, 3), (5, 7)], "src long, dst long")
     assert rows(connected_components(edges, workdir)) == [(2, 2), (3, 2), (5, 5), (7, 5), (9, 2)]
+
+
+def test_groups(spark, workdir):
+    rng = random.Random(4)
+    groups = [[f"m{rng.randrange(400):03}" for _ in range(rng.randrange(1, 6))] for _ in range(150)]
+    members = [(f"g{i}", m) for i, group in enumerate(groups) for m in group]
+    edges = [(g[0], other) for g in groups for other in g[1:] if other != g[0]]
+    found = connected_groups(spark.createDataFrame(members, "group string, id string"), workdir)
+    assert rows(found) == brute_force(edges)
+
+
+def test_no_shared_group(spark, workdir):
+    members = spark.createDataFrame([("g", "a"), ("g", "a"), ("h", "b")], "group string, id string")
+    assert connected_groups(members, workdir).count() == 0
