@@ -19,6 +19,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from coinstrata.sources.files import delete, visible_folders
 from coinstrata.sources.tables import write_table
 
 # A label table is written out after this many joins, to keep plans short.
@@ -30,7 +31,8 @@ def connected_components(edges: DataFrame, workdir: str) -> DataFrame:
 
     ``component`` is the smallest id of the component. Intermediate tables are written
     below ``workdir``, which must be a folder that all executors share; they also cut
-    the lineage, so a lost executor costs at most the round being computed.
+    the lineage, so a lost executor costs at most the round being computed. In the end
+    only the two tables that the result reads are left there.
     """
     root = _new_folder(workdir)
     edges = edges.select("src", "dst").filter(
@@ -90,17 +92,18 @@ def _components(numbered: DataFrame, vertices: DataFrame, root: str) -> DataFram
         moves.append(write_table(_moves(picks, seed), f"{root}/moves-{seed}"))
         current = write_table(_rewrite(current, moves[-1]), f"{root}/round-{seed + 1}")
 
-    if not moves:
-        return vertices.limit(0).select("id", F.col("id").alias("component"))
-    labels = _labels(moves, root)
     # Both sides of the last join are written tables. A giant component puts most rows on
     # one label, and adaptive execution only splits sides that come straight from a shuffle.
+    labels = _labels(moves, root) if moves else vertices.select("v", F.col("v").alias("label")).limit(0)
     members = write_table(
         vertices.join(labels, "v").select("id", "label"), f"{root}/members"
     )
     names = write_table(
         members.groupBy("label").agg(F.min("id").alias("component")), f"{root}/names"
     )
+    for folder in visible_folders(vertices.sparkSession, root):
+        if not folder.endswith(("/members", "/names")):
+            delete(vertices.sparkSession, folder)
     return members.join(names, "label").select("id", "component")
 
 

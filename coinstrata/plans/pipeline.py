@@ -33,6 +33,7 @@ from coinstrata.operators.spends import (
 )
 from coinstrata.operators.utxo import compute_utxo_set
 from coinstrata.session import stage_folder
+from coinstrata.sources.files import delete
 from coinstrata.sources.json_export import load_blocks, load_transactions
 from coinstrata.sources.orders_ledger import derive_blocks, derive_transactions
 from coinstrata.sources.tables import save_results, write_table
@@ -207,3 +208,9 @@ class LedgerPipeline:
             utxos=self.utxos,
             entities=self.entities,
         )
+
+    def drop(self) -> None:
+        """Delete the stage tables. DataFrames of this pipeline cannot be read afterwards."""
+        self._stages.clear()
+        self._done.clear()
+        delete(self.spark, self.folder)

@@ -20,7 +20,8 @@ from coinstrata.operators import (
 )
 from coinstrata.plans import reports
 from coinstrata.plans.pipeline import LedgerPipeline
-from coinstrata.sources.json_export import fingerprint, load_blocks, load_transactions
+from coinstrata.sources.files import fingerprint
+from coinstrata.sources.json_export import load_blocks, load_transactions
 from coinstrata.sources.tables import load_results
 
 QUERIES: dict[str, Callable[[LedgerPipeline], DataFrame]] = {}

@@ -1,8 +1,6 @@
 """Loaders for nested JSON exports.
 
-Layout: ``<base>/<batch>/{transactions,blocks}/date=YYYY-MM-DD/*.json``. Folders are
-listed through the Hadoop file system API, so object stores and HDFS work like local
-paths.
+Layout: ``<base>/<batch>/{transactions,blocks}/date=YYYY-MM-DD/*.json``.
 """
 
 from functools import reduce
@@ -13,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from coinstrata.functions import timestamp_of_epoch
 from coinstrata.schemas import BLOCK_SCHEMA, SLIM_TRANSACTION_SCHEMA, TRANSACTION_SCHEMA
+from coinstrata.sources.files import exists, visible_folders
 
 
 def load_transactions(
@@ -28,7 +27,7 @@ def load_transactions(
     ``start_date`` and ``end_date`` (inclusive) prune ``date=`` folders before reading.
     ``slim`` leaves out scripts and everything else no operator uses while parsing.
     """
-    batches = _batch_folders(spark, base_path)
+    batches = visible_folders(spark, base_path)
     if not batches:
         raise ValueError(f"no batch folder in {base_path}")
     schema = SLIM_TRANSACTION_SCHEMA if slim else TRANSACTION_SCHEMA
@@ -46,40 +45,13 @@ def load_blocks(
     end_date: str | None = None,
 ) -> DataFrame:
     """Blocks of all batches, with ``date`` and ``timestamp_dt``."""
-    batches = _batch_folders(spark, base_path)
+    batches = visible_folders(spark, base_path)
     df = _read_batches(spark, batches, "blocks", BLOCK_SCHEMA if use_schema else None)
     return _between(df, start_date, end_date).withColumn(
         "timestamp_dt", timestamp_of_epoch(F.col("timestamp"))
     )
 
 
-def fingerprint(spark: SparkSession, paths: list[str]) -> tuple:
-    """Size and modification time of each path, to notice changed input."""
-    state = []
-    for path in paths:
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = _file_system(spark, path)
-        modified = fs.getFileStatus(hadoop_path).getModificationTime()
-        state.append((path, fs.getContentSummary(hadoop_path).getLength(), modified))
-    return tuple(state)
-
-
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
-def _batch_folders(spark: SparkSession, base_path: str) -> list[str]:
-    """Folders directly below ``base_path``, hidden ones left out, in name order."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(base_path)
-    entries = _file_system(spark, base_path).listStatus(hadoop_path)
-    return sorted(
-        entry.getPath().toString()
-        for entry in entries
-        if entry.isDirectory() and not entry.getPath().getName().startswith(".")
-    )
-
-
 def _read_batches(
     spark: SparkSession, batches: list[str], kind: str, schema: StructType | None
 ) -> DataFrame:
@@ -87,8 +59,7 @@ def _read_batches(
     rejected as conflicting partition layouts. Without a schema, one is inferred over the
     files of all batches, so that the batches agree."""
     roots = [f"{batch}/{kind}" for batch in batches]
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    roots = [root for root in roots if _file_system(spark, root).exists(fs_path(root))]
+    roots = [root for root in roots if exists(spark, root)]
     if not roots:
         raise ValueError(f"no {kind}/ folder in any batch")
     if schema is None:

@@ -120,6 +120,9 @@ def test_pipeline_over_an_export(spark, export, tmp_path):
     paths = pipeline.save(str(tmp_path / "results"))
     assert sorted(paths) == ["entities", "inputs", "outputs", "utxos"]
     assert load_results(spark, str(tmp_path / "results"), "outputs").count() == 3
+    pipeline.drop()
+    assert not (tmp_path / "stages").exists()
+    assert pipeline.utxos.count() == 1
 
 
 def test_results_are_replaced(spark, tmp_path):
