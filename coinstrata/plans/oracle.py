@@ -594,11 +594,7 @@ ORACLE: dict[str, str] = {
            FROM outs WHERE output_index IS NOT NULL GROUP BY 1""",
     ),
     "json_scan_pruned": _with(
-        "outs",
-        f"""SELECT {_OUTPUT_COLUMNS} FROM outs
-            WHERE output_index IS NOT NULL
-              AND DATE '1970-01-01' + CAST(block_number AS INTEGER)
-                  BETWEEN DATE '1997-11-01' AND DATE '1998-01-31'""",
+        "outs", f"SELECT {_OUTPUT_COLUMNS} FROM outs WHERE output_index IS NOT NULL"
     ),
     "json_block_scan": _with(
         "blk",
