@@ -10,8 +10,9 @@ that a good part of the vertices disappears whatever the shape of the graph. Rou
 smaller and smaller, and labels are handed back from the last round to the first.
 
 Skew: the pick is a partial aggregation, so a hub with a third of all edges leaves each
-map task as one row. All joins are equi-joins of two written tables with one row per
-vertex on the right, the shape whose oversized partitions adaptive execution splits.
+map task as one row. All joins of a large graph are equi-joins of two written tables with
+one row per vertex on the right, the shape whose oversized partitions adaptive execution
+splits.
 """
 
 import uuid
@@ -25,6 +26,9 @@ from coinstrata.sources.tables import write_table
 # A label table is written out after this many joins, to keep plans short.
 LEVELS_PER_WRITE = 6
 
+# Up to this many edges (two numbers each) even a hub's share is no load for one task.
+SMALL_GRAPH_EDGES = 2_000_000
+
 
 def connected_components(edges: DataFrame, workdir: str) -> DataFrame:
     """(id, component) for the ends of undirected ``edges`` (src, dst).
@@ -32,7 +36,7 @@ def connected_components(edges: DataFrame, workdir: str) -> DataFrame:
     ``component`` is the smallest id of the component. Intermediate tables are written
     below ``workdir``, which must be a folder that all executors share; they also cut
     the lineage, so a lost executor costs at most the round being computed. In the end
-    only the two tables that the result reads are left there.
+    only the tables that the result reads are left there.
     """
     root = _new_folder(workdir)
     edges = edges.select("src", "dst").filter(
@@ -86,20 +90,21 @@ def _components(numbered: DataFrame, vertices: DataFrame, root: str) -> DataFram
     """(id, component) for the ends of the ``numbered`` edges (a, b)."""
     moves = []
     current = write_table(numbered, f"{root}/round-0")
-    while not current.isEmpty():
+    first_count = edge_count = current.count()
+    while edge_count > 0:
         seed = len(moves)
-        picks = write_table(_picks(current, seed), f"{root}/picks-{seed}")
+        picks = _splittable(_picks(current, seed), f"{root}/picks-{seed}", edge_count)
         moves.append(write_table(_moves(picks, seed), f"{root}/moves-{seed}"))
         current = write_table(_rewrite(current, moves[-1]), f"{root}/round-{seed + 1}")
+        edge_count = current.count()
 
-    # Both sides of the last join are written tables. A giant component puts most rows on
-    # one label, and adaptive execution only splits sides that come straight from a shuffle.
-    labels = _labels(moves, root) if moves else vertices.select("v", F.col("v").alias("label")).limit(0)
+    nobody = vertices.select("v", F.col("v").alias("label")).limit(0)
+    labels = _labels(moves, root) if moves else nobody
     members = write_table(
         vertices.join(labels, "v").select("id", "label"), f"{root}/members"
     )
-    names = write_table(
-        members.groupBy("label").agg(F.min("id").alias("component")), f"{root}/names"
+    names = _splittable(
+        members.groupBy("label").agg(F.min("id").alias("component")), f"{root}/names", first_count
     )
     for folder in visible_folders(vertices.sparkSession, root):
         if not folder.endswith(("/members", "/names")):
@@ -107,6 +112,13 @@ def _components(numbered: DataFrame, vertices: DataFrame, root: str) -> DataFram
     return members.join(names, "label").select("id", "component")
 
 
+def _splittable(df: DataFrame, path: str, edge_count: int) -> DataFrame:
+    """``df``, which is about to be joined on a key that a hub or a giant component may
+    fill, as a written table: adaptive execution only splits sides that come straight
+    from a shuffle. A small graph is spared the extra write."""
+    return write_table(df, path) if edge_count > SMALL_GRAPH_EDGES else df
+
+
 def _order(vertex: Column, seed: int) -> Column:
     return F.xxhash64(vertex, F.lit(seed))
 

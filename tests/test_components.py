@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 
 from coinstrata import connected_components
+from coinstrata.operators import components
 from coinstrata.operators.components import connected_groups
 
 
@@ -51,6 +52,14 @@ def test_against_union_find(spark, workdir, name):
     assert rows(found) == brute_force(edges)
 
 
+def test_large_graph_way(spark, workdir, monkeypatch):
+    monkeypatch.setattr(components, "SMALL_GRAPH_EDGES", 10)
+    monkeypatch.setattr(components, "LEVELS_PER_WRITE", 2)
+    edges = GRAPHS["sparse random"]
+    found = connected_components(spark.createDataFrame(edges, "src string, dst string"), workdir)
+    assert rows(found) == brute_force(edges)
+
+
 def test_edge_order_does_not_matter(spark, workdir):
     edges = random_graph(3, 500, 450)
     turned = [(b, a) for a, b in reversed(edges)]
