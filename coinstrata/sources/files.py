@@ -39,3 +39,10 @@ def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote."""
     hadoop_path, fs = _path(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def create_for_session(spark: SparkSession, path: str) -> None:
+    """Create a folder that is deleted when the application ends."""
+    hadoop_path, fs = _path(spark, path)
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
