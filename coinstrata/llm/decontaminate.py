@@ -117,17 +117,21 @@ def _scanned(text: Column, windows: WindowSet, spark) -> Column:
     return scan(text)
 
 
-@F.pandas_udf(SCAN)
-def _combined(scans: pd.Series) -> pd.DataFrame:
+def _combined(scans: Column) -> Column:
     """One scan of the scans of several blocks of the same text."""
-    out = []
-    for of_blocks in scans:
-        spans = merged([(s["first"], s["last"]) for b in of_blocks for s in b["spans"]])
-        items = sorted({int(i) for b in of_blocks for i in b["items"]})
-        hit = sum(b - a for a, b in spans)
-        shown = [{"first": a, "last": b} for a, b in spans]
-        out.append((int(of_blocks[0]["n_words"]), hit, items, shown))
-    return pd.DataFrame(out, columns=["n_words", "n_hit", "items", "spans"])
+
+    @F.pandas_udf(SCAN)
+    def combine(batch: pd.Series) -> pd.DataFrame:
+        out = []
+        for of_blocks in batch:
+            spans = merged([(s["first"], s["last"]) for b in of_blocks for s in b["spans"]])
+            items = sorted({int(i) for b in of_blocks for i in b["items"]})
+            hit = sum(b - a for a, b in spans)
+            shown = [{"first": a, "last": b} for a, b in spans]
+            out.append((int(of_blocks[0]["n_words"]), hit, items, shown))
+        return pd.DataFrame(out, columns=["n_words", "n_hit", "items", "spans"])
+
+    return combine(scans)
 
 
 def scan_texts(
@@ -163,7 +167,7 @@ def scan_texts(
         found = found.groupBy("_key").agg(F.first("_scan").alias("_scan"))
         hits = found if hits is None else hits.unionByName(found)
     hits = hits.groupBy("_key").agg(F.collect_list("_scan").alias("_scans"))
-    hits = hits.select("_key", _combined("_scans").alias("_hit"))
+    hits = hits.select("_key", _combined(F.col("_scans")).alias("_hit"))
     clean = _scanned(docs[text], WindowSet(), spark)
     return (
         docs.select("*", key, clean.alias("_clean"))

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from coinstrata.llm.common import table
 from coinstrata.llm.decontaminate import scan_texts
 from coinstrata.llm.line_dedup import dedup_lines
+from coinstrata.llm.quality import judge
+from coinstrata.llm.pieces import PieceModel, decode, default_model, encode
+from coinstrata.llm.toxicity import ToxicityModel
 from coinstrata.llm.oracle import ORACLE as ORACLE
 from coinstrata.llm.url_filter import Rule, judge_urls
 from coinstrata.llm.warc import archived_pages
@@ -23,11 +26,38 @@ URL_RULES = [
 ]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "toxic")
+    model = ToxicityModel.fit(docs.filter(~held_out), labels)
+    return docs.select(
+        "doc_id", held_out.alias("held_out"), model.score(docs["text"], spark).alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, URL_RULES).drop("url")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return judge(docs)
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = PieceModel.load(default_model())
+    encoded = docs.withColumn("pieces", encode(docs["text"], model, spark))
+    return encoded.withColumn("decoded", decode(encoded["pieces"], model, spark)).select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join(F.col("pieces").cast("array<string>"), ","), 256).alias("pieces_sha256"),
+        F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(
@@ -59,5 +89,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_url_filter, op7_line_dedup, op8_warc, op10_decontamination)
+    for f in (
+        op1_toxicity,
+        op2_url_filter,
+        op4_quality,
+        op6_sentencepiece,
+        op7_line_dedup,
+        op8_warc,
+        op10_decontamination,
+    )
 }
