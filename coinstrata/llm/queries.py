@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from coinstrata.llm.common import table
 from coinstrata.llm.decontaminate import scan_texts
 from coinstrata.llm.line_dedup import dedup_lines
+from coinstrata.llm.probminhash import near_duplicates
 from coinstrata.llm.quality import judge
 from coinstrata.llm.pieces import PieceModel, decode, default_model, encode
 from coinstrata.llm.toxicity import ToxicityModel
@@ -41,6 +42,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, URL_RULES).drop("url")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return judge(docs)
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_toxicity,
         op2_url_filter,
+        op3_near_duplicates,
         op4_quality,
         op6_sentencepiece,
         op7_line_dedup,
