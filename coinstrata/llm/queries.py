@@ -11,6 +11,7 @@ from coinstrata.llm.decontaminate import scan_texts
 from coinstrata.llm.line_dedup import dedup_lines
 from coinstrata.llm.probminhash import near_duplicates
 from coinstrata.llm.quality import judge
+from coinstrata.llm.pii import pseudonymized
 from coinstrata.llm.pieces import PieceModel, decode, default_model, encode
 from coinstrata.llm.toxicity import ToxicityModel
 from coinstrata.llm.oracle import ORACLE as ORACLE
@@ -51,6 +52,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs)
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymized(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = PieceModel.load(default_model())
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_url_filter,
         op3_near_duplicates,
         op4_quality,
+        op5_surrogates,
         op6_sentencepiece,
         op7_line_dedup,
         op8_warc,
