@@ -11,6 +11,7 @@ from coinstrata.llm.decontaminate import scan_texts
 from coinstrata.llm.line_dedup import dedup_lines
 from coinstrata.llm.probminhash import near_duplicates
 from coinstrata.llm.quality import judge
+from coinstrata.llm.passages import repeated_passages
 from coinstrata.llm.pii import pseudonymized
 from coinstrata.llm.pieces import PieceModel, decode, default_model, encode
 from coinstrata.llm.toxicity import ToxicityModel
@@ -83,6 +84,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(pages, least_bytes=0).drop("url")
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = scan_texts(docs, table(spark, sf_dir, "benchmark"))
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_sentencepiece,
         op7_line_dedup,
         op8_warc,
+        op9_passages,
         op10_decontamination,
     )
 }
