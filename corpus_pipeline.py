@@ -11,10 +11,26 @@ from pyspark.sql import functions as F
 from coinstrata.llm.common import Stages, table
 from coinstrata.llm.decontaminate import scan_texts
 from coinstrata.llm.line_dedup import dedup_lines
+from coinstrata.llm.pieces import PieceModel, default_model, encode
+from coinstrata.llm.probminhash import near_duplicates
+from coinstrata.llm.toxicity import ToxicityModel
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+#: Score from which a document is rejected as toxic.
+TOXIC = 0.7
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the classifier, fitted on ``labels``, does not find toxic. Null
+    and empty texts stay."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = ToxicityModel.fit(docs, labels)
+    scored = docs.withColumn("_score", model.score(docs["text"], spark))
+    return scored.filter(F.col("_score") < TOXIC).select(*COLUMNS)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that a smaller doc_id keeps. ``n_chars`` follows
     the text; a document that loses no line keeps its text and count as they are."""
@@ -29,15 +45,33 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ).select(*COLUMNS)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document of smallest doc_id. Of rows that repeat
+    a doc_id all stay or go together; rows with a null id stay, as they are in no class."""
+    classes = near_duplicates(docs.select("doc_id", "text"))
+    gone = classes.filter("doc_id <> class_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without a window of any benchmark item."""
     scanned = scan_texts(docs, table(spark, sf_dir, "benchmark"))
     return scanned.filter("scan.n_hit = 0").select(*COLUMNS)
 
 
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The piece numbers of every document, and how many they are."""
+    model = PieceModel.load(default_model())
+    encoded = docs.select("doc_id", "lang", "source", encode(docs["text"], model, spark).alias("pieces"))
+    return encoded.withColumn("n_pieces", F.size("pieces").cast("long"))
+
+
 STAGES = [
+    ("toxicity", toxicity),
     ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
     ("decontaminate", decontaminate),
+    ("tokenize", tokenize),
 ]
 
 
