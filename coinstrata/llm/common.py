@@ -2,7 +2,7 @@
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coinstrata.session import own_folder
@@ -27,11 +27,11 @@ class Stages:
         return write_table(df, f"{self.folder}/{name}")
 
 
-def one_row_per_id(df: DataFrame, key: str, *values: str) -> DataFrame:
-    """(key, values): the values that are smallest by order, for ids that occur more
-    than once. A null id is an id like any other. Combines in the map tasks."""
-    least = F.min(F.struct(*[F.col(v) for v in values])).alias("_least")
-    return df.groupBy(key).agg(least).select(key, *[f"_least.{v}" for v in values])
+def carried(df: DataFrame, made: list[str]) -> Column:
+    """A struct of the columns of ``df`` but those named in ``made``, which an operator
+    makes anew. Carried in one column, they cannot clash with an operator's own names."""
+    names = {name.lower() for name in made}
+    return F.struct(*[df[c] for c in df.columns if c.lower() not in names])
 
 
 def slices(rows: list, limit: int, size) -> Iterator[list]:

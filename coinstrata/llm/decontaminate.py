@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coinstrata.llm.common import carried
+
 #: Words of a window.
 WINDOW = 10
 #: A broadcast set holds the windows of so many benchmark bytes at most (an item alone may
@@ -160,17 +162,17 @@ def scan_texts(
         return docs.withColumn("scan", scans[0])
     # A scan depends on the text alone, so hits of the blocks meet by the text's digest. A
     # task holds one block's windows at a time; only texts that are hit are shuffled twice.
-    key = F.md5(docs[text]).alias("_key")
+    key = F.md5(docs[text]).alias("key")
     hits = None
     for block_scan in scans:
-        found = docs.select(key, block_scan.alias("_scan")).filter("_scan.n_hit > 0")
-        found = found.groupBy("_key").agg(F.first("_scan").alias("_scan"))
+        found = docs.select(key, block_scan.alias("scan")).filter("scan.n_hit > 0")
+        found = found.groupBy("key").agg(F.first("scan").alias("scan"))
         hits = found if hits is None else hits.unionByName(found)
-    hits = hits.groupBy("_key").agg(F.collect_list("_scan").alias("_scans"))
-    hits = hits.select("_key", _combined(F.col("_scans")).alias("_hit"))
+    hits = hits.groupBy("key").agg(F.collect_list("scan").alias("scans"))
+    hits = hits.select("key", _combined(F.col("scans")).alias("hit"))
     clean = _scanned(docs[text], WindowSet(), spark)
     return (
-        docs.select("*", key, clean.alias("_clean"))
-        .join(hits, "_key", "left")
-        .select(*docs.columns, F.coalesce("_hit", "_clean").alias("scan"))
+        docs.select(carried(docs, ["scan"]).alias("row"), key, clean.alias("clean"))
+        .join(hits, "key", "left")
+        .select("row.*", F.coalesce("hit", "clean").alias("scan"))
     )

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coinstrata.llm.common import BLANKS, Stages
+from coinstrata.llm.common import BLANKS, Stages, carried
 
 #: Shortest key, in code points, that counts as a repeat.
 LEAST_CHARS = 10
@@ -268,10 +268,13 @@ class LineIndex:
         """``docs`` with ``lines`` and ``kept``, the lines before and after: lines whose
         key is in two documents or more stay only in the smallest doc_id that holds it.
         Columns of these names are replaced."""
-        docs = docs.drop("lines", "kept")
-        lost = self.dropped().select(F.col("doc_id").alias("_lost_id"), F.col("keys").alias("_keys"))
-        joined = docs.join(lost, docs[doc_id].eqNullSafe(lost["_lost_id"]), "left")
-        lines = split_lines(docs[text])
+        rows = docs.select(
+            carried(docs, ["lines", "kept"]).alias("row"), docs[text].alias("text"),
+            docs[doc_id].alias("doc_id"),
+        )
+        lost = self.dropped().withColumnRenamed("doc_id", "lost_id")
+        joined = rows.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")), "left")
+        lines = split_lines(F.col("text"))
         least = self.least_chars
 
         # The keys a document loses are as many as its own lines at most.
@@ -281,12 +284,10 @@ class LineIndex:
                 [_kept(t, k, least) for t, k in zip(texts, keys)], dtype=object
             )
 
-        whole = F.when(F.col("_keys").isNull(), lines).otherwise(
-            without(F.when(F.col("_keys").isNotNull(), docs[text]), F.col("_keys"))
-        )
-        return joined.select(
-            *[docs[c] for c in docs.columns], lines.alias("lines"), whole.alias("kept")
-        )
+        unchanged = F.col("keys").isNull()
+        shorter = without(F.when(~unchanged, F.col("text")), F.col("keys"))
+        kept = F.when(unchanged, lines).otherwise(shorter)
+        return joined.select("row.*", lines.alias("lines"), kept.alias("kept"))
 
 
 _UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coinstrata.llm.common import Stages
+from coinstrata.llm.common import Stages, carried
 from coinstrata.llm.quality import let
 
 # Titles that tell a gender, and what stands before a secret.
@@ -270,14 +270,14 @@ def pseudonymized(
     column named n_mentions is replaced; others pass through.
     """
     stages, keyed = Stages(docs.sparkSession, "pii"), Keyed(key)
-    kept = [c for c in docs.columns if c != "n_mentions"]
-    found = docs.select(*kept, mentions(docs[text]).alias("_mentions"))
-    clean = found.filter(F.size("_mentions") == 0)
-    clean = clean.select(*kept, F.lit(0).cast("long").alias("n_mentions"))
+    row = carried(docs, ["n_mentions"])
+    found = docs.select(row.alias("row"), docs[text].alias("text"), mentions(docs[text]).alias("mentions"))
+    clean = found.filter(F.size("mentions") == 0)
+    clean = clean.select("row.*", F.lit(0).cast("long").alias("n_mentions"))
 
     held = stages.write(
-        found.filter(F.size("_mentions") > 0).select(
-            F.md5(F.col(text)).alias("_digest"), F.posexplode("_mentions").alias("_place", "_raw")
+        found.filter(F.size("mentions") > 0).select(
+            F.md5("text").alias("_digest"), F.posexplode("mentions").alias("_place", "_raw")
         ).distinct(),
         "mentions",
     )
@@ -299,14 +299,13 @@ def pseudonymized(
         F.array_sort(F.collect_list(F.struct("_place", "_new"))).alias("_news")
     )
     replaced = replaced.select("_digest", F.col("_news._new").alias("_news"))
-    changed = found.filter(F.size("_mentions") > 0).withColumn("_digest", F.md5(F.col(text)))
+    changed = found.filter(F.size("mentions") > 0).withColumn("_digest", F.md5("text"))
     changed = changed.join(replaced, "_digest")
-    between = F.split(F.col(text), MENTION, -1)
+    between = F.split(F.col("text"), MENTION, -1)
     whole = F.array_join(
         F.zip_with(between, F.concat("_news", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), ""
     )
     changed = changed.select(
-        *[whole.alias(text) if c == text else F.col(c) for c in kept],
-        F.size("_mentions").cast("long").alias("n_mentions"),
+        F.col("row").withField(text, whole).alias("row"), F.size("mentions").cast("long").alias("n_mentions")
     )
-    return clean.unionByName(changed)
+    return clean.unionByName(changed.select("row.*", "n_mentions"))

@@ -194,7 +194,8 @@ def _sample(docs: DataFrame, known: DataFrame, text: str, doc_id: str) -> DataFr
         ids.filter("not _positive").orderBy(*order).limit(UNLABELLED)
     )
     # At most POSITIVES + UNLABELLED ids of fixed size.
-    return short.join(F.broadcast(chosen), "_id").select("_positive", "_text")
+    members = short.join(F.broadcast(chosen), "_id")
+    return members.groupBy("_id", "_positive").agg(F.min("_text").alias("_text"))
 
 
 def _told_apart(counts: DataFrame, total_p: int, total_u: int) -> DataFrame:

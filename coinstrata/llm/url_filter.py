@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coinstrata.llm.common import carried
+
 #: A trie is broadcast up to this many rules; longer lists are split into several tries,
 #: which are looked up one after the other.
 RULES_PER_TRIE = 200_000
@@ -134,6 +136,6 @@ def judge_urls(
 ) -> DataFrame:
     """``pages`` with the columns host, path, rule and verdict, which replace columns of
     these names. One row out for each row in; repeated rows stay repeated."""
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    judgement = judged(pages[url], rules, pages.sparkSession, default).alias("_judgement")
-    return pages.select(*kept, judgement).select(*kept, "_judgement.*")
+    judgement = judged(pages[url], rules, pages.sparkSession, default)
+    row = carried(pages, ["host", "path", "rule", "verdict"])
+    return pages.select(row.alias("row"), judgement.alias("judgement")).select("row.*", "judgement.*")
