@@ -287,7 +287,9 @@ class LineIndex:
         unchanged = F.col("keys").isNull()
         shorter = without(F.when(~unchanged, F.col("text")), F.col("keys"))
         kept = F.when(unchanged, lines).otherwise(shorter)
-        return joined.select("row.*", lines.alias("lines"), kept.alias("kept"))
+        return joined.select("row", lines.alias("lines"), kept.alias("kept")).select(
+            "row.*", "lines", "kept"
+        )
 
 
 _UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}

@@ -19,7 +19,7 @@ def documents(spark):
     return build
 
 
-LONG = " ".join(f"w{i % 977}x{i % 13}" for i in range(60_000))
+LONG = " ".join(f"w{i}" for i in range(60_000))
 EDGES = [
     (1, None),
     (2, ""),

@@ -1,0 +1,314 @@
+"""Quality rules, surrogates, pieces, archives."""
+
+import collections
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from coinstrata.llm import pii, quality, warc
+from coinstrata.llm.pieces import Encoder, PieceModel, decode, decoded, default_model, encode
+from coinstrata.llm.pii import Keyed, pseudonymized, surrogates
+from coinstrata.llm.common import Stages
+
+
+def counts_by_hand(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    at = collections.defaultdict(list)
+    for i in range(len(words) - 7):
+        at[tuple(words[i : i + 8])].append(i)
+    hit = {k for places in at.values() if len(places) > 1 for i in places for k in range(i, i + 8)}
+    n, repeat = len(words), len(hit)
+    return (
+        n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, repeat,
+        n < 20 or 100 * repeat > 30 * n,
+    )
+
+
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def test_base_counts_by_brute_force(documents):
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(["a", "b", "é", "日", "#", "|", " ", " ", "\n", "\t", "\x0b", " ", "🎉"]) for _ in range(rng.randint(0, 300))) for _ in range(150)]
+    texts += [None, "", "\n\n", "a b c d e f g h " * 3, "x " * 8, "x " * 9, "a b c d e f g h i " * 40 + "\nend", " ".join(map(str, range(5000))) * 2]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: tuple(r[c] for c in COUNTS) for r in quality.base_counts(documents(*rows)).collect()}
+    assert got == {i: counts_by_hand(t) for i, t in rows}
+
+
+def test_chi_square():
+    assert [quality.chi_square_quantile(0.05, d) for d in (1, 2, 3, 4)] == pytest.approx([3.841, 5.991, 7.815, 9.488], abs=1e-3)
+    assert quality.consistency(1 - 1e-12, 3) == pytest.approx(1, abs=1e-3)
+
+
+def mcd_by_hand(x, floors, covered, steps):
+    """The same estimate for one group, with exact quantiles instead of bins."""
+    d, n = x.shape[1], len(x)
+    floor = np.diag(np.square(floors))
+    centre = np.median(x, axis=0)
+    width = 1.4826 * np.median(np.abs(x - centre), axis=0) + floors
+    unit = (x - centre) / width
+    signs = unit / np.maximum(np.linalg.norm(unit, axis=1), 1e-9)[:, None]
+    fits = []
+    for shape in (np.diag(width**2), d * (signs.T @ signs / n) * np.outer(width, width)):
+        m, s = centre, shape + floor
+        for _ in range(steps):
+            far = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+            near = x[far <= np.sort(far)[math.ceil(covered * n) - 1]]
+            m = near.mean(axis=0)
+            s = np.cov(near.T, bias=True) * quality.consistency(covered, d) + floor
+        fits.append((np.linalg.slogdet(s)[1], m, s))
+    _, m, s = min(fits, key=lambda f: f[0])
+    far = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+    near = x[far <= quality.chi_square_quantile(0.025, d)]
+    return near.mean(axis=0), np.cov(near.T, bias=True) * quality.consistency(0.975, d) + floor
+
+
+def test_estimate_resists_outliers(spark):
+    rng = np.random.default_rng(2)
+    mix = np.array([[1, 0, 0], [0.8, 0.5, 0], [0.1, 0.2, 0.3]])
+    good = rng.normal(size=(900, 3)) @ mix.T
+    bad = rng.normal(size=(150, 3)) * 0.2 + [4, -4, 3]
+    x = np.r_[good, bad]
+    floors = {"a": 0.05, "b": 0.05, "c": 0.05}
+    frame = spark.createDataFrame([("g", *map(float, r)) for r in x], "group string, a double, b double, c double")
+    shapes = quality.fit(frame, Stages(spark, "test"), floors, few=True)
+    fitted = shapes.first()
+    centre, scatter = mcd_by_hand(x, np.array(list(floors.values())), quality.COVERED, quality.STEPS)
+    assert [fitted[f"m_{i}"] for i in range(3)] == pytest.approx(centre, abs=0.03)
+    assert fitted["log_det"] == pytest.approx(np.linalg.slogdet(scatter)[1] / 2, abs=0.05)
+    shape = quality._Shape(list(floors), list(floors.values()))
+    limit = quality.chi_square_quantile(1e-6, 3)
+    far = [r.f > limit for r in frame.join(shapes, "group").select("a", shape.distance().alias("f")).orderBy("a").collect()]
+    rows = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(scatter), x - centre) > limit
+    assert far == rows[np.argsort(x[:, 0])].tolist()
+    assert rows[900:].all() and rows[:900].sum() <= 1
+
+
+def test_outliers_go_and_clean_texts_stay(documents):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+    docs = [(i, " ".join(word() for _ in range(rng.randint(30, 300))), rng.choice(["en", "de"]), "s") for i in range(260)]
+    docs += [(1000 + i, " ".join(word() + "###" for _ in range(100)), "en", "s") for i in range(20)]
+    docs += [(2000 + i, " ".join(word() * 12 for _ in range(100)), "de", None) for i in range(5)]
+    got = {r.doc_id: r.kept for r in quality.judge(documents(*docs), least_texts=80).collect()}
+    assert {i for i, kept in got.items() if not kept} == {*range(1000, 1020), *range(2000, 2005)}
+
+
+def test_quality_edges(edges, nothing):
+    got = quality.judge(edges).collect()
+    assert len(got) == edges.count()
+    assert {r.doc_id for r in got if r.kept} == {4}
+    assert all(r.distance is None for r in got)
+    assert quality.judge(nothing).count() == 0
+
+
+KEY = Keyed(b"test")
+
+
+def test_hmac(spark):
+    import hashlib
+    import hmac
+
+    for key in (b"k", b"x" * 100):
+        message = "mail\na.b@c.de\n0é"
+        got = spark.range(1).select(Keyed(key).hex(F.lit(message))).first()[0]
+        assert got == hmac.new(key, message.encode(), hashlib.sha256).hexdigest()
+
+
+TEXTS = [
+    (1, "Mr John Smith met Mrs Anna Smith. Call +1 (743) 555-3824 or +17435553824 now"),
+    (2, "mail Foo.Bar9@mail2.example.com### and foo.bar9@MAIL2.example.com: 4785-3805-9239-1139 4785380592391139$$$"),
+    (3, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"### password=b7db7aa4a5fcc78305'),
+    (4, "from 152.143.123.131### to 1.2.3.4. Version 2.0. v1.2.3.4.5 CC BY-NC 4.0"),
+    (5, "Госпожа Анна Петрова, Mr JOHN SMITH, Mr Smith and Mr John Smith"),
+    (6, "nothing to see; 12 345 and +1 and a@b and Mr. x"),
+    (7, None),
+    (8, ""),
+]
+
+
+def test_surrogates_keep_form_and_identity(documents):
+    out = {r.doc_id: r for r in pseudonymized(documents(*TEXTS), key=b"test").collect()}
+    assert [out[i].n_mentions for i in range(1, 9)] == [4, 4, 2, 2, 4, 0, 0, 0]
+    for i in (6, 7, 8):
+        assert out[i].text == dict(TEXTS)[i]
+    for i, text in TEXTS[:5]:
+        form = lambda t: re.sub(r"[^\W\d_]", "a", re.sub(r"\d+", "0", t))
+        if i not in (3,):
+            assert form(out[i].text) == form(text)
+    one = re.fullmatch(r"Mr (\w+) (\w+) met Mrs (\w+) (\w+)\. Call (.*) or (.*) now", out[1].text)
+    assert one[2] == one[4] != "Smith" and one[1].endswith("n") and one[3].endswith("a")
+    assert re.sub(r"\D", "", one[5]) == re.sub(r"\D", "", one[6]) != "17435553824"
+    mails = re.findall(r"\S+@\S+?\.com", out[2].text, re.I)
+    assert mails[0].lower() == mails[1].lower() and mails[0][0].isupper() and mails[1].split("@")[1].isupper() is False
+    cards = [re.sub(r"\D", "", c) for c in re.findall(r"\d{4}-?\d{4}-?\d{4}-?\d{4}", out[2].text)]
+    assert cards[0] == cards[1] and cards[0][0] == "4"
+    digits = [int(c) for c in cards[0]][::-1]
+    assert sum(digits[::2] + [sum(divmod(2 * d, 10)) for d in digits[1::2]]) % 10 == 0
+    assert re.search(r'token = "[0-9a-f]{40}"### password=[0-9a-f]{18}$', out[3].text)
+    assert "24be" not in out[3].text
+    five = re.fullmatch(r"Госпожа (\w+а) (\w+), Mr (\w+) (\w+), Mr (\w+) and Mr (\w+) (\w+)", out[5].text)
+    assert five[3] == one[1].upper() and five[4] == five[5].upper() == one[2].upper()
+    assert all(re.fullmatch("[а-яё]+", five[k], re.I) for k in (1, 2))
+    other = {r.doc_id: r.text for r in pseudonymized(documents(*TEXTS), key=b"another").collect()}
+    assert other[1] != out[1].text
+
+
+def test_surrogates_never_collide(spark):
+    """Names of one and two letters have few surrogates at first; real ones are taken."""
+    names = [a + b for a in "bcdfghjk" for b in "aeiou"] + list("bcdaeiou")
+    entities = spark.createDataFrame([("family", n) for n in names] + [("given_f", n) for n in names], "kind string, canonical string")
+    out = surrogates(entities.unionByName(entities), KEY, Stages(spark, "test")).collect()
+    assert len(out) == 2 * len(names)
+    assert len({(r.kind, r.surrogate) for r in out}) == len(out)
+    assert not {(r.kind, r.surrogate) for r in out} & {(r.kind, r.canonical) for r in out}
+    few = spark.createDataFrame([("phone", str(i)) for i in range(10)], "kind string, canonical string")
+    with pytest.raises(ValueError, match="more members"):
+        surrogates(few, KEY, Stages(spark, "test"))
+
+
+def test_surrogates_edges(edges, nothing, documents):
+    assert pseudonymized(nothing).count() == 0
+    assert sorted((r.doc_id or 0, r.text or "") for r in pseudonymized(edges).collect()) == sorted(
+        (r.doc_id or 0, r.text or "") for r in edges.collect()
+    )
+    long = documents((1, "a@b.example " * 20_000), (1, "a@b.example " * 20_000), (None, "a@b.example"))
+    rows = pseudonymized(long).collect()
+    assert [r.n_mentions for r in sorted(rows, key=lambda r: -r.n_mentions)] == [20_000, 20_000, 1]
+    assert len({w for r in rows for w in r.text.split()}) == 1
+    assert set(rows[0].asDict()) == {*long.columns}
+
+
+@pytest.fixture(scope="module")
+def model():
+    return PieceModel.load(default_model())
+
+
+def some_texts():
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("  abéö\n1.,日🎉t heinr") for _ in range(rng.randint(1, 80))) for _ in range(1500)]
+    return [*texts, "", " ", "   ", " " * 50 + "word" + " " * 40, "a" * 500, "\n\n a", "\x00 \t\r\n", "é́ ☃️", "▁ ▁x", "the " * 3000]
+
+
+def test_bpe_cuts_equal_the_library(model):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=default_model())
+    texts = some_texts()
+    got = [list(p) for p in Encoder(model).encode(texts)]
+    assert got == library.encode(texts)
+    for text, pieces in zip(texts, got):
+        assert decoded(model, pieces) == text.replace("▁", " ")
+
+
+def test_unigram_cuts_equal_the_library():
+    """The same pieces with scores of a unigram model (exact in single precision)."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(default_model(), "rb") as file:
+        proto.ParseFromString(file.read())
+    proto.trainer_spec.model_type = 1
+    rng = random.Random(9)
+    for piece in proto.pieces:
+        if piece.type == 1:
+            piece.score = -rng.randint(2 * 1024, 16 * 1024) / 1024
+    library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    texts = [t for t in some_texts() if len(t) < 600]
+    assert [list(p) for p in Encoder(PieceModel.of_proto(proto)).encode(texts)] == library.encode(texts)
+
+
+def test_shared_prefixes_do_not_change_cuts(model, monkeypatch):
+    texts = some_texts()
+    alone = [list(next(Encoder(model).encode([t]))) for t in texts[:200]]
+    assert [list(p) for p in Encoder(model).encode(texts[:200])] == alone
+    monkeypatch.setattr("coinstrata.llm.pieces.REMEMBERED", 50)
+    monkeypatch.setattr("coinstrata.llm.pieces.SLICE_CHARS", 40)
+    assert [list(p) for p in Encoder(model).encode(texts[:200])] == alone
+
+
+def test_pieces_round_trip(spark, edges, nothing, model):
+    done = edges.withColumn("pieces", encode(edges["text"], model, spark))
+    done = done.withColumn("again", decode(done["pieces"], model, spark))
+    assert done.filter("again <> coalesce(text, '')").count() == 0
+    assert done.filter("pieces is null").count() == 0
+    assert nothing.select(encode(nothing["text"], model, spark)).count() == 0
+    with pytest.raises(ValueError, match="unigram and BPE"):
+        from sentencepiece import sentencepiece_model_pb2
+
+        proto = sentencepiece_model_pb2.ModelProto()
+        proto.trainer_spec.model_type = 4
+        PieceModel.of_proto(proto)
+
+
+PAGES = [
+    (1, "http://a/1", "<p>same</p>"),
+    (2, "http://a/2", "<p>same</p>"),
+    (3, "http://a/3", ""),
+    (4, None, None),
+    (5, "http://a/5\r\nX: y", "äöü\r\n\r\nWARC/1.1\r\n"),
+    (7, "http://a/7", "x" * 300_000),
+    (None, "http://a/n", "<p>same</p>"),
+    (7, "http://a/8", "x" * 300_000),
+    (9, "http://a/9", "once"),
+    (9, "http://a/9", "once"),
+]
+
+
+@pytest.fixture
+def pages(spark):
+    return spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumn("sha256", F.lit("clash"))
+
+
+def test_archive_gives_back_exact_records(spark, pages, tmp_path):
+    headers, contents = warc.web_records(pages)
+    archive = warc.write_archive(headers, contents, str(tmp_path / "archive"))
+    stored = spark.read.parquet(archive.payloads)
+    assert stored.count() == len({p or "" for _, _, p in PAGES})
+    records = warc.read_archive(spark, archive).collect()
+    assert len(records) == len(PAGES)
+    for r in records:
+        head, _, rest = bytes(r.record).partition(b"\r\n\r\n")
+        assert head + b"\r\n\r\n" == bytes(r.header) and head.startswith(b"WARC/1.1\r\n")
+        length = int(re.search(rb"Content-Length: (\d+)$", head, re.M)[1])
+        assert rest == bytes(r.block) + b"\r\n\r\n" and len(r.block) == length
+    rows = warc.parsed(warc.read_archive(spark, archive)).collect()
+    by_url = {r.url: r for r in rows}
+    assert [by_url[f"http://a/{i}"].refers_to for i in (1, 2, "n")] == [2, None, 2]
+    assert by_url["http://a/7"].record_type == "revisit" and by_url["http://a/7"].refers_to == 7
+    assert by_url["http://a/3"].refers_to == 4
+    assert bytes(by_url["http://a/5X: y"].block).decode() == "äöü\r\n\r\nWARC/1.1\r\n"
+    assert sum(r.url == "http://a/9" and r.record_type == "response" for r in rows) == 2
+
+
+def test_least_bytes_and_edges(pages):
+    rows = warc.archived_pages(pages, least_bytes=100).collect()
+    assert {r.record_type for r in rows if r.payload_bytes < 100} == {"response"}
+    assert sum(r.record_type == "revisit" for r in rows) == 1
+    assert warc.archived_pages(pages.limit(0)).count() == 0
+
+
+def test_wrong_bytes_are_found(spark, pages, tmp_path):
+    headers, contents = warc.web_records(pages)
+    with pytest.raises(PySparkException):
+        warc.write_archive(headers, contents.withColumn("payload", F.lit(b"other")), str(tmp_path / "a"))
+    archive = warc.write_archive(headers, contents, str(tmp_path / "b"))
+    payloads = spark.read.parquet(archive.payloads)
+    spoilt = payloads.withColumn("payload", F.concat("payload", F.lit(b"!")))
+    spoilt.write.parquet(str(tmp_path / "c/payloads"))
+    spark.read.parquet(archive.records).write.parquet(str(tmp_path / "c/records"))
+    with pytest.raises(PySparkException):
+        warc.read_archive(spark, warc.Archive(str(tmp_path / "c"))).collect()
