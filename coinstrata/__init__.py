@@ -3,7 +3,6 @@
 from coinstrata.operators.balances import entity_balances, top_holders
 from coinstrata.operators.clustering import (
     cluster_addresses,
-    co_input_pairs,
     enrich_clustering_inputs,
     graph_vertices,
     star_edges,
@@ -24,7 +23,6 @@ __all__ = [
     "balance_events",
     "balance_timeline",
     "cluster_addresses",
-    "co_input_pairs",
     "compute_utxo_set",
     "connected_components",
     "create_spark_session",

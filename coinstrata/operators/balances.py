@@ -12,6 +12,7 @@ from coinstrata.functions import (
     to_btc,
 )
 from coinstrata.functions.labels import MEGA_LABEL
+from coinstrata.operators.skew import ranked
 
 
 def utxo_addresses(utxo_df: DataFrame) -> DataFrame:
@@ -143,15 +144,18 @@ def entity_addresses(entities: DataFrame, chosen: DataFrame) -> DataFrame:
     return entities.join(chosen.select("entity_id"), "entity_id", "left_semi")
 
 
-def holder_addresses(
-    balances_by_address: DataFrame, entities: DataFrame, chosen: DataFrame
-) -> DataFrame:
+def holder_addresses(utxo_df: DataFrame, entities: DataFrame, chosen: DataFrame) -> DataFrame:
     """Balance of each address of the chosen entities; addresses without outputs drop out.
 
-    Unordered: an entity may own a large part of all addresses. See ``top_addresses``.
+    Only their outputs are summed. Unordered: an entity may own a large part of all
+    addresses. See ``top_addresses``.
     """
     members = entity_addresses(entities, chosen).select("address")
-    return balances_by_address.join(members, "address", "left_semi").select(
+    owned = utxo_addresses(utxo_df).join(members, "address", "left_semi")
+    sums = owned.groupBy("address").agg(
+        F.sum("value").alias("balance_satoshi"), F.count(F.lit(1)).alias("utxo_count")
+    )
+    return sums.select(
         "address",
         "balance_satoshi",
         "utxo_count",
@@ -164,25 +168,16 @@ def top_addresses(balances_by_address: DataFrame, k: int = 10) -> DataFrame:
     return balances_by_address.orderBy(F.desc("balance_satoshi"), "address").limit(k)
 
 
-def largest_balances(balances: DataFrame, n: int = 10_000) -> DataFrame:
-    """The n largest balances, the bounded set behind statistics and histogram."""
-    return (
-        balances.orderBy(F.desc("balance_satoshi"), "entity_id")
-        .limit(n)
-        .select("entity_id", "balance_satoshi", "balance_btc")
-    )
-
+def balance_statistics(balances: DataFrame, workdir: str) -> DataFrame:
+    """Minimum, exact median, mean, maximum and sample deviation over all balances.
 
-def balance_statistics(balances: DataFrame, n: int = 10_000) -> DataFrame:
-    """Minimum, median, mean, maximum and sample deviation over the n largest balances.
-
-    The exact median holds at most n values.
+    The median is that of the middle one or two rows by rank; ``ranked`` numbers the rows
+    over range partitions, so no task holds more than one of them.
     """
     btc = F.col("balance_btc")
-    return largest_balances(balances, n).agg(
+    totals = balances.agg(
         F.count(F.lit(1)).alias("entity_count"),
         F.min(btc).alias("min_btc"),
-        F.median(btc).alias("median_btc"),
         ratio(
             exact_total(F.col("balance_satoshi")),
             F.count(F.lit(1)) * F.lit(SATOSHI_PER_BTC),
@@ -190,37 +185,51 @@ def balance_statistics(balances: DataFrame, n: int = 10_000) -> DataFrame:
         F.max(btc).alias("max_btc"),
         F.round(F.stddev_samp(btc), 4).alias("stddev_btc"),
     )
+    rows = balances.filter(btc.isNotNull()).select("balance_btc", "entity_id")
+    place = ranked(rows, ["balance_btc", "entity_id"], workdir, "place")
+    count = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    middle = place.filter(
+        F.col("place").between(F.floor((count - 1) / 2), F.ceil((count - 1) / 2))
+    )
+    median = middle.agg(F.avg("balance_btc").alias("median_btc"))
+    return totals.select(
+        "entity_count", "min_btc", median.scalar().alias("median_btc"), "mean_btc", "max_btc",
+        "stddev_btc",
+    )
 
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Counts per equal-width bin of a whole-number column, empty bins included.
 
     Bins run from the minimum to the maximum, the last one closed. If both are equal the
-    range is widened by one half on each side. The bounds are scalar subqueries; counts
-    are combined in the map tasks, so ``bins`` rows are shuffled per task at most.
+    range is widened by one half on each side. Bins are found by whole-number division, so
+    a value next to a bound falls on its own side of it. The bounds are known before the
+    values are read again; counts combine in the map tasks, so ``bins`` rows are shuffled
+    per task at most.
     """
+    bounds = df.agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
+    empty = df.sparkSession.range(0 if bounds["low"] is None else bins)
+    frame = empty.select(F.col("id").cast("int").alias("bin"))
+    low, high = bounds["low"] or 0, bounds["high"] or 0
     value = F.col(column).cast("decimal(20,0)")
-    bounds = df.agg(F.min(column).alias("low"), F.max(column).alias("high"))
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
-    width = (high - low).cast("decimal(20,0)")
-    position = F.when(width > 0, F.floor((value - low) * F.lit(bins) / width)).otherwise(bins // 2)
+    position = F.lit(bins // 2)
+    if high > low:
+        # 38 digits hold a long times a thousand bins.
+        steps = (value - F.lit(low).cast("decimal(20,0)")).cast("decimal(28,0)") * F.lit(bins)
+        width = F.lit(high).cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
+        position = F.least(F.call_function("div", steps, width).cast("int"), F.lit(bins - 1))
     counts = (
         df.filter(F.col(column).isNotNull())
-        .groupBy(F.least(position.cast("int"), F.lit(bins - 1)).alias("bin"))
+        .select(position.alias("bin"))
+        .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("entity_count"))
     )
-    spread = F.when(F.col("high") > F.col("low"), F.lit(0.0)).otherwise(0.5)
-    start = F.col("low").cast("double") - spread
-    step = (F.col("high").cast("double") + spread - start) / F.lit(float(bins))
-    frame = (
-        df.sparkSession.range(bins)
-        .select(F.col("id").cast("int").alias("bin"), low.alias("low"), high.alias("high"))
-        .filter(F.col("low").isNotNull())
-        .select("bin", start.alias("start"), step.alias("step"))
-    )
+    spread = 0.0 if high > low else 0.5
+    start = F.lit(float(low) - spread)
+    step = F.lit((float(high) + spread - (float(low) - spread)) / bins)
     return frame.join(counts, "bin", "left").select(
         "bin",
-        (F.col("start") + F.col("bin") * F.col("step")).alias("bin_start"),
-        (F.col("start") + (F.col("bin") + 1) * F.col("step")).alias("bin_end"),
+        (start + F.col("bin") * step).alias("bin_start"),
+        (start + (F.col("bin") + 1) * step).alias("bin_end"),
         F.coalesce("entity_count", F.lit(0)).alias("entity_count"),
     )

@@ -1,54 +1,41 @@
 """From multi-input transactions to a co-spend graph and the address -> entity map."""
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coinstrata.functions import percent, size_identity
 from coinstrata.operators.components import connected_groups
 from coinstrata.operators.spends import input_addresses, link_spends, within_input_bounds
+from coinstrata.sources.tables import write_table
 
 
 def enrich_clustering_inputs(
-    tx_df: DataFrame, outputs_df: DataFrame, min_inputs: int = 2, max_inputs: int = 50
+    tx_df: DataFrame, outputs_df: DataFrame, min_inputs: int = 2, max_inputs: int | None = None
 ) -> DataFrame:
     """(tx_hash, address) for every input with a known address of the transactions usable
-    for clustering: not coinbase, and within the bounds on the input count. Larger
-    transactions are mostly exchange payouts. Filtered before anything is exploded.
+    for clustering: not coinbase, and with at least ``min_inputs`` inputs. ``max_inputs``
+    leaves out larger ones, which are mostly exchange payouts; nothing below depends on it.
+    Filtered before anything is exploded.
     """
     usable = tx_df.filter(within_input_bounds(min_inputs, max_inputs))
     return input_addresses(link_spends(usable, outputs_df))
 
 
-def tx_address_sets(clustering_inputs: DataFrame, min_size: int = 2) -> DataFrame:
-    """Sorted set of input addresses per transaction, sets below ``min_size`` dropped.
-
-    A set holds at most ``max_inputs`` addresses, because larger transactions were
-    filtered out before.
-    """
-    return (
-        clustering_inputs.groupBy("tx_hash")
-        .agg(F.sort_array(F.collect_set("address")).alias("addresses"))
-        .filter(F.size("addresses") >= min_size)
-    )
-
-
-def co_input_pairs(address_sets: DataFrame) -> DataFrame:
-    """Distinct pairs (src < dst) of addresses spent together, the edge list as reported.
+def tx_address_sets(clustering_inputs: DataFrame, workdir: str, min_size: int = 2) -> DataFrame:
+    """(tx_hash, address): the distinct input addresses of each transaction that has
+    ``min_size`` of them. Rows rather than arrays, as a transaction may have any number.
 
-    Quadratic in the set size, hence only for the bounded sets of ``tx_address_sets``.
-    Components never need it: see ``star_edges``. Two generators instead of nested array
-    functions keep the pairs streaming rather than held in one array per row.
+    Two tables are written below ``workdir``, so that adaptive execution can split the join
+    where one transaction holds much of them.
     """
-    return (
-        address_sets.select("addresses", F.posexplode("addresses").alias("position", "src"))
-        .select(
-            "src",
-            F.explode(
-                F.slice("addresses", F.col("position") + 2, F.size("addresses"))
-            ).alias("dst"),
-        )
-        .distinct()
-    )
+    root = f"{workdir}/address-sets-{uuid.uuid4().hex}"
+    members = clustering_inputs.select("tx_hash", "address").distinct()
+    members = write_table(members, f"{root}/members")
+    sizes = members.groupBy("tx_hash").agg(F.count(F.lit(1)).alias("n"))
+    large = write_table(sizes.filter(F.col("n") >= min_size).select("tx_hash"), f"{root}/large")
+    return members.join(large, "tx_hash", "left_semi").select("tx_hash", "address")
 
 
 def graph_vertices(edges: DataFrame) -> DataFrame:
@@ -58,15 +45,19 @@ def graph_vertices(edges: DataFrame) -> DataFrame:
     )
 
 
-def star_edges(clustering_inputs: DataFrame) -> DataFrame:
+def star_edges(clustering_inputs: DataFrame, workdir: str) -> DataFrame:
     """Smallest address of each transaction -> every other one.
 
-    n - 1 edges instead of n(n - 1)/2, with the same components as the pairs. The window
-    sees one transaction at a time, at most ``max_inputs`` rows.
+    n - 1 edges instead of n(n - 1)/2, with the same components as the pairs. The smallest
+    is found by an aggregation that combines in the map tasks and written below ``workdir``;
+    the join has one row per transaction on its right, so that a transaction of any size can
+    be split.
     """
-    in_tx = Window.partitionBy("tx_hash")
+    first = clustering_inputs.groupBy("tx_hash").agg(F.min("address").alias("src"))
+    first = write_table(first, f"{workdir}/first-address-{uuid.uuid4().hex}")
     return (
-        clustering_inputs.select(F.min("address").over(in_tx).alias("src"), F.col("address").alias("dst"))
+        clustering_inputs.join(first, "tx_hash")
+        .select("src", F.col("address").alias("dst"))
         .filter(F.col("src") < F.col("dst"))
         .distinct()
     )
@@ -75,8 +66,7 @@ def star_edges(clustering_inputs: DataFrame) -> DataFrame:
 def cluster_addresses(clustering_inputs: DataFrame, workdir: str) -> DataFrame:
     """(address, entity_id): addresses linked by common spending share an entity.
 
-    ``clustering_inputs`` is read twice; hand over a stage table. A transaction has at
-    most ``max_inputs`` rows in it.
+    ``clustering_inputs`` is read twice; hand over a stage table.
 
     ``entity_id`` is the smallest address of the entity. Addresses never spent with
     another one have no entity; ``with_singletons`` adds them.

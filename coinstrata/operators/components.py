@@ -17,19 +17,15 @@ splits.
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coinstrata.sources.files import delete, visible_folders
-from coinstrata.sources.tables import write_table
+from coinstrata.sources.tables import write_counted, write_table
 
 # A label table is written out after this many joins, to keep plans short.
 LEVELS_PER_WRITE = 6
 
-# Up to this many edges (two numbers each) even a hub's share is no load for one task.
-SMALL_GRAPH_EDGES = 2_000_000
-
-
 def connected_components(edges: DataFrame, workdir: str) -> DataFrame:
     """(id, component) for the ends of undirected ``edges`` (src, dst).
 
@@ -57,15 +53,16 @@ def connected_groups(members: DataFrame, workdir: str) -> DataFrame:
 
     The same as ``connected_components`` over the edges between a group's smallest id and
     its others, but ids turn into numbers first, so no edge is ever made of texts. An id
-    that never shares a group is left out. A group is ordered in one window, so groups
-    must be of bounded size.
+    that never shares a group is left out. Groups may be of any size: the smallest is an
+    aggregation, and the join back to the members can be split.
     """
     root = _new_folder(workdir)
     vertices = _numbered_ids(members.select("id"), root)
-    smallest = F.min("v").over(Window.partitionBy("group"))
+    numbered = write_table(members.join(vertices, "id").select("group", "v"), f"{root}/members-of")
+    first = write_table(numbered.groupBy("group").agg(F.min("v").alias("a")), f"{root}/first")
     stars = (
-        members.join(vertices, "id")
-        .select(smallest.alias("a"), F.col("v").alias("b"))
+        numbered.join(first, "group")
+        .select("a", F.col("v").alias("b"))
         .filter(F.col("a") < F.col("b"))
         .distinct()
     )
@@ -89,22 +86,24 @@ def _numbered_ids(ids: DataFrame, root: str) -> DataFrame:
 def _components(numbered: DataFrame, vertices: DataFrame, root: str) -> DataFrame:
     """(id, component) for the ends of the ``numbered`` edges (a, b)."""
     moves = []
-    current = write_table(numbered, f"{root}/round-0")
-    first_count = edge_count = current.count()
+    current, edge_count = write_counted(numbered, f"{root}/round-0")
     while edge_count > 0:
         seed = len(moves)
-        picks = _splittable(_picks(current, seed), f"{root}/picks-{seed}", edge_count)
+        # Written, since adaptive execution only splits sides that come straight from a
+        # shuffle, and a hub's share of the joins below may need it.
+        picks = write_table(_picks(current, seed), f"{root}/picks-{seed}")
         moves.append(write_table(_moves(picks, seed), f"{root}/moves-{seed}"))
-        current = write_table(_rewrite(current, moves[-1]), f"{root}/round-{seed + 1}")
-        edge_count = current.count()
+        current, edge_count = write_counted(
+            _rewrite(current, moves[-1]), f"{root}/round-{seed + 1}"
+        )
 
     nobody = vertices.select("v", F.col("v").alias("label")).limit(0)
     labels = _labels(moves, root) if moves else nobody
     members = write_table(
         vertices.join(labels, "v").select("id", "label"), f"{root}/members"
     )
-    names = _splittable(
-        members.groupBy("label").agg(F.min("id").alias("component")), f"{root}/names", first_count
+    names = write_table(
+        members.groupBy("label").agg(F.min("id").alias("component")), f"{root}/names"
     )
     for folder in visible_folders(vertices.sparkSession, root):
         if not folder.endswith(("/members", "/names")):
@@ -112,13 +111,6 @@ def _components(numbered: DataFrame, vertices: DataFrame, root: str) -> DataFram
     return members.join(names, "label").select("id", "component")
 
 
-def _splittable(df: DataFrame, path: str, edge_count: int) -> DataFrame:
-    """``df``, which is about to be joined on a key that a hub or a giant component may
-    fill, as a written table: adaptive execution only splits sides that come straight
-    from a shuffle. A small graph is spared the extra write."""
-    return write_table(df, path) if edge_count > SMALL_GRAPH_EDGES else df
-
-
 def _order(vertex: Column, seed: int) -> Column:
     return F.xxhash64(vertex, F.lit(seed))
 

@@ -1,14 +1,17 @@
-"""Window functions over groups of any size.
+"""Positions and neighbours in groups of any size.
 
-A window sorts one group in one task. Large groups are found first and solved in two
-steps: within (group, bucket), where the bucket follows the sort order, and between the
-few buckets of a group. Both ways give the same rows.
+A window sorts one group in one task. Here rows are dealt out by ranges of (key, order)
+instead, which cuts any group where it needs to be cut, and written once with the number of
+their range. Windows then run over one group's part of one range, and the few parts of a
+group are linked by a small table with one row for each part.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_GROUP_ROWS = 5_000_000
+from coinstrata.sources.tables import write_table
 
 
 def hot_groups(counts: DataFrame, key: str, limit: int) -> DataFrame | None:
@@ -20,75 +23,72 @@ def hot_groups(counts: DataFrame, key: str, limit: int) -> DataFrame | None:
     return None if hot.isEmpty() else hot
 
 
-def numbered(
-    df: DataFrame, key: str, order: list[str], bucket: list[Column], name: str
-) -> DataFrame:
-    """Add ``name``: position of the row in its group by ``order``, starting at 0.
+def _in_ranges(df: DataFrame, order: list[str], workdir: str) -> DataFrame:
+    """``df`` with ``_part``, the number of the row's range by ``order``, written below
+    ``workdir``: ranges depend on the sample they are drawn from."""
+    dealt = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    return write_table(dealt, f"{workdir}/ranges-{uuid.uuid4().hex}")
 
-    For groups of any size. ``bucket`` must be non-decreasing along ``order`` and take
-    few values per group.
-    """
-    parts = [f"_bucket{i}" for i in range(len(bucket))]
-    split = df.select("*", *[b.alias(p) for b, p in zip(bucket, parts)])
-    earlier = (
-        Window.partitionBy(key).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
+
+def ranked(df: DataFrame, order: list[str], workdir: str, name: str) -> DataFrame:
+    """Add ``name``: the position of the row among all rows by ``order``, from 0."""
+    dealt = _in_ranges(df, order, workdir)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each range reaches this window.
+    offsets = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = offsets.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    inner = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return (
+        dealt.withColumn("_inner", inner)
+        .join(offsets, "_part")
+        .select(*df.columns, (F.col("_inner") + F.col("_offset")).cast("long").alias(name))
     )
+
+
+def numbered(df: DataFrame, key: str, order: list[str], workdir: str, name: str) -> DataFrame:
+    """Add ``name``: the position of the row in its group by ``order``, from 0."""
+    dealt = _in_ranges(df, [key, *order], workdir)
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        split.groupBy(key, *parts)
+        dealt.groupBy(key, "_part")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(key, *parts, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        .select(key, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
-    inner = F.row_number().over(Window.partitionBy(key, *parts).orderBy(*order)) - 1
+    inner = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) - 1
     return (
-        split.withColumn("_inner", inner)
-        .join(offsets, [key, *parts])
+        dealt.withColumn("_inner", inner)
+        .join(offsets, [key, "_part"])
         .select(*df.columns, (F.col("_inner") + F.col("_offset")).cast("long").alias(name))
     )
 
 
 def with_neighbours(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    bucket: Column,
-    carry: list[str],
-    hot: DataFrame | None,
+    df: DataFrame, key: str, order: list[str], carry: list[str], workdir: str
 ) -> DataFrame:
     """Add ``previous`` and ``following``: structs of ``carry`` from the rows next to this
-    one in its group by ``order``, null at the ends.
-
-    ``bucket`` must be non-decreasing along ``order`` and take few values per group;
-    ``order`` must be unique within a group. ``hot`` lists the groups to solve in two steps.
-    """
-    row = F.struct(*carry)
-    whole = Window.partitionBy(key).orderBy(*order)
-    both = ["*", F.lag(row).over(whole).alias("previous"), F.lead(row).over(whole).alias("following")]
-    if hot is None:
-        return df.select(*both)
-    result = df.join(hot, key, "left_anti").select(*both)
-
-    large = df.join(hot, key, "left_semi").withColumn("_bucket", bucket)
-    sort_key = F.struct(*order)
-    between = Window.partitionBy(key).orderBy("_bucket")
+    one in its group by ``order``, null at the ends. ``order`` must be unique in a group."""
+    row, sort_key = F.struct(*carry), F.struct(*order)
+    dealt = _in_ranges(df, [key, *order], workdir)
+    between = Window.partitionBy(key).orderBy("_part")
     edges = (
-        large.groupBy(key, "_bucket")
+        dealt.groupBy(key, "_part")
         .agg(
             F.min_by(row, sort_key).alias("_first"),
             F.max_by(row, sort_key).alias("_last"),
         )
         .select(
             key,
-            "_bucket",
+            "_part",
             F.lag("_last").over(between).alias("_before"),
             F.lead("_first").over(between).alias("_after"),
         )
     )
-    inside = Window.partitionBy(key, "_bucket").orderBy(*order)
-    solved = (
-        large.withColumn("_lag", F.lag(row).over(inside))
+    inside = Window.partitionBy(key, "_part").orderBy(*order)
+    return (
+        dealt.withColumn("_lag", F.lag(row).over(inside))
         .withColumn("_lead", F.lead(row).over(inside))
-        .join(edges, [key, "_bucket"])
+        .join(edges, [key, "_part"])
         .withColumn("previous", F.coalesce("_lag", "_before"))
         .withColumn("following", F.coalesce("_lead", "_after"))
+        .select(*df.columns, "previous", "following")
     )
-    return result.unionByName(solved.select(result.columns))

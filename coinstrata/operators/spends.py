@@ -64,8 +64,9 @@ def link_spends(tx_df: DataFrame, outputs_df: DataFrame) -> DataFrame:
     )
 
 
-def within_input_bounds(min_inputs: int, max_inputs: int) -> Column:
-    return F.col("input_count").between(min_inputs, max_inputs)
+def within_input_bounds(min_inputs: int, max_inputs: int | None) -> Column:
+    enough = F.col("input_count") >= min_inputs
+    return enough if max_inputs is None else enough & (F.col("input_count") <= max_inputs)
 
 
 def input_addresses(spends: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """The registered queries in plain SQL over the source tables, for checking results.
 
-Written independently of the operators: pairs instead of stars, reachability instead of
+Written independently of the operators: windows instead of joins, reachability instead of
 contraction, window functions instead of counted positions.
 """
 
@@ -100,14 +100,15 @@ PARTS: dict[str, tuple[str, str]] = {
             FROM spends s JOIN tx t ON t.hash = s.tx_hash
             LEFT JOIN outs o ON o.tx_hash = s.spent_tx_hash
                             AND o.output_index = s.spent_output_index
-            WHERE t.input_count BETWEEN 2 AND 50 AND NOT t.is_coinbase)
+            WHERE t.input_count >= 2 AND NOT t.is_coinbase)
         WHERE address IS NOT NULL""",
     ),
     "edge": (
         "ci",
         """
-        SELECT DISTINCT a.address AS src, b.address AS dst
-        FROM ci a JOIN ci b ON a.tx_hash = b.tx_hash AND a.address < b.address""",
+        SELECT DISTINCT src, address AS dst
+        FROM (SELECT address, min(address) OVER (PARTITION BY tx_hash) AS src FROM ci)
+        WHERE src < address""",
     ),
     "reach": (
         "edge",
@@ -334,11 +335,10 @@ ORACLE: dict[str, str] = {
     "block_table": _with("blk", "SELECT * FROM blk"),
     "example_multi_input_tx": _with(
         "tx spends",
-        """SELECT substring(t.hash, 1, 20) AS hash_prefix, t.block_number, t.input_count,
+        """SELECT t.hash, t.block_number, t.input_count,
                   t.output_count, CAST(t.output_value AS DOUBLE) / 1e8 AS value_btc,
-                  (SELECT string_agg(coalesce(s.addresses[1], '(needs enrichment)'), ', '
-                                     ORDER BY s.input_index)
-                   FROM spends s WHERE s.tx_hash = t.hash AND s.input_index < 5) AS input_addresses
+                  (SELECT to_json(list(s.addresses[1] ORDER BY s.input_index))
+                   FROM spends s WHERE s.tx_hash = t.hash) AS input_addresses
            FROM (SELECT * FROM tx WHERE input_count BETWEEN 3 AND 10 AND NOT is_coinbase
                  ORDER BY block_number, hash LIMIT 1) t""",
     ),
@@ -351,9 +351,9 @@ ORACLE: dict[str, str] = {
     "clustering_inputs": _with("ci", "SELECT tx_hash, address FROM ci"),
     "tx_address_sets": _with(
         "ci",
-        """SELECT tx_hash, string_agg(address, ',' ORDER BY address) AS addresses
-           FROM (SELECT DISTINCT tx_hash, address FROM ci)
-           GROUP BY tx_hash HAVING count(*) >= 2""",
+        """SELECT DISTINCT tx_hash, address FROM ci
+           WHERE tx_hash IN (SELECT tx_hash FROM ci GROUP BY tx_hash
+                             HAVING count(DISTINCT address) >= 2)""",
     ),
     "co_input_edges": _with("edge", "SELECT src, dst FROM edge"),
     "graph_vertices": _with("edge", "SELECT src AS id FROM edge UNION SELECT dst FROM edge"),
@@ -453,11 +453,11 @@ ORACLE: dict[str, str] = {
                   median(balance_btc) AS median_btc,
                   CAST(sum(balance_satoshi) AS DOUBLE) / (CAST(count(*) AS DOUBLE) * 1e8) AS mean_btc,
                   max(balance_btc) AS max_btc, round(stddev_samp(balance_btc), 4) AS stddev_btc
-           FROM ranked WHERE rank <= 10000""",
+           FROM ranked""",
     ),
     "balance_histogram": _with(
         "ranked",
-        f"""SELECT * FROM (WITH t AS (SELECT balance_satoshi AS x FROM ranked WHERE rank <= 10000)
+        f"""SELECT * FROM (WITH t AS (SELECT balance_satoshi AS x FROM ranked)
             {_HISTOGRAM})""",
     ),
     "utxo_history": _with("hist", "SELECT * FROM hist"),
@@ -591,10 +591,26 @@ ORACLE: dict[str, str] = {
         "outs",
         """SELECT strftime(DATE '1970-01-01' + CAST(block_number AS INTEGER), '%Y-%m') AS year_month,
                   count(*) AS output_rows, CAST(sum(value) AS BIGINT) AS value
-           FROM outs WHERE output_index IS NOT NULL GROUP BY 1""",
+           FROM outs GROUP BY 1""",
     ),
     "json_scan_pruned": _with(
-        "outs", f"SELECT {_OUTPUT_COLUMNS} FROM outs WHERE output_index IS NOT NULL"
+        "outs", f"SELECT {_OUTPUT_COLUMNS} FROM outs"
+    ),
+    "loaded_transactions": _with(
+        "tx",
+        """SELECT hash, input_count, output_count,
+                  block_timestamp AS block_seconds,
+                  strftime(make_timestamp(block_timestamp * 1000000), '%Y-%m') AS year_month
+           FROM tx""",
+    ),
+    "loaded_blocks": _with(
+        "blk",
+        "SELECT number, transaction_count, timestamp AS block_seconds FROM blk",
+    ),
+    "json_scan_inferred": _with(
+        "tx",
+        """SELECT block_number, count(*) AS transactions, CAST(sum(output_count) AS BIGINT) AS outputs
+           FROM tx GROUP BY block_number""",
     ),
     "json_block_scan": _with(
         "blk",

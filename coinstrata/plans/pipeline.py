@@ -6,7 +6,6 @@ an executor is lost. Steps without a shuffle (flattening, counting) are not stag
 plans read the nested records with only the columns they need.
 """
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +14,7 @@ from pyspark.sql import functions as F
 from coinstrata.operators.balances import address_balances, entity_balances
 from coinstrata.operators.clustering import (
     cluster_addresses,
-    co_input_pairs,
-    tx_address_sets,
+    star_edges,
 )
 from coinstrata.operators.flatten import explode_inputs, explode_outputs
 from coinstrata.operators.history import (
@@ -32,15 +30,26 @@ from coinstrata.operators.spends import (
     within_input_bounds,
 )
 from coinstrata.operators.utxo import compute_utxo_set
-from coinstrata.session import stage_folder
+from coinstrata.session import own_folder
 from coinstrata.sources.files import delete
-from coinstrata.sources.json_export import load_blocks, load_transactions
+from coinstrata.sources.json_export import first_part, load_blocks, load_transactions
 from coinstrata.sources.orders_ledger import derive_blocks, derive_transactions
 from coinstrata.sources.tables import save_results, write_table
 
 
+def whole_records(records: DataFrame, nested: str) -> DataFrame:
+    """Records whose ``nested`` array is to be flattened with outer semantics: a further
+    part without elements must not add another row of nulls."""
+    if "record_part" in records.columns:
+        # Asking for one field rather than the whole array keeps the scan narrow.
+        has_items = F.size(F.col(f"{nested}.index")) > 0
+        return records.filter(first_part() | has_items)
+    return records
+
+
 class LedgerPipeline:
-    """All tables of one ledger.
+    """All tables of one ledger, in a new folder of its own below ``folder`` (default: the
+    session's stage folder) that goes with ``drop``, or when the application ends.
 
     ``records`` are nested transactions. Where one transaction may span several records,
     they carry ``record_part`` and transaction-level figures use part 0.
@@ -53,10 +62,10 @@ class LedgerPipeline:
         blocks: Callable[["LedgerPipeline"], DataFrame],
         folder: str | None = None,
         min_inputs: int = 2,
-        max_inputs: int = 50,
+        max_inputs: int | None = None,
     ):
         self.spark = spark
-        self.folder = folder or f"{stage_folder(spark)}/coinstrata-{uuid.uuid4().hex}"
+        self.folder = own_folder(spark, "coinstrata", folder)
         self.min_inputs, self.max_inputs = min_inputs, max_inputs
         self._records, self._blocks = records, blocks
         self._stages: dict[str, DataFrame] = {}
@@ -104,29 +113,19 @@ class LedgerPipeline:
         """One row per transaction."""
         records = self.records
         if "record_part" in records.columns:
-            return records.filter(F.col("record_part") == 0)
+            return records.filter(first_part())
         return records
 
     @property
     def blocks(self) -> DataFrame:
         return self.stage("blocks", lambda: self._blocks(self))
 
-    def _with_or_first(self, nested: str) -> DataFrame:
-        """Records whose ``nested`` array is to be flattened with outer semantics: a
-        further part without elements must not add another row of nulls."""
-        records = self.records
-        if "record_part" in records.columns:
-            # Asking for one field rather than the whole array keeps the scan narrow.
-            has_items = F.col(f"{nested}.index").isNotNull()
-            return records.filter((F.col("record_part") == 0) | has_items)
-        return records
-
     def flat_outputs(self, *columns: str) -> DataFrame:
         """Flat outputs, all columns or the given ones."""
-        return explode_outputs(self._with_or_first("outputs"), columns=list(columns))
+        return explode_outputs(whole_records(self.records, "outputs"), columns=list(columns))
 
     def flat_inputs(self, *columns: str) -> DataFrame:
-        return explode_inputs(self._with_or_first("inputs"), columns=list(columns))
+        return explode_inputs(whole_records(self.records, "inputs"), columns=list(columns))
 
     @property
     def outputs(self) -> DataFrame:
@@ -161,8 +160,8 @@ class LedgerPipeline:
 
     @property
     def edges(self) -> DataFrame:
-        """All co-input pairs, as reported. Clustering itself uses star edges."""
-        return co_input_pairs(tx_address_sets(self.clustering_inputs))
+        """The smallest address of each transaction with each other one."""
+        return self.stage("edges", lambda: star_edges(self.clustering_inputs, self.folder))
 
     @property
     def entities(self) -> DataFrame:

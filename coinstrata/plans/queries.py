@@ -19,9 +19,9 @@ from coinstrata.operators import (
     utxo,
 )
 from coinstrata.plans import reports
-from coinstrata.plans.pipeline import LedgerPipeline
-from coinstrata.sources.files import fingerprint
-from coinstrata.sources.json_export import load_blocks, load_transactions
+from coinstrata.plans.pipeline import LedgerPipeline, whole_records
+from coinstrata.sources.files import fingerprint, move
+from coinstrata.sources.json_export import first_part, load_blocks, load_transactions
 from coinstrata.sources.tables import load_results
 
 QUERIES: dict[str, Callable[[LedgerPipeline], DataFrame]] = {}
@@ -124,9 +124,7 @@ def clustering_inputs(p):
 
 @query
 def tx_address_sets(p):
-    return clustering.tx_address_sets(p.clustering_inputs).withColumn(
-        "addresses", _text("addresses")
-    )
+    return clustering.tx_address_sets(p.clustering_inputs, p.folder)
 
 
 @query
@@ -136,12 +134,12 @@ def co_input_edges(p):
 
 @query
 def graph_vertices(p):
-    return clustering.graph_vertices(clustering.star_edges(p.clustering_inputs))
+    return clustering.graph_vertices(p.edges)
 
 
 @query
 def entities(p):
-    return clustering.cluster_addresses(p.clustering_inputs, p.folder)
+    return p.entities
 
 
 @query
@@ -220,7 +218,7 @@ def largest_entity_members(p):
 @query
 def whale_addresses(p):
     return balances.holder_addresses(
-        p.address_balances, p.entities, balances.largest_entity(p.entity_balances)
+        p.utxos, p.entities, balances.largest_entity(p.entity_balances)
     )
 
 
@@ -231,14 +229,12 @@ def top_whale_addresses(p):
 
 @query
 def balance_statistics(p):
-    return balances.balance_statistics(p.entity_balances)
+    return balances.balance_statistics(p.entity_balances, p.folder)
 
 
 @query
 def balance_histogram(p):
-    return balances.equal_width_histogram(
-        balances.largest_balances(p.entity_balances), "balance_satoshi"
-    )
+    return balances.equal_width_histogram(p.entity_balances, "balance_satoshi")
 
 
 # --- time series --------------------------------------------------------------------
@@ -352,34 +348,27 @@ def key_metrics(p):
 
 
 def _write_export(p: LedgerPipeline, base: str) -> None:
-    """The ledger as a JSON export of two batches, one ``date=`` folder per month.
+    """The ledger as a JSON export of two batches, one ``date=`` folder per month; each
+    table is written in one go, into folders named by batch and kind.
 
     ``rebalance`` brings a month together so that it gets few files, and splits a month
     that is too large for one task.
     """
-    month = F.trunc(F.date_from_unix_date(F.col("block_number").cast("int")), "month")
-    tables = {
-        "transactions": p.records.withColumn("date", month),
-        "blocks": p.blocks.withColumn("block_number", F.col("number"))
-        .withColumn("date", month)
-        .drop("block_number"),
-    }
-    early = F.col("date") < F.lit("1998-01-01").cast("date")
-    for kind, table in tables.items():
-        for batch, rows in (("batch-a", early), ("batch-b", ~early)):
-            (
-                table.filter(rows)
-                .hint("rebalance", "date")
-                .write.mode("overwrite")
-                .partitionBy("date")
-                .json(f"{base}/{batch}/{kind}")
-            )
+    tables = {"transactions": (p.records, "block_number"), "blocks": (p.blocks, "number")}
+    for kind, (table, day) in tables.items():
+        month = F.trunc(F.date_from_unix_date(F.col(day).cast("int")), "month")
+        early = month < F.lit("1998-01-01").cast("date")
+        dated = table.withColumns({"date": month, "batch": F.when(early, "a").otherwise("b")})
+        dated = dated.hint("rebalance", "batch", "date")
+        dated.write.mode("overwrite").partitionBy("batch", "date").json(f"{base}/{kind}")
+        for batch in ("a", "b"):
+            move(p.spark, f"{base}/{kind}/batch={batch}", f"{base}/export/batch-{batch}/{kind}")
 
 
 def _exported(p: LedgerPipeline) -> str:
-    base = f"{p.folder}/export"
+    base = f"{p.folder}/json"
     p.once("export", lambda: _write_export(p, base))
-    return base
+    return f"{base}/export"
 
 
 @query
@@ -388,7 +377,7 @@ def json_scan(p):
     loaded = load_transactions(p.spark, _exported(p))
     month = month_key(F.date_from_unix_date(F.col("block_number").cast("int")))
     return (
-        flatten.explode_outputs(loaded, drop_empty=True)
+        flatten.explode_outputs(whole_records(loaded, "outputs"))
         .groupBy(month.alias("year_month"))
         .agg(F.count(F.lit(1)).alias("output_rows"), F.sum("value").alias("value"))
     )
@@ -401,10 +390,42 @@ def json_scan_pruned(p):
     base = _exported(p)
     early = load_transactions(p.spark, base, end_date="1996-12-31", slim=True)
     late = load_transactions(p.spark, base, start_date="1997-01-01", slim=True)
-    flat = flatten.explode_outputs(early.unionByName(late), drop_empty=True)
+    both = whole_records(early.unionByName(late), "outputs")
+    flat = flatten.explode_outputs(both)
     return flat.withColumn("addresses", _text("addresses"))
 
 
+@query
+def loaded_transactions(p):
+    """Transactions of the export with the time of their block."""
+    loaded = load_transactions(p.spark, _exported(p), slim=True).filter(first_part())
+    return loaded.select(
+        "hash",
+        "input_count",
+        "output_count",
+        F.unix_seconds("block_datetime").alias("block_seconds"),
+        F.date_format("date", "yyyy-MM").alias("year_month"),
+    )
+
+
+@query
+def loaded_blocks(p):
+    """Blocks of the export with their time."""
+    loaded = load_blocks(p.spark, _exported(p))
+    shown = F.unix_seconds("timestamp_dt")
+    return loaded.select("number", "transaction_count", shown.alias("block_seconds"))
+
+
+@query
+def json_scan_inferred(p):
+    """Transactions and outputs per day of the export, read back without a schema."""
+    loaded = load_transactions(p.spark, _exported(p), use_schema=False)
+    return loaded.groupBy("block_number").agg(
+        F.count(F.when(first_part(), 1)).alias("transactions"),
+        F.sum(F.coalesce(F.size("outputs"), F.lit(0))).alias("outputs"),
+    )
+
+
 @query
 def json_block_scan(p):
     loaded = load_blocks(p.spark, _exported(p))

@@ -59,6 +59,8 @@ TRANSACTION_SCHEMA = StructType(
         StructField("input_value", LongType()),
         StructField("output_value", LongType()),
         StructField("fee", LongType()),
+        # Not the exporter's: which part of a transaction that was split; null is part 0.
+        StructField("record_part", LongType()),
     ]
 )
 
@@ -92,6 +94,7 @@ _USED = {
     "output_count",
     "output_value",
     "fee",
+    "record_part",
     "index",
     "spent_transaction_hash",
     "spent_output_index",

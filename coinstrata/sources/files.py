@@ -46,3 +46,13 @@ def create_for_session(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _path(spark, path)
     fs.mkdirs(hadoop_path)
     fs.deleteOnExit(hadoop_path)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder this library wrote, replacing the target; nothing if it is not there."""
+    source_path, fs = _path(spark, source)
+    if fs.exists(source_path):
+        target_path, _ = _path(spark, target)
+        fs.delete(target_path, True)
+        fs.mkdirs(target_path.getParent())
+        fs.rename(source_path, target_path)

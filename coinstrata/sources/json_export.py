@@ -5,11 +5,11 @@ Layout: ``<base>/<batch>/{transactions,blocks}/date=YYYY-MM-DD/*.json``.
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from coinstrata.functions import timestamp_of_epoch
+from coinstrata.functions import day_of_epoch, timestamp_of_epoch
 from coinstrata.schemas import BLOCK_SCHEMA, SLIM_TRANSACTION_SCHEMA, TRANSACTION_SCHEMA
 from coinstrata.sources.files import exists, visible_folders
 
@@ -31,10 +31,15 @@ def load_transactions(
     if not batches:
         raise ValueError(f"no batch folder in {base_path}")
     schema = SLIM_TRANSACTION_SCHEMA if slim else TRANSACTION_SCHEMA
-    df = _read_batches(spark, batches, "transactions", schema if use_schema else None)
-    return _between(df, start_date, end_date).withColumn(
-        "block_datetime", timestamp_of_epoch(F.col("block_timestamp"))
-    )
+    return _read_batches(
+        spark, batches, "transactions", schema if use_schema else None, "block_timestamp",
+        (start_date, end_date),
+    ).withColumn("block_datetime", timestamp_of_epoch(F.col("block_timestamp")))
+
+
+def first_part() -> Column:
+    """Whether a record is the first or only one of its transaction."""
+    return F.coalesce("record_part", F.lit(0)) == 0
 
 
 def load_blocks(
@@ -46,32 +51,49 @@ def load_blocks(
 ) -> DataFrame:
     """Blocks of all batches, with ``date`` and ``timestamp_dt``."""
     batches = visible_folders(spark, base_path)
-    df = _read_batches(spark, batches, "blocks", BLOCK_SCHEMA if use_schema else None)
-    return _between(df, start_date, end_date).withColumn(
-        "timestamp_dt", timestamp_of_epoch(F.col("timestamp"))
-    )
+    return _read_batches(
+        spark, batches, "blocks", BLOCK_SCHEMA if use_schema else None, "timestamp",
+        (start_date, end_date),
+    ).withColumn("timestamp_dt", timestamp_of_epoch(F.col("timestamp")))
 
 
 def _read_batches(
-    spark: SparkSession, batches: list[str], kind: str, schema: StructType | None
+    spark: SparkSession,
+    batches: list[str],
+    kind: str,
+    schema: StructType | None,
+    seconds: str,
+    dates: tuple[str | None, str | None],
 ) -> DataFrame:
     """One reader per batch: ``date=`` folders below several roots in a single reader are
     rejected as conflicting partition layouts. Without a schema, one is inferred over the
-    files of all batches, so that the batches agree."""
+    files of all batches, so that the batches agree.
+
+    Each batch is filtered by itself: by its folders where it has them, which prunes the
+    scan, and by the day of ``seconds`` where a row has no folder's date."""
     roots = [f"{batch}/{kind}" for batch in batches]
     roots = [root for root in roots if exists(spark, root)]
     if not roots:
         raise ValueError(f"no {kind}/ folder in any batch")
     if schema is None:
         schema = spark.read.option("recursiveFileLookup", "true").json(roots).schema
-    tables = [spark.read.schema(schema).json(root) for root in roots]
-    # A batch without ``date=`` folders has no such column.
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
+    tables = [_dated(spark.read.schema(schema).json(root), seconds, *dates) for root in roots]
+    return reduce(DataFrame.unionByName, tables)
 
 
-def _between(df: DataFrame, start_date: str | None, end_date: str | None) -> DataFrame:
-    if start_date is not None:
-        df = df.filter(F.col("date") >= F.lit(start_date).cast("date"))
-    if end_date is not None:
-        df = df.filter(F.col("date") <= F.lit(end_date).cast("date"))
+def _dated(df: DataFrame, seconds: str, start_date: str | None, end_date: str | None) -> DataFrame:
+    """``df`` with a ``date`` in every row, between the two days."""
+    limits = [
+        (Column.__ge__, start_date),
+        (Column.__le__, end_date),
+    ]
+    tests = [(test, F.lit(day).cast("date")) for test, day in limits if day is not None]
+    date = day_of_epoch(F.col(seconds))
+    if "date" in df.columns:
+        for test, limit in tests:  # on the folders alone; one without a date may hold any day
+            df = df.filter(test(F.col("date"), limit) | F.col("date").isNull())
+        date = F.coalesce("date", date)
+    df = df.withColumn("date", date)
+    for test, limit in tests:
+        df = df.filter(test(F.col("date"), limit))
     return df

@@ -15,11 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coinstrata.functions import day_of_epoch
-from coinstrata.operators.skew import HOT_GROUP_ROWS, hot_groups, numbered, with_neighbours
+from coinstrata.operators.skew import hot_groups, numbered, with_neighbours
 from coinstrata.sources.tables import write_table
 
 RECORD_CHUNK = 1000
-PART_BUCKETS = 1024
 
 OUTPUTS = "array<struct<index:int,type:string,addresses:array<string>,value:bigint>>"
 INPUTS = (
@@ -41,9 +40,7 @@ LINE_ORDER = [
 ]
 
 
-def derive_transactions(
-    spark: SparkSession, sf_dir: str, folder: str, hot_limit: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def derive_transactions(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """Nested transaction records, see the module text.
 
     The per-order facts are written below ``folder`` first: they also tell which orders
@@ -51,7 +48,7 @@ def derive_transactions(
     in an array; outputs, and the inputs of the next order, are made from that array, so
     that only whole arrays move when both sides of a transaction meet.
     """
-    headers = write_table(_headers(spark, sf_dir, hot_limit), f"{folder}/headers")
+    headers = write_table(_headers(spark, sf_dir, folder), f"{folder}/headers")
     # Whatever is the same for all items of an order is computed here, once per order.
     customer = F.col("ck").cast("string")
     facts = headers.select(
@@ -72,7 +69,7 @@ def derive_transactions(
             ),
         ).alias("spender"),
     )
-    gathered = _gathered_lines(spark, sf_dir, headers).join(facts, "ok")
+    gathered = _gathered_lines(spark, sf_dir, headers, folder).join(facts, "ok")
     with_outputs = gathered.withColumn("outputs", F.transform("items", _as_output))
     with_inputs = with_outputs.withColumn(
         "inputs",
@@ -139,7 +136,7 @@ def derive_blocks(transactions: DataFrame) -> DataFrame:
     )
 
 
-def _headers(spark: SparkSession, sf_dir: str, hot_limit: int) -> DataFrame:
+def _headers(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """One row per order: its facts, and those of the customer's next order."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         F.col("o_orderkey").alias("ok"), F.col("o_custkey").alias("ck"), "o_orderdate"
@@ -156,16 +153,14 @@ def _headers(spark: SparkSession, sf_dir: str, hot_limit: int) -> DataFrame:
         "o_orderdate",
         (seconds + F.col("ok") % 86400).alias("block_timestamp"),
         F.coalesce("n", F.lit(0)).alias("n"),
-        F.try_multiply(F.coalesce("raw_value", F.lit(0)), _scale()).alias("output_value"),
+        (F.coalesce("raw_value", F.lit(0)) * _scale()).alias("output_value"),
     )
-    per_customer = orders.groupBy("ck").agg(F.count(F.lit(1)).alias("n"))
     linked = with_neighbours(
         counted,
         key="ck",
         order=["o_orderdate", "ok"],
-        bucket=F.to_date("o_orderdate"),
         carry=["ok", "block_timestamp", "n", "output_value"],
-        hot=hot_groups(per_customer, "ck", hot_limit),
+        workdir=folder,
     )
     input_count = F.when(
         F.col("previous").isNotNull(), _spends_of("previous.ok", "previous.n")
@@ -181,7 +176,9 @@ def _headers(spark: SparkSession, sf_dir: str, hot_limit: int) -> DataFrame:
     )
 
 
-def _gathered_lines(spark: SparkSession, sf_dir: str, headers: DataFrame) -> DataFrame:
+def _gathered_lines(
+    spark: SparkSession, sf_dir: str, headers: DataFrame, folder: str
+) -> DataFrame:
     """(ok, part, items): the line items of an order in output order, with their position
     ``idx`` in the order, at most ``RECORD_CHUNK`` per row."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
@@ -201,17 +198,8 @@ def _gathered_lines(spark: SparkSession, sf_dir: str, headers: DataFrame) -> Dat
     if large is None:
         return gathered
 
-    # Line numbers run from 1 to 7; part keys are cut into a fixed number of ranges.
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").agg(F.max("p_partkey")).scalar()
     in_order = numbered(
-        lines.join(large, "ok", "left_semi"),
-        key="ok",
-        order=LINE_ORDER,
-        bucket=[
-            F.col("l_linenumber"),
-            F.floor(F.col("l_partkey") * F.lit(PART_BUCKETS) / (parts + 1)),
-        ],
-        name="idx",
+        lines.join(large, "ok", "left_semi"), key="ok", order=LINE_ORDER, workdir=folder, name="idx"
     )
     chunked = (
         in_order.select(

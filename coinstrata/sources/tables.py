@@ -1,6 +1,7 @@
 """Parquet tables: result sinks, and stage tables that are written once and re-read."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
@@ -9,6 +10,13 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """The written table and its number of rows, counted while it is written."""
+    seen = Observation()
+    table = write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return table, seen.get["rows"]
+
+
 def save_results(base_path: str, **tables: DataFrame) -> dict[str, str]:
     """Write each table to ``<base_path>/<name>.parquet``, replacing earlier results."""
     paths = {name: f"{base_path.rstrip('/')}/{name}.parquet" for name in tables}

@@ -103,14 +103,29 @@ def test_size_identity_bounds(spark):
     ]
 
 
-def test_statistics_against_pandas(spark):
+def test_statistics_against_pandas(spark, workdir):
     rng = np.random.default_rng(7)
-    satoshi = [int(x) for x in rng.integers(0, 5000 * BTC, 321)]
-    found = b.balance_statistics(of_satoshi(spark, *satoshi), n=200).first()
-    kept = pd.Series(sorted(satoshi, reverse=True)[:200]) / BTC
-    assert found["entity_count"] == 200
-    expected = [kept.min(), kept.median(), kept.mean(), kept.max(), kept.std()]
-    assert list(found)[1:] == pytest.approx(expected, abs=1e-4)
+    for count in (30_000, 321, 2, 1):
+        satoshi = [int(x) for x in rng.integers(0, 5000 * BTC, count)]
+        balances = of_satoshi(spark, *satoshi)
+        found = b.balance_statistics(balances, workdir).first()
+        kept = pd.Series(satoshi) / BTC
+        assert found["entity_count"] == count
+        expected = [kept.min(), kept.median(), kept.mean(), kept.max()]
+        assert list(found)[1:5] == pytest.approx(expected, abs=1e-4)
+        assert found["median_btc"] == kept.median()
+        bins = b.equal_width_histogram(balances, "balance_satoshi")
+        assert bins.agg({"entity_count": "sum"}).first()[0] == count
+    nothing = b.balance_statistics(of_satoshi(spark, 1).limit(0), workdir).first()
+    assert nothing["entity_count"] == 0 and nothing["median_btc"] is None
+
+
+def test_histogram_bounds_are_exact(spark):
+    values = [0, 2 * 10**14 - 1, 10**16]
+    found = b.equal_width_histogram(of_satoshi(spark, *values), "balance_satoshi")
+    assert rows(found.filter("entity_count > 0"), "bin", "entity_count") == [(0, 2), (49, 1)]
+    wide = of_satoshi(spark, -(2**63), 2**63 - 1, 0)
+    assert b.equal_width_histogram(wide, "balance_satoshi").agg({"entity_count": "sum"}).first()[0] == 3
 
 
 @pytest.mark.parametrize("values", [[5], [3, 3, 3], list(range(101)), [0, 1, 2, 49, 50, 997, 1000]])
@@ -141,7 +156,7 @@ def test_addresses_of_the_largest_entity(spark):
     owners = entities(spark, A="A", B="A", C="A", D="D")
     largest = b.largest_entity(entity_balances(unspent, owners))
     assert rows(b.entity_addresses(owners, largest), "address") == [("A",), ("B",), ("C",)]
-    by_address = b.holder_addresses(b.address_balances(unspent), owners, largest)
+    by_address = b.holder_addresses(unspent, owners, largest)
     assert rows(by_address) == [("A", 6 * BTC, 2, 6.0), ("B", 2 * BTC, 1, 2.0)]
     assert rows(b.top_addresses(by_address, 1), "address") == [("A",)]
 

@@ -2,7 +2,6 @@ from conftest import output, rows, spend, transaction
 
 from coinstrata import (
     cluster_addresses,
-    co_input_pairs,
     connected_components,
     enrich_clustering_inputs,
     explode_outputs,
@@ -56,7 +55,8 @@ def test_input_count_bounds_use_the_field(ledger):
         return transaction(name, [], inputs, input_count=count, coinbase=coinbase)
 
     every = ledger(tx(1), tx(2), tx(50), tx(51), tx(3, True), tx(4, None))
-    assert enriched(every) == [("n2False", "X"), ("n50False", "X")]
+    assert enriched(every) == [("n2False", "X"), ("n50False", "X"), ("n51False", "X")]
+    assert enriched(every, max_inputs=50) == [("n2False", "X"), ("n50False", "X")]
     assert enriched(every, min_inputs=1, max_inputs=2) == [("n1False", "X"), ("n2False", "X")]
 
 
@@ -65,26 +65,20 @@ def clustering_inputs(spark):
     return spark.createDataFrame([*pairs, ("4", "F")], "tx_hash string, address string")
 
 
-def test_pairs(spark):
-    sets = tx_address_sets(clustering_inputs(spark))
-    assert rows(sets) == [("1", ["A", "B"]), ("2", ["B", "C"]), ("3", ["D", "E"])]
-    edges = co_input_pairs(sets)
+def test_address_sets_and_stars(spark, workdir):
+    sets = tx_address_sets(clustering_inputs(spark), workdir)
+    assert rows(sets) == [(t, a) for t, both in (("1", "AB"), ("2", "BC"), ("3", "DE")) for a in both]
+    edges = star_edges(clustering_inputs(spark), workdir)
     assert rows(edges) == [("A", "B"), ("B", "C"), ("D", "E")]
     assert rows(graph_vertices(edges)) == [("A",), ("B",), ("C",), ("D",), ("E",)]
 
 
-def test_pairs_of_a_larger_set(spark):
+def test_a_larger_set_is_one_star(spark, workdir):
     members = [("t", a) for a in "DCBA"]
     wide = spark.createDataFrame(members, "tx_hash string, address string")
-    assert rows(co_input_pairs(tx_address_sets(wide))) == [
-        ("A", "B"),
-        ("A", "C"),
-        ("A", "D"),
-        ("B", "C"),
-        ("B", "D"),
-        ("C", "D"),
-    ]
-    assert rows(star_edges(wide)) == [("A", "B"), ("A", "C"), ("A", "D")]
+    assert rows(tx_address_sets(wide, workdir, 4)) == [("t", a) for a in "ABCD"]
+    assert tx_address_sets(wide, workdir, 5).count() == 0
+    assert rows(star_edges(wide, workdir)) == [("A", "B"), ("A", "C"), ("A", "D")]
 
 
 def test_entities(spark, workdir):
@@ -102,7 +96,8 @@ def test_entities(spark, workdir):
 
 def test_pairs_and_stars_have_the_same_components(spark, workdir):
     inputs = clustering_inputs(spark)
-    pairs = co_input_pairs(tx_address_sets(inputs))
+    other = inputs.withColumnRenamed("address", "dst")
+    pairs = inputs.join(other, "tx_hash").filter("address < dst").selectExpr("address src", "dst")
     by_pairs = connected_components(pairs, workdir)
-    by_stars = connected_components(star_edges(inputs), workdir)
+    by_stars = connected_components(star_edges(inputs, workdir), workdir)
     assert rows(by_pairs) == rows(by_stars)

@@ -52,8 +52,7 @@ def test_against_union_find(spark, workdir, name):
     assert rows(found) == brute_force(edges)
 
 
-def test_large_graph_way(spark, workdir, monkeypatch):
-    monkeypatch.setattr(components, "SMALL_GRAPH_EDGES", 10)
+def test_labels_written_between(spark, workdir, monkeypatch):
     monkeypatch.setattr(components, "LEVELS_PER_WRITE", 2)
     edges = GRAPHS["sparse random"]
     found = connected_components(spark.createDataFrame(edges, "src string, dst string"), workdir)

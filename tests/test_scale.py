@@ -8,10 +8,12 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from coinstrata.operators.components import _rewrite
+from coinstrata.operators.clustering import star_edges, tx_address_sets
+from coinstrata.operators.components import _rewrite, connected_groups
 from coinstrata.operators.history import owned_history
+from coinstrata.operators.skew import numbered, ranked, with_neighbours
 from coinstrata.operators.spends import link_spends
-from coinstrata.session import stage_folder
+from coinstrata.session import own_folder, stage_folder
 
 ROWS = 60_000
 
@@ -23,6 +25,7 @@ def small_cluster(spark):
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.shuffle.partitions": "16",
@@ -133,18 +136,74 @@ def test_hub_of_the_graph(spark, stored):
 class _Session:
     """As much of a session as the folder lookup asks for."""
 
-    def __init__(self, master, **conf):
-        self.conf = conf
-        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
+    def __init__(self, checkpoints=None, **conf):
+        self.conf = {"spark.sql.warehouse.dir": "s3://lake/warehouse", **conf}
+        self.sparkContext = type("Context", (), {"getCheckpointDir": lambda _: checkpoints})()
 
 
 def test_stage_folder():
     shared = {"spark.checkpoint.dir": "hdfs:///shared/"}
-    assert stage_folder(_Session("yarn", **shared)) == "hdfs:///shared"
-    with pytest.raises(ValueError):
-        stage_folder(_Session("yarn"))
-    local = stage_folder(_Session("local[2]"))
-    assert local == stage_folder(_Session("local[2]")) and Path(local).is_dir()
+    assert stage_folder(_Session(**shared)) == "hdfs:///shared"
+    assert stage_folder(_Session("hdfs:///set")) == "hdfs:///set"
+    assert stage_folder(_Session()) == "s3://lake/warehouse/_stages"
+
+
+def test_own_folders_are_new(spark, tmp_path):
+    one, two = (own_folder(spark, "kind", str(tmp_path)) for _ in range(2))
+    assert one != two and sorted(map(str, tmp_path.iterdir())) == sorted([one, two])
+
+
+def test_hot_transaction_of_clustering(spark, stored, tmp_path):
+    """A transaction with a third of all inputs, for stars and for components."""
+    members = stored(
+        "members",
+        spark.range(ROWS).select(
+            third("hot", F.col("id").cast("string")).alias("tx_hash"),
+            F.concat(F.lit("a"), F.col("id")).alias("address"),
+        ),
+    )
+    with small_cluster(spark):
+        stars = star_edges(members, str(tmp_path))
+        assert splits_of(stars) >= 1
+        assert stars.count() == ROWS // 3 - 1
+        sets = tx_address_sets(members, str(tmp_path))
+        assert splits_of(sets) >= 1
+        assert sets.count() == ROWS // 3
+        grouped = members.select(F.col("tx_hash").alias("group"), F.col("address").alias("id"))
+        found = connected_groups(grouped, str(tmp_path))
+        assert found.count() == ROWS // 3 and found.select("component").distinct().count() == 1
+
+
+def test_hot_group_is_numbered_over_several_tasks(spark, tmp_path):
+    """Two thirds of the rows in one group, all of the same day: positions and neighbours."""
+    rows = spark.range(ROWS).select(
+        F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("key"),
+        F.lit("1995-01-01").alias("day"),
+        F.hash("id").alias("order"),
+        "id",
+    )
+    with small_cluster(spark):
+        done = numbered(rows, "key", ["day", "order", "id"], str(tmp_path), "place").cache()
+        hot = done.filter("key = 7")
+        assert hot.select("place").distinct().count() == hot.count() == ROWS * 2 // 3
+        in_order = [r.id for r in hot.orderBy("place").collect()]
+        assert in_order == [r.id for r in hot.orderBy("order", "id").collect()]
+        assert done.filter("key <> 7 and place <> 0").count() == 0
+        done.unpersist()
+        linked = with_neighbours(rows, "key", ["day", "order", "id"], ["id"], str(tmp_path))
+        following = {r.id: r.f for r in linked.filter("key = 7").select("id", F.col("following.id").alias("f")).collect()}
+        assert [following[i] for i in in_order] == [*in_order[1:], None]
+        previous = linked.filter("key = 7 and previous is null").count()
+        assert previous == 1 and linked.count() == ROWS
+        dealt = [p for p in tmp_path.iterdir() if p.name.startswith("ranges-")]
+        for folder in dealt:
+            parts = spark.read.parquet(str(folder)).filter("key = 7").groupBy("_part").count()
+            assert parts.count() >= 8 and parts.agg({"count": "max"}).first()[0] < ROWS / 8
+        place = ranked(rows, ["order", "id"], str(tmp_path), "place")
+        assert [r.id for r in place.orderBy("place").select("id").collect()] == [
+            r.id for r in rows.orderBy("order", "id").collect()
+        ]
+        assert place.agg(F.min("place"), F.max("place")).first()[:] == (0, ROWS - 1)
 
 
 def test_session_factory():

@@ -85,7 +85,46 @@ def test_dates_prune_folders(spark, export):
     assert rows(found, "hash") == [("b",)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: ")[1].split("]")[0]
-    assert "date" in filters and "1970-01-03" in filters or "2" in filters
+    assert ">= 1970-01-03" in filters and "<= 1970-02-01" in filters
+
+
+def test_batches_with_and_without_folders(spark, export):
+    """A batch without ``date=`` folders takes part in a date range by its block time."""
+    flat = export / "b3" / "transactions"
+    flat.mkdir(parents=True)
+    (flat / "part.json").write_text(
+        "\n".join(json.dumps(tx(f"c{day}", [], [(1, "D")], day * 86400)) for day in (1, 2, 40))
+    )
+    everything = load_transactions(spark, str(export))
+    assert rows(everything, "hash", "date") == [
+        ("a", dt.date(1970, 1, 2)),
+        ("b", dt.date(1970, 1, 3)),
+        ("c1", dt.date(1970, 1, 2)),
+        ("c2", dt.date(1970, 1, 3)),
+        ("c40", dt.date(1970, 2, 10)),
+    ]
+    found = load_transactions(spark, str(export), start_date="1970-01-03", end_date="1970-02-01")
+    assert rows(found, "hash") == [("b",), ("c2",)]
+    whole = load_transactions(spark, str(export), start_date="1970-01-01", end_date="1971-01-01")
+    assert whole.count() == 5
+
+
+def test_export_with_split_records(spark, tmp_path, monkeypatch):
+    """Transactions that span several records are one before an export and after it."""
+    from coinstrata.plans.queries import _exported
+    from coinstrata.sources import orders_ledger
+
+    monkeypatch.setattr(orders_ledger, "RECORD_CHUNK", 2)
+    before = LedgerPipeline.from_orders(spark, "/root/testdata/sf0.001", folder=str(tmp_path / "a"))
+    assert before.records.filter("record_part > 0").count() > 100
+    after = LedgerPipeline.from_export(spark, _exported(before), folder=str(tmp_path / "b"))
+
+    def sizes(p):
+        tables = (p.transactions, p.outputs, p.inputs, p.utxos, p.clustering_inputs, p.entities)
+        return [t.count() for t in tables]
+
+    assert sizes(after) == sizes(before)
+    assert sizes(before)[:3] == [1500, 6027, 4237]
 
 
 def test_missing_folders_raise(spark, tmp_path):
@@ -113,6 +152,8 @@ def test_summary(spark, export):
 
 
 def test_pipeline_over_an_export(spark, export, tmp_path):
+    (tmp_path / "stages").mkdir()
+    (tmp_path / "stages" / "foreign.txt").write_text("not ours")
     pipeline = LedgerPipeline.from_export(spark, str(export), folder=str(tmp_path / "stages"))
     assert rows(pipeline.entities) == [("A", "A"), ("B", "A")]
     assert rows(pipeline.utxos, "tx_hash", "output_index") == [("b", 0)]
@@ -121,7 +162,7 @@ def test_pipeline_over_an_export(spark, export, tmp_path):
     assert sorted(paths) == ["entities", "inputs", "outputs", "utxos"]
     assert load_results(spark, str(tmp_path / "results"), "outputs").count() == 3
     pipeline.drop()
-    assert not (tmp_path / "stages").exists()
+    assert [p.name for p in (tmp_path / "stages").iterdir()] == ["foreign.txt"]
     assert pipeline.utxos.count() == 1
 
 
