@@ -2,7 +2,7 @@
 
 After Kiryo, Niu, du Plessis and Sugiyama, "Positive-unlabeled learning with non-negative
 risk estimator" (NIPS 2017). The classifier sees confirmed toxic texts and a sample of
-texts without a confirmed label, of which a share, the class prior, is toxic as well. With
+all texts with labels ignored, of which a share, the class prior, is toxic as well. With
 logistic loss l and prior p the risk is
 
     p * E_P[l(g)] + max(0, E_U[l(-g)] - p * E_P[l(-g)])
@@ -102,7 +102,7 @@ class ToxicityModel:
         cls, docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id",
         label: str = "toxic", prior: float | None = None,
     ) -> "ToxicityModel":
-        """Fit on documents whose label is 1 and on others, labelled 0 or not at all.
+        """Fit on documents whose label is 1 and on a sample of all, whatever their label.
 
         Null ids and null labels count as unlabelled; an id with several labels is toxic if
         one of them is 1. The prior is the share of 1 among all labels, unless given. With
@@ -181,7 +181,8 @@ class _Scorer:
 
 
 def _sample(docs: DataFrame, known: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(_positive, _text): both samples, chosen by a hash of the id."""
+    """(_positive, _text): both samples, chosen by a hash of the id. The unlabelled one is
+    drawn from all documents, confirmed or not, since the prior is a share of them all."""
     short = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).filter(
         F.char_length("_text") <= SAMPLE_CHARS
     )
@@ -191,7 +192,7 @@ def _sample(docs: DataFrame, known: DataFrame, text: str, doc_id: str) -> DataFr
     )
     order = [F.xxhash64(F.col("_id").cast("string")), F.col("_id")]
     chosen = ids.filter("_positive").orderBy(*order).limit(POSITIVES).unionByName(
-        ids.filter("not _positive").orderBy(*order).limit(UNLABELLED)
+        ids.withColumn("_positive", F.lit(False)).orderBy(*order).limit(UNLABELLED)
     )
     # At most POSITIVES + UNLABELLED ids of fixed size.
     members = short.join(F.broadcast(chosen), "_id")
