@@ -37,6 +37,7 @@ PATTERNS = {
     "email": r"(?<![A-Za-z0-9._+-])[A-Za-z0-9_+-][A-Za-z0-9._+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "secret": rf"(?<![A-Za-z0-9_])(?:{'|'.join(SECRET_NAMES)})[ ]{{0,2}}[=:][ ]{{0,2}}[\"']?[0-9A-Za-z_+/-]{{8,}}",
     "hex": r"(?<![0-9A-Za-z])(?=[a-f]{0,63}[0-9])[0-9a-f]{32,64}(?![0-9A-Za-z])",
+    "key": r"(?<![0-9A-Za-z])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
     "ip": r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])",
     "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z])[3-6](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
@@ -110,10 +111,12 @@ def _luhn(digits: Column) -> Column:
 
 def _substituted(letter: Column, number: Column) -> Column:
     """A letter of the same class, chosen by ``number``; others stay."""
+    low = F.lower(letter)
     out = letter
     for canonical, members in reversed(CLASSES):
         chosen = F.substr(F.lit(canonical), number % len(canonical) + 1, F.lit(1))
-        out = F.when(F.instr(F.lit(members), letter) > 0, chosen).otherwise(out)
+        chosen = F.when(letter == low, chosen).otherwise(F.upper(chosen))
+        out = F.when(F.instr(F.lit(members), low) > 0, chosen).otherwise(out)
     return out
 
 
@@ -178,6 +181,8 @@ def _parts(raw: Column) -> Column:
     whole = lambda kind: raw.rlike(f"^(?:{PATTERNS[kind]})$")
     prefix = F.regexp_extract(raw, r"^[a-z_]+[ ]*[=:][ ]*[\"']?", 0)
     secret = F.array(part(F.lit("secret"), prefix, F.substr(raw, F.char_length(prefix) + 1)))
+    # What begins the key tells its kind and stays.
+    key = F.array(part(F.lit("key"), F.substr(raw, F.lit(1), F.lit(4)), F.substr(raw, F.lit(5))))
     title = F.regexp_extract(raw, rf"^{_TITLE}\.?", 0)
     female = F.regexp_extract(raw, rf"^(?:{'|'.join(FEMALE)})\b", 0) != ""
     names = F.split(raw, " ")
@@ -191,6 +196,7 @@ def _parts(raw: Column) -> Column:
         F.when(whole("email"), one("email"))
         .when(whole("secret"), secret)
         .when(whole("hex"), one("secret"))
+        .when(whole("key"), key)
         .when(whole("ip"), one("ip"))
         .when(whole("phone"), one("phone"))
         .when(whole("card"), one("card"))
