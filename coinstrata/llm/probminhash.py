@@ -8,18 +8,21 @@ Jaccard similarity
 
     sum over shared d of 1 / (sum over all e of max(a_e / a_d, b_e / b_d))
 
-where a and b are the weights (how often a document holds the shingle). Shingles whose
+where a and b are the weights: 1 + ln(n) for a shingle that a document holds n times, so
+that a phrase said a hundred times does not make two texts alike by itself. Shingles whose
 next arrival is later than all registers are done, which ends the process early.
 
 Registers are cut into bands; documents that agree in a band are candidates. Exact copies
 are one class before that. In each bucket of a band the members are first compared with
-one of them, which joins most of a group without making its pairs; then buckets whose
-members are still in different components are looked at again, in ways that leave no pair
-of different components uncompared. All comparisons compute the similarity itself from
-all shingles.
+one of them, which joins most of a group without making its pairs. Then, in buckets whose
+members are in different classes still, the members outside the largest class are held
+against those of other classes by a longer signature, each two of them once, and only
+pairs that it estimates as near enough become candidates. All comparisons compute the
+similarity itself from all shingles.
 """
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +38,9 @@ SHINGLE, SIMILAR = 5, 0.8
 #: Bands and registers in each. A pair of similarity 0.8 shares no band with probability
 #: (1 - 0.8^4)^24 = 3e-6.
 BANDS, ROWS = 24, 4
+#: Registers of the longer signature, and standard errors below ``similar`` at which its
+#: estimate rules a pair out (missing a pair of just that similarity 1 time in 4,000).
+SKETCH, ERRORS = 256, 3.5
 
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -69,18 +75,19 @@ class WordHashes(dict):
 
 
 def shingles(text: str | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the distinct shingles, in order, and how often each occurs. A text of
-    fewer words, but not none, is one shingle."""
+    """Hashes of the distinct shingles, in order, and their weights. A text of fewer
+    words, but not none, is one shingle."""
     found = words(text)
     ids = np.array([hashes[w] for w in found], dtype=np.uint64)
     n = min(SHINGLE, len(ids))
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0)
     with np.errstate(over="ignore"):
         sums = np.full(len(ids) - n + 1, n, dtype=np.uint64)
         for k in range(n):
             sums = mixed(sums * _MIX[0] + ids[k : len(ids) - n + 1 + k])
-    return np.unique(sums, return_counts=True)
+    items, counts = np.unique(sums, return_counts=True)
+    return items, 1 + np.log(counts)
 
 
 def signatures(
@@ -169,7 +176,7 @@ def near_duplicates(
     )
     # Copies: one class for each digest of the shingles with their counts.
     worded = signed.filter("digest is not null").select("digest", "doc_id")
-    first = worded.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    first = stages.write(worded.groupBy("digest").agg(F.min("doc_id").alias("rep")), "first")
     copies = stages.write(worded.join(first, "digest").select("doc_id", "rep"), "copies")
     originals = copies.filter("doc_id = rep").select("doc_id")
 
@@ -177,16 +184,23 @@ def near_duplicates(
         "doc_id", F.explode("bands").alias("band")
     )
     counts = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    buckets = stages.write(banded.join(counts.select("band"), "band"), "buckets")
+    shared = stages.write(counts.select("band"), "shared")
+    buckets = stages.write(banded.join(shared, "band"), "buckets")
     candidates = buckets.select("doc_id").distinct()
     texts = stages.write(named.join(candidates, "doc_id", "left_semi"), "texts")
+    sketches = None
 
     labels = stages.write(texts.select("doc_id", F.col("doc_id").alias("class_id")), "labels")
     compared = labels.limit(0).select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
     turn = 0
     while True:
         members = stages.write(buckets.join(labels, "doc_id"), f"members-{turn}")
-        pairs = _star_pairs(members, turn) if turn < STAR_TURNS else _rest_pairs(members)
+        if turn < STAR_TURNS:
+            pairs = _star_pairs(members, turn)
+        else:
+            if sketches is None:
+                sketches = _sketched(members, texts, signed, stages)
+            pairs = _rest_pairs(members, sketches, similar)
         pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = stages.write(pairs, f"pairs-{turn}")
         if turn >= STAR_TURNS and pairs.isEmpty():
@@ -261,21 +275,61 @@ def _star_pairs(members: DataFrame, turn: int) -> DataFrame:
     return met.select(*_ordered("doc_id", "centre")).distinct()
 
 
-def _rest_pairs(members: DataFrame) -> DataFrame:
-    """All pairs (a, b) that share a bucket but no class: members outside a bucket's largest
-    class, with the members of other classes. A group that has become one class has none."""
+def _largest_classes(members: DataFrame) -> DataFrame:
+    """(band, largest): the largest class of each bucket that has more than one."""
     of_class = members.groupBy("band", "class_id").agg(F.count(F.lit(1)).alias("n"))
     largest = of_class.groupBy("band").agg(
         F.max_by("class_id", F.struct("n", "class_id")).alias("largest"),
         F.count(F.lit(1)).alias("classes"),
     )
-    largest = largest.filter("classes > 1").select("band", "largest")
-    here = members.join(largest, "band")
+    return largest.filter("classes > 1").select("band", "largest")
+
+
+def _sketched(
+    members: DataFrame, texts: DataFrame, signed: DataFrame, stages: Stages
+) -> DataFrame:
+    """(doc_id, sketch, bands) of the members of open buckets. A sketch has the low bits of
+    the registers of a longer signature."""
+
+    @F.pandas_udf("array<short>")
+    def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes = WordHashes()
+        for batch in batches:
+            out = []
+            for run in slices(list(batch), SLICE_CHARS, len):
+                owners = signatures([shingles(t, hashes) for t in run], SKETCH)
+                out.extend((owners & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16))
+            yield pd.Series(out)
+
+    open_ = members.join(_largest_classes(members), "band").select("doc_id").distinct()
+    sketches = texts.join(open_, "doc_id", "left_semi").select("doc_id", sketch("text").alias("sketch"))
+    return stages.write(
+        sketches.join(signed.select("doc_id", "bands"), "doc_id"), "sketches"
+    )
+
+
+def _rest_pairs(members: DataFrame, sketches: DataFrame, similar: float) -> DataFrame:
+    """Pairs (a, b) that share a bucket but no class and may be similar: of each open
+    bucket the members outside its largest class, with the members of other classes. A
+    group that has become one class has none. A pair is made in the first of the buckets
+    that it shares, if its sketches agree well enough."""
+    here = members.join(_largest_classes(members), "band").join(sketches, "doc_id")
     outside = here.filter("class_id <> largest").select(
-        "band", F.col("doc_id").alias("other"), F.col("class_id").alias("other_class")
+        *[F.col(c).alias(f"other_{c}") for c in ("band", "doc_id", "class_id", "sketch", "bands")]
     )
-    met = here.join(outside, "band").filter("class_id <> other_class")
-    return met.select(*_ordered("doc_id", "other")).distinct()
+    same = lambda x, y: F.zip_with(x, y, lambda a, b: a == b)
+    first = F.array_position(same("bands", "other_bands"), True)
+    here_first = F.array_position("bands", F.col("band")) == first
+    least = similar - ERRORS * math.sqrt(similar * (1 - similar) / SKETCH)
+    agree = F.size(F.filter(same("sketch", "other_sketch"), lambda x: x)) >= least * SKETCH
+    # Of two members outside the largest class each finds the other; one is enough.
+    once = (F.col("class_id") == F.col("largest")) | (F.col("doc_id") < F.col("other_doc_id"))
+    condition = (
+        (F.col("band") == F.col("other_band")) & (F.col("class_id") != F.col("other_class_id"))
+        & once & here_first & agree
+    )
+    met = here.join(outside, condition).select("doc_id", "other_doc_id")
+    return met.select(*_ordered("doc_id", "other_doc_id")).distinct()
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
