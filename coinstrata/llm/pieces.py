@@ -21,6 +21,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,12 @@ from pyspark.sql import functions as F
 from coinstrata.llm.common import slices
 
 MARK = "▁"
+#: Letters at the end of a prefix by which the pieces that may end there are found.
+TAIL = 4
 #: Characters of text whose words are sorted together.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 #: Words remembered by a task, so that frequent ones are cut once.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Longer words are cut but not remembered.
 REMEMBERED_CHARS = 64
 # Fixed values of the library: piece types and the penalty of an unknown letter.
@@ -114,16 +117,14 @@ class PieceModel:
 
     def _merging(self) -> None:
         """What BPE needs: when a piece is made (the rank of its score), of which two it is
-        made, and the lengths of pieces by their last three letters, longest first."""
+        made, and the lengths of longer pieces by their last TAIL letters."""
         order = {s: i for i, s in enumerate(sorted(set(self.scores.values()), reverse=True))}
         self.made = {p: order[s] for p, s in self.scores.items() if len(p) > 1}
         self.halves = {p: self._merged(p) for p in self.made}
         lengths: dict[str, set[int]] = {}
         for piece, halves in self.halves.items():
-            if halves is not None:  # else merging never makes it
-                lengths.setdefault(piece[-3:], set()).add(len(piece))
-        for tail in [t for t in lengths if len(t) == 3 and t[1:] in lengths]:
-            lengths[tail].add(2)
+            if halves is not None and len(piece) > TAIL:  # others merging never makes
+                lengths.setdefault(piece[-TAIL:], set()).add(len(piece))
         self.endings = {tail: sorted(ns, reverse=True) for tail, ns in lengths.items()}
 
     def _merged(self, piece: str) -> tuple[str, str] | None:
@@ -173,24 +174,40 @@ class Encoder:
         self.words = model.words()
         self.cut = re.compile(f"(?<=[^{MARK}]){MARK}")
         self.known: dict[str, tuple] = {}
-        self.agree: dict[tuple, bool] = {}
+        # For BPE: pieces, and those that may end in some letters, as they are met.
+        made = {
+            p: (p, model.ids[p], len(p), {}) for p, h in model.halves.items() if h is not None
+        }
+        self.longer = {p: e for p, e in made.items() if len(p) > TAIL}
+        self.shorter = {p: e for p, e in made.items() if len(p) <= TAIL}
+        self.tails: dict[str, tuple] = {}
+        self.pairs = 0
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[array]:
         """The piece numbers of each text; null and empty texts have none."""
         for run in slices(list(texts), SLICE_CHARS, lambda t: len(t) if t else 0):
-            parts = [list(self._segments(t)) for t in run]
-            if sum(map(len, parts)) <= len(run) * 4:
-                words = [[self.words.findall(s) for s in segments] for segments in parts]
-                cuts = self._cuts({w for of_text in words for seg in of_text for w in seg})
-                for of_text in words:
-                    yield self._joined(of_text, cuts)
-            else:  # a very long text: one segment at a time
-                for segments in parts:
-                    out = array("i")
-                    for segment in segments:
-                        found = self.words.findall(segment)
-                        out.extend(self._joined([found], self._cuts(set(found))))
-                    yield out
+            if len(run) == 1:  # maybe a very long text: one segment at a time
+                out = array("i")
+                for segment in self._segments(run[0]):
+                    out.extend(self._encoded([self.words.findall(segment)])[0])
+                yield out
+            else:
+                yield from self._encoded(
+                    [[w for s in self._segments(t) for w in self.words.findall(s)] for t in run]
+                )
+
+    def _encoded(self, texts: list[list[str]]) -> list[array]:
+        """Piece numbers of texts given as words: each new word is cut once."""
+        known = self.known
+        new = sorted({w for words in texts for w in words}.difference(known))
+        known.update(zip(new, self._in_trie(new)))
+        out = [array("i", chain.from_iterable(map(known.__getitem__, words))) for words in texts]
+        if len(known) > REMEMBERED:
+            known.clear()
+        for word in new:
+            if len(word) > REMEMBERED_CHARS:
+                known.pop(word, None)
+        return out
 
     def _segments(self, text: str | None) -> Iterator[str]:
         """The marked text in parts of bounded length that no piece crosses."""
@@ -208,100 +225,104 @@ class Encoder:
             start = found.start()
         yield marked[start:]
 
-    @staticmethod
-    def _joined(of_text: list[list[str]], cuts: dict[str, tuple]) -> array:
-        out = array("i")
-        for words in of_text:
-            for word in words:
-                out.extend(cuts[word])
-        return out
-
-    def _cuts(self, words: set[str]) -> dict[str, tuple]:
-        """Piece numbers of each word."""
-        known = self.known
-        new = sorted(w for w in words if w not in known)
-        if len(known) + len(new) > REMEMBERED:
-            known = self.known = {w: known[w] for w in words if w in known}
-        cuts = dict(zip(new, self._in_trie(new)))
-        if len(known) + len(new) <= REMEMBERED:
-            known.update((w, c) for w, c in cuts.items() if len(w) <= REMEMBERED_CHARS)
-            return _Both(known, cuts)
-        return _Both(cuts, known)
-
     def _in_trie(self, words: list[str]) -> Iterator[tuple]:
-        """Cuts of sorted words. ``start[i]`` and ``best[i]``: where the last piece of the
-        best cut of the first i letters starts, and its score. They hold for all words that
-        share these letters."""
-        extend = self._extend_bpe if self.model.kind == BPE else self._extend_unigram
-        start, best, before = [0], [0.0], ""
+        """Cuts of sorted words. The states of the first i letters, ``last[i]``, hold for
+        all words that share these letters."""
+        first, extend = (
+            (("", -1, 0), self._extend_bpe)
+            if self.model.kind == BPE
+            else (("", -1, 0, 0.0), self._extend_unigram)
+        )
+        last, before = [first], ""
         for word in words:
             shared = 0
             for a, b in zip(before, word):
                 if a != b:
                     break
                 shared += 1
-            del start[shared + 1 :]
-            del best[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                extend(word, end, start, best)
-            yield self._pieces(word, start)
+            del last[shared + 1 :]
+            extend(word, shared, last)
+            yield self._numbers(word, last)
             before = word
 
-    def _extend_unigram(self, word: str, end: int, start: list, best: list) -> None:
-        scores, at, top = self.model.scores, -1, 0.0
-        for j in range(max(0, end - self.model.longest), end):
-            score = scores.get(word[j:end])
-            if score is None and j == end - 1:
-                score = self.model.lowest - UNKNOWN_PENALTY
-            if score is not None and (at < 0 or best[j] + score > top):
-                at, top = j, best[j] + score
-        start.append(at)
-        best.append(top)
-
-    def _extend_bpe(self, word: str, end: int, start: list, best: list) -> None:
-        ids, agree = self.model.ids, self.agree
-        lengths = self.model.endings.get(word[max(0, end - 3) : end])
-        if lengths is None:
-            lengths = self.model.endings.get(word[max(0, end - 2) : end], ())
-        for length in lengths:
-            j = end - length
-            if j >= 0 and (piece := word[j:end]) in ids:
-                pair = (word[start[j] : j], piece)
-                fits = agree.get(pair)
-                if fits is None:
-                    if len(agree) >= REMEMBERED:
-                        agree.clear()
-                    fits = agree[pair] = self.model.agreeing(*pair)
-                if fits:
-                    start.append(j)
-                    return
-        start.append(end - 1)  # a single letter is what merging leaves here
-
-    def _pieces(self, word: str, start: list) -> tuple:
-        ids, out, end = self.model.ids, [], len(word)
+    def _extend_unigram(self, word: str, done: int, last: list) -> None:
+        """States (piece, number, length, score) of the letters after the first ``done``."""
+        ids, scores = self.model.ids, self.model.scores
+        unknown = self.model.lowest - UNKNOWN_PENALTY
+        for end in range(done + 1, len(word) + 1):
+            best = None
+            for j in range(max(0, end - self.model.longest), end):
+                piece = word[j:end]
+                score = scores.get(piece)
+                if score is None and j == end - 1:
+                    score = unknown
+                if score is not None:
+                    score += last[j][3]
+                    if best is None or score > best[3]:
+                        best = (piece, ids.get(piece, -1), end - j, score)
+            last.append(best)
+
+    def _extend_bpe(self, word: str, done: int, last: list) -> None:
+        """States (piece, number, length) of the letters after the first ``done``."""
+        tails, longer = self.tails, self.longer
+        for end in range(done + 1, len(word) + 1):
+            tail = word[max(0, end - TAIL) : end]
+            found = tails.get(tail)
+            if found is None:
+                found = self._ending(tail)
+            for length in found[0]:
+                entry = longer.get(word[end - length : end]) if length <= end else None
+                if entry is not None:
+                    left = last[end - length][0]
+                    fit = entry[3].get(left)
+                    if fit or fit is None and self._agreeing(left, entry):
+                        break
+            else:
+                for entry in found[1]:
+                    left = last[end - entry[2]][0]
+                    fit = entry[3].get(left)
+                    if fit or fit is None and self._agreeing(left, entry):
+                        break
+                else:
+                    entry = found[2]  # a single letter is what merging leaves here
+            last.append(entry)
+
+    def _ending(self, tail: str) -> tuple[list, list, tuple]:
+        """What may end in these letters: lengths of longer pieces, pieces of TAIL letters
+        at most, both longest first, and the last letter alone. Pieces are (text, number,
+        length, which pieces may stand to the left)."""
+        if len(self.tails) >= REMEMBERED:
+            self.tails.clear()
+        lengths = self.model.endings.get(tail, []) if len(tail) == TAIL else []
+        shorter = [self.shorter[tail[k:]] for k in range(len(tail)) if tail[k:] in self.shorter]
+        letter = tail[-1]
+        found = (lengths, shorter, (letter, self.model.ids.get(letter, -1), 1))
+        self.tails[tail] = found
+        return found
+
+    def _agreeing(self, left: str, entry: tuple) -> bool:
+        self.pairs += 1
+        if self.pairs > REMEMBERED:
+            self.pairs = 0
+            for held in (*self.longer.values(), *self.shorter.values()):
+                held[3].clear()
+        entry[3][left] = self.model.agreeing(left, entry[0])
+        return entry[3][left]
+
+    def _numbers(self, word: str, last: list) -> tuple:
+        out, end = [], len(word)
         while end:
-            j = start[end]
-            number = ids.get(word[j:end])
-            if number is not None:
+            state = last[end]
+            number, length = state[1], state[2]
+            if number >= 0:
                 out.append(number)
             elif self.model.byte_ids:
-                out.extend(self.model.byte_ids[b] for b in reversed(word[j:end].encode()))
+                out.extend(self.model.byte_ids[b] for b in reversed(word[end - 1].encode()))
             elif not out or out[-1] != self.model.unknown:
                 out.append(self.model.unknown)  # a run of unknown letters is one piece
-            end = j
-        return tuple(reversed(out))
-
-
-class _Both(dict):
-    """Two dictionaries read as one, without a copy."""
-
-    def __init__(self, first: dict, second: dict):
-        super().__init__()
-        self.first, self.second = first, second
-
-    def __missing__(self, key):
-        found = self.first.get(key)
-        return self.second[key] if found is None else found
+            end -= length
+        out.reverse()
+        return tuple(out)
 
 
 def decoded(model: PieceModel, numbers) -> str:
@@ -340,9 +361,10 @@ def decode(numbers: Column, model: PieceModel, spark: SparkSession) -> Column:
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = PieceModel(**shared.value)
         for batch in batches:
-            values = batch.values.to_numpy(zero_copy_only=False).tolist()
+            values = batch.values.to_numpy(zero_copy_only=False)
             ends = batch.offsets.to_pylist()
-            yield pa.array([decoded(model, values[a:b]) for a, b in zip(ends, ends[1:])], pa.string())
+            rows = [decoded(model, values[a:b].tolist()) for a, b in zip(ends, ends[1:])]
+            yield pa.array(rows, pa.string())
 
     return texts(numbers)
 
