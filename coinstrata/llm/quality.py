@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coinstrata.llm.common import Stages
+from coinstrata.llm.common import Stages, carried
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = "[#*$%&|<>]"
@@ -30,6 +30,9 @@ STATISTICS = {"log_words": 1.0, "log_word_chars": 0.1, "symbol_share": 0.01, "du
 #: Share of a group that the estimate must cover, concentration steps, texts that a group
 #: needs for an estimate of its own, and the share of clean texts that may be rejected.
 COVERED, STEPS, LEAST_TEXTS, TAIL = 0.75, 6, 100, 1e-9
+#: Up to so many groups (of some twenty numbers each) their tables are broadcast to the
+#: texts; more are joined by shuffles, where adaptive execution splits hot groups.
+GROUPS_BROADCAST = 20_000
 #: Histogram bins of a unit, of the statistics and of ln(1 + squared distance).
 BINS = 256
 
@@ -73,25 +76,24 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines
     (lines with a word) and base_failed, of the whole text; columns of these names are
     replaced. A null text has no words and fails."""
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-    kept = [c for c in docs.columns if c not in (*names, "base_failed")]
+    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
     whole = F.coalesce(docs[text], F.lit(""))
     lines = F.filter(F.split(whole, "\n", -1), lambda line: line.rlike(WORD))
     split = docs.select(
-        *kept,
-        F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)).alias("_words"),
+        carried(docs, [*made, "base_failed"]).alias("row"),
+        F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)).alias("words"),
         F.regexp_count(whole, F.lit(SYMBOL)).cast("long").alias("n_symbols"),
-        lines.alias("_lines"),
+        lines.alias("lines"),
     )
     counted = split.select(
-        *kept,
-        F.size("_words").cast("long").alias("n_words"),
-        F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        "row",
+        F.size("words").cast("long").alias("n_words"),
+        F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         "n_symbols",
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        n_repeat_words(F.col("_words")).alias("n_repeat_words"),
-        F.size("_lines").cast("long").alias("n_lines"),
-    )
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        n_repeat_words(F.col("words")).alias("n_repeat_words"),
+        F.size("lines").cast("long").alias("n_lines"),
+    ).select("row.*", *made)
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )
@@ -139,6 +141,10 @@ def consistency(covered: float, d: int) -> float:
     return covered / low
 
 
+def _sent(groups: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(groups) if few else groups
+
+
 def _at_quantile(rows: DataFrame, group: list[str], value: Column, share: float) -> DataFrame:
     """(group, at): the upper edge of the bin in which the quantile of ``value`` falls."""
     bins = rows.select(*group, F.floor(value * BINS).alias("_bin"))
@@ -206,33 +212,33 @@ class _Shape:
 
 def fit(
     vectors: DataFrame, stages: Stages, floors: dict[str, float] = STATISTICS,
-    covered: float = COVERED, steps: int = STEPS,
+    covered: float = COVERED, steps: int = STEPS, few: bool = False,
 ) -> DataFrame:
     """(group, shape columns) for ``vectors`` (group, statistics): the reweighted minimum
-    covariance determinant of each group."""
+    covariance determinant of each group. ``few``: groups are at most GROUPS_BROADCAST."""
     names = list(floors)
     shape = _Shape(names, list(floors.values()))
-    starts = stages.write(_starts(vectors, shape), "start")
+    starts = stages.write(_starts(vectors, shape, few), "start")
     scale = consistency(covered, shape.d)
     current = starts
     for step in range(steps):
         spread = F.log(1 + shape.distance())
-        rows = vectors.join(current, "group").select("group", "start", *names, spread.alias("_far"))
+        rows = vectors.join(_sent(current, few), "group").select("group", "start", *names, spread.alias("_far"))
         edge = _at_quantile(rows, ["group", "start"], F.col("_far"), covered)
-        near = rows.join(edge, ["group", "start"]).filter(F.col("_far") < F.col("at"))
+        near = rows.join(_sent(edge, few), ["group", "start"]).filter(F.col("_far") < F.col("at"))
         moments = near.groupBy("group", "start").agg(*shape.moments())
         current = stages.write(shape.factored(moments, scale), f"step-{step}")
     best = current.groupBy("group").agg(
         F.min(F.struct("log_det", "start", *[c for c in shape.columns if c != "log_det"])).alias("b")
     )
     best = best.select("group", *[F.col(f"b.{c}").alias(c) for c in shape.columns])
-    rows = vectors.join(best, "group")
+    rows = vectors.join(_sent(best, few), "group")
     inner = rows.filter(shape.distance() <= chi_square_quantile(0.025, shape.d))
     weighted = inner.groupBy("group").agg(*shape.moments())
     return stages.write(shape.factored(weighted, consistency(0.975, shape.d)), "shape")
 
 
-def _starts(vectors: DataFrame, shape: _Shape) -> DataFrame:
+def _starts(vectors: DataFrame, shape: _Shape, few: bool) -> DataFrame:
     """Two starts for each group, both about the medians: the absolute deviations alone,
     and the covariance of directions (spatial signs) in units of these deviations."""
     long = vectors.select(
@@ -240,7 +246,7 @@ def _starts(vectors: DataFrame, shape: _Shape) -> DataFrame:
         F.inline(F.array(*[F.struct(F.lit(i).alias("s"), F.col(n).alias("x")) for i, n in enumerate(shape.names)])),
     )
     medians = _at_quantile(long, ["group", "s"], F.col("x"), 0.5).withColumnRenamed("at", "m")
-    away = long.join(medians, ["group", "s"]).select(
+    away = long.join(_sent(medians, few), ["group", "s"]).select(
         "group", "s", "m", F.abs(F.col("x") - F.col("m")).alias("x")
     )
     spread = _at_quantile(away, ["group", "s"], F.col("x"), 0.5).withColumnRenamed("at", "mad")
@@ -254,7 +260,7 @@ def _starts(vectors: DataFrame, shape: _Shape) -> DataFrame:
         "group", F.lit(0).alias("start"), *[f"m_{i}" for i in range(shape.d)],
         *[(F.pow(f"w_{i}", F.lit(2.0)) if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, j in shape.pairs],
     )
-    rows = vectors.join(centres, "group")
+    rows = vectors.join(_sent(centres, few), "group")
     unit = [(F.col(n) - F.col(f"m_{i}")) / F.col(f"w_{i}") for i, n in enumerate(shape.names)]
     norm = F.greatest(F.sqrt(sum((u * u for u in unit), F.lit(0.0))), F.lit(1e-9))
     signs = rows.select(
@@ -302,13 +308,14 @@ def judge(
     )
     sizes = levels.groupBy("group").agg(F.count(F.lit(1)).alias("_n"))
     large = stages.write(sizes.filter(F.col("_n") >= least_texts).select("group"), "groups")
-    shapes = fit(levels.join(large, "group"), stages)
+    few = large.count() <= GROUPS_BROADCAST
+    shapes = fit(levels.join(_sent(large, few), "group"), stages, few=few)
     shape = _Shape(names, list(STATISTICS.values()))
     packed = shapes.select("group", F.struct(*shape.columns).alias("_shape"))
     judged = counts
     for i, key in enumerate(keys):
         own = packed.select(F.col("group").alias(f"_g{i}"), F.col("_shape").alias(f"_s{i}"))
-        judged = judged.join(own, key == F.col(f"_g{i}"), "left")
+        judged = judged.join(_sent(own, few), key == F.col(f"_g{i}"), "left")
     used = F.coalesce(*[f"_s{i}" for i in range(len(keys))])
     out = [
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
