@@ -216,7 +216,9 @@ def near_duplicates(
     )
     alone = signed.filter("digest is null").select("doc_id", F.col("doc_id").alias("class_id"))
     classes = stages.write(classes.unionByName(alone), "classes")
+    # Written, so that the join below can be split where one class holds much.
     sizes = classes.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
+    sizes = stages.write(sizes, "sizes")
     return classes.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
 
 
