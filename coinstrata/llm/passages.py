@@ -28,10 +28,11 @@ from coinstrata.llm.common import Stages
 SEED, SEED_WINDOW = 8, 16
 #: Cost of a word of gap, on either side, in matched words.
 GAP_COST = 0.1
-#: Matches and words that a chain needs, share of equal words in its alignment.
+#: Matches that a chain needs, if none of them has LEAST_CHAIN words; words that a chain
+#: needs, and share of equal words in its alignment.
 LEAST_MATCHES, LEAST_CHAIN, EQUAL = 2, 20, 0.7
-#: Words of a passage.
-LEAST_WORDS = 50
+#: Words of a passage. Fuzzy ends may cost a passage of 50 words a few.
+LEAST_WORDS = 45
 
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -68,12 +69,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def seeds(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and places of the seeds of a text of word hashes. A text shorter than a
-    window gives its one smallest k-mer; one shorter than a k-mer has no seed."""
+def seeds(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, places and lengths of the seeds of a text of word hashes. A text shorter
+    than a window gives its one smallest k-mer; one shorter than a k-mer has no seed. In a
+    stretch that says the same over and over, a seed that follows itself is one longer
+    seed."""
     n = len(ids) - SEED + 1
     if n < 1:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
     with np.errstate(over="ignore"):
         hashes = np.zeros(n, np.uint64)
         for k in range(SEED):
@@ -81,7 +84,11 @@ def seeds(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     width = min(SEED_WINDOW, n)
     windows = np.lib.stride_tricks.sliding_window_view(hashes, width)
     places = np.unique(np.arange(n - width + 1) + windows.argmin(axis=1))
-    return hashes[places], places.astype(np.int32)
+    found = hashes[places]
+    first = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
+    last = np.r_[first[1:], len(places)] - 1
+    lengths = places[last] - places[first] + SEED
+    return found[first], places[first].astype(np.int32), lengths.astype(np.int32)
 
 
 def chains(p: np.ndarray, q: np.ndarray) -> list[np.ndarray]:
@@ -213,11 +220,16 @@ def repeated_passages(
     seeded = stages.write(
         named.select("doc_id", _seeds(named["text"]).alias("s")).select("doc_id", "s.*"), "seeds"
     )
-    each = seeded.select("doc_id", F.explode(F.arrays_zip("hashes", "places")).alias("s"))
-    each = each.select(F.col("s.hashes").alias("seed"), "doc_id", F.col("s.places").alias("p"))
-    links = stages.write(_links(each), "links")
+    each = seeded.select(
+        "doc_id", F.explode(F.arrays_zip("hashes", "places", "lengths")).alias("s")
+    )
+    each = each.select(
+        F.col("s.hashes").alias("seed"), "doc_id", F.col("s.places").alias("p"),
+        F.col("s.lengths").alias("length"),
+    )
+    links = _links(each, stages)
     chained = links.groupBy("doc_id").agg(
-        F.collect_list(F.struct("other", "p", "q")).alias("matches")
+        F.collect_list(F.struct("other", "p", "q", "length")).alias("matches")
     )
     chained = chained.select("doc_id", F.explode(_chained(F.col("matches"))).alias("c"))
     chained = stages.write(chained.select("doc_id", "c.*"), "chains")
@@ -251,29 +263,34 @@ def repeated_passages(
 
 
 def _seeds(text: Column) -> Column:
-    @F.pandas_udf("struct<hashes: array<long>, places: array<int>>")
+    @F.pandas_udf("struct<hashes: array<long>, places: array<int>, lengths: array<int>>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
             found = [seeds(hashes.of(t)) for t in batch]
             yield pd.DataFrame(
-                {"hashes": [h.view(np.int64) for h, _ in found], "places": [p for _, p in found]}
+                {
+                    "hashes": [h.view(np.int64) for h, _, _ in found],
+                    "places": [p for _, p, _ in found],
+                    "lengths": [n for _, _, n in found],
+                }
             )
 
     return of(text)
 
 
-def _links(each: DataFrame) -> DataFrame:
-    """(doc_id, p, other, q): occurrences of seeds, each with the seed's first one, if that
-    is in another document. The first is found by a sum that combines in the map tasks; the
-    join back has one row per seed on its right, so hot seeds can be split."""
+def _links(each: DataFrame, stages: Stages) -> DataFrame:
+    """(doc_id, p, length, other, q): occurrences of seeds, each with the seed's first one,
+    if that is in another document. The first is found by a sum that combines in the map
+    tasks and written; the join back has one row per seed on its right, so hot seeds can be
+    split."""
     first = each.groupBy("seed").agg(
         F.min("doc_id").alias("other"), F.max("doc_id").alias("last"),
         F.min(F.struct("doc_id", "p")).alias("at"),
     ).filter("other < last")
-    first = first.select("seed", "other", F.col("at.p").alias("q"))
+    first = stages.write(first.select("seed", "other", F.col("at.p").alias("q")), "first")
     met = each.join(first, "seed").filter("doc_id <> other")
-    return met.select("doc_id", "p", "other", "q")
+    return met.select("doc_id", "p", "length", "other", "q")
 
 
 def _chained(matches: Column) -> Column:
@@ -283,28 +300,36 @@ def _chained(matches: Column) -> Column:
     def chain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             flat, ends = batch.values, batch.offsets.to_pylist()
-            other, p, q = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-            out = []
+            other, p, q, length = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+            found, counts = [], []  # chains as places in the flat arrays; how many per row
             for a, b in zip(ends, ends[1:]):
-                rows = []
+                before = len(found)
                 order = np.argsort(other[a:b], kind="stable") + a
                 cuts = np.flatnonzero(np.diff(other[order])) + 1
-                for group in np.split(order, cuts):
-                    if len(group) < LEAST_MATCHES:
-                        continue
-                    for c in chains(p[group], q[group]):
-                        if len(c) >= LEAST_MATCHES:
-                            at = group[c]
-                            rows.append(
-                                {"other": int(other[at[0]]), "p": p[at].tolist(), "q": q[at].tolist()}
-                            )
-                out.append(rows)
-            kind = pa.struct([("other", pa.int64()), ("p", pa.list_(pa.int32())), ("q", pa.list_(pa.int32()))])
-            yield pa.array(out, pa.list_(kind))
+                for group in np.split(order, cuts) if b > a else []:
+                    if len(group) >= LEAST_MATCHES or length[group].max() >= LEAST_CHAIN:
+                        found += [
+                            group[c]
+                            for c in chains(p[group], q[group])
+                            if len(c) >= LEAST_MATCHES or length[group[c]].max() >= LEAST_CHAIN
+                        ]
+                counts.append(len(found) - before)
+            at = np.concatenate(found) if found else np.zeros(0, np.int64)
+            inner = _offsets([len(c) for c in found])
+            columns = [
+                pa.array(other[[c[0] for c in found]].astype(np.int64) if found else [], pa.int64()),
+                *(pa.ListArray.from_arrays(inner, pa.array(x[at].astype(np.int32))) for x in (p, q)),
+            ]
+            rows = pa.StructArray.from_arrays(columns, ["other", "p", "q"])
+            yield pa.ListArray.from_arrays(_offsets(counts), rows)
 
     return chain(matches)
 
 
+def _offsets(lengths: list[int]) -> pa.Array:
+    return pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32))
+
+
 def _aligned(text: Column, other: Column, p: Column, q: Column) -> Column:
     fields = ["first_word", "end_word", "match_first", "match_end", "n_equal"]
 

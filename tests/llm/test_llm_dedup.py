@@ -257,6 +257,8 @@ def test_passages_are_found_where_planted(documents):
 def test_passages_edges(documents, edges, nothing):
     assert repeated_passages(nothing).count() == 0
     assert repeated_passages(edges).count() == 0
+    chant = documents((1, "x y " * 90), (2, "a b c " + "x y " * 50 + "d"), (3, "x y " * 9))
+    assert {r.doc_id for r in repeated_passages(chant).collect()} == {2}
     text = " ".join(f"w{i}" for i in range(60))
     docs = documents((1, text), (1, text), (2, text), (None, text), (3, f"{text} {text}"))
     got = sorted((r.doc_id, r.passage_first, r.passage_end) for r in repeated_passages(docs).collect())
