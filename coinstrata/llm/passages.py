@@ -7,8 +7,9 @@
 3. Chains: the matches of two documents are chained in order of both, by the best sum of
    matched words less a cost for the gaps on either side; a Fenwick tree of prefix maxima
    finds the best predecessor in logarithmic time.
-4. Alignment: the words between the matches of a chain are aligned and the ends extended,
-   which gives fuzzy passages with the number of equal words.
+4. Alignment: the words between the matches of a chain are aligned, the chain is cut where
+   the texts differ for long, and the ends of each part are extended, which gives fuzzy
+   passages with the number of equal words.
 5. Passages: stretches of a document that overlap or touch are one passage; those of
    LEAST_WORDS words or more are reported.
 """
@@ -31,6 +32,8 @@ GAP_COST = 0.1
 #: Matches that a chain needs, if none of them has LEAST_CHAIN words; words that a chain
 #: needs, and share of equal words in its alignment.
 LEAST_MATCHES, LEAST_CHAIN, EQUAL = 2, 20, 0.7
+#: A gap of which a smaller share is equal is foreign to the passages on either side.
+FOREIGN = 0.5
 #: Words of a passage. Fuzzy ends may cost a passage of 50 words a few.
 LEAST_WORDS = 45
 
@@ -178,24 +181,88 @@ def _extended(a: list[int], i: int, b: list[int], j: int, step: int) -> tuple[in
     return best
 
 
-def aligned(a: list[int], b: list[int], p: list[int], q: list[int]) -> tuple[int, int, int, int, int]:
-    """First and end word in ``a`` and in ``b`` of a chain's alignment, and equal words."""
-    equal, (i, j) = 0, (p[0], q[0])
+def _blocks(a: list[int], b: list[int], p: list[int], q: list[int]) -> np.ndarray:
+    """Rows (first and end in ``a``, first and end in ``b``, equal words of the gap before,
+    equal words of the block) of what each match of a chain adds to the alignment."""
+    out, (i, j) = [], (p[0], q[0])
     for x, y in zip(p, q):
+        gap = skip = 0
         if x < i or y < j:  # overlaps what is aligned: take what goes beyond
             skip = max(i - x, j - y)
             if skip >= SEED:
                 continue
         else:
-            skip = 0
-            equal += _gap(a[i:x], b[j:y])
-        if x + skip < i or y + skip < j:
-            continue
-        equal += SEED - skip
+            gap = _gap(a[i:x], b[j:y])
+        out.append((x + skip, x + SEED, y + skip, y + SEED, gap, SEED - skip))
         i, j = x + SEED, y + SEED
-    left = _extended(a, p[0] - 1, b, q[0] - 1, -1)
+    return np.array(out)
+
+
+def _whole(a: list[int], b: list[int], blocks: np.ndarray) -> tuple[int, int, int, int, int]:
+    """First and end word in ``a`` and in ``b`` of the blocks with extended ends, and equal
+    words."""
+    x, y, i, j = (int(n) for n in (blocks[0, 0], blocks[0, 2], blocks[-1, 1], blocks[-1, 3]))
+    equal = int(blocks[:, 5].sum() + blocks[1:, 4].sum())
+    left = _extended(a, x - 1, b, y - 1, -1)
     right = _extended(a, i, b, j, 1)
-    return p[0] - left[0], i + right[0], q[0] - left[1], j + right[1], equal + left[2] + right[2]
+    return x - left[0], i + right[0], y - left[1], j + right[1], equal + left[2] + right[2]
+
+
+def aligned(a: list[int], b: list[int], p: list[int], q: list[int]) -> tuple[int, int, int, int, int]:
+    """First and end word in ``a`` and in ``b`` of a chain's alignment, and equal words."""
+    return _whole(a, b, _blocks(a, b, p, q))
+
+
+def _longest(blocks: np.ndarray) -> tuple[int, int]:
+    """The run of blocks with the most words of which a share of EQUAL is equal; a block
+    alone always is."""
+    reached = (blocks[:, 4] + blocks[:, 5]).cumsum()
+    ends = reached - EQUAL * blocks[:, 1]
+    begins = reached - blocks[:, 5] - EQUAL * blocks[:, 0]
+    later = np.maximum.accumulate(ends[::-1])  # the best end from each block on, last first
+    last = len(blocks) - 1 - np.searchsorted(later, begins - 1e-9)
+    first = int((blocks[last, 1] - blocks[:, 0]).argmax())
+    return first, int(last[first]) + 1
+
+
+def _cut(
+    a: list[int], b: list[int], blocks: np.ndarray, least_words: int
+) -> list[tuple[int, int, int, int, int]]:
+    """The alignment of ``blocks``, cut at foreign gaps where either side is a passage by
+    itself."""
+    whole = _whole(a, b, blocks)
+    differ = blocks[1:, 0] - blocks[:-1, 1] - blocks[1:, 4]
+    for k in (np.argsort(-differ, kind="stable") + 1).tolist():
+        if differ[k - 1] <= LEAST_CHAIN:
+            break
+        sides = [_whole(a, b, blocks[:k]), _whole(a, b, blocks[k:])]
+        between = sides[1][0] - sides[0][1]
+        lost = whole[4] - sides[0][4] - sides[1][4]
+        if between > LEAST_CHAIN and lost < FOREIGN * between and all(
+            s[1] - s[0] >= least_words and s[4] >= EQUAL * (s[1] - s[0]) for s in sides
+        ):
+            return _cut(a, b, blocks[:k], least_words) + _cut(a, b, blocks[k:], least_words)
+    return [whole]
+
+
+def stretches(
+    a: list[int], b: list[int], p: list[int], q: list[int], least_words: int = LEAST_WORDS
+) -> list[tuple[int, int, int, int, int]]:
+    """The alignments of the parts of a chain. Time and again the longest run of matches
+    that is equal enough is taken out, and what is left on either side is looked at by
+    itself, so that no gap and no loose match spoils what the chain holds elsewhere."""
+    found, open_ = [], [_blocks(a, b, p, q)]
+    while open_:
+        blocks = open_.pop()
+        first, end = _longest(blocks)
+        if end - first == 1:  # then no two go together
+            found += [_whole(a, b, blocks[k : k + 1]) for k in range(len(blocks))]
+            continue
+        found += _cut(a, b, blocks[first:end], least_words)
+        open_ += [rest for rest in (blocks[:first], blocks[end:]) if len(rest)]
+    return sorted(
+        {s for s in found if s[1] - s[0] >= LEAST_CHAIN and s[4] >= EQUAL * (s[1] - s[0])}
+    )
 
 
 def repeated_passages(
@@ -238,11 +305,8 @@ def repeated_passages(
     texts = stages.write(named.join(involved, "doc_id", "left_semi"), "texts")
     others = texts.select(F.col("doc_id").alias("other"), F.col("text").alias("other_text"))
     both = chained.join(texts, "doc_id").join(others, "other")
-    found = both.select(
-        "doc_id", "other", _aligned(both["text"], both["other_text"], both["p"], both["q"]).alias("a")
-    ).select("doc_id", F.col("other").alias("match_doc_id"), "a.*")
-    length = F.col("end_word") - F.col("first_word")
-    found = found.filter((length >= LEAST_CHAIN) & (F.col("n_equal") >= EQUAL * length))
+    parts = _aligned(both["text"], both["other_text"], both["p"], both["q"], least_words)
+    found = both.select("doc_id", F.col("other").alias("match_doc_id"), F.inline(parts))
     found = stages.write(found, "aligned")
 
     # Stretches of one document, as many as its words at most.
@@ -330,11 +394,11 @@ def _offsets(lengths: list[int]) -> pa.Array:
     return pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32))
 
 
-def _aligned(text: Column, other: Column, p: Column, q: Column) -> Column:
+def _aligned(text: Column, other: Column, p: Column, q: Column, least_words: int) -> Column:
     fields = ["first_word", "end_word", "match_first", "match_end", "n_equal"]
 
-    @F.pandas_udf(f"struct<{', '.join(f'{f}: int' for f in fields)}>")
-    def align(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(f"array<struct<{', '.join(f'{f}: int' for f in fields)}>>")
+    def align(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         hashes, known = WordHashes(), {}
 
         def ids(text: str) -> list[int]:
@@ -345,7 +409,12 @@ def _aligned(text: Column, other: Column, p: Column, q: Column) -> Column:
             return known[text]
 
         for columns in batches:
-            out = [aligned(ids(a), ids(b), p.tolist(), q.tolist()) for a, b, p, q in zip(*columns)]
-            yield pd.DataFrame(out, columns=fields)
+            out = [
+                stretches(ids(a), ids(b), p, q, least_words)
+                for a, b, p, q in zip(*(c.to_pylist() for c in columns))
+            ]
+            flat = np.array([s for found in out for s in found], np.int32).reshape(-1, len(fields))
+            rows = pa.StructArray.from_arrays([pa.array(c) for c in flat.T], fields)
+            yield pa.ListArray.from_arrays(_offsets([len(found) for found in out]), rows)
 
     return align(text, other, p, q)

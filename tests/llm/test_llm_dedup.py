@@ -254,6 +254,35 @@ def test_passages_are_found_where_planted(documents):
             assert (first, end) == planted[i]
 
 
+def test_chains_are_cut_at_bad_gaps(documents):
+    rng = random.Random(11)
+    own = lambda n: words_of(rng, n, "o")
+    one, two, copy = (words_of(rng, n, m) for n, m in ((60, "a"), (60, "b"), (500, "c")))
+    docs, planted = [], []
+    for gap in (30, 60, 100, 140):  # two passages in both texts, other words between
+        for _ in range(2):
+            docs.append((len(docs), " ".join(own(40) + one + own(gap) + two + own(40))))
+            planted.append([(40, 100), (100 + gap, 160 + gap)])
+        one, two = words_of(rng, 60, "a"), words_of(rng, 60, "b")
+    for middle in (100, 140, 200, 400):  # near copies whose middle was written anew
+        half = (500 - middle) // 2
+        docs.append((len(docs), " ".join(copy)))
+        docs.append((len(docs), " ".join(copy[:half] + own(middle) + copy[500 - half :])))
+        planted += [[], [(0, half), (500 - half, 500)]]
+        copy = words_of(rng, 500, "c")
+    # A changed stretch between two short ones stays within its passage.
+    short = words_of(rng, 60, "s")
+    docs.append((len(docs), " ".join(own(30) + short + own(30))))
+    docs.append((len(docs), " ".join(own(30) + short[:25] + own(10) + short[35:] + own(30))))
+    planted += [[], [(30, 90)]]
+    got = {}
+    for r in repeated_passages(documents(*docs)).collect():
+        assert r.match_doc_id == r.doc_id - 1 and r.n_equal >= 0.7 * (r.end_word - r.first_word)
+        got.setdefault(r.doc_id, set()).add((r.passage_first, r.passage_end))
+    for i, want in enumerate(planted):
+        assert sorted(got.get(i, [])) == (want if i % 2 else []), i
+
+
 def test_passages_edges(documents, edges, nothing):
     assert repeated_passages(nothing).count() == 0
     assert repeated_passages(edges).count() == 0
