@@ -3,7 +3,8 @@
 1. Seeds: k-mers of words, of which each window of consecutive k-mers gives the one with
    the smallest hash (minimizers), so that equal stretches have equal seeds.
 2. Matches: every occurrence of a seed is linked to the seed's first occurrence (smallest
-   doc_id), which is one link for each occurrence and never a pair for each two.
+   doc_id), which is one link for each occurrence and never a pair for each two. Runs of
+   consecutive seeds whose first holders differ are linked to the run's first holder too.
 3. Chains: the matches of two documents are chained in order of both, by the best sum of
    matched words less a cost for the gaps on either side; a Fenwick tree of prefix maxima
    finds the best predecessor in logarithmic time.
@@ -32,6 +33,10 @@ GAP_COST = 0.1
 #: Matches that a chain needs, if none of them has LEAST_CHAIN words; words that a chain
 #: needs, and share of equal words in its alignment.
 LEAST_MATCHES, LEAST_CHAIN, EQUAL = 2, 20, 0.7
+#: Seeds of the runs that are linked as one, where their first holders differ.
+RUNS = (2, 3, 4)
+#: Words from one seed of a run to the next, at most; beyond, a gap costs more than a seed.
+RUN_STEP = int(SEED / GAP_COST / 2)
 #: A gap of which a smaller share is equal is foreign to the passages on either side.
 FOREIGN = 0.5
 #: Words of a passage. Fuzzy ends may cost a passage of 50 words a few.
@@ -294,11 +299,17 @@ def repeated_passages(
         F.col("s.hashes").alias("seed"), "doc_id", F.col("s.places").alias("p"),
         F.col("s.lengths").alias("length"),
     )
-    links = _links(each, stages)
-    chained = links.groupBy("doc_id").agg(
-        F.collect_list(F.struct("other", "p", "q", "length")).alias("matches")
+    met = _met(each, stages).groupBy("doc_id").agg(
+        F.collect_list(F.struct("seed", "other", "p", "q", "length")).alias("matches")
+    )
+    met = stages.write(met, "met")
+    more = _run_links(met, stages).groupBy("doc_id").agg(
+        F.collect_list(F.struct("other", "p", "q")).alias("more")
+    )
+    chained = met.join(more, "doc_id", "left")
+    chained = chained.select(
+        "doc_id", F.explode(_chained(F.col("doc_id"), F.col("matches"), F.col("more"))).alias("c")
     )
-    chained = chained.select("doc_id", F.explode(_chained(F.col("matches"))).alias("c"))
     chained = stages.write(chained.select("doc_id", "c.*"), "chains")
 
     involved = chained.select(F.explode(F.array("doc_id", "other")).alias("doc_id")).distinct()
@@ -343,51 +354,120 @@ def _seeds(text: Column) -> Column:
     return of(text)
 
 
-def _links(each: DataFrame, stages: Stages) -> DataFrame:
-    """(doc_id, p, length, other, q): occurrences of seeds, each with the seed's first one,
-    if that is in another document. The first is found by a sum that combines in the map
-    tasks and written; the join back has one row per seed on its right, so hot seeds can be
-    split."""
+def _met(each: DataFrame, stages: Stages) -> DataFrame:
+    """(doc_id, seed, p, length, other, q): occurrences of seeds that several documents
+    have, each with the seed's first one. The first is found by a sum that combines in the
+    map tasks and written; the join back has one row per seed on its right, so hot seeds can
+    be split."""
     first = each.groupBy("seed").agg(
         F.min("doc_id").alias("other"), F.max("doc_id").alias("last"),
         F.min(F.struct("doc_id", "p")).alias("at"),
     ).filter("other < last")
     first = stages.write(first.select("seed", "other", F.col("at.p").alias("q")), "first")
-    met = each.join(first, "seed").filter("doc_id <> other")
-    return met.select("doc_id", "p", "length", "other", "q")
+    return each.join(first, "seed").select("doc_id", "seed", "p", "length", "other", "q")
+
+
+def scattered(seed: np.ndarray, other: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[tuple[int, list[int]]]:
+    """Keys and places of the runs of a document's repeated seeds that their own first
+    holders don't give: the holders differ, or have the seeds apart. A seed has the same
+    first holder in all documents, so a run is in all of them scattered, or in none."""
+    order = np.argsort(p, kind="stable")
+    seed, other, p, q = (x[order] for x in (seed, other, p, q))
+    step = np.diff(q)
+    apart = (other[1:] != other[:-1]) | (step <= 0) | (step > RUN_STEP)
+    out = []
+    for n in RUNS:
+        if len(p) < n:
+            break
+        over = lambda x: np.lib.stride_tricks.sliding_window_view(x, n - 1)
+        first = np.flatnonzero(over(apart).any(axis=1) & (over(np.diff(p)) <= RUN_STEP).all(axis=1))
+        with np.errstate(over="ignore"):
+            key = np.full(len(first), n, np.uint64)
+            for k in range(n):
+                key = mixed(key * _MIX[0] + seed[first + k].view(np.uint64))
+        places = p[first[:, None] + np.arange(n)]
+        out += zip(key.view(np.int64).tolist(), places.tolist())
+    return out
+
 
+def _run_links(met: DataFrame, stages: Stages) -> DataFrame:
+    """(doc_id, other, p, q): places of scattered runs, each with the run's first one, if
+    that is in another document."""
+
+    @F.arrow_udf("array<struct<run: long, p: array<int>>>")
+    def runs(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            columns = _columns(batch, 4)
+            ends = batch.offsets.to_numpy()
+            found = [
+                scattered(*(columns[k][a:b] for k in (0, 1, 2, 3))) for a, b in zip(ends, ends[1:])
+            ]
+            flat = [r for f in found for r in f]
+            places = pa.ListArray.from_arrays(
+                _offsets([len(at) for _, at in flat]),
+                pa.array([x for _, at in flat for x in at], pa.int32()),
+            )
+            keys = pa.array([key for key, _ in flat], pa.int64())
+            rows = pa.StructArray.from_arrays([keys, places], ["run", "p"])
+            yield pa.ListArray.from_arrays(_offsets([len(f) for f in found]), rows)
 
-def _chained(matches: Column) -> Column:
+    each = stages.write(met.select("doc_id", F.inline(runs("matches"))), "runs")
+    first = each.groupBy("run").agg(
+        F.min("doc_id").alias("other"), F.max("doc_id").alias("last"),
+        F.min(F.struct("doc_id", "p")).alias("at"),
+    ).filter("other < last")
+    first = stages.write(first.select("run", "other", F.col("at.p").alias("q")), "first-runs")
+    return each.join(first, "run").filter("doc_id <> other").select("doc_id", "other", "p", "q")
+
+
+def _columns(lists: pa.Array, n: int) -> list[np.ndarray]:
+    """The first ``n`` fields of all structs in an array of lists of them."""
+    return [lists.values.field(k).to_numpy(zero_copy_only=False) for k in range(n)]
+
+
+def _chained(doc_id: Column, matches: Column, more: Column) -> Column:
     """Chains of a document's matches, per other document."""
 
     @F.arrow_udf(f"array<{CHAIN}>")
-    def chain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            flat, ends = batch.values, batch.offsets.to_pylist()
-            other, p, q, length = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-            found, counts = [], []  # chains as places in the flat arrays; how many per row
-            for a, b in zip(ends, ends[1:]):
+    def chain(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for ids, batch, runs in batches:
+            _, other_, p_, q_, length_ = _columns(batch, 5)
+            ends = batch.offsets.to_numpy()
+            found, counts = [], []  # others and places of chains; how many per row
+            for own, a, b, extra in zip(ids.to_pylist(), ends, ends[1:], runs):
+                other, p, q, length = (x[a:b][other_[a:b] != own] for x in (other_, p_, q_, length_))
+                if extra.is_valid:
+                    links = extra.as_py()
+                    other = np.r_[other, np.repeat([r["other"] for r in links], [len(r["p"]) for r in links])]
+                    p = np.r_[p, [x for r in links for x in r["p"]]]
+                    q = np.r_[q, [x for r in links for x in r["q"]]]
+                    length = np.r_[length, np.full(len(p) - len(length), SEED)]
+                    order = np.lexsort((-length, q, p, other))
+                    other, p, q, length = (x[order] for x in (other, p, q, length))
+                    new = np.ones(len(p), bool)
+                    new[1:] = (other[1:] != other[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
+                    other, p, q, length = (x[new] for x in (other, p, q, length))
                 before = len(found)
-                order = np.argsort(other[a:b], kind="stable") + a
+                order = np.argsort(other, kind="stable")
                 cuts = np.flatnonzero(np.diff(other[order])) + 1
-                for group in np.split(order, cuts) if b > a else []:
+                for group in np.split(order, cuts) if len(order) else []:
                     if len(group) >= LEAST_MATCHES or length[group].max() >= LEAST_CHAIN:
                         found += [
-                            group[c]
+                            (int(other[group[0]]), p[group[c]], q[group[c]])
                             for c in chains(p[group], q[group])
                             if len(c) >= LEAST_MATCHES or length[group[c]].max() >= LEAST_CHAIN
                         ]
                 counts.append(len(found) - before)
-            at = np.concatenate(found) if found else np.zeros(0, np.int64)
-            inner = _offsets([len(c) for c in found])
+            inner = _offsets([len(c[1]) for c in found])
+            flat = lambda k: np.concatenate([c[k] for c in found] or [[]]).astype(np.int32)
             columns = [
-                pa.array(other[[c[0] for c in found]].astype(np.int64) if found else [], pa.int64()),
-                *(pa.ListArray.from_arrays(inner, pa.array(x[at].astype(np.int32))) for x in (p, q)),
+                pa.array([c[0] for c in found], pa.int64()),
+                *(pa.ListArray.from_arrays(inner, pa.array(flat(k))) for k in (1, 2)),
             ]
             rows = pa.StructArray.from_arrays(columns, ["other", "p", "q"])
             yield pa.ListArray.from_arrays(_offsets(counts), rows)
 
-    return chain(matches)
+    return chain(doc_id, matches, more)
 
 
 def _offsets(lengths: list[int]) -> pa.Array:

@@ -283,6 +283,24 @@ def test_chains_are_cut_at_bad_gaps(documents):
         assert sorted(got.get(i, [])) == (want if i % 2 else []), i
 
 
+def test_passages_whose_seeds_have_other_first_holders(documents):
+    rng = random.Random(12)
+    hashes = passages.WordHashes()
+    docs, planted = [], {}
+    for n in (50, 55, 60, 60):
+        shared = words_of(rng, n, "p")
+        pair = [words_of(rng, 80, "b") + shared + words_of(rng, 80, "b") for _ in range(2)]
+        for words in pair:  # each seed by itself in an earlier document
+            for at in passages.seeds(hashes.of(" ".join(words)))[1].tolist():
+                if 80 <= at <= 72 + n:
+                    docs.append((len(docs), " ".join(words[at : at + 8])))
+        for words in pair:
+            docs.append((len(docs), " ".join(words)))
+        planted[len(docs) - 1] = (len(docs) - 2, 80, 80 + n)
+    got = {r.doc_id: (r.match_doc_id, r.passage_first, r.passage_end) for r in repeated_passages(documents(*docs)).collect()}
+    assert got == planted
+
+
 def test_passages_edges(documents, edges, nothing):
     assert repeated_passages(nothing).count() == 0
     assert repeated_passages(edges).count() == 0
