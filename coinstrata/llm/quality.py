@@ -25,11 +25,13 @@ WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30
 
 #: The statistics, in order, with the smallest standard deviation that a group can have in
-#: each: texts closer than that are alike for the purpose.
-STATISTICS = {"log_words": 1.0, "log_word_chars": 0.1, "symbol_share": 0.01, "dup_line_share": 0.2}
+#: each: texts closer than that are alike for the purpose. All are far below what a
+#: statistic can reach, so that each of them can reject alone; the share of duplicate lines
+#: has 0.1, as one line of three is an ordinary repeat.
+STATISTICS = {"log_words": 0.2, "log_word_chars": 0.1, "symbol_share": 0.01, "dup_line_share": 0.1}
 #: Share of a group that the estimate must cover, concentration steps, texts that a group
 #: needs for an estimate of its own, and the share of clean texts that may be rejected.
-COVERED, STEPS, LEAST_TEXTS, TAIL = 0.75, 6, 100, 1e-9
+COVERED, STEPS, LEAST_TEXTS, TAIL = 0.75, 6, 100, 1e-6
 #: Up to so many groups (of some twenty numbers each) their tables are broadcast to the
 #: texts; more are joined by shuffles, where adaptive execution splits hot groups.
 GROUPS_BROADCAST = 20_000

@@ -106,6 +106,24 @@ def test_outliers_go_and_clean_texts_stay(documents):
     assert {i for i, kept in got.items() if not kept} == {*range(1000, 1020), *range(2000, 2005)}
 
 
+def test_each_statistic_rejects_alone(documents):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+    line = lambda n: " ".join(word() for _ in range(n))
+
+    def clean(n):  # two lines may be one: with three lines, a third
+        lines, short = [line(18) for _ in range(n)], line(4)
+        return "\n".join(lines if rng.random() < 0.9 else [*lines[2:], short, short])
+
+    docs = [(i, clean(rng.randint(3, 30))) for i in range(260)]
+    menu = [line(2) for _ in range(10)]
+    docs += [(1000 + i, "\n".join(rng.choice(menu) for _ in range(120))) for i in range(10)]
+    docs += [(2000 + i, "\n".join(line(10) for _ in range(3000))) for i in range(3)]
+    got = quality.judge(documents(*docs)).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == {*range(1000, 1010), *range(2000, 2003)}
+
+
 def test_quality_edges(edges, nothing):
     got = quality.judge(edges).collect()
     assert len(got) == edges.count()
