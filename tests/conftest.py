@@ -4,11 +4,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
 from coinstrata.schemas import TRANSACTION_SCHEMA  # noqa: E402
-
-BTC = 100_000_000
+from ledger_data import completed  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -33,34 +32,6 @@ def workdir(tmp_path):
     return str(tmp_path / "stages")
 
 
-def output(index, value, addresses, kind=None):
-    return {"index": index, "value": value, "addresses": addresses, "type": kind}
-
-
-def spend(index, tx_hash, output_index, addresses=None, value=None):
-    return {
-        "index": index,
-        "spent_transaction_hash": tx_hash,
-        "spent_output_index": output_index,
-        "addresses": addresses,
-        "value": value,
-    }
-
-
-def transaction(tx_hash, outputs=None, inputs=None, at=0, coinbase=False, input_count=None, **more):
-    return {
-        "hash": tx_hash,
-        "block_number": at // 86400,
-        "block_timestamp": at,
-        "is_coinbase": coinbase,
-        "inputs": inputs,
-        "outputs": outputs,
-        "input_count": len(inputs or []) if input_count is None else input_count,
-        "output_count": len(outputs or []),
-        **more,
-    }
-
-
 @pytest.fixture
 def ledger(spark):
     """Transactions given as dictionaries, as a DataFrame with the export's schema."""
@@ -70,24 +41,11 @@ def ledger(spark):
             {
                 **dict.fromkeys(TRANSACTION_SCHEMA.names),
                 **tx,
-                "inputs": _complete(tx["inputs"], "inputs"),
-                "outputs": _complete(tx["outputs"], "outputs"),
+                "inputs": completed(tx["inputs"], "inputs"),
+                "outputs": completed(tx["outputs"], "outputs"),
             }
             for tx in transactions
         ]
         return spark.createDataFrame(rows, TRANSACTION_SCHEMA)
 
     return build
-
-
-def _complete(items, field):
-    if items is None:
-        return None
-    names = TRANSACTION_SCHEMA[field].dataType.elementType.names
-    return [{**dict.fromkeys(names), **item} for item in items]
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    selected = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in selected.collect()), key=repr)

@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import BTC, rows
+from ledger_data import BTC, rows
 from pyspark.sql import functions as F
 
 from coinstrata import entity_balances, top_holders

@@ -1,4 +1,4 @@
-from conftest import output, rows, spend, transaction
+from ledger_data import output, rows, spend, transaction
 
 from coinstrata import (
     cluster_addresses,

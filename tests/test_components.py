@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from ledger_data import rows
 
 from coinstrata import connected_components
 from coinstrata.operators import components

@@ -1,7 +1,7 @@
 import datetime as dt
 import random
 
-from conftest import BTC, output, rows, spend, transaction
+from ledger_data import BTC, output, rows, spend, transaction
 
 from coinstrata import (
     balance_events,

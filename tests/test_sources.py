@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows
+from ledger_data import rows
 
 from coinstrata import (
     LedgerPipeline,

@@ -1,4 +1,4 @@
-from conftest import BTC, output, rows, spend, transaction
+from ledger_data import BTC, output, rows, spend, transaction
 
 from coinstrata import compute_utxo_set, explode_inputs, explode_outputs
 from coinstrata.operators.utxo import spent_summary
