@@ -103,9 +103,73 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc_words d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP12 = """
+WITH used AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.vector, b.vector) AS BIGINT) AS score
+  FROM used a JOIN used b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+OP13 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), words AS (
+  SELECT doc, lang, source, unnest(words) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n_lang FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 30
+), langs AS (
+  SELECT lang, count(*) AS v, sum(n_lang) AS n FROM kept GROUP BY lang
+), held AS (
+  SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT lang, source, coalesce(any_value(v), 0) AS v, any_value(langs.n) AS of_lang, coalesce(any_value(total), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN langs USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(n) AS total FROM held GROUP BY ALL) USING (lang, source)
+  GROUP BY lang, source
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(h.n, 0) + 5)) // (g.n + 5 * g.v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (k.n_lang + 5)) // (g.of_lang + 5 * g.v)::HUGEINT AS q
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN held h USING (lang, source, term)
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), results AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM results QUALIFY part = 'pair' OR rank <= 50
+"""
+
 ORACLE = {
     "op2_url_filter": OP2,
     "op7_line_dedup": OP7,
     "op8_warc": OP8,
     "op10_decontamination": OP10,
+    "op12_hard_negatives": OP12,
+    "op13_divergence": OP13,
 }

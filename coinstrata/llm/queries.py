@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from coinstrata.llm.common import table
 from coinstrata.llm.decontaminate import scan_texts
+from coinstrata.llm.divergence import divergence
+from coinstrata.llm.hard_negatives import hard_negatives
+from coinstrata.llm.html_text import extracted
 from coinstrata.llm.line_dedup import dedup_lines
 from coinstrata.llm.probminhash import near_duplicates
 from coinstrata.llm.quality import judge
@@ -103,6 +106,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives(rows)
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -116,5 +133,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_passages,
         op10_decontamination,
+        op11_html_text,
+        op12_hard_negatives,
+        op13_divergence,
     )
 }

@@ -9,7 +9,7 @@ from coinstrata.llm.oracle import ORACLE
 from coinstrata.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["documents", "pages", "benchmark", "labels"]
+TABLES = ["documents", "pages", "benchmark", "labels", "embeddings"]
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +33,7 @@ def test_query_matches_sql(spark, database, name):
 
 def test_registered():
     names = contract.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
     assert "pipeline" in names
     assert set(contract.oracle_sql()) <= set(names)
 
