@@ -31,14 +31,16 @@ from pyspark.sql import functions as F
 from coinstrata.llm.common import slices
 
 MARK = "▁"
-#: Letters at the end of a prefix by which the pieces that may end there are found.
-TAIL = 4
-#: Characters of text whose words are sorted together.
-SLICE_CHARS = 2_000_000
-#: Words remembered by a task, so that frequent ones are cut once.
-REMEMBERED = 300_000
-#: Longer words are cut but not remembered.
-REMEMBERED_CHARS = 64
+#: Characters of text whose words are sorted together, and bytes of an Arrow batch that are
+#: taken out of it at once.
+SLICE_CHARS = 1_000_000
+PART_BYTES = 8_000_000
+#: Bytes of remembered words (so that frequent ones are cut once), by an estimate of what a
+#: word of one letter in one piece takes, and of each letter and piece more.
+REMEMBERED_BYTES = 48_000_000
+WORD_BYTES, LETTER_BYTES, PIECE_BYTES = 230, 2, 8
+#: Steps of the automaton and borders of pieces that are remembered, about 150 bytes each.
+REMEMBERED = 200_000
 # Fixed values of the library: piece types and the penalty of an unknown letter.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
@@ -61,8 +63,8 @@ class PieceModel:
     lowest: float = 0.0
     #: For BPE, see ``_merging``.
     made: dict[str, int] = field(default_factory=dict)
-    halves: dict[str, tuple[str, str] | None] = field(default_factory=dict)
-    endings: dict[str, list[int]] = field(default_factory=dict)
+    halves: dict[str, tuple[str, str]] = field(default_factory=dict)
+    beginnings: set[str] = field(default_factory=set)
 
     def prepared(self) -> "PieceModel":
         self.longest = max(map(len, self.ids), default=1)
@@ -117,15 +119,11 @@ class PieceModel:
 
     def _merging(self) -> None:
         """What BPE needs: when a piece is made (the rank of its score), of which two it is
-        made, and the lengths of longer pieces by their last TAIL letters."""
+        made, and all beginnings of pieces. Pieces that merging never makes are left out."""
         order = {s: i for i, s in enumerate(sorted(set(self.scores.values()), reverse=True))}
         self.made = {p: order[s] for p, s in self.scores.items() if len(p) > 1}
-        self.halves = {p: self._merged(p) for p in self.made}
-        lengths: dict[str, set[int]] = {}
-        for piece, halves in self.halves.items():
-            if halves is not None and len(piece) > TAIL:  # others merging never makes
-                lengths.setdefault(piece[-TAIL:], set()).add(len(piece))
-        self.endings = {tail: sorted(ns, reverse=True) for tail, ns in lengths.items()}
+        self.halves = {p: h for p in self.made if (h := self._merged(p)) is not None}
+        self.beginnings = {p[:n] for p in self.halves for n in range(1, len(p) + 1)}
 
     def _merged(self, piece: str) -> tuple[str, str] | None:
         """The two parts that make ``piece`` when its letters are merged: of all pairs that
@@ -174,14 +172,16 @@ class Encoder:
         self.words = model.words()
         self.cut = re.compile(f"(?<=[^{MARK}]){MARK}")
         self.known: dict[str, tuple] = {}
-        # For BPE: pieces, and those that may end in some letters, as they are met.
-        made = {
-            p: (p, model.ids[p], len(p), {}) for p, h in model.halves.items() if h is not None
-        }
-        self.longer = {p: e for p, e in made.items() if len(p) > TAIL}
-        self.shorter = {p: e for p, e in made.items() if len(p) <= TAIL}
-        self.tails: dict[str, tuple] = {}
-        self.pairs = 0
+        self.known_bytes = 0
+        # For BPE: pieces as (text, number, length, which pieces may stand to the left), and
+        # an automaton over the beginnings of pieces, made as it is met. A node has steps by
+        # letter, the pieces that end there, the longest first, and its own letters. A step
+        # has the next node and the letter as a piece of its own.
+        self.pieces = {p: (p, model.ids[p], len(p), {}) for p in model.halves}
+        self.nodes: dict[str, tuple] = {}
+        #: The nodes of the letters of the word before, as ``last`` has its states.
+        self.path = [self._node("")]
+        self.steps = self.pairs = 0
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[array]:
         """The piece numbers of each text; null and empty texts have none."""
@@ -199,14 +199,22 @@ class Encoder:
     def _encoded(self, texts: list[list[str]]) -> list[array]:
         """Piece numbers of texts given as words: each new word is cut once."""
         known = self.known
-        new = sorted({w for words in texts for w in words}.difference(known))
-        known.update(zip(new, self._in_trie(new)))
+        present = {w for words in texts for w in words}
+        new = sorted(present.difference(known))
+        cuts = list(self._in_trie(new))
+        known.update(zip(new, cuts))
         out = [array("i", chain.from_iterable(map(known.__getitem__, words))) for words in texts]
-        if len(known) > REMEMBERED:
-            known.clear()
-        for word in new:
-            if len(word) > REMEMBERED_CHARS:
-                known.pop(word, None)
+        self.known_bytes += WORD_BYTES * len(new) + LETTER_BYTES * sum(map(len, new))
+        self.known_bytes += PIECE_BYTES * sum(map(len, cuts))
+        if self.known_bytes > REMEMBERED_BYTES:
+            # Words that were met again are the frequent ones.
+            again = present.difference(new)
+            self.known = {w: known[w] for w in again}
+            self.known_bytes = sum(
+                WORD_BYTES + LETTER_BYTES * len(w) + PIECE_BYTES * len(c) for w, c in self.known.items()
+            )
+            if self.known_bytes > REMEMBERED_BYTES // 2:
+                self.known, self.known_bytes = {}, 0
         return out
 
     def _segments(self, text: str | None) -> Iterator[str]:
@@ -234,6 +242,7 @@ class Encoder:
             else (("", -1, 0, 0.0), self._extend_unigram)
         )
         last, before = [first], ""
+        del self.path[1:]
         for word in words:
             shared = 0
             for a, b in zip(before, word):
@@ -264,47 +273,50 @@ class Encoder:
 
     def _extend_bpe(self, word: str, done: int, last: list) -> None:
         """States (piece, number, length) of the letters after the first ``done``."""
-        tails, longer = self.tails, self.longer
+        path = self.path
+        del path[done + 1 :]
+        node = path[done]
         for end in range(done + 1, len(word) + 1):
-            tail = word[max(0, end - TAIL) : end]
-            found = tails.get(tail)
-            if found is None:
-                found = self._ending(tail)
-            for length in found[0]:
-                entry = longer.get(word[end - length : end]) if length <= end else None
-                if entry is not None:
-                    left = last[end - length][0]
-                    fit = entry[3].get(left)
-                    if fit or fit is None and self._agreeing(left, entry):
-                        break
+            letter = word[end - 1]
+            node, alone = node[0].get(letter) or self._step(node, letter)
+            for entry in node[1]:
+                left = last[end - entry[2]][0]
+                fit = entry[3].get(left)
+                if fit or fit is None and self._agreeing(left, entry):
+                    break
             else:
-                for entry in found[1]:
-                    left = last[end - entry[2]][0]
-                    fit = entry[3].get(left)
-                    if fit or fit is None and self._agreeing(left, entry):
-                        break
-                else:
-                    entry = found[2]  # a single letter is what merging leaves here
+                entry = alone  # a single letter is what merging leaves here
             last.append(entry)
-
-    def _ending(self, tail: str) -> tuple[list, list, tuple]:
-        """What may end in these letters: lengths of longer pieces, pieces of TAIL letters
-        at most, both longest first, and the last letter alone. Pieces are (text, number,
-        length, which pieces may stand to the left)."""
-        if len(self.tails) >= REMEMBERED:
-            self.tails.clear()
-        lengths = self.model.endings.get(tail, []) if len(tail) == TAIL else []
-        shorter = [self.shorter[tail[k:]] for k in range(len(tail)) if tail[k:] in self.shorter]
-        letter = tail[-1]
-        found = (lengths, shorter, (letter, self.model.ids.get(letter, -1), 1))
-        self.tails[tail] = found
-        return found
+            path.append(node)
+
+    def _node(self, letters: str) -> tuple[dict, list, str]:
+        node = self.nodes.get(letters)
+        if node is None:
+            ends = [letters[k:] for k in range(len(letters))]
+            node = ({}, [self.pieces[e] for e in ends if e in self.pieces], letters)
+            self.nodes[letters] = node
+        return node
+
+    def _step(self, node: tuple, letter: str) -> tuple[tuple, tuple]:
+        """To the longest end of the letters so far that begins a piece."""
+        if self.steps >= REMEMBERED:
+            self.steps = 0
+            for held in self.nodes.values():
+                held[0].clear()
+        letters = node[2] + letter
+        while letters and letters not in self.model.beginnings:
+            letters = letters[1:]
+        step = node[0][letter] = (
+            self._node(letters), (letter, self.model.ids.get(letter, -1), 1)
+        )
+        self.steps += 1
+        return step
 
     def _agreeing(self, left: str, entry: tuple) -> bool:
         self.pairs += 1
         if self.pairs > REMEMBERED:
             self.pairs = 0
-            for held in (*self.longer.values(), *self.shorter.values()):
+            for held in self.pieces.values():
                 held[3].clear()
         entry[3][left] = self.model.agreeing(left, entry[0])
         return entry[3][left]
@@ -332,6 +344,16 @@ def decoded(model: PieceModel, numbers) -> str:
     return text[1:] if model.dummy_prefix and text.startswith(" ") else text
 
 
+def parts(batch: pa.Array) -> Iterator[pa.Array]:
+    """An array in parts of about PART_BYTES, so that the values of one part at a time are
+    Python's. A longer row is a part by itself."""
+    if not len(batch):
+        yield batch
+    at_once = max(1, int(len(batch) * PART_BYTES / max(1, batch.nbytes)))
+    for start in range(0, len(batch), at_once):
+        yield batch.slice(start, at_once)
+
+
 def encode(text: Column, model: PieceModel, spark: SparkSession) -> Column:
     """array<int> of each text's piece numbers. Null and empty texts have no pieces; texts
     are encoded whole, however long. U+2581 in a text is the same as a space."""
@@ -341,11 +363,34 @@ def encode(text: Column, model: PieceModel, spark: SparkSession) -> Column:
     def encoded(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(PieceModel(**shared.value))
         for batch in texts:
-            yield _lists(list(encoder.encode(batch.to_pylist())))
+            made = [_lists(list(encoder.encode(part.to_pylist()))) for part in parts(batch)]
+            yield pa.concat_arrays(made)
 
     return encoded(text)
 
 
+def encode_and_decode(text: Column, model: PieceModel, spark: SparkSession) -> Column:
+    """struct<pieces: array<int>, decoded: string>: what ``encode`` gives for a text, and
+    what ``decode`` gives for that. One worker does both, so that there is one model."""
+    shared = spark.sparkContext.broadcast(model.plain())
+
+    @F.arrow_udf("struct<pieces: array<int>, decoded: string>")
+    def both(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = PieceModel(**shared.value)
+        encoder = Encoder(model)
+        for batch in texts:
+            pieces, texts_again = [], []
+            for part in parts(batch):
+                made = list(encoder.encode(part.to_pylist()))
+                texts_again.append(pa.array([decoded(model, m) for m in made], pa.string()))
+                pieces.append(_lists(made))
+            yield pa.StructArray.from_arrays(
+                [pa.concat_arrays(pieces), pa.concat_arrays(texts_again)], ["pieces", "decoded"]
+            )
+
+    return both(text)
+
+
 def _lists(rows: list[array]) -> pa.Array:
     offsets = np.zeros(len(rows) + 1, dtype=np.int32)
     np.cumsum([len(r) for r in rows], out=offsets[1:])
@@ -354,16 +399,18 @@ def _lists(rows: list[array]) -> pa.Array:
 
 
 def decode(numbers: Column, model: PieceModel, spark: SparkSession) -> Column:
-    """The text of an array of piece numbers; null becomes an empty text."""
-    shared = spark.sparkContext.broadcast(model.plain())
+    """The text of an array of piece numbers; null becomes an empty text. The tasks get the
+    pieces' surfaces only."""
+    shared = spark.sparkContext.broadcast((model.surfaces, model.dummy_prefix))
 
     @F.arrow_udf("string")
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = PieceModel(**shared.value)
+        surfaces, dummy_prefix = shared.value
+        model = PieceModel(0, {}, {}, 0, [], surfaces, dummy_prefix)
         for batch in batches:
             values = batch.values.to_numpy(zero_copy_only=False)
             ends = batch.offsets.to_pylist()
-            rows = [decoded(model, values[a:b].tolist()) for a, b in zip(ends, ends[1:])]
+            rows = (decoded(model, values[a:b].tolist()) for a, b in zip(ends, ends[1:]))
             yield pa.array(rows, pa.string())
 
     return texts(numbers)

@@ -11,9 +11,12 @@ brackets, capitals.
 Entities of the whole corpus are checked against each other: two of them never share a
 surrogate, and none gets a real entity of the corpus; whoever collides tries again with
 the next attempt number. So distinct entities stay distinct and the same one stays the
-same in all documents.
+same in all documents. A name that stands without its title later in a text is replaced
+there too.
 
-Everything is built-in functions. Only texts with a mention are shuffled.
+Everything is built-in functions. Texts that cannot hold a mention (no address sign, no two
+digits, no title, ...) are told by cheap tests before the patterns, each text with a mention
+is written once, and only their digests and mentions are shuffled.
 """
 
 import hashlib
@@ -25,39 +28,63 @@ from pyspark.sql import functions as F
 from coinstrata.llm.common import Stages, carried
 from coinstrata.llm.quality import let
 
-# Titles that tell a gender, and what stands before a secret.
+# Titles that tell a gender, those that may follow them, words inside names,
+# and what stands before a secret.
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Mme", "Signora", "Госпожа", "Κυρία"]
 MALE = ["Mr", "Herr", "Señor", "Monsieur", "Signor", "Господин", "Κύριος"]
+FURTHER = ["Doctor", "Doktor", "Dr", "Professor", "Profesor", "Prof", "Ing", "Dipl", "Mag", "med", "phil", "Sir"]
+PARTICLES = ["von", "van", "der", "den", "de", "la", "le", "del", "di", "da", "dos", "zu", "ten"]
 SECRET_NAMES = ["password", "passwd", "token", "secret", "api_key"]
 
 _TITLE = f"(?:{'|'.join(FEMALE + MALE)})"
-_NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
+#: A title, further ones, and initials: what stands before a name and stays.
+_BEFORE = rf"{_TITLE}\.?(?: (?:{'|'.join(FURTHER)})\.?(?![\p{{L}}]))*(?: \p{{Lu}}\.)*"
+_NAME = r"\p{Lu}[\p{L}\p{M}'’-]*[\p{L}\p{M}]"
+_MORE = rf"(?: (?:{'|'.join(PARTICLES)}))* {_NAME}"
+_FIRST = rf"(?:(?:{'|'.join(PARTICLES)}) )*{_NAME}"
 #: Patterns by kind, in order of precedence where two start at the same place.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._+-])[A-Za-z0-9_+-][A-Za-z0-9._+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "email": r"(?<![A-Za-z0-9._+-])[A-Za-z0-9_+-][A-Za-z0-9._+-]{0,63}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "secret": rf"(?<![A-Za-z0-9_])(?:{'|'.join(SECRET_NAMES)})[ ]{{0,2}}[=:][ ]{{0,2}}[\"']?[0-9A-Za-z_+/-]{{8,}}",
-    "hex": r"(?<![0-9A-Za-z])(?=[a-f]{0,63}[0-9])[0-9a-f]{32,64}(?![0-9A-Za-z])",
+    "hex": r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]{32})(?=[a-fA-F]*[0-9])[0-9a-fA-F]{32,}+(?![0-9A-Za-z])",
     "key": r"(?<![0-9A-Za-z])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
     "ip": r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])",
     "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9A-Za-z])",
+    "national": r"(?<![0-9A-Za-z.+(-])(?:\([0-9]{3,5}\)[ ]?[0-9]{3,4}[ -]?[0-9]{3,5}|[0-9]{3}-[0-9]{3}-[0-9]{4}|0[0-9]{2,4}[ /-][0-9]{5,9})(?![0-9A-Za-z]|[.-][0-9])",
     "card": r"(?<![0-9A-Za-z])[3-6](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    "name": rf"(?<![\p{{L}}0-9]){_TITLE}\.? {_NAME}(?: {_NAME})?(?![\p{{L}}])",
+    "name": rf"(?<![\p{{L}}0-9]){_BEFORE} {_FIRST}(?:{_MORE}){{0,2}}(?![\p{{L}}\p{{M}}])",
 }
 MENTION = "|".join(PATTERNS.values())
+#: A text without any of these has no mention.
+SIGNS = ["@", "+", *SECRET_NAMES, *FEMALE, *MALE]
+TWO_DIGITS = r"[0-9][0-9.]"
+#: Words of a text as names are written, and what stands between them. Shorter names are
+#: not looked for without their title.
+WORDS = r"\p{L}[\p{L}\p{M}]*(?:['’]\p{Lu}[\p{L}\p{M}]*|-\p{L}[\p{L}\p{M}]*)*|[^\p{L}]+"
+LEAST_LETTERS = 3
 
 # The letters of each class, canonical ones first; a letter becomes one of
 # the canonical letters of its class.
 CLASSES = [
     ("0123456789", "0123456789"),
-    ("aeiou", "aeiouáéíóúàèìòùâêîôûäëïöüãõåæœ"),
+    ("aeiou", "aeiouáéíóúàèìòùâêîôûäëïöüãõåæœāăąēĕėęěīĭįıōŏőøūŭůűų"),
     ("bcdfghjklmnprstvwz", "bcdfghjklmnprstvwzqxyßñçýž"),
     ("аеиоу", "аеиоуыэюяё"),
     ("бвгдзклмнпрст", "бвгдзклмнпрстжфхцчшщйьъ"),
     ("αειου", "αειουηωάέήίόύώ"),
     ("βγδκλμνπρστ", "βγδκλμνπρστζθξφχψς"),
 ]
+#: Other letters become letters of their script, those of a script that isn't listed Latin
+#: ones: no letter stays.
+SCRIPTS = [
+    (r"\p{IsCyrillic}", CLASSES[4][0]),
+    (r"\p{IsGreek}", CLASSES[6][0]),
+    (r"\p{IsArmenian}", "".join(map(chr, range(0x561, 0x587)))),
+    (r"\p{IsGeorgian}", "".join(map(chr, range(0x10D0, 0x10F1)))),
+    (r"\p{L}", CLASSES[2][0]),
+]
 # Typical endings of given names: of a script's vowels for women, consonants for men.
-ENDINGS = {"given_f": "аα", "given_m": "нν"}
+ENDINGS = {"given_f": "аαa", "given_m": "нνn"}
 
 #: Attempts before the space of a type's surrogates counts as used up.
 ATTEMPTS = 60
@@ -110,13 +137,18 @@ def _luhn(digits: Column) -> Column:
 
 
 def _substituted(letter: Column, number: Column) -> Column:
-    """A letter of the same class, chosen by ``number``; others stay."""
+    """Another letter of the same class, else of the same script, chosen by ``number``; what
+    is no letter or digit stays."""
     low = F.lower(letter)
     out = letter
-    for canonical, members in reversed(CLASSES):
-        chosen = F.substr(F.lit(canonical), number % len(canonical) + 1, F.lit(1))
+    fits = [(F.instr(F.lit(members), low) > 0, canonical) for canonical, members in CLASSES]
+    fits += [(letter.rlike(script), canonical) for script, canonical in SCRIPTS]
+    for fit, canonical in reversed(fits):
+        own, place = F.instr(F.lit(canonical), low), number % (len(canonical) - 1) + 1
+        place = F.when((own > 0) & (place >= own), place + 1).otherwise(place)
+        chosen = F.substr(F.lit(canonical), place, F.lit(1))
         chosen = F.when(letter == low, chosen).otherwise(F.upper(chosen))
-        out = F.when(F.instr(F.lit(members), low) > 0, chosen).otherwise(out)
+        out = F.when(fit, chosen).otherwise(out)
     return out
 
 
@@ -131,7 +163,7 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: Keyed) -> C
         hexed = by_letter(
             lambda c, i: F.when(
                 c.rlike("[0-9a-f]"), F.lower(F.hex((F.get(n, i) % 16).cast("long")))
-            ).otherwise(_substituted(c, F.get(n, i)))
+            ).when(c.rlike("[A-F]"), F.hex((10 + F.get(n, i) % 6).cast("long"))).otherwise(_substituted(c, F.get(n, i)))
         )
         # The top-level domain stays, as it tells the kind of address.
         top = F.regexp_extract(canonical, r"\.[a-z]+$", 0)
@@ -147,17 +179,21 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: Keyed) -> C
         )
         card = F.when(_luhn(canonical) % 10 == 0, card).otherwise(leading)
         last = F.substr(canonical, F.char_length(canonical), F.lit(1))
-        script = F.when(last.rlike(r"\p{IsCyrillic}"), 0).when(last.rlike(r"\p{IsGreek}"), 1).otherwise(2)
-        ending = F.when(kind == "given_f", F.substr(F.lit(ENDINGS["given_f"] + "a"), script + 1, F.lit(1)))
-        ending = ending.otherwise(F.substr(F.lit(ENDINGS["given_m"] + "n"), script + 1, F.lit(1)))
+        script = F.when(last.rlike(r"\p{IsCyrillic}"), 1).when(last.rlike(r"\p{IsGreek}"), 2)
+        script = script.when(last.rlike(r"\p{IsLatin}"), 3)
+        ending = F.when(kind == "given_f", F.substr(F.lit(ENDINGS["given_f"]), script, F.lit(1)))
+        ending = ending.otherwise(F.substr(F.lit(ENDINGS["given_m"]), script, F.lit(1)))
+        ending = F.coalesce(ending, F.substr(plain, F.char_length(plain), F.lit(1)))
         given = F.concat(F.substr(plain, F.lit(1), F.char_length(plain) - 1), ending)
-        # Names are short, so later attempts add letters: no space of names is used up.
-        tail = F.repeat(F.substr(plain, F.lit(1), F.lit(2)), F.floor(attempt / 4).cast("int"))
+        # Names and some addresses are short, so later attempts add letters or digits: no
+        # space of surrogates is used up.
+        times = F.floor(attempt / 4).cast("int")
+        tail = F.repeat(F.substr(plain, F.lit(1), F.lit(2)), times)
         return (
-            F.when(kind == "email", email)
+            F.when(kind == "email", F.concat(F.repeat(F.substr(plain, F.lit(1), F.lit(1)), times), email))
             .when(kind == "secret", hexed)
             .when(kind == "ip", octets)
-            .when(kind == "phone", leading)
+            .when(kind == "phone", F.concat(leading, F.translate(tail, "+", "")))
             .when(kind == "card", card)
             .when(kind.startswith("given"), F.concat(tail, given))
             .otherwise(F.concat(plain, tail))
@@ -166,6 +202,14 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: Keyed) -> C
     return let(numbers, made)
 
 
+def _maybe(text: Column) -> Column:
+    """Whether a text has what every mention has; costs little where it has not."""
+    out = text.rlike(TWO_DIGITS)
+    for sign in SIGNS:
+        out = out | text.contains(sign)
+    return out
+
+
 def mentions(text: Column) -> Column:
     """The mentions of a text, in order, as they are written."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(MENTION), F.lit(0))
@@ -183,40 +227,51 @@ def _parts(raw: Column) -> Column:
     secret = F.array(part(F.lit("secret"), prefix, F.substr(raw, F.char_length(prefix) + 1)))
     # What begins the key tells its kind and stays.
     key = F.array(part(F.lit("key"), F.substr(raw, F.lit(1), F.lit(4)), F.substr(raw, F.lit(5))))
-    title = F.regexp_extract(raw, rf"^{_TITLE}\.?", 0)
-    female = F.regexp_extract(raw, rf"^(?:{'|'.join(FEMALE)})\b", 0) != ""
-    names = F.split(raw, " ")
-    gender = F.when(female, "given_f").otherwise("given_m")
-    two = F.array(
-        part(gender, F.concat(title, F.lit(" ")), F.get(names, F.lit(1))),
-        part(F.lit("family"), F.lit(" "), F.get(names, F.lit(2))),
+    # The names after titles: the first of several is given, others are family names.
+    title = F.regexp_extract(raw, rf"^{_BEFORE} ", 0)
+    female = F.regexp_extract(raw, rf"^(?:{'|'.join(FEMALE)})(?![\p{{L}}])", 0) != ""
+    given = F.when(female, "given_f").otherwise("given_m")
+    names = F.regexp_extract_all(
+        F.substr(raw, F.char_length(title) + 1), F.lit(rf"(?:^{_FIRST}|{_MORE})(?![\p{{L}}\p{{M}}])"), F.lit(0)
     )
-    family = F.array(part(F.lit("family"), F.concat(title, F.lit(" ")), F.get(names, F.lit(1))))
+
+    def named(words: Column, i: Column) -> Column:
+        name = F.regexp_extract(words, rf"{_NAME}$", 0)
+        before = F.substr(words, F.lit(1), F.char_length(words) - F.char_length(name))
+        kind = F.when((i == 0) & (F.size(names) > 1), given).otherwise("family")
+        return part(kind, F.when(i == 0, F.concat(title, before)).otherwise(before), name)
+
     return (
         F.when(whole("email"), one("email"))
         .when(whole("secret"), secret)
         .when(whole("hex"), one("secret"))
         .when(whole("key"), key)
         .when(whole("ip"), one("ip"))
-        .when(whole("phone"), one("phone"))
+        .when(whole("phone") | whole("national"), one("phone"))
         .when(whole("card"), one("card"))
-        .when(F.size(names) > 2, two)
-        .otherwise(family)
+        .otherwise(F.transform(names, named))
     )
 
 
+def _unmarked(part: Column) -> Column:
+    """Without combining marks, which are letters' accents."""
+    return F.regexp_replace(part, r"\p{M}+", "")
+
+
 def _canonical(kind: Column, part: Column) -> Column:
     # Secrets are told apart by capitals, all else is not.
-    plain = F.when(kind == "secret", part).otherwise(F.lower(part))
+    plain = F.when(kind == "secret", part).otherwise(F.lower(_unmarked(part)))
     return F.when(kind.isin("phone", "card"), _digits(part)).otherwise(plain)
 
 
 def _written(kind: Column, part: Column, surrogate: Column) -> Column:
     """A surrogate in the form of a mention's part."""
+    part = _unmarked(part)
     letters = _letters(part)
     before = lambda i: F.char_length(_digits(F.substr(part, F.lit(1), i)))
     digit = lambda c, i: F.when(c.rlike("[0-9]"), F.substr(surrogate, before(i) + 1, F.lit(1))).otherwise(c)
     numbers = F.array_join(F.transform(letters, digit), "")
+    numbers = F.concat(numbers, F.substr(surrogate, F.char_length(_digits(part)) + 1))
     raised = F.array_join(
         F.transform(
             _letters(surrogate),
@@ -273,20 +328,23 @@ def pseudonymized(
 
     A null text stays null; a text without a mention is returned as it is. Repeated rows
     and repeated ids get the same replacements, since these depend on the text alone. A
-    column named n_mentions is replaced; others pass through.
+    name of LEAST_LETTERS letters or more that a text has after a title is replaced in that
+    text where it stands alone, too; such places don't count as mentions. A column named
+    n_mentions is replaced; others pass through.
     """
     stages, keyed = Stages(docs.sparkSession, "pii"), Keyed(key)
-    row = carried(docs, ["n_mentions"])
-    found = docs.select(row.alias("row"), docs[text].alias("text"), mentions(docs[text]).alias("mentions"))
-    clean = found.filter(F.size("mentions") == 0)
+    row, whole_text = carried(docs, ["n_mentions"]), F.coalesce(docs[text], F.lit(""))
+    has = _maybe(whole_text) & whole_text.rlike(MENTION)
+    clean = docs.filter(~has).select(row.alias("row"))
     clean = clean.select("row.*", F.lit(0).cast("long").alias("n_mentions"))
+    found = docs.filter(has).select(
+        row.alias("row"), docs[text].alias("text"), F.md5(docs[text]).alias("_digest"), mentions(docs[text]).alias("mentions")
+    )
+    found = stages.write(found, "found")
 
     held = stages.write(
-        found.filter(F.size("mentions") > 0).select(
-            F.md5("text").alias("_digest"), F.posexplode("mentions").alias("_place", "_raw")
-        ).distinct(),
-        "mentions",
-    )
+        found.select("_digest", F.posexplode("mentions").alias("_place", "_raw")).distinct(), "mentions"
+    )
     raws = stages.write(
         held.select("_raw").distinct().select(
             "_raw", F.posexplode(_parts(F.col("_raw"))).alias("_no", "_part")
@@ -295,19 +353,36 @@ def pseudonymized(
     )
     made = surrogates(raws.select("kind", "canonical"), keyed, stages)
     written = raws.join(made, ["kind", "canonical"]).select(
-        "_raw", "_no",
-        F.concat("before", _written(F.col("kind"), F.col("part"), F.col("surrogate"))).alias("_new"),
+        "_raw", "_no", "kind", "before", "part",
+        _written(F.col("kind"), F.col("part"), F.col("surrogate")).alias("_new"),
     )
-    # A mention has two parts at most; a text's mentions are as many as it holds.
-    written = written.groupBy("_raw").agg(F.array_sort(F.collect_list(F.struct("_no", "_new"))).alias("_n"))
-    written = written.select("_raw", F.array_join("_n._new", "").alias("_new"))
-    replaced = held.join(written, "_raw").groupBy("_digest").agg(
+    written = stages.write(written, "written")
+    # A mention has three parts at most; a text's mentions are as many as it holds.
+    joined = F.array_sort(F.collect_list(F.struct("_no", F.concat("before", "_new").alias("_new"))))
+    whole = written.groupBy("_raw").agg(joined.alias("_n"))
+    whole = whole.select("_raw", F.array_join("_n._new", "").alias("_new"))
+    replaced = held.join(whole, "_raw").groupBy("_digest").agg(
         F.array_sort(F.collect_list(F.struct("_place", "_new"))).alias("_news")
     )
-    replaced = replaced.select("_digest", F.col("_news._new").alias("_news"))
-    changed = found.filter(F.size("mentions") > 0).withColumn("_digest", F.md5("text"))
-    changed = changed.join(replaced, "_digest")
+    named = written.filter(F.col("kind").startswith("given") | (F.col("kind") == "family"))
+    named = named.filter(F.char_length("part") >= LEAST_LETTERS).select("_raw", "part", "_new")
+    named = held.select("_digest", "_raw").distinct().join(named, "_raw")
+    # A word that is given name and family name has one replacement in a text.
+    named = named.groupBy("_digest", "part").agg(F.min("_new").alias("_new"))
+    named = named.groupBy("_digest").agg(F.map_from_entries(F.collect_list(F.struct("part", "_new"))).alias("_names"))
+    replaced = replaced.join(named, "_digest", "left").select("_digest", F.col("_news._new").alias("_news"), "_names")
+
+    changed = found.join(replaced, "_digest")
+    known = lambda w: F.coalesce(F.try_element_at(F.col("_names"), w), w)
+    again = lambda part: F.array_join(
+        F.transform(
+            F.regexp_extract_all(part, F.lit(WORDS), F.lit(0)),
+            lambda w: F.when(w.rlike(r"^\p{Lu}"), known(w)).otherwise(w),
+        ),
+        "",
+    )
     between = F.split(F.col("text"), MENTION, -1)
+    between = F.when(F.col("_names").isNull(), between).otherwise(F.transform(between, again))
     whole = F.array_join(
         F.zip_with(between, F.concat("_news", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), ""
     )

@@ -16,7 +16,7 @@ from coinstrata.llm.probminhash import near_duplicates
 from coinstrata.llm.quality import judge
 from coinstrata.llm.passages import repeated_passages
 from coinstrata.llm.pii import pseudonymized
-from coinstrata.llm.pieces import PieceModel, decode, default_model, encode
+from coinstrata.llm.pieces import PieceModel, default_model, encode_and_decode
 from coinstrata.llm.toxicity import ToxicityModel
 from coinstrata.llm.oracle import ORACLE as ORACLE
 from coinstrata.llm.url_filter import Rule, judge_urls
@@ -64,8 +64,8 @@ def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = PieceModel.load(default_model())
-    encoded = docs.withColumn("pieces", encode(docs["text"], model, spark))
-    return encoded.withColumn("decoded", decode(encoded["pieces"], model, spark)).select(
+    both = encode_and_decode(docs["text"], model, spark)
+    return docs.select("doc_id", "text", both.alias("both")).select("doc_id", "text", "both.*").select(
         "doc_id",
         F.size("pieces").cast("long").alias("n_pieces"),
         F.sha2(F.array_join(F.col("pieces").cast("array<string>"), ","), 256).alias("pieces_sha256"),

@@ -11,7 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from coinstrata.llm import pii, quality, warc
-from coinstrata.llm.pieces import Encoder, PieceModel, decode, decoded, default_model, encode
+from coinstrata.llm.pieces import Encoder, PieceModel, decode, decoded, default_model, encode, encode_and_decode
 from coinstrata.llm.pii import Keyed, pseudonymized, surrogates
 from coinstrata.llm.common import Stages
 
@@ -195,11 +195,102 @@ def test_surrogates_never_collide(spark, monkeypatch):
     assert len({(r.kind, r.surrogate) for r in out}) == len(out)
     assert not {(r.kind, r.surrogate) for r in out} & {(r.kind, r.canonical) for r in out}
     monkeypatch.setattr(pii, "ATTEMPTS", 2)
-    few = spark.createDataFrame([("phone", str(i)) for i in range(10)], "kind string, canonical string")
+    few = spark.createDataFrame([("ip", f"1.2.3.{i}") for i in range(9)], "kind string, canonical string")
+    monkeypatch.setattr(pii, "surrogate", lambda *_: F.lit("5.6.7.8"))
     with pytest.raises(ValueError, match="more members"):
         surrogates(few, KEY, Stages(spark, "test"))
 
 
+def test_short_forms_are_lengthened(documents):
+    """All addresses of a form are taken, so surrogates of that form are longer."""
+    letters, few = "aeiou", "bcdfghjklmnprstvwz"
+    mails = [f"{a}@{b}.de" for a in letters for b in few]
+    phones = [f"+{n} 11 11 22" for n in range(1, 10)]
+    out = pseudonymized(documents((1, ", ".join(mails)), (2, ", ".join(phones)))).collect()
+    text = {r.doc_id: r.text for r in out}
+    made = text[1].split(", ")
+    assert len(set(made)) == len(mails) and not set(made) & set(mails)
+    assert all(re.fullmatch(r"\w+@\w\.de", m) for m in made) and any(len(m.split("@")[0]) > 1 for m in made)
+    digits = [re.sub(r"\D", "", p) for p in text[2].split(", ")]
+    assert len(set(digits)) == 9 and not set(digits) & {re.sub(r"\D", "", p) for p in phones}
+
+
+NAMES = [
+    ("Mr", "Արամ Խաչատրյան"), ("Frau", "Wałęsa"), ("Ms", "Čapková"), ("Mr", "Łukasz Żółć"), ("Señora", "Núñez"),
+    ("Господин", "Јован Ђурић"), ("Κύριος", "Ἀλέξανδρος Ὀδυσσεύς"), ("Mr", "Þórður Ðorvaldur"), ("Mr", "ᏣᎳᎩ ᎦᏬᏂ"),
+    ("Mr", "Şükrü Iğdır"), ("Mr", "Jose\u0301 Rami\u0301rez"), ("Herr", "Ⴀⴌⴈ Ⴃⴀⴌ"), ("Mr", "O'Brien-Smith"),
+]
+
+
+def test_no_letters_of_a_name_stay(documents):
+    """No run of three letters of a name is in its surrogate, whatever the script."""
+    rows = [(i, f"{title} {name} came.") for i, (title, name) in enumerate(NAMES)]
+    for r in pseudonymized(documents(*rows)).collect():
+        title, name = NAMES[r.doc_id]
+        made = r.text.removeprefix(title + " ").removesuffix(" came.").lower()
+        assert r.n_mentions == 1 and r.text.startswith(title + " ")
+        for word in re.findall(r"\w+", name.lower()):
+            assert not any(word[i : i + 3] in made for i in range(len(word) - 2)), (name, made)
+
+
+def test_stacked_titles_particles_and_later_mentions(documents):
+    text = (
+        "Herr Prof. Dr. Weber und Mrs. Dr Anna von der Heide. Weber und Anna sprachen; Heide's Buch, Webers nicht."
+        " Mr J. Smith, Mr John Paul Jones. Al weiß."
+    )
+    row = pseudonymized(documents((1, text))).collect()[0]
+    new = re.fullmatch(
+        r"Herr Prof\. Dr\. (\w+) und Mrs\. Dr (\w+) von der (\w+)\. (\w+) und (\w+) sprachen; (\w+)'s Buch, Webers nicht\."
+        r" Mr J\. (\w+), Mr (\w+) (\w+) (\w+)\. Al weiß\.", row.text
+    )
+    assert new and row.n_mentions == 4
+    assert new[1] == new[4] != "Weber" and new[2] == new[5] != "Anna" and new[3] == new[6] != "Heide"
+    assert not {"Smith", "John", "Paul", "Jones"} & set(new.groups())
+
+
+def test_national_phones_and_long_keys(documents):
+    text = "(743) 555-3824, 743-555-3824, 030 1234567; " + "0A" * 32 + " " + "f0" * 64 + " 1-2-3, 2020-10-11, 12 345"
+    row = pseudonymized(documents((1, text))).collect()[0]
+    assert row.n_mentions == 5 and row.text.endswith(" 1-2-3, 2020-10-11, 12 345")
+    new = re.fullmatch(r"\((\d{3})\) (\d{3}-\d{4}), (\d{3})-(\d{3}-\d{4}), 0\d\d \d{7}; ([0-9A-F]{64}) ([0-9a-f]{128}) .*", row.text)
+    assert new[1] == new[3] and new[2] == new[4] != "555-3824"
+    assert "0A0A0A" not in row.text and "f0f0f0" not in row.text
+
+
+def test_surrogates_against_plain_code(spark):
+    """The given table: what Python's own search finds is replaced and nothing else, by a
+    mapping from canonical forms that is one to one and hits no real one."""
+    import regex
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    before = {r.doc_id: r.text for r in docs.collect()}
+    out = pseudonymized(docs).collect()
+    assert sorted(r.doc_id for r in out) == sorted(before)
+    pattern = regex.compile(pii.MENTION)
+    simple = regex.compile("|".join(f"(?P<{k}>{p})" for k, p in pii.PATTERNS.items() if k != "name"))
+    forms, found = {}, 0
+    for r in out:
+        text = before[r.doc_id] or ""
+        spans = [m.group() for m in pattern.finditer(text)]
+        assert r.n_mentions == len(spans)
+        found += len(spans)
+        if not spans:
+            assert r.text == before[r.doc_id]
+            continue
+        # Addresses and numbers keep their place among all other characters.
+        old, new = list(simple.finditer(text)), list(simple.finditer(r.text))
+        assert [m.lastgroup for m in old] == [m.lastgroup for m in new]
+        for a, b in zip(old, new):
+            kind = "phone" if a.lastgroup == "national" else a.lastgroup
+            plain = (lambda t: re.sub(r"\D", "", t)) if kind in ("phone", "card") else str.lower
+            if kind not in ("secret", "hex", "key"):
+                forms.setdefault((kind, plain(a.group())), set()).add(plain(b.group()))
+    assert found > 50 and len(forms) > 20
+    assert all(len(made) == 1 for made in forms.values())
+    made = [(kind, *m) for (kind, _), m in forms.items()]
+    assert len(set(made)) == len(made) and not set(made) & set(forms)
+
+
 def test_surrogates_edges(edges, nothing, documents):
     assert pseudonymized(nothing).count() == 0
     assert sorted((r.doc_id or 0, r.text or "") for r in pseudonymized(edges).collect()) == sorted(
@@ -258,15 +349,20 @@ def test_shared_prefixes_do_not_change_cuts(model, monkeypatch):
     assert [list(p) for p in Encoder(model).encode(texts[:200])] == alone
     monkeypatch.setattr("coinstrata.llm.pieces.REMEMBERED", 50)
     monkeypatch.setattr("coinstrata.llm.pieces.SLICE_CHARS", 40)
+    monkeypatch.setattr("coinstrata.llm.pieces.REMEMBERED_BYTES", 5000)
     assert [list(p) for p in Encoder(model).encode(texts[:200])] == alone
 
 
-def test_pieces_round_trip(spark, edges, nothing, model):
+def test_pieces_round_trip(spark, edges, nothing, model, monkeypatch):
     done = edges.withColumn("pieces", encode(edges["text"], model, spark))
     done = done.withColumn("again", decode(done["pieces"], model, spark))
     assert done.filter("again <> coalesce(text, '')").count() == 0
     assert done.filter("pieces is null").count() == 0
     assert nothing.select(encode(nothing["text"], model, spark)).count() == 0
+    monkeypatch.setattr("coinstrata.llm.pieces.PART_BYTES", 100)
+    both = done.withColumn("both", encode_and_decode(done["text"], model, spark))
+    assert both.filter("both.pieces <> pieces or both.decoded <> again").count() == 0
+    assert nothing.select(encode_and_decode(nothing["text"], model, spark)).count() == 0
     with pytest.raises(ValueError, match="unigram and BPE"):
         from sentencepiece import sentencepiece_model_pb2
 
