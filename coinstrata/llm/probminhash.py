@@ -14,20 +14,29 @@ next arrival is later than all registers are done, which ends the process early.
 
 Registers are cut into bands; documents that agree in a band are candidates. Exact copies
 are one class before that. In each bucket of a band the members are first compared with
-one of them, which joins most of a group without making its pairs. Then, in buckets whose
-members are in different classes still, the members outside the largest class are held
-against those of other classes by a longer signature, each two of them once, and only
-pairs that it estimates as near enough become candidates. All comparisons compute the
-similarity itself from all shingles.
+one of them, which joins most of a group without making its pairs.
+
+Members of buckets that hold different classes still may be near other members. Let u be
+the share of a's weight that b has not, v the share of b's that a has not. Each term of the
+sum above is at most what the unshared elements leave, and the terms are concave, so
+
+    similarity <= 1 / (1 + u / (1 - u) + v / (1 - v))
+
+With all shingles in one order, the first that two documents share comes after unshared
+ones only. So the rarest come first, and a document offers a shingle only while x = u / (1 -
+u), u the share of weight before it, is at most 1 / similar - 1; two documents meet at a
+shingle if their x together are at most that. Frequent shingles, like a template's, come
+late and are not offered by documents with something of their own. This misses no pair; the
+members that meet are again compared with one first, and then all that are left in
+different classes. All comparisons compute the similarity itself from all shingles.
 """
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coinstrata.llm.common import Stages, slices
@@ -38,10 +47,6 @@ SHINGLE, SIMILAR = 5, 0.8
 #: Bands and registers in each. A pair of similarity 0.8 shares no band with probability
 #: (1 - 0.8^4)^24 = 3e-6.
 BANDS, ROWS = 24, 4
-#: Registers of the longer signature, and standard errors below ``similar`` at which its
-#: estimate rules a pair out (missing a pair of just that similarity 1 time in 4,000).
-SKETCH, ERRORS = 256, 3.5
-
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
     for b in range(256)
@@ -150,9 +155,13 @@ def similarity(
 
 #: Characters of text that are signed together.
 SLICE_CHARS = 2_000_000
-#: Turns in which each open bucket compares one member with the others, before the members
-#: outside its largest component are compared with all.
-STAR_TURNS = 3
+#: Turns in which each open bucket of a band, then of a rare shingle, compares one member
+#: with the others, before all members of different classes are compared.
+STAR_TURNS, RARE_TURNS = 3, 2
+#: Bytes of texts and shingles that a task remembers while it compares.
+REMEMBERED_BYTES = 20_000_000
+#: For rounding of sums of weights.
+TINY = 1e-6
 
 
 def near_duplicates(
@@ -163,7 +172,8 @@ def near_duplicates(
 
     Null and empty texts, and texts without a word, have no shingle and are classes of
     their own. Rows that repeat an id are one document with the smallest of their texts; a
-    null id is left out, as no class could be told by it.
+    null id is left out, as no class could be told by it. Ids may be of any type that can
+    be ordered.
     """
     stages = Stages(docs.sparkSession, "near")
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -188,28 +198,22 @@ def near_duplicates(
     buckets = stages.write(banded.join(shared, "band"), "buckets")
     candidates = buckets.select("doc_id").distinct()
     texts = stages.write(named.join(candidates, "doc_id", "left_semi"), "texts")
-    sketches = None
-
     labels = stages.write(texts.select("doc_id", F.col("doc_id").alias("class_id")), "labels")
     compared = labels.limit(0).select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
-    turn = 0
-    while True:
+    members = None
+    for turn in range(STAR_TURNS + RARE_TURNS + 1):
+        if turn == STAR_TURNS:
+            buckets = _rare(members, texts, similar, stages)
         members = stages.write(buckets.join(labels, "doc_id"), f"members-{turn}")
-        if turn < STAR_TURNS:
-            pairs = _star_pairs(members, turn)
+        if turn < STAR_TURNS + RARE_TURNS:
+            pairs = _star_pairs(members, turn, turn in (0, STAR_TURNS, STAR_TURNS + 1))
         else:
-            if sketches is None:
-                sketches = _sketched(members, texts, signed, stages)
-            pairs = _rest_pairs(members, sketches, similar)
-        pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = stages.write(pairs, f"pairs-{turn}")
-        if turn >= STAR_TURNS and pairs.isEmpty():
-            break
+            pairs = _rest_pairs(members, similar)
+        pairs = stages.write(pairs.join(compared, ["a", "b"], "left_anti"), f"pairs-{turn}")
         compared = stages.write(compared.unionByName(pairs), f"compared-{turn}")
         links = stages.write(_similar(pairs, texts, similar), f"links-{turn}")
         if not links.isEmpty():
             labels = stages.write(_relabelled(labels, links, stages), f"labels-{turn}")
-        turn += 1
 
     classes = copies.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
         "doc_id", F.coalesce("class_id", "rep").alias("class_id")
@@ -251,12 +255,16 @@ def _signed(text: Column) -> Column:
 
 
 def _ordered(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+    first = F.col(a) < F.col(b)
+    return [
+        F.when(first, F.col(a)).otherwise(F.col(b)).alias("a"),
+        F.when(first, F.col(b)).otherwise(F.col(a)).alias("b"),
+    ]
 
 
-def _star_pairs(members: DataFrame, turn: int) -> DataFrame:
+def _star_pairs(members: DataFrame, turn: int, once: bool) -> DataFrame:
     """Pairs (a, b) of one member of each open bucket with those of other classes. The
-    first member is the smallest id, later ones are drawn by a hash; in the first turn a
+    first member is the smallest id, later ones are drawn by a hash; with ``once`` a
     document is only compared with the one it meets in most buckets."""
     order = F.struct(
         F.lit(0) if turn == 0 else F.xxhash64("doc_id", F.lit(turn)),
@@ -271,8 +279,8 @@ def _star_pairs(members: DataFrame, turn: int) -> DataFrame:
     )
     met = members.join(centres, "band").filter("class_id <> centre_class")
     met = met.groupBy("doc_id", "centre").agg(F.count(F.lit(1)).alias("n"))
-    if turn == 0:
-        best = F.max_by("centre", F.struct("n", -F.col("centre"))).alias("centre")
+    if once:
+        best = F.min_by("centre", F.struct(-F.col("n"), "centre")).alias("centre")
         met = met.groupBy("doc_id").agg(best)
     return met.select(*_ordered("doc_id", "centre")).distinct()
 
@@ -287,48 +295,47 @@ def _largest_classes(members: DataFrame) -> DataFrame:
     return largest.filter("classes > 1").select("band", "largest")
 
 
-def _sketched(
-    members: DataFrame, texts: DataFrame, signed: DataFrame, stages: Stages
-) -> DataFrame:
-    """(doc_id, sketch, bands) of the members of open buckets. A sketch has the low bits of
-    the registers of a longer signature."""
+def _rare(members: DataFrame, texts: DataFrame, similar: float, stages: Stages) -> DataFrame:
+    """(doc_id, band, x): the rare shingles that members of open buckets offer."""
 
-    @F.pandas_udf("array<short>")
-    def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("struct<item: array<long>, weight: array<double>>")
+    def weighted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
-            out = []
-            for run in slices(list(batch), SLICE_CHARS, len):
-                owners = signatures([shingles(t, hashes) for t in run], SKETCH)
-                out.extend((owners & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16))
-            yield pd.Series(out)
+            sets = [shingles(text, hashes) for text in batch]
+            yield pd.DataFrame(
+                {"item": [h.view(np.int64) for h, _ in sets], "weight": [w for _, w in sets]}
+            )
 
     open_ = members.join(_largest_classes(members), "band").select("doc_id").distinct()
-    sketches = texts.join(open_, "doc_id", "left_semi").select("doc_id", sketch("text").alias("sketch"))
-    return stages.write(
-        sketches.join(signed.select("doc_id", "bands"), "doc_id"), "sketches"
-    )
-
-
-def _rest_pairs(members: DataFrame, sketches: DataFrame, similar: float) -> DataFrame:
-    """Pairs (a, b) that share a bucket but no class and may be similar: of each open
-    bucket the members outside its largest class, with the members of other classes. A
-    group that has become one class has none. A pair is made in the first of the buckets
-    that it shares, if its sketches agree well enough."""
-    here = members.join(_largest_classes(members), "band").join(sketches, "doc_id")
+    held = texts.join(open_, "doc_id", "left_semi").select("doc_id", weighted("text").alias("s"))
+    total = F.aggregate("s.weight", F.lit(0.0), lambda a, w: a + w)
+    held = held.select("doc_id", total.alias("total"), F.explode(F.arrays_zip("s.item", "s.weight")).alias("s"))
+    held = stages.write(held.select("doc_id", "total", "s.*"), "shingles")
+    often = held.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = held.join(stages.write(often, "often"), "item")
+    # Shingles of one document only come first in it, whichever they are.
+    of_document = Window.partitionBy("doc_id")
+    earlier = of_document.orderBy("n", "item").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.col("total") - F.sum("weight").over(of_document)
+    u = (own + F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))) / F.col("total")
+    placed = shared.select("doc_id", F.col("item").alias("band"), u.alias("u"))
+    placed = placed.filter(F.col("u") <= 1 - similar + TINY)
+    return stages.write(placed.select("doc_id", "band", (F.col("u") / (1 - F.col("u"))).alias("x")), "rare")
+
+
+def _rest_pairs(members: DataFrame, similar: float) -> DataFrame:
+    """Pairs (a, b) of different classes that meet at a rare shingle. A group that has
+    become one class has none."""
+    here = members.join(_largest_classes(members), "band")
     outside = here.filter("class_id <> largest").select(
-        *[F.col(c).alias(f"other_{c}") for c in ("band", "doc_id", "class_id", "sketch", "bands")]
+        *[F.col(c).alias(f"other_{c}") for c in ("band", "doc_id", "class_id", "x")]
     )
-    same = lambda x, y: F.zip_with(x, y, lambda a, b: a == b)
-    first = F.array_position(same("bands", "other_bands"), True)
-    here_first = F.array_position("bands", F.col("band")) == first
-    least = similar - ERRORS * math.sqrt(similar * (1 - similar) / SKETCH)
-    agree = F.size(F.filter(same("sketch", "other_sketch"), lambda x: x)) >= least * SKETCH
     # Of two members outside the largest class each finds the other; one is enough.
     once = (F.col("class_id") == F.col("largest")) | (F.col("doc_id") < F.col("other_doc_id"))
     condition = (
         (F.col("band") == F.col("other_band")) & (F.col("class_id") != F.col("other_class_id"))
-        & once & here_first & agree
+        & once & (F.col("x") + F.col("other_x") <= 1 / similar - 1 + 4 * TINY)
     )
     met = here.join(outside, condition).select("doc_id", "other_doc_id")
     return met.select(*_ordered("doc_id", "other_doc_id")).distinct()
@@ -339,14 +346,17 @@ def _similar(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
 
     @F.pandas_udf("double")
     def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        hashes, known = WordHashes(), {}
+        hashes, known, held = WordHashes(), {}, 0
 
         def of(text: str) -> tuple:
+            nonlocal held
             found = known.get(text)
             if found is None:
-                if len(known) >= 100:
+                if held > REMEMBERED_BYTES:
                     known.clear()
+                    held = 0
                 found = known[text] = shingles(text, hashes)
+                held += len(text) + sum(a.nbytes for a in found)
             return found
 
         for left, right in batches:

@@ -311,3 +311,70 @@ def test_passages_edges(documents, edges, nothing):
     got = sorted((r.doc_id, r.passage_first, r.passage_end) for r in repeated_passages(docs).collect())
     assert {g[0] for g in got} == {2, 3}
     assert got[0] == (2, 0, 60)
+
+
+def plain_lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        diagonal = 0
+        for j, y in enumerate(b, 1):
+            diagonal, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_gap_is_the_longest_common_subsequence():
+    from coinstrata.llm.passages import _gap
+
+    rng = random.Random(11)
+    for size, words in ((6, 3), (40, 4), (40, 400), (200, 3), (200, 90)):
+        for _ in range(30):
+            a, b = ([rng.randrange(words) for _ in range(rng.randrange(size + 1))] for _ in "ab")
+            assert _gap(a, b) == plain_lcs(a, b)
+
+
+def test_long_gaps_take_little_time():
+    import time
+
+    from coinstrata.llm.passages import _gap
+
+    rng = random.Random(12)
+    started = time.time()
+    for words in (50, 100_000):
+        a, b = ([rng.randrange(words) for _ in range(30_000)] for _ in "ab")
+        assert _gap(a, b) > 0
+    assert time.time() - started < 20
+
+
+def test_template_documents_make_few_candidates(spark, monkeypatch, tmp_path):
+    """Documents that share half their shingles by a template are not held against each
+    other, and near copies among them are still found."""
+    import coinstrata.llm.probminhash as near
+
+    rng = random.Random(13)
+    template = " ".join(f"t{i}" for i in range(60))
+    docs = [(i, template + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(56))) for i in range(2000)]
+    docs += [(5000 + i, docs[7 * i][1].rsplit(" ", 1)[0] + " other") for i in range(50)]
+    candidates = []
+    plain = near._similar
+
+    def counted(pairs, texts, similar):
+        candidates.append(pairs.count())
+        return plain(pairs, texts, similar)
+
+    monkeypatch.setattr(near, "_similar", counted)
+    out = near.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    classes = {r.doc_id: r.class_id for r in out}
+    assert all(classes[5000 + i] == 7 * i for i in range(50))
+    assert sum(k == v for k, v in classes.items()) == 2000
+    assert sum(candidates) < 8 * len(docs)
+
+
+def test_ids_of_other_types(spark):
+    from coinstrata.llm.probminhash import near_duplicates
+
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [("b", text), ("a", text + " more"), ("c", "else"), ("d", text)]
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.class_size) for r in out} == {
+        "a": ("a", 3), "b": ("a", 3), "d": ("a", 3), "c": ("c", 1)
+    }
