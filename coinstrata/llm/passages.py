@@ -16,6 +16,7 @@
 """
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,8 @@ RUNS = (2, 3, 4)
 RUN_STEP = int(SEED / GAP_COST / 2)
 #: A gap of which a smaller share is equal is foreign to the passages on either side.
 FOREIGN = 0.5
+#: Bytes of texts and words that a task remembers while it aligns.
+REMEMBERED_BYTES = 20_000_000
 #: Words of a passage. Fuzzy ends may cost a passage of 50 words a few.
 LEAST_WORDS = 45
 
@@ -145,19 +148,42 @@ def chains(p: np.ndarray, q: np.ndarray) -> list[np.ndarray]:
 
 
 def _gap(a: list[int], b: list[int]) -> int:
-    """Equal words in the best alignment of two short stretches."""
+    """Equal words in the best alignment of two stretches: their longest common subsequence.
+
+    Where the stretches have few words in common it is the longest rising run of the places
+    of equal words. Else the table of lengths is kept as bits, one row at a time: a bit of
+    ``row`` is 0 where the length grows from one word of ``b`` to the next.
+    """
     if not a or not b:
         return 0
     if len(a) == len(b):
         straight = sum(x == y for x, y in zip(a, b))
         if straight >= len(a) - 2:
             return straight
-    row = [0] * (len(b) + 1)
+    places: dict[int, list[int]] = {}
+    for j, y in enumerate(b):
+        places.setdefault(y, []).append(j)
+    pairs = sum(len(places[x]) for x in a if x in places)
+    if 50 * pairs <= len(a) * len(b):
+        ends: list[int] = []  # the smallest last place of a run of each length
+        for x in a:
+            for j in reversed(places.get(x, ())):
+                at = bisect_left(ends, j)
+                ends[at : at + 1] = [j]
+        return len(ends)
+    bits = {y: sum(1 << j for j in js) if len(js) < 64 else _bits(js) for y, js in places.items()}
+    whole = (1 << len(b)) - 1
+    row = whole
     for x in a:
-        diagonal = 0
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
+        same = row & bits.get(x, 0)
+        row = ((row + same) | (row - same)) & whole
+    return len(b) - row.bit_count()
+
+
+def _bits(places: list[int]) -> int:
+    held = np.zeros(places[-1] + 1, np.uint8)
+    held[places] = 1
+    return int.from_bytes(np.packbits(held, bitorder="little").tobytes(), "little")
 
 
 def _extended(a: list[int], i: int, b: list[int], j: int, step: int) -> tuple[int, int, int]:
@@ -479,14 +505,18 @@ def _aligned(text: Column, other: Column, p: Column, q: Column, least_words: int
 
     @F.arrow_udf(f"array<struct<{', '.join(f'{f}: int' for f in fields)}>>")
     def align(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        hashes, known = WordHashes(), {}
+        hashes, known, held = WordHashes(), {}, 0
 
         def ids(text: str) -> list[int]:
-            if text not in known:
-                if len(known) >= 100:
+            nonlocal held
+            found = known.get(text)
+            if found is None:
+                if held > REMEMBERED_BYTES:
                     known.clear()
-                known[text] = hashes.of(text).tolist()
-            return known[text]
+                    held = 0
+                found = known[text] = hashes.of(text).tolist()
+                held += len(text) + 40 * len(found)
+            return found
 
         for columns in batches:
             out = [
