@@ -5,21 +5,25 @@ benchmark's own words, so a text word is either one of them or cannot be in any
 only runs of known words are looked at, and a hit is exact, not a hash match.
 """
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coinstrata.llm.common import carried
+from coinstrata.llm.common import Stages, carried
 
 #: Words of a window.
 WINDOW = 10
-#: A broadcast set holds the windows of so many benchmark bytes at most (an item alone may
-#: be longer); a larger benchmark is cut into blocks, each with a scan of its own.
-BLOCK_BYTES = 16_000_000
+#: Bytes that a broadcast set takes in a worker (an item alone may take more), by an
+#: estimate for each window and each letter; a larger benchmark is cut into blocks, which
+#: are built, sent, scanned and dropped one after the other.
+BLOCK_BYTES = 100_000_000
+WINDOW_BYTES, LETTER_BYTES = 320, 4
 
 SCAN = "struct<n_words: long, n_hit: long, items: array<long>, spans: array<struct<first: long, last: long>>>"
 
@@ -38,10 +42,10 @@ def words(text: str | None) -> list[bytes]:
 @dataclass
 class WindowSet:
     """``ids`` numbers the benchmark's words from 1. ``items`` has, for each length, the
-    items of each window of word numbers."""
+    items of each window, which is the bytes of its word numbers."""
 
     ids: dict[bytes, int] = field(default_factory=dict)
-    items: dict[int, dict[tuple, list[int]]] = field(default_factory=dict)
+    items: dict[int, dict[bytes, list[int]]] = field(default_factory=dict)
 
     @classmethod
     def of(cls, benchmark: list[tuple[int, str | None]], window: int = WINDOW) -> "WindowSet":
@@ -49,23 +53,24 @@ class WindowSet:
         for item_id, text in benchmark:
             numbers = [made.ids.setdefault(w, len(made.ids) + 1) for w in words(text)]
             n = min(window, len(numbers))
+            held, flat = made.items.setdefault(n, {}) if n else {}, array("I", numbers).tobytes()
             for i in range(len(numbers) - n + 1 if n else 0):
-                found = made.items.setdefault(n, {}).setdefault(tuple(numbers[i : i + n]), [])
-                if item_id not in found:
+                found = held.setdefault(flat[4 * i : 4 * (i + n)], [])
+                if not found or found[-1] != item_id:  # items come one after the other
                     found.append(item_id)
         return made
 
     def scan(self, text: str | None) -> tuple[int, int, list[int], list[tuple[int, int]]]:
         """Words, words hit, items found, and the hit stretches [first, last)."""
         of = self.ids.get
-        numbers = [of(w, 0) for w in words(text)]
-        known = np.flatnonzero(np.array(numbers, dtype=np.int64))
+        numbers = np.array([of(w, 0) for w in words(text)], dtype=np.uint32)
+        known, flat = np.flatnonzero(numbers), numbers.tobytes()
         spans, items = [], set()
         for run in np.split(known, np.flatnonzero(np.diff(known) != 1) + 1) if len(known) else []:
             first, last = int(run[0]), int(run[-1]) + 1
             for n, windows in self.items.items():
                 for i in range(first, last - n + 1):
-                    found = windows.get(tuple(numbers[i : i + n]))
+                    found = windows.get(flat[4 * i : 4 * (i + n)])
                     if found:
                         items.update(found)
                         spans.append((i, i + n))
@@ -85,13 +90,14 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterator[list]:
-    """The items in runs of ``limit`` bytes. They come to the driver one partition at a
-    time; items without an id are left out, as nothing could name them."""
+    """The items in runs whose sets take about ``limit`` bytes. They come to the driver one
+    partition at a time; items without an id are left out, as nothing could name them."""
     block, held = [], 0
     items = benchmark.filter(F.col(item_id).isNotNull()).select(item_id, text)
     for row in items.toLocalIterator():
+        letters = len(row[1] or "")
         block.append((row[0], row[1]))
-        held += len(row[1] or "") + 16
+        held += LETTER_BYTES * letters + WINDOW_BYTES * (1 + len((row[1] or "").split()))
         if held >= limit:
             yield block
             block, held = [], 0
@@ -99,9 +105,7 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterato
         yield block
 
 
-def _scanned(text: Column, windows: WindowSet, spark) -> Column:
-    shared = spark.sparkContext.broadcast((windows.ids, windows.items))
-
+def _scanned(text: Column, shared) -> Column:
     @F.pandas_udf(SCAN)
     def scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         loaded = WindowSet(*shared.value)
@@ -152,25 +156,29 @@ def scan_texts(
     words has no window; an empty benchmark hits nothing. Repeated rows are scanned each.
     An existing column ``scan`` is replaced.
     """
-    spark = docs.sparkSession
-    docs = docs.drop("scan")
-    scans = [
-        _scanned(docs[text], WindowSet.of(block, window), spark)
-        for block in blocks(benchmark, item_id, item_text, block_bytes)
-    ] or [_scanned(docs[text], WindowSet(), spark)]
-    if len(scans) == 1:
-        return docs.withColumn("scan", scans[0])
-    # A scan depends on the text alone, so hits of the blocks meet by the text's digest. A
-    # task holds one block's windows at a time; only texts that are hit are shuffled twice.
+    spark, docs = docs.sparkSession, docs.drop("scan")
+
+    def sent(windows: WindowSet):
+        return spark.sparkContext.broadcast((windows.ids, windows.items))
+
+    of_blocks = blocks(benchmark, item_id, item_text, block_bytes)
+    first, second = next(of_blocks, []), next(of_blocks, None)
+    if second is None:
+        return docs.withColumn("scan", _scanned(docs[text], sent(WindowSet.of(first, window))))
+    # A scan depends on the text alone, so hits of the blocks meet by the text's digest. One
+    # block's windows are held at a time; only texts that are hit are shuffled twice.
+    stages = Stages(spark, "benchmark")
     key = F.md5(docs[text]).alias("key")
     hits = None
-    for block_scan in scans:
-        found = docs.select(key, block_scan.alias("scan")).filter("scan.n_hit > 0")
-        found = found.groupBy("key").agg(F.first("scan").alias("scan"))
+    for number, block in enumerate(chain([first, second], of_blocks)):
+        shared = sent(WindowSet.of(block, window))
+        found = docs.select(key, _scanned(docs[text], shared).alias("scan")).filter("scan.n_hit > 0")
+        found = stages.write(found.groupBy("key").agg(F.first("scan").alias("scan")), f"hits-{number}")
+        shared.destroy()
         hits = found if hits is None else hits.unionByName(found)
     hits = hits.groupBy("key").agg(F.collect_list("scan").alias("scans"))
     hits = hits.select("key", _combined(F.col("scans")).alias("hit"))
-    clean = _scanned(docs[text], WindowSet(), spark)
+    clean = _scanned(docs[text], sent(WindowSet()))
     return (
         docs.select(carried(docs, ["scan"]).alias("row"), key, clean.alias("clean"))
         .join(hits, "key", "left")
