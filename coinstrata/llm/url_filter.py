@@ -57,23 +57,32 @@ def host_and_path(url: str | None) -> tuple[str, str]:
     return lower(host), slash + path
 
 
-class UrlTrie:
-    """Nodes are dictionaries: first by host label from the right, then by whole path
-    segment. The last segment of a rule's path need only be a prefix, so each node keeps
-    its rules' last segments as a list, the longest first."""
+#: A node is a list of three: the next nodes by host label or path segment, the node of the
+#: empty path below a host, and the rules that end here by their last path segment.
+NEXT, PATH, ENDS = range(3)
+
+
+def _node() -> list:
+    return [{}, None, {}]
 
 
-    def __init__(self, rules: list[Rule] = (), root: dict | None = None):
-        self.root: dict = {} if root is None else root
+class UrlTrie:
+    """By host label from the right, and from there by whole path segment. The last segment
+    of a rule's path need only be a prefix."""
+
+    def __init__(self, rules: list[Rule] = (), root: list | None = None):
+        self.root: list = _node() if root is None else root
         for rule in sorted(set(rules), key=lambda r: (r.verdict == "block", r.text)):
             node = self.root
             for label in reversed(rule.host.split(".")):
-                node = node.setdefault(label, {})
-            node = node.setdefault("\0path", {})
+                node = node[NEXT].setdefault(label, _node())
+            if node[PATH] is None:
+                node[PATH] = _node()
+            node = node[PATH]
             *whole, last = rule.path.split("/")
             for segment in whole:
-                node = node.setdefault(segment, {})
-            node.setdefault("\0ends", {})[last] = (
+                node = node[NEXT].setdefault(segment, _node())
+            node[ENDS][last] = (
                 (len(rule.host) + len(rule.path), len(rule.host)),
                 rule.text,
                 rule.verdict,
@@ -83,24 +92,24 @@ class UrlTrie:
         """((length, host length), rule text, verdict) of the rule that decides."""
         best, node = None, self.root
         for label in reversed(host.split(".")):
-            node = node.get(label)
+            node = node[NEXT].get(label)
             if node is None:
                 break
-            found = self._in_path(node.get("\0path"), path)
+            found = self._in_path(node[PATH], path)
             if found and (best is None or found[0] > best[0]):
                 best = found
         return best
 
     @staticmethod
-    def _in_path(node: dict | None, path: str) -> tuple | None:
+    def _in_path(node: list | None, path: str) -> tuple | None:
         best = None
         for segment in path.split("/"):
             if node is None:
                 break
-            for last, found in node.get("\0ends", {}).items():
+            for last, found in node[ENDS].items():
                 if segment.startswith(last) and (best is None or found[0] > best[0]):
                     best = found
-            node = node.get(segment)
+            node = node[NEXT].get(segment)
         return best
 
 

@@ -1,5 +1,7 @@
 """Toxicity, url filter, benchmark windows."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -151,3 +153,58 @@ def test_windows_edges(spark, edges, nothing):
 
 def test_sample_bound_is_documented():
     assert toxicity.POSITIVES + toxicity.UNLABELLED <= 20_000
+
+
+def plain_verdict(host, path, rules):
+    """Longest rule that fits, by comparing with all."""
+    fits = [
+        ((len(r.host) + len(r.path), len(r.host), r.verdict == "block"), r)
+        for r in rules
+        if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)
+    ]
+    best = max(fits, key=lambda f: f[0], default=None)
+    return (best[1].text, best[1].verdict) if best else (None, "allow")
+
+
+def test_urls_of_all_kinds(spark):
+    """Random hosts and paths with NUL, empty segments and dots, against all rules."""
+    rng = random.Random(21)
+    segment = lambda: rng.choice(["", "a", "b", "ab", "\0path", "\0ends", "\0", ".", "é"])
+    hosts = [".".join(segment() for _ in range(rng.randint(1, 3))) for _ in range(300)]
+    paths = ["".join("/" + segment() for _ in range(rng.randint(0, 4))) for _ in range(300)]
+    rules = [Rule(rng.choice(["allow", "block"]), rng.choice(hosts) + (rng.choice(paths) or "/")) for _ in range(60)]
+    rules = list({(r.host, r.path): r for r in rules}.values())
+    rows = [(i, f"http://{rng.choice(hosts)}{rng.choice(paths)}") for i in range(600)] + [(-1, None), (-2, "://")]
+    rows.append((-3, "http://a.com/\0ends//x"))
+    out = judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    for r in out:
+        host, path = host_and_path(r.url)
+        assert (r.rule, r.verdict) == plain_verdict(host, path, rules), r.url
+
+
+def test_items_with_one_prompt_build_fast():
+    import time
+
+    prompt = " ".join(f"p{i}" for i in range(30))
+    started = time.time()
+    made = WindowSet.of([(i, f"{prompt} own {i}") for i in range(100_000)])
+    assert time.time() - started < 30
+    assert len(max(made.items[10].values(), key=len)) == 100_000
+
+
+def test_risk_and_its_gradient_by_finite_differences():
+    from coinstrata.llm.toxicity import risks
+
+    rng = np.random.default_rng(22)
+    positive = rng.random(60) < 0.4
+    for shift, prior in ((0.0, 0.1), (4.0, 0.5), (-4.0, 0.5)):
+        g = rng.normal(size=60) + np.where(positive, shift, 0)
+        toxic, clean, slope = risks(g, positive, prior)
+        loss = lambda z: np.log1p(np.exp(-z))
+        assert toxic == pytest.approx(prior * loss(g[positive]).mean())
+        assert clean == pytest.approx(loss(-g[~positive]).mean() - prior * loss(-g[positive]).mean())
+        made_smaller = lambda z: sum(risks(z, positive, prior)[:2]) if clean >= 0 else -risks(z, positive, prior)[1]
+        for i in range(60):
+            step = np.zeros(60)
+            step[i] = 1e-6
+            assert slope[i] == pytest.approx((made_smaller(g + step) - made_smaller(g - step)) / 2e-6, abs=1e-6)
