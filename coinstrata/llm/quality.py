@@ -315,10 +315,12 @@ def judge(
     shape = _Shape(names, list(STATISTICS.values()))
     packed = shapes.select("group", F.struct(*shape.columns).alias("_shape"))
     judged = counts
-    for i, key in enumerate(keys):
+    for i, key in enumerate(keys[:2]):
         own = packed.select(F.col("group").alias(f"_g{i}"), F.col("_shape").alias(f"_s{i}"))
         judged = judged.join(_sent(own, few), key == F.col(f"_g{i}"), "left")
-    used = F.coalesce(*[f"_s{i}" for i in range(len(keys))])
+    # The estimate of all texts is one row, or none.
+    overall = packed.filter(F.col("group") == keys[2]).select("_shape").scalar()
+    used = F.coalesce("_s0", "_s1", overall)
     out = [
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed",

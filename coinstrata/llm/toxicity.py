@@ -59,6 +59,23 @@ def _features(text: str) -> Column:
     return features(text)
 
 
+def risks(g: np.ndarray, positive: np.ndarray, prior: float) -> tuple[float, float, np.ndarray]:
+    """The risk of the toxic class, the corrected risk of the clean one, and the slope of
+    what is made smaller, by each row's score: their sum while the clean risk is not
+    negative, else minus the clean risk, which brings it back."""
+    n_p, n_u = max(1, positive.sum()), max(1, (~positive).sum())
+    up = 1 / (1 + np.exp(-np.clip(g, -50, 50)))  # the slope of l(-g); that of l(g) is up - 1
+    loss_clean = np.logaddexp(0, g)
+    toxic_risk = prior * np.logaddexp(0, -g)[positive].sum() / n_p
+    clean_risk = loss_clean[~positive].sum() / n_u - prior * loss_clean[positive].sum() / n_p
+    clean_slope = np.where(positive, -prior / n_p, 1 / n_u) * up
+    if clean_risk >= 0:
+        slope = np.where(positive, prior / n_p, 0) * (up - 1) + clean_slope
+    else:
+        slope = -clean_slope
+    return float(toxic_risk), float(clean_risk), slope
+
+
 def nn_pu(
     rows: list[np.ndarray], positive: np.ndarray, n_features: int, prior: float,
     steps: int = 400, rate: float = 0.05, decay: float = 1e-4,
@@ -69,19 +86,11 @@ def nn_pu(
     lengths = np.array([len(r) for r in rows])
     row_of = np.repeat(np.arange(len(rows)), lengths)
     column = np.concatenate(rows).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
-    n_p, n_u = max(1, positive.sum()), max(1, (~positive).sum())
     w, b = np.zeros(n_features), np.log(prior / (1 - prior))
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, steps + 1):
         g = np.bincount(row_of, weights=w[column], minlength=len(rows)) + b
-        up = 1 / (1 + np.exp(-np.clip(g, -50, 50)))  # the slope of l(-g); that of l(g) is up - 1
-        loss_clean = np.logaddexp(0, g)
-        clean_risk = loss_clean[~positive].sum() / n_u - prior * loss_clean[positive].sum() / n_p
-        clean_slope = np.where(positive, -prior / n_p, 1 / n_u) * up
-        if clean_risk >= 0:
-            slope = np.where(positive, prior / n_p, 0) * (up - 1) + clean_slope
-        else:
-            slope = -clean_slope
+        _, _, slope = risks(g, positive, prior)
         grad = np.bincount(column, weights=slope[row_of], minlength=n_features) + decay * w
         grad = np.append(grad, slope.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
@@ -105,8 +114,9 @@ class ToxicityModel:
         """Fit on documents whose label is 1 and on a sample of all, whatever their label.
 
         Null ids and null labels count as unlabelled; an id with several labels is toxic if
-        one of them is 1. The prior is the share of 1 among all labels, unless given. With
-        no toxic document at all, or no other one, the model scores everything alike.
+        one of them is 1. The prior is the share of 1 among all labels, unless given; either
+        way it is held between 0.001 and 0.5. Both samples are drawn from the documents of
+        SAMPLE_CHARS characters or fewer. With no toxic document at all, or no other one, the model scores everything alike.
         """
         stages = Stages(docs.sparkSession, "toxicity")
         known = labels.groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
@@ -186,7 +196,7 @@ def _sample(docs: DataFrame, known: DataFrame, text: str, doc_id: str) -> DataFr
     short = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).filter(
         F.char_length("_text") <= SAMPLE_CHARS
     )
-    ids = docs.select(F.col(doc_id).alias("_id")).filter("_id is not null").distinct()
+    ids = short.select("_id").filter("_id is not null").distinct()
     ids = ids.join(known, "_id", "left").select(
         "_id", F.coalesce(F.col("_label") == 1, F.lit(False)).alias("_positive")
     )
