@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -295,23 +296,39 @@ def _largest_classes(members: DataFrame) -> DataFrame:
     return largest.filter("classes > 1").select("band", "largest")
 
 
-def _rare(members: DataFrame, texts: DataFrame, similar: float, stages: Stages) -> DataFrame:
-    """(doc_id, band, x): the rare shingles that members of open buckets offer."""
+def _as_rows(texts: DataFrame) -> DataFrame:
+    """(doc_id, total, item, weight): a row for each shingle of each text, with the weight of
+    all shingles of the text."""
 
-    @F.pandas_udf("struct<item: array<long>, weight: array<double>>")
-    def weighted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingles(text, hashes) for text in batch]
-            yield pd.DataFrame(
-                {"item": [h.view(np.int64) for h, _ in sets], "weight": [w for _, w in sets]}
-            )
+            ids, at = batch.column(0), 0
+            for run in slices(batch.column(1).to_pylist(), SLICE_CHARS, len):
+                sets = [shingles(text, hashes) for text in run]
+                row = np.repeat(np.arange(len(sets)), [len(h) for h, _ in sets])
+                totals = np.array([w.sum() for _, w in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids.take(pa.array(row + at)), pa.array(totals[row]),
+                        pa.array(np.concatenate([h for h, _ in sets]).view(np.int64)),
+                        pa.array(np.concatenate([w for _, w in sets]).astype(np.float64)),
+                    ],
+                    ["doc_id", "total", "item", "weight"],
+                )
+                at += len(run)
+
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    return texts.select("doc_id", "text").mapInArrow(
+        made, f"doc_id {id_type}, total double, item long, weight double"
+    )
+
+
+def _rare(members: DataFrame, texts: DataFrame, similar: float, stages: Stages) -> DataFrame:
+    """(doc_id, band, x): the rare shingles that members of open buckets offer."""
 
     open_ = members.join(_largest_classes(members), "band").select("doc_id").distinct()
-    held = texts.join(open_, "doc_id", "left_semi").select("doc_id", weighted("text").alias("s"))
-    total = F.aggregate("s.weight", F.lit(0.0), lambda a, w: a + w)
-    held = held.select("doc_id", total.alias("total"), F.explode(F.arrays_zip("s.item", "s.weight")).alias("s"))
-    held = stages.write(held.select("doc_id", "total", "s.*"), "shingles")
+    held = stages.write(_as_rows(texts.join(open_, "doc_id", "left_semi")), "shingles")
     often = held.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = held.join(stages.write(often, "often"), "item")
     # Shingles of one document only come first in it, whichever they are.
