@@ -15,25 +15,23 @@ _FACTS = {
     "addresses": "source_addresses",
     "block_timestamp": "created_timestamp",
 }
+SOURCE_KEY = list(_REFERENCE.values())
 
+#: The index that inputs without a reference refer to.
+NO_OUTPUT = -1
 
-_NO_OUTPUT = -1
 
+def reference_rows(tx_df: DataFrame) -> DataFrame:
+    """One row per input of a non-coinbase transaction, with the key of the output it spends.
 
-def link_spends(tx_df: DataFrame, outputs_df: DataFrame) -> DataFrame:
-    """One row per input of a non-coinbase transaction with the output it spends.
-
-    Of ``outputs_df`` the key is needed; value, addresses and time are taken if present.
-    ``has_source`` is false for an input without a matching output. Inputs without a
-    reference would all land in one partition with their null keys, so they get one of
-    their own that no output has. Inputs are on the left, so that an output referred to
-    again and again can be split.
+    Inputs without a reference would all land in one partition with their null keys, so they
+    get one of their own that no output has.
     """
     item = zip_fields("inputs", "spent_transaction_hash", "spent_output_index", "addresses")
     complete = (
         F.col("i.spent_transaction_hash").isNotNull() & F.col("i.spent_output_index").isNotNull()
     )
-    inputs = (
+    return (
         tx_df.filter(F.col("is_coinbase") == F.lit(False))
         .select(
             F.col("hash").alias("tx_hash"),
@@ -49,21 +47,37 @@ def link_spends(tx_df: DataFrame, outputs_df: DataFrame) -> DataFrame:
             .otherwise(F.col("tx_hash"))
             .alias("source_tx_hash"),
             F.when(complete, F.col("i.spent_output_index"))
-            .otherwise(_NO_OUTPUT)
+            .otherwise(NO_OUTPUT)
             .alias("source_output_index"),
             first_of(F.col("i.addresses")).alias("raw_address"),
         )
     )
+
+
+def sources(outputs_df: DataFrame) -> DataFrame:
+    """Outputs as sources of spends. Of ``outputs_df`` the key is needed; value, addresses
+    and time are taken if present."""
     renamed = {**_REFERENCE, **_FACTS}
-    sources = outputs_df.filter(F.col("output_index").isNotNull()).select(
+    return outputs_df.filter(F.col("output_index").isNotNull()).select(
         *[F.col(name).alias(renamed[name]) for name in renamed if name in outputs_df.columns],
         F.lit(True).alias("has_source"),
     )
-    return inputs.join(sources, list(_REFERENCE.values()), "left").withColumn(
+
+
+def with_sources(references: DataFrame, found: DataFrame) -> DataFrame:
+    """``references`` with the ``sources`` of their keys. ``has_source`` is false for an
+    input without a matching output. Inputs are on the left, so that an output referred to
+    again and again can be split."""
+    return references.join(found, SOURCE_KEY, "left").withColumn(
         "has_source", F.coalesce("has_source", F.lit(False))
     )
 
 
+def link_spends(tx_df: DataFrame, outputs_df: DataFrame) -> DataFrame:
+    """One row per input of a non-coinbase transaction with the output it spends."""
+    return with_sources(reference_rows(tx_df), sources(outputs_df))
+
+
 def within_input_bounds(min_inputs: int, max_inputs: int | None) -> Column:
     enough = F.col("input_count") >= min_inputs
     return enough if max_inputs is None else enough & (F.col("input_count") <= max_inputs)

@@ -245,6 +245,57 @@ PARTS: dict[str, tuple[str, str]] = {
 }
 
 
+# The first two of three periods of the growing ledger: their last days.
+PERIODS = (9951, 10742)
+
+PARTS["cid"] = (
+    "spends tx outs",
+    """
+    SELECT * FROM (
+        SELECT s.tx_hash, s.block_number AS day,
+               CASE WHEN len(o.addresses) > 0 THEN o.addresses[1]
+                    WHEN len(s.addresses) > 0 THEN s.addresses[1] END AS address
+        FROM spends s JOIN tx t ON t.hash = s.tx_hash
+        LEFT JOIN outs o ON o.tx_hash = s.spent_tx_hash
+                        AND o.output_index = s.spent_output_index
+        WHERE t.input_count >= 2 AND NOT t.is_coinbase)
+    WHERE address IS NOT NULL""",
+)
+for _number, _last in enumerate(PERIODS, 1):
+    PARTS[f"edge{_number}"] = (
+        "cid",
+        f"""
+        SELECT DISTINCT src, address AS dst
+        FROM (SELECT address, min(address) OVER (PARTITION BY tx_hash) AS src
+              FROM cid WHERE day <= {_last})
+        WHERE src < address""",
+    )
+    PARTS[f"reach{_number}"] = (
+        f"edge{_number}",
+        f"""
+        SELECT src AS address, dst AS other FROM edge{_number}
+        UNION SELECT dst, src FROM edge{_number}
+        UNION
+        SELECT r.address, e.other
+        FROM reach{_number} r
+        JOIN (SELECT src AS address, dst AS other FROM edge{_number}
+              UNION ALL SELECT dst, src FROM edge{_number}) e ON e.address = r.other""",
+    )
+    PARTS[f"ent{_number}"] = (
+        f"reach{_number}",
+        f"""
+        SELECT address, least(address, min(other)) AS entity_id FROM reach{_number} GROUP BY address""",
+    )
+PARTS["damage"] = (
+    "tx",
+    """
+    SELECT *, CASE WHEN input_count + output_count <= 40
+                   THEN CAST(substr(hash, 3) AS BIGINT) % 20 END AS harm,
+           strftime(make_timestamp(block_timestamp * 1000000), '%Y-%m') AS year_month
+    FROM tx""",
+)
+
+
 def _with(names: str, select: str) -> str:
     """``select`` preceded by the named expressions and all they need, in order."""
     ordered: list[str] = []
@@ -618,5 +669,55 @@ ORACLE: dict[str, str] = {
                   strftime(DATE '1970-01-01' + CAST(number AS INTEGER), '%Y-%m-01') AS date
            FROM blk""",
     ),
+    "entities_by_batches": _with("ent", "SELECT address, entity_id FROM ent"),
+    "entity_merges": _with(
+        "ent1 ent2 ent",
+        """SELECT DISTINCT a.entity_id AS entity, b.entity_id AS merged_into, CAST(2 AS BIGINT) AS batch
+           FROM ent1 a JOIN ent2 b USING (address) WHERE a.entity_id <> b.entity_id
+           UNION ALL
+           SELECT DISTINCT a.entity_id, b.entity_id, 3
+           FROM ent2 a JOIN ent b USING (address) WHERE a.entity_id <> b.entity_id""",
+    ),
+    "utxo_after_undo": _with(
+        "outs spends",
+        f"""SELECT {_OUTPUT_COLUMNS} FROM outs o WHERE block_number <= {PERIODS[0]} AND NOT EXISTS (
+               SELECT 1 FROM spends s WHERE s.block_number <= {PERIODS[0]}
+               AND s.spent_tx_hash = o.tx_hash AND s.spent_output_index = o.output_index)""",
+    ),
+    "utxo_after_reorganisation": _with("utxo", f"SELECT {_OUTPUT_COLUMNS} FROM utxo"),
+    "spent_by_last_period": _with(
+        "outs spends",
+        f"""SELECT o.tx_hash, o.output_index, o.value
+            FROM outs o JOIN (SELECT spent_tx_hash, spent_output_index, min(block_number) AS first
+                              FROM spends GROUP BY ALL) s
+              ON s.spent_tx_hash = o.tx_hash AND s.spent_output_index = o.output_index
+            WHERE o.block_number <= {PERIODS[1]} AND s.first > {PERIODS[1]}""",
+    ),
+    "utxo_set_keyed": _with("utxo", f"SELECT {_OUTPUT_COLUMNS} FROM utxo"),
+    "clustering_inputs_keyed": _with("ci", "SELECT tx_hash, address FROM ci"),
+    "utxo_history_keyed": _with("hist", "SELECT * FROM hist"),
+    "loaded_good_lines": _with(
+        "damage",
+        """SELECT hash, block_number, input_count, output_count FROM damage
+           WHERE harm IS NULL OR harm > 3""",
+    ),
+    "quarantined_lines": _with(
+        "damage",
+        """SELECT year_month, CASE WHEN harm < 2 THEN 'torn' WHEN harm = 2 THEN 'no key'
+                                   ELSE 'mistyped' END AS reason, count(*) AS lines
+           FROM damage WHERE harm <= 3 GROUP BY ALL""",
+    ),
+    "ingested_transactions": _with(
+        "damage",
+        """SELECT hash, block_number, input_count, output_count FROM damage
+           WHERE harm IS NULL OR harm > 3""",
+    ),
+    "ingested_folders": _with(
+        "damage",
+        """SELECT CASE WHEN CAST(year_month[6:7] AS INTEGER) <= 6 THEN CAST(0 AS BIGINT) ELSE 1 END AS run,
+                  count(DISTINCT year_month) AS months
+           FROM damage GROUP BY ALL""",
+    ),
+    "snapshot_results": _with("bal", "SELECT entity_id, balance_satoshi, utxo_count FROM bal"),
     "parquet_roundtrip": _with("utxo", f"SELECT {_OUTPUT_COLUMNS} FROM utxo"),
 }

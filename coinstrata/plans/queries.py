@@ -18,10 +18,21 @@ from coinstrata.operators import (
     spends,
     utxo,
 )
+from coinstrata.operators.entity_index import EntityIndex
+from coinstrata.operators.keyed import KeyedLedger
+from coinstrata.operators.utxo_state import UtxoState
 from coinstrata.plans import reports
 from coinstrata.plans.pipeline import LedgerPipeline, whole_records
 from coinstrata.sources.files import fingerprint, move
-from coinstrata.sources.json_export import first_part, load_blocks, load_transactions
+from coinstrata.schemas import SLIM_TRANSACTION_SCHEMA
+from coinstrata.sources.ingest import ingest, ingested, manifest
+from coinstrata.sources.json_export import (
+    first_part,
+    load_blocks,
+    load_transactions,
+    quarantined,
+)
+from coinstrata.sources.snapshots import load_snapshot, save_snapshot
 from coinstrata.sources.tables import load_results
 
 QUERIES: dict[str, Callable[[LedgerPipeline], DataFrame]] = {}
@@ -442,6 +453,214 @@ def parquet_roundtrip(p):
     return saved.withColumn("addresses", _text("addresses"))
 
 
+# --- growing ledgers ----------------------------------------------------------------
+
+#: Last days of the first two of three periods, as block numbers: March 1997, May 1999.
+PERIODS = (9951, 10742)
+
+
+def _in_period(column: Column, number: int) -> Column:
+    low, high = [None, *PERIODS][number], [*PERIODS, None][number]
+    inside = F.lit(True) if low is None else column > low
+    return inside if high is None else inside & (column <= high)
+
+
+def _entity_index(p: LedgerPipeline) -> EntityIndex:
+    """The ledger's periods as three batches."""
+    folder = f"{p.folder}/entity-index"
+
+    def build() -> None:
+        index = EntityIndex(p.spark, folder)
+        day = F.floor(F.col("spent_timestamp") / 86400)
+        usable = p.spends.filter(spends.within_input_bounds(p.min_inputs, p.max_inputs))
+        for number in range(3):
+            index.add(spends.input_addresses(usable.filter(_in_period(day, number))))
+
+    p.once("entity-index", build)
+    return EntityIndex(p.spark, folder)
+
+
+@query
+def entities_by_batches(p):
+    """Entities after three batches, each added to what the ones before it found."""
+    return _entity_index(p).entities()
+
+
+@query
+def entity_merges(p):
+    """Which entities the second and third batch joined to others or renamed."""
+    return _entity_index(p).merges
+
+
+def _utxo_state(p: LedgerPipeline) -> tuple[str, str]:
+    """Folders of two states: after the second period was applied and undone, and after all
+    three, with the second one replaced."""
+    early, late = f"{p.folder}/utxo-undone", f"{p.folder}/utxo-replaced"
+    ends = [0, *PERIODS, 10**6]
+
+    def apply(state: UtxoState, number: int) -> None:
+        inside = _in_period(F.col("block_number"), number)
+        state.apply(p.outputs.filter(inside), p.inputs.filter(inside), ends[number] + 1, ends[number + 1])
+
+    def build() -> None:
+        state = UtxoState(p.spark, early)
+        apply(state, 0)
+        apply(state, 1)
+        state.undo(ends[1] + 1)
+        state = UtxoState(p.spark, late)
+        for number in (0, 1):
+            apply(state, number)
+        state.undo(ends[1] + 1)
+        apply(state, 1)
+        state.settle(ends[1])
+        apply(state, 2)
+
+    p.once("utxo-state", build)
+    return early, late
+
+
+@query
+def utxo_after_undo(p):
+    """The unspent set of the first period, after the second was applied and undone."""
+    state = UtxoState(p.spark, _utxo_state(p)[0])
+    return state.unspent().withColumn("addresses", _text("addresses"))
+
+
+@query
+def utxo_after_reorganisation(p):
+    """The unspent set of all periods, after the second was undone and applied again."""
+    state = UtxoState(p.spark, _utxo_state(p)[1])
+    return state.unspent().withColumn("addresses", _text("addresses"))
+
+
+@query
+def spent_by_last_period(p):
+    """The outputs of earlier periods that the third one spends."""
+    state = UtxoState(p.spark, _utxo_state(p)[1])
+    return state.spent_since(PERIODS[1] + 1).select("tx_hash", "output_index", "value")
+
+
+_keyed: dict[str, KeyedLedger] = {}
+
+
+def _keyed_ledger(p: LedgerPipeline) -> KeyedLedger:
+    if p.folder not in _keyed:
+        _keyed[p.folder] = KeyedLedger.write(p.spark, p.records, p.outputs, p.folder)
+    return _keyed[p.folder]
+
+
+@query
+def utxo_set_keyed(p):
+    """The unspent set from tables in buckets of the key."""
+    return _keyed_ledger(p).unspent().withColumn("addresses", _text("addresses"))
+
+
+@query
+def clustering_inputs_keyed(p):
+    """Inputs with the addresses that they spend, from tables in buckets of the key."""
+    linked = _keyed_ledger(p).spends()
+    return spends.input_addresses(linked.filter(spends.within_input_bounds(2, None)))
+
+
+@query
+def utxo_history_keyed(p):
+    """The history from tables in buckets of the key."""
+    return _keyed_ledger(p).history(p.entities)
+
+
+def _damage() -> Column:
+    """What is done to the line of a small transaction, by its number: 0 to 3 is damage."""
+    number = F.pmod(F.substring("hash", 3, 18).cast("long"), F.lit(20))
+    return F.when(F.col("input_count") + F.col("output_count") <= 40, number)
+
+
+def _damaged(p: LedgerPipeline) -> str:
+    """An export of the ledger in which some lines are torn, some have a word for a number
+    and some no hash."""
+    base = f"{p.folder}/damaged"
+
+    def write() -> None:
+        whole = F.to_json(F.struct(*SLIM_TRANSACTION_SCHEMA.names))
+        records = p.records
+        for name in SLIM_TRANSACTION_SCHEMA.names:
+            if name not in records.columns:
+                records = records.withColumn(name, F.lit(None).cast(SLIM_TRANSACTION_SCHEMA[name].dataType))
+        line = (
+            F.when(_damage() == 0, F.substr(whole, F.lit(1), F.char_length(whole) - 20))
+            .when(_damage() == 1, F.regexp_replace(whole, '"block_number":', '"block_number":"x"+'))
+            .when(_damage() == 2, F.regexp_replace(whole, '"hash":"[^"]*",', ""))
+            .when(_damage() == 3, F.regexp_replace(whole, '"block_number":[0-9]+', '"block_number":"x"'))
+            .otherwise(whole)
+        )
+        month = F.trunc(F.date_from_unix_date(F.col("block_number").cast("int")), "month")
+        lines = records.select(line.alias("value"), month.alias("date"))
+        lines = lines.hint("rebalance", "date").write.mode("overwrite")
+        lines.partitionBy("date").text(f"{base}/batch/transactions")
+
+    p.once("damaged", write)
+    return base
+
+
+@query
+def loaded_good_lines(p):
+    """What is read of an export with bad lines."""
+    loaded = load_transactions(p.spark, _damaged(p), slim=True).filter(first_part())
+    return loaded.select("hash", "block_number", "input_count", "output_count")
+
+
+@query
+def quarantined_lines(p):
+    """Bad lines by the month of their folder and what is wrong with them."""
+    bad = quarantined(p.spark, _damaged(p))
+    month = F.regexp_extract("file", "date=([0-9]{4}-[0-9]{2})", 1).alias("year_month")
+    return bad.groupBy(month, "reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def _ingested(p: LedgerPipeline) -> str:
+    """The damaged export as its parts came: the second half of each year late."""
+    base, target = f"{p.folder}/arriving", f"{p.folder}/ingested"
+
+    def run() -> None:
+        lines = p.spark.read.text(f"{_damaged(p)}/batch/transactions")
+        for number, late in enumerate((F.month("date") <= 6, F.month("date") > 6)):
+            part = lines.filter(late).hint("rebalance", "date").write.mode("overwrite")
+            part.partitionBy("date").text(f"{base}/batch-{number}/transactions")
+            ingest(p.spark, base, target)
+            ingest(p.spark, base, target)  # nothing new
+
+    p.once("ingested", run)
+    return target
+
+
+@query
+def ingested_transactions(p):
+    """What two runs over a growing export with bad lines have read."""
+    loaded = ingested(p.spark, _ingested(p)).filter(first_part())
+    return loaded.select("hash", "block_number", "input_count", "output_count")
+
+
+@query
+def ingested_folders(p):
+    """Months read by each run, from the manifest of the files read."""
+    month = F.regexp_extract("path", "date=([0-9]{4}-[0-9]{2})", 1).alias("month")
+    files = manifest(p.spark, _ingested(p)).select("run", month).distinct()
+    return files.groupBy("run").agg(F.count(F.lit(1)).alias("months"))
+
+
+@query
+def snapshot_results(p):
+    """Unspent outputs and entities of the last snapshot: owned value per entity."""
+    folder = f"{p.folder}/snapshots"
+
+    def save() -> None:
+        save_snapshot(folder, utxos=p.utxos.limit(0), entities=p.entities.limit(0))
+        save_snapshot(folder, utxos=p.utxos, entities=p.entities)
+
+    p.once("snapshots", save)
+    held = load_snapshot(p.spark, folder, "utxos"), load_snapshot(p.spark, folder, "entities")
+    return balances.entity_balances(*held).select("entity_id", "balance_satoshi", "utxo_count")
+
+
 _pipelines: dict[tuple, LedgerPipeline] = {}
 
 

@@ -56,3 +56,46 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         fs.delete(target_path, True)
         fs.mkdirs(target_path.getParent())
         fs.rename(source_path, target_path)
+
+
+def visible_files(spark: SparkSession, path: str) -> list[str]:
+    """Files directly below ``path``, hidden ones left out, in name order."""
+    hadoop_path, fs = _path(spark, path)
+    return sorted(
+        entry.getPath().toString()
+        for entry in fs.listStatus(hadoop_path)
+        if entry.isFile() and not entry.getPath().getName().startswith(".")
+    )
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of ``text``."""
+    hadoop_path, fs = _path(spark, path)
+    stream = fs.create(hadoop_path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def text_of(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    hadoop_path, fs = _path(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file its final name; fails if that name is taken."""
+    jvm = spark._jvm
+    source_path, _ = _path(spark, source)
+    target_path, _ = _path(spark, target)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target_path.toUri(), conf)
+    options = spark.sparkContext._gateway.new_array(
+        getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0
+    )
+    context.rename(source_path, target_path, options)

@@ -1,5 +1,7 @@
 """Parquet tables: result sinks, and stage tables that are written once and re-read."""
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,3 +29,15 @@ def save_results(base_path: str, **tables: DataFrame) -> dict[str, str]:
 
 def load_results(spark: SparkSession, base_path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base_path.rstrip('/')}/{name}.parquet")
+
+
+def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write ``df`` in buckets of ``keys`` and return the table. A join of two tables with
+    as many buckets of the same types of keys needs no shuffle. The catalog of the session
+    knows the table under a name of its own; its files are those below ``path``."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    # One task per bucket, so that a bucket is one file.
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
