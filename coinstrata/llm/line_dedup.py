@@ -10,14 +10,15 @@ is three tables, all sharded by the digest of the key:
   keys in ``counts``.
 
 Inserting documents asks the filters first: a key that misses is new for certain and is
-counted by itself, and only keys that hit are joined with the counts. Deleting documents
-takes their references out, counts again where a keeper went, and deletes the fingerprints
-of keys that nobody holds any more. So any sequence of inserts and deletes leaves the same
-counts as the remaining documents inserted at once.
+counted by itself, and only keys that hit are settled with the counts. A corpus is built in
+turns, each a part of its documents that is inserted into the index of the parts before it.
+Deleting documents takes their references out, counts the keys again that these held, and
+deletes the fingerprints of keys that nobody holds any more. So any sequence of inserts and
+deletes leaves the same counts as the remaining documents inserted at once.
 """
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,8 @@ from coinstrata.llm.common import BLANKS, Stages, carried
 LEAST_CHARS = 10
 #: Keys a shard should hold; the number of shards follows the number of keys.
 KEYS_PER_SHARD = 100_000
+#: Parts in which a corpus is inserted.
+TURNS = 2
 #: Fingerprints of a bucket, share of slots to fill, moves before a key is spilt.
 BUCKET, LOAD, KICKS = 4, 0.84, 200
 
@@ -173,23 +176,28 @@ class LineIndex:
     filters: DataFrame
     shards: int
     least_chars: int
+    keys_per_shard: int
 
     @classmethod
     def build(
         cls, docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
-        least_chars: int = LEAST_CHARS, keys_per_shard: int = KEYS_PER_SHARD,
+        least_chars: int = LEAST_CHARS, keys_per_shard: int = KEYS_PER_SHARD, turns: int = TURNS,
     ) -> "LineIndex":
-        """Index ``docs``. The number of shards follows the number of keys found; it stays
-        for the life of the index, and filters grow with their shards."""
+        """Index ``docs``, a part of the ids in each turn. The number of shards follows the
+        number of keys, here and when it has doubled."""
         stages = Stages(docs.sparkSession, "lines")
-        references = stages.write(_references(docs, text, doc_id, least_chars), "references")
-        counts = stages.write(_counted(references), "counts")
-        n_keys = counts.count()
-        shards = max(1, math.ceil(n_keys / keys_per_shard))
+        turn = F.pmod(F.xxhash64("doc_id"), F.lit(turns)).alias("turn")
+        references = _references(docs, text, doc_id, least_chars).select("key", "doc_id", turn)
+        references = stages.write(references, "references")
+        part = lambda i: references.filter(F.col("turn") == i).drop("turn")
+        counts = stages.write(_counted(part(0)), "counts")
+        shards = max(1, math.ceil(counts.count() * turns / keys_per_shard))
         counts = counts.withColumn("shard", _shard(shards))
-        made = counts.select("shard", _hash().alias("hash"))
-        filters = made.groupBy("shard").applyInPandas(_new_filter, FILTERS)
-        return cls(references, counts, stages.write(filters, "filters"), shards, least_chars)
+        filters = stages.write(_filters_of(counts), "filters")
+        index = cls(part(0), counts, filters, shards, least_chars, keys_per_shard)
+        for number in range(1, turns):
+            index = index._with(part(number), Stages(docs.sparkSession, "lines"))
+        return replace(index, references=references.drop("turn"))
 
     def insert(self, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> "LineIndex":
         """Add documents. Those whose id is in the index already are left as they are."""
@@ -197,62 +205,80 @@ class LineIndex:
         fresh = _references(docs, text, doc_id, self.least_chars)
         fresh = _without(fresh, self.references.select("doc_id"))
         fresh = stages.write(fresh, "fresh")
+        index = self._with(fresh, stages)
+        references = stages.write(self.references.unionByName(fresh), "references")
+        return replace(index, references=references)
+
+    def _with(self, fresh: DataFrame, stages: Stages) -> "LineIndex":
+        """The index with the references ``fresh`` of new documents counted; the table of
+        references is left to the caller."""
         batch = stages.write(_counted(fresh).withColumn("shard", _shard(self.shards)), "batch")
-        asked = batch.withColumn("hash", _hash()).groupBy("shard")
-        asked = asked.cogroup(self.filters.groupBy("shard")).applyInPandas(
-            _ask, "key binary, known boolean"
+        asked = batch.select("shard", "key", _hash().alias("hash")).groupBy("shard")
+        asked = asked.cogroup(self.filters.groupBy("shard")).applyInPandas(_ask, "hit binary")
+        hits = stages.write(asked, "hits")
+        # A miss is new for certain and skips the counts.
+        missed = batch.join(hits, F.col("key") == F.col("hit"), "left_anti")
+        hit = batch.join(hits, F.col("key") == F.col("hit"), "left_semi").select(
+            "key", F.col("n_docs").alias("_more"), F.col("keeper").alias("_keeper"), "shard"
         )
-        asked = stages.write(asked, "asked")
-        batch = batch.join(asked, "key")
-        # A miss is new for certain; hits are settled by the exact counts.
-        new = batch.filter(~F.col("known")).select("key", "n_docs", "keeper", "shard")
-        hits = batch.filter("known").select(
-            "key", F.col("n_docs").alias("_more"), F.col("keeper").alias("_keeper"),
-            F.col("shard").alias("_shard"),
-        )
-        counts = self.counts.select("key", "n_docs", "keeper", "shard").join(hits, "key", "full")
-        either = F.col("n_docs").isNotNull() & F.col("_more").isNotNull()
-        counts = counts.select(
+        hit = stages.write(hit, "asked")
+        held = self.counts.join(hit.select("key"), "key", "left_semi")
+        held = stages.write(held.select("key", "n_docs", "keeper"), "held")
+        settled = hit.join(held, "key", "left").select(
             "key",
-            (F.coalesce("n_docs", F.lit(0)) + F.coalesce("_more", F.lit(0))).alias("n_docs"),
-            F.when(either, _least("keeper", "_keeper"))
-            .when(F.col("n_docs").isNotNull(), F.col("keeper"))
-            .otherwise(F.col("_keeper"))
+            (F.coalesce("n_docs", F.lit(0)) + F.col("_more")).alias("n_docs"),
+            F.when(F.col("n_docs").isNull(), F.col("_keeper"))
+            .otherwise(_least("keeper", "_keeper"))
             .alias("keeper"),
-            F.coalesce("shard", "_shard").alias("shard"),
-        )
-        counts = stages.write(counts.unionByName(new), "counts")
-        references = stages.write(self.references.unionByName(fresh), "references")
-        gone = self.counts.limit(0)
-        filters = self._changed(_without_keys(counts, self.counts), gone, counts)
-        return LineIndex(
-            references, counts, stages.write(filters, "filters"), self.shards, self.least_chars
+            "shard",
         )
+        missed = stages.write(missed.select("key", "n_docs", "keeper", "shard"), "missed")
+        untouched = _without_keys(self.counts, held).select("key", "n_docs", "keeper", "shard")
+        counts = untouched.unionByName(settled).unionByName(missed)
+        counts = stages.write(counts, "counts")
+        # A hit that no count answers was a false one, so its key is new as well.
+        new = missed.select("key", "shard").unionByName(_without_keys(hit, held).select("key", "shard"))
+        return self._changed(new, new.limit(0), counts, stages)
 
     def delete(self, doc_ids: DataFrame, doc_id: str = "doc_id") -> "LineIndex":
         """Take documents out; ids that the index does not hold change nothing."""
         stages = Stages(doc_ids.sparkSession, "lines")
-        named = doc_ids.select(F.col(doc_id).alias("doc_id"))
+        named = doc_ids.select(F.col(doc_id).alias("_id")).distinct()
+        going = self.references.join(named, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        touched = stages.write(going.select("key").distinct(), "touched")
+        named = named.withColumnRenamed("_id", "doc_id")
         references = stages.write(_without(self.references, named), "references")
-        counts = _counted(references).withColumn("shard", _shard(self.shards))
-        counts = stages.write(counts, "counts")
-        filters = self._changed(counts.limit(0), _without_keys(self.counts, counts), counts)
-        return LineIndex(
-            references, counts, stages.write(filters, "filters"), self.shards, self.least_chars
-        )
-
-    def _changed(self, added: DataFrame, removed: DataFrame, counts: DataFrame) -> DataFrame:
-        """The filters after keys came and went. A filter whose shard outgrew it is built
-        again from the shard's keys."""
+        again = _counted(references.join(touched, "key", "left_semi"))
+        again = stages.write(again.withColumn("shard", _shard(self.shards)), "again")
+        untouched = _without_keys(self.counts, touched).select("key", "n_docs", "keeper", "shard")
+        counts = stages.write(untouched.unionByName(again), "counts")
+        gone = _without_keys(touched, again).withColumn("shard", _shard(self.shards))
+        index = self._changed(gone.limit(0), gone, counts, stages)
+        return replace(index, references=references)
+
+    def _changed(
+        self, added: DataFrame, removed: DataFrame, counts: DataFrame, stages: Stages
+    ) -> "LineIndex":
+        """The index with ``counts``, after keys came and went. A filter whose shard outgrew
+        it is built again from the shard's keys; where the shards hold twice the keys they
+        should, there are more of them, and all filters are."""
+        n_keys = counts.count()
+        if n_keys > 2 * self.shards * self.keys_per_shard:
+            shards = math.ceil(n_keys / self.keys_per_shard)
+            counts = counts.drop("shard").withColumn("shard", _shard(shards))
+            filters = stages.write(_filters_of(counts), "filters")
+            return replace(self, counts=counts, filters=filters, shards=shards)
         changes = added.select("shard", _hash().alias("hash"), F.lit(1).alias("sign")).unionByName(
             removed.select("shard", _hash().alias("hash"), F.lit(-1).alias("sign"))
         )
         kept = changes.groupBy("shard").cogroup(self.filters.groupBy("shard"))
-        kept = kept.applyInPandas(_change, FILTERS)
+        kept = stages.write(kept.applyInPandas(_change, FILTERS), "changed")
         full = F.col("n_keys") > F.lit(BUCKET * LOAD * 1.1) * F.col("buckets")
-        again = counts.join(kept.filter(full).select("shard"), "shard")
-        again = again.select("shard", _hash().alias("hash")).groupBy("shard")
-        return kept.filter(~full).unionByName(again.applyInPandas(_new_filter, FILTERS))
+        filters = kept.filter(~full)
+        if not kept.filter(full).isEmpty():
+            again = counts.join(kept.filter(full).select("shard"), "shard", "left_semi")
+            filters = stages.write(filters.unionByName(_filters_of(again)), "filters")
+        return replace(self, counts=counts, filters=filters)
 
     def dropped(self) -> DataFrame:
         """(doc_id, keys): for each document that loses lines, the keys it loses."""
@@ -357,6 +383,11 @@ def _without(references: DataFrame, ids: DataFrame) -> DataFrame:
     return references.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
 
 
+def _filters_of(counts: DataFrame) -> DataFrame:
+    made = counts.select("shard", _hash().alias("hash"))
+    return made.groupBy("shard").applyInPandas(_new_filter, FILTERS)
+
+
 def _without_keys(counts: DataFrame, other: DataFrame) -> DataFrame:
     return counts.join(other.select("key"), "key", "left_anti")
 
@@ -375,8 +406,10 @@ def _loaded(rows: pd.DataFrame) -> CuckooFilter:
 
 
 def _ask(batch: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
+    if not len(batch) or not len(filters):
+        return pd.DataFrame({"hit": []})
     known = _loaded(filters).contains(batch["hash"].to_numpy().view(np.uint64))
-    return pd.DataFrame({"key": batch["key"], "known": known})
+    return pd.DataFrame({"hit": batch["key"][known]})
 
 
 def _change(changes: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
@@ -392,5 +425,11 @@ def _change(changes: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
 def dedup_lines(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_chars: int = LEAST_CHARS
 ) -> DataFrame:
-    """``docs`` with ``lines`` and ``kept``: all lines, and those that stay."""
+    """``docs`` with ``lines`` and ``kept``: all lines, and those that stay.
+
+    A null or empty text is one empty line, which stays; so do short lines. Rows that repeat
+    an id are one document, so none of them loses a line to another; a null id is a document
+    like any other, smaller than all. Very long texts are split whole, an empty table gives
+    none, and columns named lines and kept are replaced.
+    """
     return LineIndex.build(docs, text, doc_id, least_chars).kept_lines(docs, text, doc_id)

@@ -167,7 +167,12 @@ def parsed(records: DataFrame) -> DataFrame:
 def archived_pages(pages: DataFrame, least_bytes: int = 0, folder: str | None = None) -> DataFrame:
     """Write ``pages`` as an archive below ``folder`` (default: a stage folder), read it
     back and return what the records say, with the digest of a response recomputed from
-    the block that was read."""
+    the block that was read.
+
+    A null html is an empty payload, and equal payloads of ``least_bytes`` or more, empty
+    ones included, have one response. Rows that repeat a page_id are records of their own;
+    a null page_id is smaller than all. Very long pages are stored whole, and an empty table
+    makes an empty archive."""
     spark = pages.sparkSession
     folder = folder or own_folder(spark, "warc")
     archive = write_archive(*web_records(pages, least_bytes=least_bytes), folder)

@@ -378,3 +378,38 @@ def test_ids_of_other_types(spark):
     assert {r.doc_id: (r.class_id, r.class_size) for r in out} == {
         "a": ("a", 3), "b": ("a", 3), "d": ("a", 3), "c": ("c", 1)
     }
+
+
+def test_random_inserts_and_deletes_from_an_empty_index(documents):
+    """Any sequence leaves the counts of the documents that are in; shards grow with them."""
+    rng = random.Random(14)
+    lines = [f"a line of text {i}" for i in range(60)]
+    docs = {i: (i, "\n".join(rng.sample(lines, rng.randint(1, 12)))) for i in range(40)}
+    index, held = LineIndex.build(documents(docs[0]).limit(0), keys_per_shard=10), {}
+    assert index.counts.count() == 0 and index.shards == 1
+    for turn in range(5):
+        if turn % 3 == 2:
+            gone = rng.sample(sorted(held), len(held) // 2)
+            index = index.delete(documents(*[docs[i] for i in gone]))
+            held = {i: d for i, d in held.items() if i not in gone}
+        else:
+            more = rng.sample([i for i in docs if i not in held], 10)
+            index = index.insert(documents(*[docs[i] for i in more]))
+            held |= {i: docs[i] for i in more}
+        by_line = {}
+        for i, (_, text) in held.items():
+            for line in text.split("\n"):
+                by_line.setdefault(line, set()).add(i)
+        got = sorted((r.n_docs, r.keeper) for r in index.counts.collect())
+        assert got == sorted((len(ids), min(ids)) for ids in by_line.values())
+        assert index.filters.agg({"n_keys": "sum"}).first()[0] == len(by_line)
+    assert index.shards > 2
+
+
+def test_lines_come_through_the_filters(documents, monkeypatch):
+    """A filter that misses keys it holds makes them new ones, which the rows show."""
+    text = "a line that both documents have\nand one of its own "
+    rows = [(i, text + str(i)) for i in range(6)]
+    assert sum(len(r.kept) for r in dedup_lines(documents(*rows)).collect()) == 7
+    monkeypatch.setattr(CuckooFilter, "contains", lambda self, keys: np.zeros(len(keys), bool))
+    assert sum(len(r.kept) for r in dedup_lines(documents(*rows)).collect()) != 7

@@ -72,3 +72,12 @@ def test_stages_handle_edge_rows(spark, edges):
         assert stage(spark, docs.limit(0), SF).count() == 0, name
         if name != "tokenize":
             assert out.columns == columns
+
+
+def test_repeated_ids_with_other_texts_are_judged_by_row(spark):
+    one = " ".join(f"word{i}" for i in range(200))
+    two = " ".join(f"other{i}" for i in range(200))
+    rows = [(1, one), (2, one + " more"), (2, two), (3, two), (3, two), (None, one), (4, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_dedup(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out) == sorted([(1, one), (2, two), (0, one), (4, ""), (5, "")])
