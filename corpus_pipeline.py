@@ -33,7 +33,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that a smaller doc_id keeps. ``n_chars`` follows
-    the text; a document that loses no line keeps its text and count as they are."""
+    the text; a document that loses no line keeps its text and count as they are, null
+    included. One that loses all its lines stays, with an empty text: its rows still say
+    that it was there, and every line it had stands in another document. Rows that repeat
+    an id are one document, so they lose no line to each other."""
     deduped = dedup_lines(docs)
     changed = F.size("lines") > F.size("kept")
     text = F.array_join("kept", "\n")
@@ -46,21 +49,31 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document of smallest doc_id. Of rows that repeat
-    a doc_id all stay or go together; rows with a null id stay, as they are in no class."""
-    classes = near_duplicates(docs.select("doc_id", "text"))
-    gone = classes.filter("doc_id <> class_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Of each class of near duplicates the document of smallest doc_id. Rows that repeat an
+    id and the text stay or go together; rows that repeat an id with another text are judged
+    by their own text, in the order of its digest. Rows with a null id stay, as they are in
+    no class, and so do null and empty texts, which are like no other."""
+    digest = F.coalesce(F.md5("text"), F.lit(""))
+    ids = docs.filter("doc_id is not null").groupBy("doc_id")
+    mixed = ids.agg(F.min(digest).alias("low"), F.max(digest).alias("high")).filter("low <> high")
+    # Where ids name one text each they are enough, and shorter.
+    key = F.col("doc_id") if mixed.isEmpty() else F.struct("doc_id", digest.alias("digest"))
+    key = F.when(F.col("doc_id").isNotNull(), key).alias("_key")
+    classes = near_duplicates(docs.select(key, "text"), doc_id="_key")
+    gone = classes.filter("doc_id <> class_id").select(F.col("doc_id").alias("_key"))
+    return docs.select("*", key).join(gone, "_key", "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without a window of any benchmark item."""
+    """The documents without a window of any benchmark item. Null and empty texts have no
+    window and stay; repeated rows stay or go together."""
     scanned = scan_texts(docs, table(spark, sf_dir, "benchmark"))
     return scanned.filter("scan.n_hit = 0").select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece numbers of every document, and how many they are."""
+    """The piece numbers of every row, and how many they are. Null and empty texts have
+    none; repeated rows stay repeated."""
     model = PieceModel.load(default_model())
     encoded = docs.select("doc_id", "lang", "source", encode(docs["text"], model, spark).alias("pieces"))
     return encoded.withColumn("n_pieces", F.size("pieces").cast("long"))
