@@ -174,12 +174,13 @@ def _distances(held: DataFrame, groups: DataFrame, stages: Stages) -> DataFrame:
         F.ceil(F.col("sources") / SOURCES).alias("blocks"),
         F.ceil(F.col("rows") * 2 / F.ceil(F.col("sources") / SOURCES) / TASK_ROWS).alias("slices"),
     )
-    shares = held.join(groups.select("lang", "source", "n_source", "kept", "base"), ["lang", "source"])
-    shares = shares.select(
-        "lang", "source", "term", _share(F.col("n"), F.col("n_source"), F.col("kept")).alias("p"), "base"
-    )
+    placed = groups.select("lang", "source", "n_source", "kept", "base").join(dealt, "lang")
     block = F.pmod(F.xxhash64("source"), F.col("blocks")).alias("block")
-    keyed = shares.join(dealt, "lang").select("*", block)
+    placed = stages.write(placed.select("*", block), "placed")
+    keyed = held.join(placed, ["lang", "source"]).select(
+        "lang", "source", "term", _share(F.col("n"), F.col("n_source"), F.col("kept")).alias("p"),
+        "base", "blocks", "slices", "block",
+    )
     # A row goes to each pair of blocks that its own block is in.
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     keyed = keyed.select("*", other).select(
@@ -218,6 +219,8 @@ def _distances(held: DataFrame, groups: DataFrame, stages: Stages) -> DataFrame:
         made.insert(0, "lang", key[0])
         return made
 
+    # Said outright: rows that are dealt by language already would stay where they are.
+    keyed = keyed.repartition("lang", "one", "two", "slice")
     parts = keyed.groupBy("lang", "one", "two", "slice").applyInPandas(
         compare, "lang string, a string, b string, difference long"
     )
