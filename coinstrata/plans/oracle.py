@@ -295,6 +295,35 @@ PARTS["damage"] = (
     FROM tx""",
 )
 
+PARTS["month_end"] = (
+    "timeline",
+    """
+    SELECT entity_id, CAST(date_trunc('month', event_date) AS DATE) AS month,
+           arg_max(cumulative_satoshi, event_date) AS sat,
+           CASE WHEN sat >= 100000000000 THEN 'Mega Whale (1000+ BTC)'
+                WHEN sat >= 10000000000 THEN 'Whale (100-1000 BTC)'
+                WHEN sat >= 1000000000 THEN 'Large (10-100 BTC)'
+                ELSE 'Small/Medium (<10 BTC)' END AS category
+    FROM timeline GROUP BY entity_id, 2""",
+)
+PARTS["member"] = ("ci", "SELECT DISTINCT tx_hash, address FROM ci")
+PARTS["near"] = (
+    "member",
+    """
+    SELECT x.tx_hash, x.address, y.address AS other
+    FROM member x JOIN member y USING (tx_hash) WHERE x.address <> y.address""",
+)
+# Where one gets from an address without its place among the inputs of one transaction.
+PARTS["side"] = (
+    "near",
+    """
+    SELECT DISTINCT tx_hash, address, address AS node FROM near
+    UNION
+    SELECT s.tx_hash, s.address, n.other
+    FROM side s JOIN near n ON n.address = s.node
+    WHERE NOT (n.tx_hash = s.tx_hash AND (n.address = s.address OR n.other = s.address))""",
+)
+
 
 def _with(names: str, select: str) -> str:
     """``select`` preceded by the named expressions and all they need, in order."""
@@ -718,6 +747,55 @@ ORACLE: dict[str, str] = {
                   count(DISTINCT year_month) AS months
            FROM damage GROUP BY ALL""",
     ),
+    "category_intervals": _with(
+        "month_end",
+        """SELECT entity_id, category, strftime(month, '%Y-%m') AS first_month,
+                  strftime(lead(month) OVER (PARTITION BY entity_id ORDER BY month), '%Y-%m') AS until
+           FROM (SELECT *, lag(category) OVER (PARTITION BY entity_id ORDER BY month) AS before
+                 FROM month_end)
+           WHERE category IS DISTINCT FROM before""",
+    ),
+    "category_month_end_then": _with(
+        "month_end",
+        """SELECT strftime(m.month, '%Y-%m') AS year_month, e.category,
+                  CAST(sum(e.sat) AS DOUBLE) / 1e8 AS total_btc, count(*) AS entity_count
+           FROM (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE)
+                        AS month FROM month_end) m
+           JOIN (SELECT *, lead(month) OVER (PARTITION BY entity_id ORDER BY month) AS until
+                 FROM month_end) e
+             ON e.month <= m.month AND (e.until IS NULL OR m.month < e.until)
+           GROUP BY ALL""",
+    ),
+    "timeline_by_periods": _with(
+        "timeline",
+        """SELECT entity_id, CAST(event_date AS VARCHAR) AS event_date, daily_delta,
+                  cumulative_satoshi, CAST(units AS DOUBLE) / 1e4 AS cumulative_btc
+           FROM timeline""",
+    ),
+    "entity_bridges": _with(
+        "side ent size",
+        """SELECT tx_hash, address, entity_id,
+                  CAST(CASE WHEN with_first THEN whole - n ELSE n END AS BIGINT) AS cut_off,
+                  CAST(CASE WHEN with_first THEN n ELSE whole - n END AS BIGINT) AS rest
+           FROM (SELECT s.tx_hash, s.address, e.entity_id, any_value(z.address_count) AS whole,
+                        count(DISTINCT s.node) AS n, bool_or(s.node = e.entity_id) AS with_first,
+                        count(m.address) AS others
+                 FROM side s JOIN ent e USING (address) JOIN size z USING (entity_id)
+                 LEFT JOIN member m ON m.tx_hash = s.tx_hash AND m.address = s.node
+                                   AND m.address <> s.address
+                 GROUP BY s.tx_hash, s.address, e.entity_id)
+           WHERE others = 0 AND n >= 2 AND whole - n >= 2""",
+    ),
+    "equal_output_transactions": _with(
+        "outs ci",
+        """SELECT tx_hash, value, equal_outputs, input_addresses
+           FROM (SELECT tx_hash, value, count(*) AS equal_outputs FROM outs WHERE value > 0
+                 GROUP BY tx_hash, value HAVING count(*) >= 2
+                 QUALIFY row_number() OVER (PARTITION BY tx_hash ORDER BY count(*) DESC, value DESC) = 1)
+           JOIN (SELECT tx_hash, count(DISTINCT address) AS input_addresses FROM ci GROUP BY tx_hash)
+             USING (tx_hash)
+           WHERE input_addresses >= 2""",
+    ),
     "snapshot_results": _with("bal", "SELECT entity_id, balance_satoshi, utxo_count FROM bal"),
     "parquet_roundtrip": _with("utxo", f"SELECT {_OUTPUT_COLUMNS} FROM utxo"),
 }

@@ -3,6 +3,7 @@
 Arrays and days are shown as text, so that any engine compares them alike.
 """
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +14,10 @@ from coinstrata.operators import (
     balances,
     clustering,
     distribution,
+    false_links,
     flatten,
     history,
+    periods,
     spends,
     utxo,
 )
@@ -647,6 +650,51 @@ def ingested_folders(p):
     return files.groupBy("run").agg(F.count(F.lit(1)).alias("months"))
 
 
+def _months_as_text(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.date_format(c, "yyyy-MM") for c in columns})
+
+
+@query
+def category_intervals(p):
+    """While which category held for an entity."""
+    found = periods.category_intervals(periods.month_ends(p.daily))
+    return _months_as_text(found, "first_month", "until")
+
+
+@query
+def category_month_end_then(p):
+    """Balances at the ends of months by the category that held then."""
+    return periods.category_month_end_then(periods.month_ends(p.daily))
+
+
+@query
+def timeline_by_periods(p):
+    """The timeline of three periods, each from the balances of the one before it."""
+    folder = f"{p.folder}/timeline-index"
+
+    def build() -> None:
+        index = periods.TimelineIndex(p.spark, folder)
+        day = F.unix_date("event_date")
+        for number, last in enumerate((*PERIODS, 10**5)):
+            index.add(p.daily.filter(_in_period(day, number)), datetime.date(1970, 1, 1) + datetime.timedelta(last))
+
+    p.once("timeline-index", build)
+    return _day_as_text(periods.TimelineIndex(p.spark, folder).timeline())
+
+
+@query
+def entity_bridges(p):
+    """Inputs without which an entity falls into two parts of two addresses or more."""
+    return false_links.bridges(p.clustering_inputs, p.entities, p.folder, least_size=2)
+
+
+@query
+def equal_output_transactions(p):
+    """Transactions with two equal outputs or more and two input addresses or more."""
+    values = p.flat_outputs("tx_hash", "value")
+    return false_links.equal_output_transactions(values, p.clustering_inputs, 2, 2)
+
+
 @query
 def snapshot_results(p):
     """Unspent outputs and entities of the last snapshot: owned value per entity."""

@@ -1,17 +1,19 @@
 """Ledgers that grow: entities by batches, the unspent set as a state, snapshots, layouts
 by key, bad lines, files read once."""
 
+import datetime as dt
 import json
 import random
 
 import pytest
-from ledger_data import output, rows, spend, transaction
+from ledger_data import BTC, output, rows, spend, transaction
 
 from coinstrata import explode_inputs, explode_outputs, load_blocks, load_transactions
-from coinstrata.operators import keyed
+from coinstrata.functions.labels import HOLDER_CATEGORIES_COARSE
+from coinstrata.operators import false_links, keyed, periods
 from coinstrata.operators.clustering import cluster_addresses
 from coinstrata.operators.entity_index import EntityIndex
-from coinstrata.operators.history import utxo_history
+from coinstrata.operators.history import balance_timeline, utxo_history
 from coinstrata.operators.keyed import KeyedLedger
 from coinstrata.operators.spends import link_spends
 from coinstrata.operators.utxo import compute_utxo_set
@@ -376,3 +378,121 @@ def test_an_interrupted_run_repeats_nothing(spark, tmp_path, monkeypatch):
     assert rows(ingested(spark, target), "hash") == [(f"h{i}",) for i in range(4)]
     assert sorted(r.run for r in manifest(spark, target).collect()) == [0, 1, 2, 3]
     assert ingesting._BAD == "_bad_line"
+
+
+DAYS = "entity_id string, event_date date, daily_delta long, daily_inflow long, daily_outflow long"
+
+
+@pytest.fixture
+def daily(spark):
+    rng = random.Random(5)
+    made = []
+    for entity in "ABCDE":
+        balance = 0
+        for day in sorted(rng.sample(range(700), 25)):
+            change = rng.choice([-balance, -balance // 2, rng.randrange(1, 300) * BTC])
+            balance += change
+            made.append((entity, dt.date(2011, 1, 5) + dt.timedelta(day), change, max(change, 0), min(change, 0)))
+    return spark.createDataFrame(made, DAYS)
+
+
+@pytest.mark.parametrize("cuts", [[], [100], [3, 250, 251, 600], [699]])
+def test_a_timeline_from_opening_balances_is_the_whole_one(spark, workdir, daily, cuts):
+    index, first = periods.TimelineIndex(spark, workdir), dt.date(2011, 1, 5)
+    ends = [first + dt.timedelta(d) for d in [*cuts, 10**4]]
+    for before, last in zip([None, *ends], ends):
+        inside = daily.filter(daily.event_date <= last)
+        index.add(inside if before is None else inside.filter(inside.event_date > before), last)
+    whole = balance_timeline(daily)
+    assert rows(index.timeline(), *whole.columns) == rows(whole)
+    assert rows(index.balances()) == rows(daily.groupBy("entity_id").agg({"daily_delta": "sum"}))
+    with pytest.raises(ValueError, match="not after"):
+        index.add(daily.limit(1), ends[-1] + dt.timedelta(1))
+    assert periods.TimelineIndex(spark, workdir).last_day == ends[-1]
+
+
+def test_categories_of_the_time(spark, daily):
+    ends = periods.month_ends(daily)
+    held = {}
+    for r in daily.orderBy("event_date").collect():
+        held.setdefault(r.entity_id, []).append((r.event_date, r.daily_delta))
+    label = lambda sat: next(name for bound, name in HOLDER_CATEGORIES_COARSE if bound is None or sat >= bound * BTC)
+    months = [(y, m) for y in range(2011, 2014) for m in range(1, 13)]
+    last = max((d.year, d.month) for days in held.values() for d, _ in days)
+    months = [m for m in months if min((d.year, d.month) for days in held.values() for d, _ in days) <= m <= last]
+    expected, spans = {}, []
+    for entity, days in held.items():
+        before = None
+        for y, m in months:
+            done = [c for d, c in days if (d.year, d.month) <= (y, m)]
+            if done:
+                now = label(sum(done))
+                total, n = expected.get((f"{y}-{m:02d}", now), (0, 0))
+                expected[f"{y}-{m:02d}", now] = (total + sum(done), n + 1)
+                if now != before:
+                    spans.append((entity, now, dt.date(y, m, 1)))
+                before = now
+    got = {(r.year_month, r.category): (round(r.total_btc * BTC), r.entity_count) for r in periods.category_month_end_then(ends).collect()}
+    assert got == expected
+    assert rows(periods.category_intervals(ends), "entity_id", "category", "first_month") == sorted(spans, key=repr)
+    open_ = periods.category_intervals(ends).filter("until is null")
+    assert rows(open_, "entity_id") == [(e,) for e in "ABCDE"]
+
+
+def parts_by_hand(pairs, least):
+    """Bridges by taking each input away and looking what is still connected."""
+    of_tx = {}
+    for tx, address in pairs:
+        of_tx.setdefault(tx, set()).add(address)
+
+    def reach(start, without=None):
+        seen, open_ = {start}, [start]
+        while open_:
+            a = open_.pop()
+            for tx, group in of_tx.items():
+                here = group - {without[1]} if without and tx == without[0] else group
+                if a in here:
+                    more = here - seen
+                    seen |= more
+                    open_ += more
+        return seen
+
+    out = set()
+    for tx, group in of_tx.items():
+        for a in group if len(group) > 1 else ():
+            whole = reach(a)
+            side = reach(a, (tx, a))
+            if not side & (group - {a}):
+                low = min(whole)
+                n = len(whole) - len(side) if low in side else len(side)
+                if min(n, len(whole) - n) >= least:
+                    out.add((tx, a, low, n, len(whole) - n))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_bridges_by_taking_inputs_away(spark, workdir, seed):
+    rng = random.Random(seed)
+    pairs = [(f"t{rng.randrange(22)}", f"a{rng.randrange(34):02d}") for _ in range(56)]
+    pairs += [(f"c{i}", f"z{j}") for i in range(6) for j in (i, i + 1)]  # a chain
+    pairs += [("big", f"y{i}") for i in range(6)] + [("ring", "y0"), ("ring", "y5"), ("ring2", "y1")]
+    inputs = spark.createDataFrame(pairs, INPUTS)
+    entities = cluster_addresses(inputs, workdir).select("address", "entity_id")
+    for least in (1, 3):
+        found = false_links.bridges(inputs, entities, workdir, least_size=least)
+        assert rows(found, "tx_hash", "address", "entity_id", "cut_off", "rest") == parts_by_hand(pairs, least)
+    none = false_links.bridges(inputs.limit(0), entities.limit(0), workdir)
+    assert none.isEmpty()
+
+
+def test_a_mixing_transaction_is_named(spark, workdir):
+    mixed = [("mix", 100_000)] * 6 + [("mix", 7), ("mix", 9)]
+    plain = [("pay", 5), ("pay", 5), ("pay", 8), ("two", 3), ("two", 3), ("two", 3), ("two", 3), ("two", 3)]
+    outputs = spark.createDataFrame([*mixed, *plain, ("mix", None), ("mix", 0)], "tx_hash string, value long")
+    spent = [("mix", f"o{i}") for i in range(6)] + [("two", "o1"), ("two", "p1"), ("pay", "q")]
+    inputs = spark.createDataFrame(spent + spent[:2], INPUTS)
+    found = false_links.equal_output_transactions(outputs, inputs)
+    assert rows(found) == [("mix", 100_000, 6, 6)]
+    kept = false_links.without_transactions(inputs, found)
+    entities = dict(rows(cluster_addresses(kept, workdir).select("address", "entity_id")))
+    assert entities == {"o1": "o1", "p1": "o1"}
