@@ -17,12 +17,15 @@ from coinstrata.sources.tables import write_counted, write_table
 
 
 def equal_output_transactions(
-    outputs: DataFrame, clustering_inputs: DataFrame, least_equal: int = 5, least_addresses: int = 5
+    outputs: DataFrame, clustering_inputs: DataFrame, least_equal: int = 5, least_addresses: int = 5,
+    unit: int = 1,
 ) -> DataFrame:
     """(tx_hash, value, equal_outputs, input_addresses): transactions with ``least_equal``
     outputs or more of one value (of several such values the one with most, then the
-    largest) and as many input addresses as ``least_addresses``."""
-    values = outputs.filter("value > 0").groupBy("tx_hash", "value").agg(F.count(F.lit(1)).alias("n"))
+    largest) and as many input addresses as ``least_addresses``. With a ``unit`` above 1
+    values that differ by less than that, rounded down, are one."""
+    rounded = (F.col("value") - F.col("value") % unit).alias("value")
+    values = outputs.filter("value > 0").select("tx_hash", rounded).groupBy("tx_hash", "value").agg(F.count(F.lit(1)).alias("n"))
     values = values.filter(F.col("n") >= least_equal)
     most = F.max(F.struct("n", "value")).alias("most")
     equal = values.groupBy("tx_hash").agg(most)

@@ -789,13 +789,19 @@ ORACLE: dict[str, str] = {
     "equal_output_transactions": _with(
         "outs ci",
         """SELECT tx_hash, value, equal_outputs, input_addresses
-           FROM (SELECT tx_hash, value, count(*) AS equal_outputs FROM outs WHERE value > 0
+           FROM (SELECT tx_hash, value, count(*) AS equal_outputs
+                 FROM (SELECT tx_hash, value - value % 10000000 AS value FROM outs WHERE value > 0)
                  GROUP BY tx_hash, value HAVING count(*) >= 2
                  QUALIFY row_number() OVER (PARTITION BY tx_hash ORDER BY count(*) DESC, value DESC) = 1)
            JOIN (SELECT tx_hash, count(DISTINCT address) AS input_addresses FROM ci GROUP BY tx_hash)
              USING (tx_hash)
            WHERE input_addresses >= 2""",
     ),
+    "top_whale_members": _with(
+        "ent ranked",
+        """SELECT address, entity_id FROM ent
+           WHERE entity_id IN (SELECT entity_id FROM ranked WHERE rank <= 10)""",
+    ),
     "snapshot_results": _with("bal", "SELECT entity_id, balance_satoshi, utxo_count FROM bal"),
     "parquet_roundtrip": _with("utxo", f"SELECT {_OUTPUT_COLUMNS} FROM utxo"),
 }

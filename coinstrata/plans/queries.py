@@ -35,6 +35,7 @@ from coinstrata.sources.json_export import (
     load_transactions,
     quarantined,
 )
+from coinstrata.sources.lookup import lookup, write_lookup
 from coinstrata.sources.snapshots import load_snapshot, save_snapshot
 from coinstrata.sources.tables import load_results
 
@@ -690,9 +691,19 @@ def entity_bridges(p):
 
 @query
 def equal_output_transactions(p):
-    """Transactions with two equal outputs or more and two input addresses or more."""
+    """Transactions with two outputs or more that are equal down to 0.1 BTC, and two input
+    addresses or more."""
     values = p.flat_outputs("tx_hash", "value")
-    return false_links.equal_output_transactions(values, p.clustering_inputs, 2, 2)
+    return false_links.equal_output_transactions(values, p.clustering_inputs, 2, 2, unit=10**7)
+
+
+@query
+def top_whale_members(p):
+    """Addresses of the ten largest holders, looked up in a table clustered by entity."""
+    path = f"{p.folder}/lookup-entities"
+    p.once("lookup", lambda: write_lookup(p.entities, path, "entity_id"))
+    members = p.spark.read.schema(p.entities.schema).parquet(path)
+    return lookup(members, "entity_id", balances.top_holders(p.entity_balances, 10).select("entity_id"))
 
 
 @query

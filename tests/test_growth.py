@@ -21,6 +21,7 @@ from coinstrata.operators.utxo_state import UtxoState
 from coinstrata.sources import ingest as ingesting
 from coinstrata.sources.ingest import ingest, ingested, ingested_bad_lines, manifest
 from coinstrata.sources.json_export import quarantine_counts, quarantined
+from coinstrata.sources.lookup import lookup, write_lookup
 from coinstrata.sources.snapshots import (
     commit,
     drop_old_snapshots,
@@ -493,6 +494,33 @@ def test_a_mixing_transaction_is_named(spark, workdir):
     inputs = spark.createDataFrame(spent + spent[:2], INPUTS)
     found = false_links.equal_output_transactions(outputs, inputs)
     assert rows(found) == [("mix", 100_000, 6, 6)]
+    near = spark.createDataFrame([("mix", 100_000 + i) for i in range(6)], "tx_hash string, value long")
+    assert false_links.equal_output_transactions(near, inputs).isEmpty()
+    assert rows(false_links.equal_output_transactions(near, inputs, unit=1000)) == [("mix", 100_000, 6, 6)]
     kept = false_links.without_transactions(inputs, found)
     entities = dict(rows(cluster_addresses(kept, workdir).select("address", "entity_id")))
     assert entities == {"o1": "o1", "p1": "o1"}
+
+
+def scanned(df):
+    """The rows that a query returned, and those that its scan read."""
+    found = df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return found, leaf.metrics().apply("numOutputRows").value()
+
+
+def test_a_lookup_reads_few_row_groups(spark, tmp_path):
+    table = spark.range(4000).selectExpr("concat('e', id % 400) AS entity_id", "concat('a', id) AS address")
+    plain = str(tmp_path / "plain")
+    table.repartition(20).write.parquet(plain)
+    laid = write_lookup(table, str(tmp_path / "laid"), "entity_id", files=20)
+    keys = spark.createDataFrame([("e7",), ("e7",), (None,), ("none",)], "k string")
+    expected = sorted(f"a{i}" for i in range(7, 4000, 400))
+    whole, read_plain = scanned(lookup(spark.read.parquet(plain), "entity_id", keys))
+    found, read = scanned(lookup(laid, "entity_id", keys))
+    assert sorted(r.address for r in found) == sorted(r.address for r in whole) == expected
+    # Dictionaries let the plain table leave out files too, but keys are spread over many.
+    assert read <= 400 < 800 <= read_plain
+    joined = lookup(laid, "entity_id", keys, few=1)
+    assert sorted(r.address for r in joined.collect()) == expected and joined.columns == laid.columns
+    assert lookup(laid, "entity_id", keys.limit(0)).isEmpty()
