@@ -26,13 +26,17 @@ With all shingles in one order, the first that two documents share comes after u
 ones only. So the rarest come first, and a document offers a shingle only while x = u / (1 -
 u), u the share of weight before it, is at most 1 / similar - 1; two documents meet at a
 shingle if their x together are at most that. Frequent shingles, like a template's, come
-late and are not offered by documents with something of their own. This misses no pair; the
-members that meet are again compared with one first, and then all that are left in
-different classes. All comparisons compute the similarity itself from all shingles.
+late and are not offered by documents with something of their own. The members that meet
+are again compared with one first. Those that are left in different classes are held
+against each other by bitmaps of their shingles: a bit that one has and the other has not
+is a shingle (of weight 1 or more) that is not shared, so the bits give a u and a v that are
+not too large, and the same bound. None of this misses a pair. What passes is compared by
+the similarity itself, from all shingles.
 """
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -161,6 +165,8 @@ SLICE_CHARS = 2_000_000
 STAR_TURNS, RARE_TURNS = 3, 2
 #: Bytes of texts and shingles that a task remembers while it compares.
 REMEMBERED_BYTES = 20_000_000
+#: Words of 64 bits in a bitmap of shingles.
+BITMAP = 32
 #: For rounding of sums of weights.
 TINY = 1e-6
 
@@ -209,7 +215,7 @@ def near_duplicates(
         if turn < STAR_TURNS + RARE_TURNS:
             pairs = _star_pairs(members, turn, turn in (0, STAR_TURNS, STAR_TURNS + 1))
         else:
-            pairs = _rest_pairs(members, similar)
+            pairs = _rest_pairs(members, texts, similar, stages)
         pairs = stages.write(pairs.join(compared, ["a", "b"], "left_anti"), f"pairs-{turn}")
         compared = stages.write(compared.unionByName(pairs), f"compared-{turn}")
         links = stages.write(_similar(pairs, texts, similar), f"links-{turn}")
@@ -341,18 +347,47 @@ def _rare(members: DataFrame, texts: DataFrame, similar: float, stages: Stages)
     return stages.write(placed.select("doc_id", "band", (F.col("u") / (1 - F.col("u"))).alias("x")), "rare")
 
 
-def _rest_pairs(members: DataFrame, similar: float) -> DataFrame:
-    """Pairs (a, b) of different classes that meet at a rare shingle. A group that has
-    become one class has none."""
-    here = members.join(_largest_classes(members), "band")
-    outside = here.filter("class_id <> largest").select(
-        *[F.col(c).alias(f"other_{c}") for c in ("band", "doc_id", "class_id", "x")]
-    )
+def _bitmaps(texts: DataFrame) -> DataFrame:
+    """(doc_id, total, bits_0, ...): the weight of a text's shingles, and their bitmap."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            totals, maps = [], np.zeros((batch.num_rows, 64 * BITMAP), np.uint8)
+            for i, text in enumerate(batch.column(1)):
+                items, weights = shingles(text.as_py(), hashes)
+                maps[i, (items % np.uint64(64 * BITMAP)).astype(np.int64)] = 1
+                totals.append(float(weights.sum()))
+            words = np.packbits(maps, axis=1, bitorder="little").view(np.int64)
+            columns = [pa.array(c) for c in words.reshape(-1, BITMAP).T]
+            names = ["doc_id", "total", *(f"bits_{k}" for k in range(BITMAP))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(totals, pa.float64()), *columns], names)
+
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    bits = ", ".join(f"bits_{k} long" for k in range(BITMAP))
+    return texts.select("doc_id", "text").mapInArrow(made, f"doc_id {id_type}, total double, {bits}")
+
+
+def _rest_pairs(members: DataFrame, texts: DataFrame, similar: float, stages: Stages) -> DataFrame:
+    """Pairs (a, b) of different classes that meet at a rare shingle and that their bitmaps
+    don't rule out. A group that has become one class has none."""
+    here = stages.write(members.join(_largest_classes(members), "band"), "open")
+    maps = _bitmaps(texts.join(here.select("doc_id").distinct(), "doc_id", "left_semi"))
+    here = here.join(stages.write(maps, "bitmaps"), "doc_id")
+    outside = here.filter("class_id <> largest").drop("largest")
+    outside = outside.select(*[F.col(c).alias(f"other_{c}") for c in outside.columns])
     # Of two members outside the largest class each finds the other; one is enough.
     once = (F.col("class_id") == F.col("largest")) | (F.col("doc_id") < F.col("other_doc_id"))
+    most = 1 / similar - 1 + 4 * TINY
+    bits = [(F.col(f"bits_{k}"), F.col(f"other_bits_{k}")) for k in range(BITMAP)]
+    only = reduce(Column.__add__, [F.bit_count(a.bitwiseAND(F.bitwise_not(b))) for a, b in bits])
+    other_only = reduce(Column.__add__, [F.bit_count(b.bitwiseAND(F.bitwise_not(a))) for a, b in bits])
+    shared, other_shared = F.col("total") - only, F.col("other_total") - other_only
+    # u / (1 - u) + v / (1 - v) <= most, without a division.
+    near = only * other_shared + other_only * shared <= most * shared * other_shared
     condition = (
         (F.col("band") == F.col("other_band")) & (F.col("class_id") != F.col("other_class_id"))
-        & once & (F.col("x") + F.col("other_x") <= 1 / similar - 1 + 4 * TINY)
+        & once & (F.col("x") + F.col("other_x") <= most) & near
     )
     met = here.join(outside, condition).select("doc_id", "other_doc_id")
     return met.select(*_ordered("doc_id", "other_doc_id")).distinct()
