@@ -35,6 +35,8 @@ KEYS_PER_SHARD = 100_000
 TURNS = 2
 #: Fingerprints of a bucket, share of slots to fill, moves before a key is spilt.
 BUCKET, LOAD, KICKS = 4, 0.84, 200
+#: Keys for each bucket beyond which a filter is built again.
+FULL = BUCKET * LOAD * 1.1
 
 
 class CuckooFilter:
@@ -193,7 +195,7 @@ class LineIndex:
         counts = stages.write(_counted(part(0)), "counts")
         shards = max(1, math.ceil(counts.count() * turns / keys_per_shard))
         counts = counts.withColumn("shard", _shard(shards))
-        filters = stages.write(_filters_of(counts), "filters")
+        filters = stages.write(_filters_of(counts, keys_per_shard), "filters")
         index = cls(part(0), counts, filters, shards, least_chars, keys_per_shard)
         for number in range(1, turns):
             index = index._with(part(number), Stages(docs.sparkSession, "lines"))
@@ -266,18 +268,18 @@ class LineIndex:
         if n_keys > 2 * self.shards * self.keys_per_shard:
             shards = math.ceil(n_keys / self.keys_per_shard)
             counts = counts.drop("shard").withColumn("shard", _shard(shards))
-            filters = stages.write(_filters_of(counts), "filters")
+            filters = stages.write(_filters_of(counts, self.keys_per_shard), "filters")
             return replace(self, counts=counts, filters=filters, shards=shards)
         changes = added.select("shard", _hash().alias("hash"), F.lit(1).alias("sign")).unionByName(
             removed.select("shard", _hash().alias("hash"), F.lit(-1).alias("sign"))
         )
         kept = changes.groupBy("shard").cogroup(self.filters.groupBy("shard"))
         kept = stages.write(kept.applyInPandas(_change, FILTERS), "changed")
-        full = F.col("n_keys") > F.lit(BUCKET * LOAD * 1.1) * F.col("buckets")
+        full = F.col("n_keys") > F.lit(FULL) * F.col("buckets")
         filters = kept.filter(~full)
         if not kept.filter(full).isEmpty():
             again = counts.join(kept.filter(full).select("shard"), "shard", "left_semi")
-            filters = stages.write(filters.unionByName(_filters_of(again)), "filters")
+            filters = stages.write(filters.unionByName(_filters_of(again, self.keys_per_shard)), "filters")
         return replace(self, counts=counts, filters=filters)
 
     def dropped(self) -> DataFrame:
@@ -383,21 +385,22 @@ def _without(references: DataFrame, ids: DataFrame) -> DataFrame:
     return references.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
 
 
-def _filters_of(counts: DataFrame) -> DataFrame:
+def _filters_of(counts: DataFrame, room: int) -> DataFrame:
+    """New filters, each with room for ``room`` keys at least."""
+
+    def filled(rows: pd.DataFrame) -> pd.DataFrame:
+        made = CuckooFilter(max(len(rows), room))
+        made.insert(rows["hash"].to_numpy().view(np.uint64))
+        return pd.DataFrame([made.row(int(rows["shard"].iloc[0]))])
+
     made = counts.select("shard", _hash().alias("hash"))
-    return made.groupBy("shard").applyInPandas(_new_filter, FILTERS)
+    return made.groupBy("shard").applyInPandas(filled, FILTERS)
 
 
 def _without_keys(counts: DataFrame, other: DataFrame) -> DataFrame:
     return counts.join(other.select("key"), "key", "left_anti")
 
 
-def _new_filter(rows: pd.DataFrame) -> pd.DataFrame:
-    made = CuckooFilter(len(rows))
-    made.insert(rows["hash"].to_numpy().view(np.uint64))
-    return pd.DataFrame([made.row(int(rows["shard"].iloc[0]))])
-
-
 def _loaded(rows: pd.DataFrame) -> CuckooFilter:
     if not len(rows):
         return CuckooFilter(1)
@@ -417,8 +420,12 @@ def _change(changes: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
     hashes = changes["hash"].to_numpy().view(np.uint64)
     signs = changes["sign"].to_numpy()
     held.delete(hashes[signs < 0])
-    held.insert(hashes[signs > 0])
     shard = (changes if len(changes) else filters)["shard"].iloc[0]
+    row = held.row(int(shard))
+    if row["n_keys"] + (signs > 0).sum() > FULL * row["buckets"]:
+        # Built again from the counts by the caller, so not filled beyond its room here.
+        return pd.DataFrame([row | {"n_keys": row["n_keys"] + int((signs > 0).sum())}])
+    held.insert(hashes[signs > 0])
     return pd.DataFrame([held.row(int(shard))])
 
 
