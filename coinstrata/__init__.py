@@ -10,16 +10,27 @@ from coinstrata.operators.clustering import (
 )
 from coinstrata.operators.components import connected_components
 from coinstrata.operators.distribution import data_summary, get_data_summary
+from coinstrata.operators.entity_index import EntityIndex
 from coinstrata.operators.flatten import explode_inputs, explode_outputs
 from coinstrata.operators.history import balance_events, balance_timeline, utxo_history
+from coinstrata.operators.keyed import KeyedLedger
+from coinstrata.operators.periods import TimelineIndex
 from coinstrata.operators.utxo import compute_utxo_set
+from coinstrata.operators.utxo_state import UtxoState
 from coinstrata.plans.pipeline import LedgerPipeline
 from coinstrata.session import create_spark_session
-from coinstrata.sources.json_export import load_blocks, load_transactions
+from coinstrata.sources.ingest import ingest, ingested
+from coinstrata.sources.json_export import load_blocks, load_transactions, quarantined
+from coinstrata.sources.lookup import lookup, write_lookup
+from coinstrata.sources.snapshots import load_snapshot, save_snapshot
 from coinstrata.sources.tables import load_results, save_results
 
 __all__ = [
+    "EntityIndex",
+    "KeyedLedger",
     "LedgerPipeline",
+    "TimelineIndex",
+    "UtxoState",
     "balance_events",
     "balance_timeline",
     "cluster_addresses",
@@ -33,12 +44,19 @@ __all__ = [
     "explode_outputs",
     "get_data_summary",
     "graph_vertices",
+    "ingest",
+    "ingested",
     "load_blocks",
     "load_results",
+    "load_snapshot",
     "load_transactions",
+    "lookup",
+    "quarantined",
     "save_results",
+    "save_snapshot",
     "star_edges",
     "top_holders",
     "tx_address_sets",
     "utxo_history",
+    "write_lookup",
 ]
