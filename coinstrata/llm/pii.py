@@ -14,8 +14,8 @@ the next attempt number. So distinct entities stay distinct and the same one sta
 same in all documents. A name that stands without its title later in a text is replaced
 there too.
 
-Everything is built-in functions. Texts that cannot hold a mention (no address sign, no two
-digits, no title, ...) are told by cheap tests before the patterns, each text with a mention
+Everything is built-in functions. Texts that cannot hold a mention (no address sign, no
+number, no title, ...) are told by cheap tests before the patterns, each text with a mention
 is written once, and only their digests and mentions are shuffled.
 """
 
@@ -56,8 +56,8 @@ PATTERNS = {
 }
 MENTION = "|".join(PATTERNS.values())
 #: A text without any of these has no mention.
-SIGNS = ["@", "+", *SECRET_NAMES, *FEMALE, *MALE]
-TWO_DIGITS = r"[0-9][0-9.]"
+SIGNS = ["@", "+", "AKIA", "ASIA", *SECRET_NAMES, *FEMALE, *MALE]
+NUMBER = r"[0-9][0-9. -]|[0-9a-fA-F]{32}"
 #: Words of a text as names are written, and what stands between them. Shorter names are
 #: not looked for without their title.
 WORDS = r"\p{L}[\p{L}\p{M}]*(?:['’]\p{Lu}[\p{L}\p{M}]*|-\p{L}[\p{L}\p{M}]*)*|[^\p{L}]+"
@@ -204,7 +204,7 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: Keyed) -> C
 
 def _maybe(text: Column) -> Column:
     """Whether a text has what every mention has; costs little where it has not."""
-    out = text.rlike(TWO_DIGITS)
+    out = text.rlike(NUMBER)
     for sign in SIGNS:
         out = out | text.contains(sign)
     return out
