@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from coinstrata.sources.tables import write_table
 
+# Groups up to this many rows may be sorted in one task.
+WINDOW_ROWS = 10_000
+
 
 def hot_groups(counts: DataFrame, key: str, limit: int) -> DataFrame | None:
     """Keys of ``counts`` (key, n) above ``limit`` rows, or None. Runs one job.
@@ -63,10 +66,47 @@ def numbered(df: DataFrame, key: str, order: list[str], workdir: str, name: str)
 
 
 def with_neighbours(
-    df: DataFrame, key: str, order: list[str], carry: list[str], workdir: str
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    carry: list[str],
+    workdir: str,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``previous`` and ``following``: structs of ``carry`` from the rows next to this
-    one in its group by ``order``, null at the ends. ``order`` must be unique in a group."""
+    one in its group by ``order``, null at the ends. ``order`` must be unique in a group.
+    Rows without a key are left out.
+
+    Only groups of more than ``WINDOW_ROWS`` rows are dealt out by ranges, the others are
+    shuffled once, to a window. ``sizes`` (key, n) are the rows of each group, if they can be
+    told from less than ``df``.
+    """
+    df = df.filter(F.col(key).isNotNull())
+    if sizes is None:
+        sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    large = hot_groups(sizes, key, WINDOW_ROWS)
+    if large is None:
+        return _neighbours_in_window(df, key, order, carry)
+    df = write_table(df, f"{workdir}/groups-{uuid.uuid4().hex}")
+    usual = df.join(large, key, "left_anti").select(df.columns)
+    hot = df.join(large, key, "left_semi").select(df.columns)
+    return _neighbours_in_window(usual, key, order, carry).unionByName(
+        _neighbours_in_ranges(hot, key, order, carry, workdir)
+    )
+
+
+def _neighbours_in_window(
+    df: DataFrame, key: str, order: list[str], carry: list[str]
+) -> DataFrame:
+    row, group = F.struct(*carry), Window.partitionBy(key).orderBy(*order)
+    return df.select(
+        "*", F.lag(row).over(group).alias("previous"), F.lead(row).over(group).alias("following")
+    )
+
+
+def _neighbours_in_ranges(
+    df: DataFrame, key: str, order: list[str], carry: list[str], workdir: str
+) -> DataFrame:
     row, sort_key = F.struct(*carry), F.struct(*order)
     dealt = _in_ranges(df, [key, *order], workdir)
     between = Window.partitionBy(key).orderBy("_part")

@@ -11,6 +11,8 @@ change, and no order can grow one row without bound. ``record_part`` 0 exists fo
 transaction, so transaction-level counts read that part only.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +22,8 @@ from coinstrata.sources.tables import write_table
 
 RECORD_CHUNK = 1000
 
-OUTPUTS = "array<struct<index:int,type:string,addresses:array<string>,value:bigint>>"
-INPUTS = (
-    "array<struct<index:int,spent_transaction_hash:string,spent_output_index:int,"
-    "addresses:array<string>,value:bigint>>"
-)
+OWN = "struct<ck:bigint,marks:array<tinyint>,amounts:array<bigint>>"
+SPENT = "struct<ok:bigint,ck:bigint,marks:array<tinyint>,amounts:array<bigint>>"
 FACTS = ["block_timestamp", "input_count", "n", "output_value"]
 
 # The order of a transaction's outputs.
@@ -38,6 +37,12 @@ LINE_ORDER = [
     "l_tax",
     "l_shipdate",
 ]
+# What an output is made of comes from these; line items that agree in them are alike, so
+# their order by the rest cannot be seen.
+SHORT_ORDER = LINE_ORDER[:4]
+
+# An item without an owner, the first mark of an item with two, an owner without a number.
+NOBODY, TWO, UNKNOWN = 127, 64, 16
 
 
 def derive_transactions(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
@@ -45,66 +50,75 @@ def derive_transactions(spark: SparkSession, sf_dir: str, folder: str) -> DataFr
 
     The per-order facts are written below ``folder`` first: they also tell which orders
     exceed one record. Line items are shuffled once, to gather those of an order (part)
-    in an array; outputs, and the inputs of the next order, are made from that array, so
-    that only whole arrays move when both sides of a transaction meet.
+    in two arrays of numbers, a mark and an amount of each. These short arrays, not the
+    outputs and inputs, move when both sides of a transaction meet; texts and nested
+    records are made where they are written.
     """
     headers = write_table(_headers(spark, sf_dir, folder), f"{folder}/headers")
-    # Whatever is the same for all items of an order is computed here, once per order.
-    customer = F.col("ck").cast("string")
     facts = headers.select(
         "ok",
-        _scale().alias("scale"),
-        F.concat(F.lit("c"), customer, F.lit("-")).alias("own_prefix"),
-        F.concat(F.lit("m"), F.shiftright("ck", 1).cast("string")).alias("shared_address"),
-        _hash(F.col("ok")).alias("hash"),
-        F.struct("ok", *FACTS).alias("own"),
+        "ck",
+        F.struct(*FACTS).alias("own"),
         F.when(
             F.col("following").isNotNull(),
             F.struct(
                 "following.ok",
-                "following.block_timestamp",
-                _spends_of("ok", "n").alias("input_count"),
-                "following.n",
-                "following.output_value",
+                F.struct(
+                    "following.block_timestamp",
+                    _spends_of("ok", "n").alias("input_count"),
+                    "following.n",
+                    "following.output_value",
+                ).alias("tx"),
             ),
         ).alias("spender"),
     )
     gathered = _gathered_lines(spark, sf_dir, headers, folder).join(facts, "ok")
-    with_outputs = gathered.withColumn("outputs", F.transform("items", _as_output))
-    with_inputs = with_outputs.withColumn(
-        "inputs",
-        F.when(
-            F.col("spender").isNotNull(),
-            F.transform(F.filter("outputs", _is_spent), _as_input),
-        ),
-    )
+    nothing_own, nothing_spent = F.lit(None).cast(OWN), F.lit(None).cast(SPENT)
     paid = F.struct(
-        F.col("own").alias("tx"), "part", "outputs", F.lit(None).cast(INPUTS).alias("inputs")
+        "ok",
+        "part",
+        F.col("own").alias("tx"),
+        F.struct("ck", "marks", "amounts").alias("own"),
+        nothing_spent.alias("spent"),
     )
     spending = F.struct(
-        F.col("spender").alias("tx"), "part", F.lit(None).cast(OUTPUTS).alias("outputs"), "inputs"
+        F.col("spender.ok").alias("ok"),
+        "part",
+        F.col("spender.tx").alias("tx"),
+        nothing_own.alias("own"),
+        F.struct("ok", "ck", "marks", "amounts").alias("spent"),
     )
-    sides = with_inputs.select(
-        F.inline(F.when(F.size("inputs") > 0, F.array(paid, spending)).otherwise(F.array(paid)))
+    # Of two outputs in a row one is spent.
+    any_spent = (F.size("marks") > 1) | _is_spent(F.col("ok"), _index(F.lit(0)))
+    has_inputs = F.col("spender").isNotNull() & any_spent
+    sides = gathered.select(
+        F.inline(F.when(has_inputs, F.array(paid, spending)).otherwise(F.array(paid)))
     )
     unpaid = headers.filter(F.col("n") == 0).select(
-        F.struct("ok", *FACTS).alias("tx"),
+        "ok",
         F.lit(0).cast("long").alias("part"),
-        F.lit(None).cast(OUTPUTS).alias("outputs"),
-        F.lit(None).cast(INPUTS).alias("inputs"),
+        F.struct(*FACTS).alias("tx"),
+        nothing_own.alias("own"),
+        nothing_spent.alias("spent"),
     )
     # Two sides at most meet in a record, so combining before the shuffle would only cost.
-    records = (
+    met = (
         sides.unionByName(unpaid)
-        .withColumn("ok", F.col("tx.ok"))
         .repartition("ok", "part")
         .groupBy("ok", "part")
         .agg(
             F.first("tx").alias("tx"),
-            F.first("outputs", ignorenulls=True).alias("outputs"),
-            F.first("inputs", ignorenulls=True).alias("inputs"),
+            F.first("own", ignorenulls=True).alias("own"),
+            F.first("spent", ignorenulls=True).alias("spent"),
         )
     )
+    records = met.select(
+        "ok",
+        "part",
+        "tx",
+        F.when(F.col("own").isNotNull(), F.transform("own.amounts", _output_of(F.col("own")))).alias("outputs"),
+        F.when(F.col("spent").isNotNull(), _inputs_of(F.col("spent"))).alias("inputs"),
+    )
     tx = F.col("tx")
     block_timestamp = tx["block_timestamp"]
     return records.select(
@@ -153,7 +167,7 @@ def _headers(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
         "o_orderdate",
         (seconds + F.col("ok") % 86400).alias("block_timestamp"),
         F.coalesce("n", F.lit(0)).alias("n"),
-        (F.coalesce("raw_value", F.lit(0)) * _scale()).alias("output_value"),
+        (F.coalesce("raw_value", F.lit(0)) * _scale(F.col("ck"))).alias("output_value"),
     )
     linked = with_neighbours(
         counted,
@@ -161,6 +175,7 @@ def _headers(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
         order=["o_orderdate", "ok"],
         carry=["ok", "block_timestamp", "n", "output_value"],
         workdir=folder,
+        sizes=orders.groupBy("ck").agg(F.count(F.lit(1)).alias("n")),
     )
     input_count = F.when(
         F.col("previous").isNotNull(), _spends_of("previous.ok", "previous.n")
@@ -179,21 +194,20 @@ def _headers(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
 def _gathered_lines(
     spark: SparkSession, sf_dir: str, headers: DataFrame, folder: str
 ) -> DataFrame:
-    """(ok, part, items): the line items of an order in output order, with their position
-    ``idx`` in the order, at most ``RECORD_CHUNK`` per row."""
+    """(ok, part, marks, amounts): the line items of an order in output order, at most
+    ``RECORD_CHUNK`` per row. A mark tells whom the item pays, see ``_mark``."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         F.col("l_orderkey").alias("ok"), *LINE_ORDER
     )
     large = hot_groups(headers, "ok", RECORD_CHUNK)
     usual = lines if large is None else lines.join(large, "ok", "left_anti")
+    # Line items of an order are few and apart, so combining before the shuffle would only cost.
     gathered = (
-        usual.groupBy("ok")
-        .agg(F.sort_array(F.collect_list(F.struct(*LINE_ORDER))).alias("sorted"))
-        .select(
-            "ok",
-            F.lit(0).cast("long").alias("part"),
-            F.transform("sorted", lambda line, idx: _item(line, idx.cast("long"))).alias("items"),
-        )
+        usual.select("ok", *SHORT_ORDER)
+        .repartition("ok")
+        .groupBy("ok")
+        .agg(F.sort_array(F.collect_list(F.struct(*SHORT_ORDER))).alias("items"))
+        .select("ok", F.lit(0).cast("long").alias("part"), *_marks_and_amounts())
     )
     if large is None:
         return gathered
@@ -205,50 +219,92 @@ def _gathered_lines(
         in_order.select(
             "ok",
             F.expr(f"idx div {RECORD_CHUNK}").alias("part"),
-            _item(F.struct(*LINE_ORDER), F.col("idx")).alias("item"),
+            F.struct("idx", *SHORT_ORDER).alias("item"),
         )
         .groupBy("ok", "part")
         .agg(F.sort_array(F.collect_list("item")).alias("items"))
+        .select("ok", "part", *_marks_and_amounts())
     )
     return gathered.unionByName(chunked)
 
 
-def _item(line: Column, idx: Column) -> Column:
-    fields = ["l_linenumber", "l_partkey", "l_extendedprice"]
-    return F.struct(idx.alias("idx"), *[line[name].alias(name) for name in fields])
+def _marks_and_amounts() -> list[Column]:
+    return [
+        F.transform("items", _mark).alias("marks"),
+        F.transform("items", lambda item: _tenth_cents(item["l_extendedprice"])).alias("amounts"),
+    ]
+
 
+def _mark(item: Column) -> Column:
+    """``NOBODY``, or the number of the owner's address, with ``TWO`` added if a second
+    address is paid."""
+    number = F.coalesce(item["l_partkey"] % 16, F.lit(UNKNOWN))
+    second = F.when(item["l_linenumber"] == 7, TWO).otherwise(0)
+    mark = F.when(item["l_partkey"] % 97 == 0, NOBODY).otherwise(number + second)
+    return mark.cast("tinyint")
 
-def _as_output(item: Column) -> Column:
-    nobody = item["l_partkey"] % 97 == 0
-    two = item["l_linenumber"] == 7
-    own = F.concat(F.col("own_prefix"), (item["l_partkey"] % 16).cast("string"))
-    return F.struct(
-        item["idx"].cast("int").alias("index"),
-        F.when(nobody, "nulldata").when(two, "multisig").otherwise("pubkeyhash").alias("type"),
-        F.when(nobody, F.array().cast("array<string>"))
-        .when(two, F.array(own, F.col("shared_address")))
+
+def _index(position: Column) -> Column:
+    """The index in its transaction of the item at ``position`` of a record."""
+    return F.col("part") * RECORD_CHUNK + position
+
+
+def _addresses(mark: Column, customer: Column) -> Column:
+    two = mark >= TWO - 15
+    number = F.when(two, mark - TWO).otherwise(mark.cast("int"))
+    known = F.when(number != UNKNOWN, number.cast("string"))
+    own = F.concat(F.lit("c"), customer.cast("string"), F.lit("-"), known)
+    shared = F.concat(F.lit("m"), F.shiftright(customer, 1).cast("string"))
+    return (
+        F.when(mark == NOBODY, F.array().cast("array<string>"))
+        .when(two, F.array(own, shared))
         .otherwise(F.array(own))
-        .alias("addresses"),
-        (_tenth_cents(item["l_extendedprice"]) * F.col("scale")).alias("value"),
     )
 
 
-def _is_spent(output: Column) -> Column:
-    return (F.col("ok") + output["index"]) % 4 != 0
+def _output_of(own: Column) -> Callable[[Column, Column], Column]:
+    """Makes the output at a position from its amount."""
 
+    def output(amount: Column, position: Column) -> Column:
+        mark = F.get(own["marks"], position)
+        return F.struct(
+            _index(position).cast("int").alias("index"),
+            F.when(mark == NOBODY, "nulldata")
+            .when(mark >= TWO - 15, "multisig")
+            .otherwise("pubkeyhash")
+            .alias("type"),
+            _addresses(mark, own["ck"]).alias("addresses"),
+            (amount * _scale(own["ck"])).alias("value"),
+        )
 
-def _as_input(output: Column) -> Column:
-    ok, idx = F.col("ok"), output["index"]
-    # Every output is spent unless (ok + idx) is divisible by 4, so the unspent ones
-    # before it can be counted without a window.
-    unspent_before = F.shiftright(ok + idx + 3, 2) - F.shiftright(ok + 3, 2)
-    return F.struct(
-        (idx - unspent_before).cast("int").alias("index"),
-        F.col("hash").alias("spent_transaction_hash"),
-        idx.alias("spent_output_index"),
-        F.when((ok + idx) % 3 == 0, output["addresses"]).alias("addresses"),
-        output["value"].alias("value"),
-    )
+    return output
+
+
+def _is_spent(ok: Column, index: Column) -> Column:
+    return (ok + index) % 4 != 0
+
+
+def _inputs_of(spent: Column) -> Column:
+    """Inputs from the spent ones of an order's items."""
+    ok, ck = spent["ok"], spent["ck"]
+
+    def as_input(amount: Column, position: Column) -> Column:
+        idx = _index(position)
+        # Every output is spent unless (ok + idx) is divisible by 4, so the unspent ones
+        # before it can be counted without a window.
+        unspent_before = F.shiftright(ok + idx + 3, 2) - F.shiftright(ok + 3, 2)
+        given = F.struct(
+            (idx - unspent_before).cast("int").alias("index"),
+            _hash(ok).alias("spent_transaction_hash"),
+            idx.cast("int").alias("spent_output_index"),
+            F.when((ok + idx) % 3 == 0, _addresses(F.get(spent["marks"], position), ck)).alias(
+                "addresses"
+            ),
+            (amount * _scale(ck)).alias("value"),
+        )
+        return F.when(_is_spent(ok, idx), given)
+
+    return F.filter(F.transform(spent["amounts"], as_input), lambda given: given.isNotNull())
 
 
 def _hash(order_key: Column) -> Column:
@@ -259,8 +315,8 @@ def _tenth_cents(price: Column) -> Column:
     return F.round(price * 10).cast("long")
 
 
-def _scale() -> Column:
-    return F.pow(F.lit(10.0), F.col("ck") % 5).cast("long")
+def _scale(customer: Column) -> Column:
+    return F.pow(F.lit(10.0), customer % 5).cast("long")
 
 
 def _spends_of(order_key: str, outputs: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and return the written table: the plan behind ``df`` is cut off."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
