@@ -367,7 +367,7 @@ def _write_export(p: LedgerPipeline, base: str) -> None:
     table is written in one go, into folders named by batch and kind.
 
     ``rebalance`` brings a month together so that it gets few files, and splits a month
-    that is too large for one task.
+    that is too large for one task. Its files are compressed, so each is read by one task.
     """
     tables = {"transactions": (p.records, "block_number"), "blocks": (p.blocks, "number")}
     for kind, (table, day) in tables.items():
@@ -375,7 +375,8 @@ def _write_export(p: LedgerPipeline, base: str) -> None:
         early = month < F.lit("1998-01-01").cast("date")
         dated = table.withColumns({"date": month, "batch": F.when(early, "a").otherwise("b")})
         dated = dated.hint("rebalance", "batch", "date")
-        dated.write.mode("overwrite").partitionBy("batch", "date").json(f"{base}/{kind}")
+        writer = dated.write.mode("overwrite").option("compression", "gzip")
+        writer.partitionBy("batch", "date").json(f"{base}/{kind}")
         for batch in ("a", "b"):
             move(p.spark, f"{base}/{kind}/batch={batch}", f"{base}/export/batch-{batch}/{kind}")
 
@@ -598,7 +599,7 @@ def _damaged(p: LedgerPipeline) -> str:
         )
         month = F.trunc(F.date_from_unix_date(F.col("block_number").cast("int")), "month")
         lines = records.select(line.alias("value"), month.alias("date"))
-        lines = lines.hint("rebalance", "date").write.mode("overwrite")
+        lines = lines.hint("rebalance", "date").write.mode("overwrite").option("compression", "gzip")
         lines.partitionBy("date").text(f"{base}/batch/transactions")
 
     p.once("damaged", write)
@@ -628,7 +629,8 @@ def _ingested(p: LedgerPipeline) -> str:
         lines = p.spark.read.text(f"{_damaged(p)}/batch/transactions")
         for number, late in enumerate((F.month("date") <= 6, F.month("date") > 6)):
             part = lines.filter(late).hint("rebalance", "date").write.mode("overwrite")
-            part.partitionBy("date").text(f"{base}/batch-{number}/transactions")
+            part = part.option("compression", "gzip").partitionBy("date")
+            part.text(f"{base}/batch-{number}/transactions")
             ingest(p.spark, base, target)
             ingest(p.spark, base, target)  # nothing new
 

@@ -49,7 +49,8 @@ def ingest(
         good = F.col(_BAD).isNull() & F.col(key).isNotNull()
         # One read of the files for both: the good lines' table has the bad ones beside it.
         marked = run.withColumn("good", good)
-        marked.write.mode("overwrite").partitionBy("good").parquet(f"{target}/{kind}/run={number}")
+        writer = marked.write.mode("overwrite").option("compression", "zstd").partitionBy("good")
+        writer.parquet(f"{target}/{kind}/run={number}")
         done.append(number)
 
     query = (
