@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coinstrata.functions import first_of, preferred_address, zip_fields
+from coinstrata.operators.utxo import index_block
 
 _REFERENCE = {"tx_hash": "source_tx_hash", "output_index": "source_output_index"}
 _FACTS = {
@@ -74,8 +75,32 @@ def with_sources(references: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def link_spends(tx_df: DataFrame, outputs_df: DataFrame) -> DataFrame:
-    """One row per input of a non-coinbase transaction with the output it spends."""
-    return with_sources(reference_rows(tx_df), sources(outputs_df))
+    """One row per input of a non-coinbase transaction with the output it spends.
+
+    Rows meet by transaction and block of indexes, see ``index_block``; within a block they
+    are compared by the index itself."""
+    references, found = reference_rows(tx_df), sources(outputs_df)
+    paid = found.select(
+        F.col("source_tx_hash").alias("paid_tx_hash"),
+        F.col("source_output_index").alias("paid_output_index"),
+        index_block(F.col("source_output_index")).alias("paid_block"),
+        *[name for name in found.columns if name not in SOURCE_KEY],
+    )
+    # A difference, since an equation of both indexes would be taken for a key.
+    same_index = F.col("source_output_index") - F.col("paid_output_index") == 0
+    linked = references.withColumn("block", index_block(F.col("source_output_index"))).join(
+        paid,
+        (F.col("source_tx_hash") == F.col("paid_tx_hash"))
+        & (F.col("block") == F.col("paid_block"))
+        & same_index,
+        "left",
+    )
+    return linked.select(
+        *SOURCE_KEY,
+        *[name for name in references.columns if name not in SOURCE_KEY],
+        *[name for name in found.columns if name not in [*SOURCE_KEY, "has_source"]],
+        F.coalesce("has_source", F.lit(False)).alias("has_source"),
+    )
 
 
 def within_input_bounds(min_inputs: int, max_inputs: int | None) -> Column:

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from coinstrata.functions import percent
 
+BLOCK_BITS = 4
+
 
 def spend_references(inputs_df: DataFrame, *extra: Column) -> DataFrame:
     """References to spent outputs, from transactions known not to be coinbase.
@@ -23,16 +25,40 @@ def spend_references(inputs_df: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
+def index_block(index: Column) -> Column:
+    """The number of the block of 2 ** ``BLOCK_BITS`` output indexes that ``index`` lies in.
+
+    Outputs of a transaction and references to them that are dealt out by (transaction, block)
+    stay beside each other and move in a fraction of the bytes; a transaction of any size is
+    still dealt to many tasks.
+    """
+    return F.shiftright(index, BLOCK_BITS)
+
+
 def compute_utxo_set(outputs_df: DataFrame, inputs_df: DataFrame) -> DataFrame:
     """Outputs that no input refers to. Right only if every transaction is loaded.
 
-    ``distinct`` collapses repeated references before the shuffle, and its partitioning
-    is the one the anti-join needs, so it adds no exchange.
+    References are combined in the map tasks to one row per transaction and block of
+    indexes, with a bit for each index, so repeated ones collapse before the shuffle and the
+    anti-join has unique keys on its right.
     """
-    refs = spend_references(inputs_df).distinct()
-    return outputs_df.join(refs, ["tx_hash", "output_index"], "left_anti").select(
-        outputs_df.columns
+    place = F.col("output_index").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+    bit = F.call_function("shiftleft", F.lit(1), place.cast("int"))
+    refs = (
+        spend_references(inputs_df)
+        .groupBy(
+            F.col("tx_hash").alias("spent_tx_hash"),
+            index_block(F.col("output_index")).alias("spent_block"),
+        )
+        .agg(F.bit_or(bit).alias("spent_bits"))
     )
+    return outputs_df.join(
+        refs,
+        (F.col("tx_hash") == F.col("spent_tx_hash"))
+        & (index_block(F.col("output_index")) == F.col("spent_block"))
+        & (F.col("spent_bits").bitwiseAND(bit) != 0),
+        "left_anti",
+    ).select(outputs_df.columns)
 
 
 def spent_summary(outputs_df: DataFrame, utxo_df: DataFrame) -> DataFrame:

@@ -179,16 +179,23 @@ class LedgerPipeline:
             "entity_balances", lambda: entity_balances(self.utxos, self.entities)
         )
 
+    def _owned_history(self) -> DataFrame:
+        return owned_history(spent_outputs(self.spends), self.utxos, self.entities)
+
     @property
     def history(self) -> DataFrame:
-        return self.stage(
-            "history",
-            lambda: owned_history(spent_outputs(self.spends), self.utxos, self.entities),
-        )
+        return self.stage("history", self._owned_history)
 
     @property
     def events(self) -> DataFrame:
-        return balance_events(self.history)
+        """Bookings of the history: from its stage table if that is there, else from one with
+        just the columns that bookings are made of."""
+        if "history" in self._stages:
+            return balance_events(self.history)
+        booked = ["entity_id", "value", "created_timestamp", "spent_timestamp"]
+        return balance_events(
+            self.stage("bookings", lambda: self._owned_history().select(*booked))
+        )
 
     @property
     def daily(self) -> DataFrame:
