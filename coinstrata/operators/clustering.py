@@ -63,16 +63,21 @@ def star_edges(clustering_inputs: DataFrame, workdir: str) -> DataFrame:
     )
 
 
-def cluster_addresses(clustering_inputs: DataFrame, workdir: str) -> DataFrame:
+def cluster_addresses(
+    clustering_inputs: DataFrame, workdir: str, large: DataFrame | None = None
+) -> DataFrame:
     """(address, entity_id): addresses linked by common spending share an entity.
 
     ``clustering_inputs`` is read twice; hand over a stage table.
 
     ``entity_id`` is the smallest address of the entity. Addresses never spent with
-    another one have no entity; ``with_singletons`` adds them.
+    another one have no entity; ``with_singletons`` adds them. ``large`` (tx_hash) are the
+    transactions with too many inputs for one task, if they are known.
     """
     members = clustering_inputs.select(F.col("tx_hash").alias("group"), F.col("address").alias("id"))
-    components = connected_groups(members, workdir)
+    if large is not None:
+        large = large.select(F.col("tx_hash").alias("group"))
+    components = connected_groups(members, workdir, large)
     return components.select(F.col("id").alias("address"), F.col("component").alias("entity_id"))
 
 

@@ -17,7 +17,7 @@ splits.
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coinstrata.sources.files import delete, visible_folders
@@ -48,25 +48,54 @@ def connected_components(edges: DataFrame, workdir: str) -> DataFrame:
     return _components(numbered, vertices, root)
 
 
-def connected_groups(members: DataFrame, workdir: str) -> DataFrame:
+def connected_groups(
+    members: DataFrame, workdir: str, large: DataFrame | None = None
+) -> DataFrame:
     """(id, component) for ``members`` (group, id): ids that share a group are connected.
 
     The same as ``connected_components`` over the edges between a group's smallest id and
     its others, but ids turn into numbers first, so no edge is ever made of texts. An id
     that never shares a group is left out. Groups may be of any size: the smallest is an
     aggregation, and the join back to the members can be split.
+
+    Where the groups of more members than one task should sort are known, ``large`` (group)
+    names them; all others are shuffled once, to a window that streams over them.
     """
     root = _new_folder(workdir)
     vertices = _numbered_ids(members.select("id"), root)
-    numbered = write_table(members.join(vertices, "id").select("group", "v"), f"{root}/members-of")
+    if large is None:
+        return _components(_stars_by_join(members.join(vertices, "id"), root).distinct(), vertices, root)
+    large = write_table(large.select("group").distinct(), f"{root}/large")
+    if large.isEmpty():
+        return _components(_stars_by_window(members.join(vertices, "id")), vertices, root)
+    usual, rest = (members.join(large, "group", how) for how in ("left_anti", "left_semi"))
+    stars = _stars_by_window(usual.join(vertices, "id")).unionByName(
+        _stars_by_join(rest.join(vertices, "id"), root)
+    )
+    return _components(stars, vertices, root)
+
+
+def _stars_by_join(numbered: DataFrame, root: str) -> DataFrame:
+    """(a, b): the smallest number of a group with each larger one."""
+    numbered = write_table(numbered.select("group", "v"), f"{root}/members-of")
     first = write_table(numbered.groupBy("group").agg(F.min("v").alias("a")), f"{root}/first")
-    stars = (
+    return (
         numbered.join(first, "group")
         .select("a", F.col("v").alias("b"))
         .filter(F.col("a") < F.col("b"))
-        .distinct()
     )
-    return _components(stars, vertices, root)
+
+
+def _stars_by_window(numbered: DataFrame) -> DataFrame:
+    """The same, each edge once for a group. The frames run along, so that no group is held
+    in memory."""
+    in_group = Window.partitionBy("group").orderBy("v")
+    stars = numbered.filter(F.col("group").isNotNull()).select(
+        F.min("v").over(in_group).alias("a"),
+        F.col("v").alias("b"),
+        F.lag("v").over(in_group).alias("before"),
+    )
+    return stars.filter(F.col("before") < F.col("b")).select("a", "b")
 
 
 def _new_folder(workdir: str) -> str:

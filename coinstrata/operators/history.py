@@ -94,11 +94,16 @@ def daily_changes(events: DataFrame) -> DataFrame:
     Combined in the map tasks: after this an entity has at most one row per calendar day.
     """
     delta = F.col("delta")
-    return events.groupBy("entity_id", "event_date").agg(
-        F.sum("delta").alias("daily_delta"),
+    # The net change is both parts together, null where no change is known: one sum less to move.
+    parts = events.groupBy("entity_id", "event_date").agg(
+        F.max(delta.isNotNull()).alias("known"),
         F.sum(F.when(delta > 0, delta).otherwise(0)).alias("daily_inflow"),
         F.sum(F.when(delta < 0, delta).otherwise(0)).alias("daily_outflow"),
     )
+    net = F.when(F.col("known"), F.col("daily_inflow") + F.col("daily_outflow"))
+    return parts.select(
+        "entity_id", "event_date", net.alias("daily_delta"), "daily_inflow", "daily_outflow"
+    )
 
 
 def balance_timeline(daily: DataFrame) -> DataFrame:

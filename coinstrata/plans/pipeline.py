@@ -23,6 +23,7 @@ from coinstrata.operators.history import (
     daily_changes,
     owned_history,
 )
+from coinstrata.operators.skew import WINDOW_ROWS
 from coinstrata.operators.spends import (
     input_addresses,
     link_spends,
@@ -37,6 +38,10 @@ from coinstrata.sources.orders_ledger import derive_blocks, derive_transactions
 from coinstrata.sources.tables import save_results, write_table
 
 
+#: The columns of the history that bookings are made of.
+BOOKED = ["entity_id", "value", "created_timestamp", "spent_timestamp"]
+
+
 def whole_records(records: DataFrame, nested: str) -> DataFrame:
     """Records whose ``nested`` array is to be flattened with outer semantics: a further
     part without elements must not add another row of nulls."""
@@ -166,9 +171,14 @@ class LedgerPipeline:
     @property
     def entities(self) -> DataFrame:
         return self.stage(
-            "entities", lambda: cluster_addresses(self.clustering_inputs, self.folder)
+            "entities",
+            lambda: cluster_addresses(self.clustering_inputs, self.folder, self._large_spenders()),
         )
 
+    def _large_spenders(self) -> DataFrame:
+        """Transactions with more inputs than a window should sort."""
+        return self.spends.filter(F.col("input_count") > WINDOW_ROWS).select("tx_hash")
+
     @property
     def address_balances(self) -> DataFrame:
         return address_balances(self.utxos)
@@ -192,14 +202,18 @@ class LedgerPipeline:
         just the columns that bookings are made of."""
         if "history" in self._stages:
             return balance_events(self.history)
-        booked = ["entity_id", "value", "created_timestamp", "spent_timestamp"]
         return balance_events(
-            self.stage("bookings", lambda: self._owned_history().select(*booked))
+            self.stage("bookings", lambda: self._owned_history().select(*BOOKED))
         )
 
     @property
     def daily(self) -> DataFrame:
-        return self.stage("daily", lambda: daily_changes(self.events))
+        """Daily changes. The bookings are not written for them alone."""
+        if {"history", "bookings"} & self._stages.keys():
+            return self.stage("daily", lambda: daily_changes(self.events))
+        return self.stage(
+            "daily", lambda: daily_changes(balance_events(self._owned_history().select(*BOOKED)))
+        )
 
     @property
     def timeline(self) -> DataFrame:

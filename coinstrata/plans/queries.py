@@ -283,7 +283,7 @@ def event_counts(p):
 
 @query
 def daily_changes(p):
-    return _day_as_text(history.daily_changes(p.events))
+    return _day_as_text(p.daily)
 
 
 @query
