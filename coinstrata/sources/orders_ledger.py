@@ -13,10 +13,11 @@ transaction, so transaction-level counts read that part only.
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coinstrata.functions import day_of_epoch
+from coinstrata.operators import skew
 from coinstrata.operators.skew import hot_groups, numbered, with_neighbours
 from coinstrata.sources.tables import write_table
 
@@ -48,13 +49,107 @@ NOBODY, TWO, UNKNOWN = 127, 64, 16
 def derive_transactions(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """Nested transaction records, see the module text.
 
+    Transactions spend within their customer. Most customers' records come from two shuffles:
+    line items by order, to gather them in two arrays of numbers, a mark and an amount of
+    each, and orders with these short arrays by customer, where they meet the order before.
+    Customers with an order of more than one record, with an order key that is there more
+    than once or with more orders than a window should sort go another way.
+    """
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_orderkey").alias("ok"), F.col("o_custkey").alias("ck"), "o_orderdate"
+    )
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_orderkey").alias("ok"), *LINE_ORDER
+    )
+    odd_keys = write_table(_odd_keys(orders, lines), f"{folder}/odd-keys")
+    odd = write_table(_odd_customers(orders, odd_keys), f"{folder}/odd-customers")
+    if odd_keys.isEmpty() and odd.isEmpty():
+        return _records_by_customer(orders, lines)
+    odd_orders = orders.join(odd, "ck", "left_semi").select(orders.columns)
+    apart = odd_orders.select("ok").unionByName(odd_keys)
+    usual = _records_by_customer(
+        orders.join(odd, "ck", "left_anti").select(orders.columns),
+        lines.join(apart, "ok", "left_anti").select(lines.columns),
+    )
+    odd_lines = lines.join(odd_orders.select("ok"), "ok", "left_semi").select(lines.columns)
+    return usual.unionByName(_records_by_sides(odd_orders, odd_lines, folder))
+
+
+def _odd_keys(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Order keys that are there more than once or have more line items than a record holds."""
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    keys = orders.select("ok", one.alias("orders"), none.alias("lines")).unionByName(
+        lines.select("ok", none.alias("orders"), one.alias("lines"))
+    )
+    # Both counts in one number, which is what the shuffle then moves.
+    places = F.lit(2**40)
+    counts = keys.groupBy("ok").agg(F.sum(F.col("orders") * places + F.col("lines")).alias("n"))
+    repeated, large = F.col("n") >= 2 * places, F.col("n") % places > RECORD_CHUNK
+    return counts.filter(repeated | large).select("ok")
+
+
+def _odd_customers(orders: DataFrame, odd_keys: DataFrame) -> DataFrame:
+    """Customers whose orders are not for ``_records_by_customer``."""
+    found = orders.join(odd_keys, "ok", "left_semi").select("ck")
+    found = found.unionByName(orders.filter(F.col("ok").isNull()).select("ck"))
+    sizes = orders.groupBy("ck").agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.filter(F.col("n") > skew.WINDOW_ROWS).select("ck")
+    return found.unionByName(large).filter(F.col("ck").isNotNull()).distinct()
+
+
+def _records_by_customer(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Records of orders of one record each, whose keys are there once."""
+    gathered = _gathered_small(lines)
+    # Facts are made after the last shuffle, so that only keys, days and arrays move.
+    by_day = Window.partitionBy("ck").orderBy("o_orderdate", "ok")
+    before = F.lag(F.struct("ok", "marks", "amounts")).over(by_day)
+    linked = (
+        orders.filter(F.col("ck").isNotNull())
+        .join(gathered, "ok", "left")
+        .select("ok", "ck", "o_orderdate", "marks", "amounts", before.alias("previous"))
+    )
+    zero = F.lit(0).cast("long")
+    total = F.aggregate("amounts", zero, lambda so_far, x: so_far + F.coalesce(x, zero))
+
+    def count(marks: Column) -> Column:
+        return F.when(marks.isNotNull(), F.size(marks)).otherwise(0)
+
+    facts = linked.withColumns(
+        {
+            "part": zero,
+            "n": count(F.col("marks")),
+            "output_value": F.coalesce(total, zero) * _scale(F.col("ck")),
+            "spent_n": count(F.col("previous.marks")),
+        }
+    )
+    spends = F.when(F.col("previous").isNotNull(), _spends_of("previous.ok", "spent_n")).otherwise(0)
+    spent = F.struct("previous.ok", "ck", "previous.marks", "previous.amounts")
+    return _as_records(
+        facts.select(
+            "ok",
+            "part",
+            F.struct(
+                _block_timestamp().alias("block_timestamp"),
+                spends.cast("long").alias("input_count"),
+                "n",
+                "output_value",
+            ).alias("tx"),
+            F.when(F.col("n") > 0, F.struct("ck", "marks", "amounts")).alias("own"),
+            F.when(_any_spent(F.col("previous.ok"), F.col("spent_n")), spent).alias("spent"),
+        )
+    )
+
+
+def _records_by_sides(orders: DataFrame, lines: DataFrame, folder: str) -> DataFrame:
+    """Records of any orders: both sides of a transaction meet part by part.
+
     The per-order facts are written below ``folder`` first: they also tell which orders
     exceed one record. Line items are shuffled once, to gather those of an order (part)
-    in two arrays of numbers, a mark and an amount of each. These short arrays, not the
+    in two arrays of numbers. These short arrays, not the
     outputs and inputs, move when both sides of a transaction meet; texts and nested
     records are made where they are written.
     """
-    headers = write_table(_headers(spark, sf_dir, folder), f"{folder}/headers")
+    headers = write_table(_headers(orders, lines, folder), f"{folder}/headers")
     facts = headers.select(
         "ok",
         "ck",
@@ -72,7 +167,7 @@ def derive_transactions(spark: SparkSession, sf_dir: str, folder: str) -> DataFr
             ),
         ).alias("spender"),
     )
-    gathered = _gathered_lines(spark, sf_dir, headers, folder).join(facts, "ok")
+    gathered = _gathered_lines(lines, headers, folder).join(facts, "ok")
     nothing_own, nothing_spent = F.lit(None).cast(OWN), F.lit(None).cast(SPENT)
     paid = F.struct(
         "ok",
@@ -88,9 +183,7 @@ def derive_transactions(spark: SparkSession, sf_dir: str, folder: str) -> DataFr
         nothing_own.alias("own"),
         F.struct("ok", "ck", "marks", "amounts").alias("spent"),
     )
-    # Of two outputs in a row one is spent.
-    any_spent = (F.size("marks") > 1) | _is_spent(F.col("ok"), _index(F.lit(0)))
-    has_inputs = F.col("spender").isNotNull() & any_spent
+    has_inputs = F.col("spender").isNotNull() & _any_spent(F.col("ok"), F.size("marks"))
     sides = gathered.select(
         F.inline(F.when(has_inputs, F.array(paid, spending)).otherwise(F.array(paid)))
     )
@@ -112,6 +205,11 @@ def derive_transactions(spark: SparkSession, sf_dir: str, folder: str) -> DataFr
             F.first("spent", ignorenulls=True).alias("spent"),
         )
     )
+    return _as_records(met)
+
+
+def _as_records(met: DataFrame) -> DataFrame:
+    """Nested records from (ok, part, tx, own, spent)."""
     records = met.select(
         "ok",
         "part",
@@ -150,22 +248,16 @@ def derive_blocks(transactions: DataFrame) -> DataFrame:
     )
 
 
-def _headers(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+def _headers(orders: DataFrame, lines: DataFrame, folder: str) -> DataFrame:
     """One row per order: its facts, and those of the customer's next order."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        F.col("o_orderkey").alias("ok"), F.col("o_custkey").alias("ck"), "o_orderdate"
+    per_order = lines.groupBy("ok").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_tenth_cents(F.col("l_extendedprice"))).alias("raw_value")
     )
-    per_order = (
-        spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        .groupBy(F.col("l_orderkey").alias("ok"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(_tenth_cents(F.col("l_extendedprice"))).alias("raw_value"))
-    )
-    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)")
     counted = orders.join(per_order, "ok", "left").select(
         "ok",
         "ck",
         "o_orderdate",
-        (seconds + F.col("ok") % 86400).alias("block_timestamp"),
+        _block_timestamp().alias("block_timestamp"),
         F.coalesce("n", F.lit(0)).alias("n"),
         (F.coalesce("raw_value", F.lit(0)) * _scale(F.col("ck"))).alias("output_value"),
     )
@@ -191,23 +283,26 @@ def _headers(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     )
 
 
-def _gathered_lines(
-    spark: SparkSession, sf_dir: str, headers: DataFrame, folder: str
-) -> DataFrame:
-    """(ok, part, marks, amounts): the line items of an order in output order, at most
-    ``RECORD_CHUNK`` per row. A mark tells whom the item pays, see ``_mark``."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        F.col("l_orderkey").alias("ok"), *LINE_ORDER
-    )
-    large = hot_groups(headers, "ok", RECORD_CHUNK)
-    usual = lines if large is None else lines.join(large, "ok", "left_anti")
+def _gathered_small(lines: DataFrame) -> DataFrame:
+    """(ok, marks, amounts): the line items of an order in output order. A mark tells whom
+    the item pays, see ``_mark``."""
     # Line items of an order are few and apart, so combining before the shuffle would only cost.
-    gathered = (
-        usual.select("ok", *SHORT_ORDER)
+    return (
+        lines.select("ok", *SHORT_ORDER)
         .repartition("ok")
         .groupBy("ok")
         .agg(F.sort_array(F.collect_list(F.struct(*SHORT_ORDER))).alias("items"))
-        .select("ok", F.lit(0).cast("long").alias("part"), *_marks_and_amounts())
+        .select("ok", *_marks_and_amounts())
+    )
+
+
+def _gathered_lines(lines: DataFrame, headers: DataFrame, folder: str) -> DataFrame:
+    """(ok, part, marks, amounts): as ``_gathered_small``, at most ``RECORD_CHUNK`` items per
+    row."""
+    large = hot_groups(headers, "ok", RECORD_CHUNK)
+    usual = lines if large is None else lines.join(large, "ok", "left_anti")
+    gathered = _gathered_small(usual).select(
+        "ok", F.lit(0).cast("long").alias("part"), "marks", "amounts"
     )
     if large is None:
         return gathered
@@ -284,6 +379,16 @@ def _is_spent(ok: Column, index: Column) -> Column:
     return (ok + index) % 4 != 0
 
 
+def _any_spent(ok: Column, n: Column) -> Column:
+    """Whether any of the n items of a record is spent: of two in a row one is."""
+    return (n > 1) | ((n > 0) & _is_spent(ok, _index(F.lit(0))))
+
+
+def _block_timestamp() -> Column:
+    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)")
+    return seconds + F.col("ok") % 86400
+
+
 def _inputs_of(spent: Column) -> Column:
     """Inputs from the spent ones of an order's items."""
     ok, ck = spent["ok"], spent["ck"]

@@ -6,12 +6,14 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
-from coinstrata.operators.history import balance_events
+from coinstrata.operators.components import _stars_by_window, connected_groups
+from coinstrata.operators.history import balance_events, daily_changes
 from coinstrata.operators.skew import WINDOW_ROWS, with_neighbours
 from coinstrata.operators.spends import link_spends
 from coinstrata.operators.utxo import compute_utxo_set
 from coinstrata.plans.pipeline import LedgerPipeline
 from coinstrata.plans.queries import _write_export
+from coinstrata.sources import orders_ledger
 from coinstrata.sources.orders_ledger import derive_transactions
 
 
@@ -100,6 +102,57 @@ def test_records_are_made_after_the_last_shuffle(spark, tmp_path):
             ]
 
 
+def test_records_take_two_shuffles_unless_keys_repeat(spark, tmp_path, monkeypatch):
+    """The way by customers gives what the way by sides gives; the latter is for odd customers."""
+    orders, lines = _orders(spark, str(tmp_path))
+    records = derive_transactions(spark, str(tmp_path), str(tmp_path / "stages"))
+    assert not (tmp_path / "stages" / "headers").exists()
+    assert sum("Exchange " in x and "BroadcastExchange" not in x for x in plan_of(records).split("\n")) <= 3
+    usual = sorted(map(str, records.collect()))
+
+    monkeypatch.setattr(orders_ledger, "_odd_customers", lambda orders, _: orders.select("ck").distinct())
+    by_sides = derive_transactions(spark, str(tmp_path), str(tmp_path / "all"))
+    assert sorted(map(str, by_sides.collect())) == usual
+    monkeypatch.undo()
+
+    again = tmp_path / "again"
+    again.mkdir()
+    orders.unionByName(orders.filter("o_orderkey = 3")).write.parquet(f"{again}/orders.parquet")
+    lines.write.parquet(f"{again}/lineitem.parquet")
+    found = derive_transactions(spark, str(again), str(again / "stages")).collect()
+    assert len(found) == 40 and len({r["hash"] for r in found}) == 40
+    odd = {r.ck for r in spark.read.parquet(f"{again}/stages/odd-customers").collect()}
+    assert odd == {0}
+    assert {str(r) for r in found if int(r["hash"][2:]) % 3} == {x for x in usual if int(x.split("'")[1][2:]) % 3}
+
+
+def test_groups_are_shuffled_once_where_large_ones_are_known(spark, tmp_path):
+    rows = [("t", "a"), ("t", "b"), ("t", "b"), ("u", "b"), ("u", "c"), ("v", "d"), ("v", "d"), ("w", "e"), ("w", "f"), (None, "g"), (None, "h")]
+    members = spark.createDataFrame(rows, "group string, id string")
+    expected = sorted(map(str, connected_groups(members, str(tmp_path / "join")).collect()))
+    assert len(expected) == 5
+    for large in ([], [("u",)], [("t",), ("u",), ("w",)]):
+        known = spark.createDataFrame(large, "group string")
+        folder = tmp_path / f"large-{len(large)}"
+        assert sorted(map(str, connected_groups(members, str(folder), known).collect())) == expected
+    stars = _stars_by_window(members.withColumn("v", F.ascii("id")))
+    assert plan_of(stars).count("Exchange ") == 1
+    assert sorted(tuple(r) for r in stars.collect()) == [(97, 98), (98, 99), (101, 102)]
+
+
+def test_daily_changes_write_no_bookings(spark, ledger, tmp_path):
+    events = spark.createDataFrame(
+        [("e", 1, 5), ("e", 1, -7), ("e", 2, None), ("e", 3, None), ("e", 3, -1), ("f", 1, 2)],
+        "entity_id string, event_date int, delta long",
+    )
+    changes = sorted(tuple(r) for r in daily_changes(events).collect())
+    assert changes == [("e", 1, -2, 5, -7), ("e", 2, None, 0, 0), ("e", 3, -1, 0, -1), ("f", 1, 2, 2, 0)]
+    pay = {"index": 0, "type": "pubkeyhash", "addresses": ["A"], "value": 5}
+    tx = {"hash": "a", "block_number": 1, "output_count": 1, "is_coinbase": True, "input_count": 0, "block_timestamp": 86400, "inputs": [], "outputs": [pay]}
+    p = LedgerPipeline(spark, lambda _: ledger(tx), lambda _: None, folder=str(tmp_path))
+    assert p.daily.count() == 0 and "bookings" not in p._stages
+
+
 def test_unspent_outputs_meet_references_by_blocks(spark):
     pays = [("t", i, 10 * i) for i in range(40)] + [("u", 3, 1), ("e", None, None)]
     outputs = spark.createDataFrame(pays, "tx_hash string, output_index int, value long")
