@@ -56,9 +56,9 @@ def bridges(
     to where they meet: the numbers of a subtree, added up from the lowest level, leave those
     of the edges that lead out of it. A tree edge that none leads past has 0 and is a bridge;
     another one has 0 once in 2^64. Rounds are twice the depth of the trees; each reads one
-    level and the edges.
+    level, those down also the edges of vertices not reached yet and of at most as many others.
     """
-    root = f"{workdir}/bridges-{uuid.uuid4().hex}"
+    root, spark = f"{workdir}/bridges-{uuid.uuid4().hex}", clustering_inputs.sparkSession
     members = clustering_inputs.select("tx_hash", "address").distinct()
     members = members.join(entities.select("address", "entity_id"), "address")
     edges = write_table(
@@ -74,33 +74,44 @@ def bridges(
     first = entities.select("entity_id").distinct().select(
         F.concat(F.lit("a"), "entity_id").alias("v"), F.lit(None).cast("string").alias("parent"), "entity_id"
     )
-    levels = [write_table(first, f"{root}/level-0")]
+    level, reached = write_counted(first, f"{root}/levels/level=0")
+    levels = spark.read.schema(level.withColumn("level", F.lit(0)).schema)
+    before, depth = level.limit(0), 0
+    # Edges of the levels passed go once those have half of the vertices whose edges are there.
+    ahead, vertices = both_ways, both_ways.select("v").distinct().count()
+    start, passed = 0, 0
     while True:
-        last = levels[-1]
         # Neighbours of a level are in the one before it or not seen yet, as the graph has
         # two kinds of vertices that take turns.
-        before = levels[-2].select("v") if len(levels) > 1 else last.limit(0).select("v")
-        found = both_ways.join(last.select("v"), "v").groupBy("w", "entity_id")
+        found = ahead.join(level.select("v"), "v").groupBy("w", "entity_id")
         found = found.agg(F.min("v").alias("parent")).withColumnRenamed("w", "v")
-        found = found.join(before, "v", "left_anti").select("v", "parent", "entity_id")
-        level, n = write_counted(found, f"{root}/level-{len(levels)}")
-        if not n:
+        found = found.join(before.select("v"), "v", "left_anti").select("v", "parent", "entity_id")
+        passed += reached
+        before, (level, reached) = level, write_counted(found, f"{root}/levels/level={depth + 1}")
+        if not reached:
             break
-        levels.append(level)
+        depth += 1
+        if 2 * passed >= vertices:
+            gone = levels.parquet(f"{root}/levels").filter(F.col("level").between(start, depth - 1))
+            ahead = ahead.join(gone.select("v"), "v", "left_anti").select(both_ways.columns)
+            ahead = write_table(ahead, f"{root}/ahead-{depth}")
+            start, vertices, passed = depth, vertices - passed, 0
 
-    tree = levels[0]
-    for level in levels[1:]:
-        tree = tree.unionByName(level)
-    tree = write_table(tree.filter("parent is not null").select("v", "parent"), f"{root}/tree")
-    held = tree.unionByName(tree.select(F.col("parent").alias("v"), F.col("v").alias("parent")))
+    tree = levels.parquet(f"{root}/levels").filter("parent is not null")
+    held = tree.select("v", "parent").unionByName(tree.select(F.col("parent").alias("v"), F.col("v").alias("parent")))
     other = edges.join(held.select(F.col("v").alias("t"), F.col("parent").alias("a")), ["t", "a"], "left_anti")
     numbers = other.select(F.explode(F.array("t", "a")).alias("v"), F.xxhash64("t", "a").alias("x"))
     numbers = write_table(numbers.groupBy("v").agg(F.bit_xor("x").alias("own")), f"{root}/numbers")
+    # The numbers go to the levels at once, so that a round reads its own level only.
+    own = F.coalesce("own", F.lit(0).cast("long")).alias("own")
+    numbered = tree.join(numbers, "v", "left").select("v", "parent", "entity_id", own, "level")
+    by_level = numbered.hint("rebalance", "level").write.option("compression", "zstd")
+    by_level.partitionBy("level").parquet(f"{root}/numbered")
 
     # From the lowest level up: (v, parent, entity_id, x, n).
-    sums, below = [], None
-    for i in range(len(levels) - 1, 0, -1):
-        level = levels[i].join(numbers, "v", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
+    below = None
+    for i in range(depth, 0, -1):
+        level = spark.read.schema(numbered.drop("level").schema).parquet(f"{root}/numbered/level={i}")
         level = level.withColumn("n", F.col("v").startswith("a").cast("long"))
         if below is not None:
             under = below.groupBy(F.col("parent").alias("v")).agg(
@@ -113,17 +124,14 @@ def bridges(
                 }
             )
         level = level.select("v", "parent", "entity_id", F.col("own").alias("x"), "n")
-        below = write_table(level, f"{root}/sums-{i}")
-        sums.append(below.filter("x = 0"))
-    if not sums:
+        below = write_table(level, f"{root}/sums/level={i}")
+    if below is None:
         nothing = entities.limit(0)
         return nothing.select(
             F.col("address").alias("tx_hash"), "address", "entity_id",
             F.lit(0).cast("long").alias("cut_off"), F.lit(0).cast("long").alias("rest"),
         )
-    cuts = sums[0]
-    for part in sums[1:]:
-        cuts = cuts.unionByName(part)
+    cuts = spark.read.schema(below.schema).parquet(f"{root}/sums").filter("x = 0")
     sizes = entities.groupBy("entity_id").agg(F.count(F.lit(1)).alias("size"))
     down = F.col("v").startswith("a")  # the address is the lower end
     tx, address = F.when(down, F.col("parent")).otherwise(F.col("v")), F.when(down, F.col("v")).otherwise(F.col("parent"))

@@ -5,6 +5,7 @@ import datetime as dt
 import json
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from ledger_data import BTC, output, rows, spend, transaction
 
@@ -486,6 +487,37 @@ def test_bridges_by_taking_inputs_away(spark, workdir, seed):
     assert none.isEmpty()
 
 
+def test_rounds_of_bridges_read_what_is_left(spark, workdir, monkeypatch):
+    """One long chain among many short entities: late rounds don't read those again."""
+    pairs = [(f"s{i}", f"b{i}-{j}") for i in range(100) for j in range(3)]
+    pairs += [(f"c{i}", f"z{j:02d}") for i in range(5) for j in (i, i + 1)]
+    inputs = spark.createDataFrame(pairs, INPUTS)
+    entities = cluster_addresses(inputs, workdir).select("address", "entity_id")
+    read = {}
+
+    def note(df, path):
+        for name in df.inputFiles():
+            kind = next((k for k in ("both-ways", "ahead", "numbers") if f"/{k}" in name), None)
+            if kind:
+                read[kind] = read.get(kind, 0) + pq.read_metadata(name.removeprefix("file://")).num_rows
+
+    def counted(df, path, write=false_links.write_counted):
+        note(df, path)
+        return write(df, path)
+
+    def written(df, path, write=false_links.write_table):
+        note(df, path)
+        return write(df, path)
+
+    monkeypatch.setattr(false_links, "write_counted", counted)
+    monkeypatch.setattr(false_links, "write_table", written)
+    found = false_links.bridges(inputs, entities, workdir)
+    assert rows(found, "tx_hash", "address", "entity_id", "cut_off", "rest") == parts_by_hand(pairs, 1)
+    # Each of the 11 rounds read all of them before.
+    assert read["both-ways"] + read.get("ahead", 0) < 6 * 2 * len(pairs)
+    assert "numbers" not in read  # joined once, not in each round up
+
+
 def test_a_mixing_transaction_is_named(spark, workdir):
     mixed = [("mix", 100_000)] * 6 + [("mix", 7), ("mix", 9)]
     plain = [("pay", 5), ("pay", 5), ("pay", 8), ("two", 3), ("two", 3), ("two", 3), ("two", 3), ("two", 3)]
