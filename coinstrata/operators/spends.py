@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coinstrata.functions import first_of, preferred_address, zip_fields
-from coinstrata.operators.utxo import index_block
+from coinstrata.operators.utxo import in_blocks, index_block, unspent_in_blocks
 
 _REFERENCE = {"tx_hash": "source_tx_hash", "output_index": "source_output_index"}
 _FACTS = {
@@ -17,6 +17,21 @@ _FACTS = {
     "block_timestamp": "created_timestamp",
 }
 SOURCE_KEY = list(_REFERENCE.values())
+# What else there is to know of an output.
+_CARRIED = {"block_number": "source_block_number", "output_type": "source_type"}
+_PAID = {**_FACTS, **_CARRIED}
+_UNSPENT = {
+    name: {**_REFERENCE, **_PAID}[name]
+    for name in [
+        "tx_hash",
+        "block_number",
+        "block_timestamp",
+        "output_index",
+        "value",
+        "addresses",
+        "output_type",
+    ]
+}
 
 #: The index that inputs without a reference refer to.
 NO_OUTPUT = -1
@@ -79,30 +94,65 @@ def link_spends(tx_df: DataFrame, outputs_df: DataFrame) -> DataFrame:
 
     Rows meet by transaction and block of indexes, see ``index_block``; within a block they
     are compared by the index itself."""
-    references, found = reference_rows(tx_df), sources(outputs_df)
-    paid = found.select(
-        F.col("source_tx_hash").alias("paid_tx_hash"),
-        F.col("source_output_index").alias("paid_output_index"),
-        index_block(F.col("source_output_index")).alias("paid_block"),
-        *[name for name in found.columns if name not in SOURCE_KEY],
-    )
+    known = [name for name in [*_REFERENCE, *_FACTS] if name in outputs_df.columns]
+    return _linked(reference_rows(tx_df), in_blocks(outputs_df.select(known)))
+
+
+def _linked(references: DataFrame, dealt: DataFrame) -> DataFrame:
+    """``references`` with the outputs of ``in_blocks`` that they refer to."""
+    # The outputs keep their names up to the join, which else would need a shuffle of its own.
     # A difference, since an equation of both indexes would be taken for a key.
-    same_index = F.col("source_output_index") - F.col("paid_output_index") == 0
-    linked = references.withColumn("block", index_block(F.col("source_output_index"))).join(
-        paid,
-        (F.col("source_tx_hash") == F.col("paid_tx_hash"))
-        & (F.col("block") == F.col("paid_block"))
-        & same_index,
-        "left",
+    same_index = F.col("source_output_index") - F.col("output_index") == 0
+    linked = (
+        references.withColumnRenamed("tx_hash", "spender")
+        .withColumn("source_block", index_block(F.col("source_output_index")))
+        .join(
+            dealt,
+            (F.col("source_tx_hash") == F.col("tx_hash"))
+            & (F.col("source_block") == F.col("block"))
+            & same_index,
+            "left",
+        )
     )
     return linked.select(
         *SOURCE_KEY,
-        *[name for name in references.columns if name not in SOURCE_KEY],
-        *[name for name in found.columns if name not in [*SOURCE_KEY, "has_source"]],
-        F.coalesce("has_source", F.lit(False)).alias("has_source"),
+        F.col("spender").alias("tx_hash"),
+        *[name for name in references.columns if name not in [*SOURCE_KEY, "tx_hash"]],
+        *[F.col(name).alias(new) for name, new in _PAID.items() if name in dealt.columns],
+        F.col("output_index").isNotNull().alias("has_source"),
+    )
+
+
+def link_outputs(tx_df: DataFrame, outputs_df: DataFrame, inputs_df: DataFrame) -> DataFrame:
+    """``link_spends`` and ``compute_utxo_set`` as one table: one row per input with the output
+    it spends, and one per unspent output, whose columns of the input are null and whose
+    ``unspent`` is true. ``linked_spends`` and ``unspent_outputs`` tell them apart.
+
+    Both joins need all outputs dealt out by (transaction, block of indexes). In one plan
+    they read the same shuffle, as long as they ask for the same columns and rows of it, so
+    the outputs move once. Outputs without a key can't be spent and are not shuffled.
+    """
+    outputs_df = outputs_df.select(list(_UNSPENT))
+    dealt = in_blocks(outputs_df)
+    linked = _linked(reference_rows(tx_df), dealt)
+    no_key = F.col("tx_hash").isNull() | F.col("output_index").isNull()
+    unspent = unspent_in_blocks(dealt, inputs_df).drop("block").unionByName(outputs_df.filter(no_key))
+    unspent = unspent.select(*[F.col(name).alias(new) for name, new in _UNSPENT.items()])
+    return linked.withColumn("unspent", F.lit(False)).unionByName(
+        unspent.withColumn("unspent", F.lit(True)), allowMissingColumns=True
     )
 
 
+def linked_spends(links: DataFrame) -> DataFrame:
+    """The rows of ``link_outputs`` that ``link_spends`` gives."""
+    return links.filter(~F.col("unspent")).drop("unspent", *_CARRIED.values())
+
+
+def unspent_outputs(links: DataFrame) -> DataFrame:
+    """The unspent outputs among the rows of ``link_outputs``."""
+    return links.filter("unspent").select(*[F.col(new).alias(name) for name, new in _UNSPENT.items()])
+
+
 def within_input_bounds(min_inputs: int, max_inputs: int | None) -> Column:
     enough = F.col("input_count") >= min_inputs
     return enough if max_inputs is None else enough & (F.col("input_count") <= max_inputs)

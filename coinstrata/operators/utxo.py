@@ -42,23 +42,54 @@ def compute_utxo_set(outputs_df: DataFrame, inputs_df: DataFrame) -> DataFrame:
     indexes, with a bit for each index, so repeated ones collapse before the shuffle and the
     anti-join has unique keys on its right.
     """
+    return outputs_df.join(
+        spent_bits(inputs_df),
+        (F.col("tx_hash") == F.col("spent_tx_hash"))
+        & (index_block(F.col("output_index")) == F.col("spent_block"))
+        & _is_spent(),
+        "left_anti",
+    ).select(outputs_df.columns)
+
+
+def in_blocks(outputs_df: DataFrame) -> DataFrame:
+    """The outputs that have a key, with the ``block`` that they are dealt out by."""
+    has_key = F.col("tx_hash").isNotNull() & F.col("output_index").isNotNull()
+    keyed = outputs_df.filter(has_key).withColumn("block", index_block(F.col("output_index")))
+    # Never null, but the joins below would ask for it, each in its own words.
+    return keyed.filter(F.col("block").isNotNull())
+
+
+def unspent_in_blocks(dealt: DataFrame, inputs_df: DataFrame) -> DataFrame:
+    """``compute_utxo_set`` of ``in_blocks``."""
+    return dealt.join(
+        spent_bits(inputs_df),
+        (F.col("tx_hash") == F.col("spent_tx_hash"))
+        & (F.col("block") == F.col("spent_block"))
+        & _is_spent(),
+        "left_anti",
+    ).select(dealt.columns)
+
+
+def _bit() -> Column:
+    """The bit of an output in its block."""
     place = F.col("output_index").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
-    bit = F.call_function("shiftleft", F.lit(1), place.cast("int"))
-    refs = (
+    return F.call_function("shiftleft", F.lit(1), place.cast("int"))
+
+
+def _is_spent() -> Column:
+    return F.col("spent_bits").bitwiseAND(_bit()) != 0
+
+
+def spent_bits(inputs_df: DataFrame) -> DataFrame:
+    """(spent_tx_hash, spent_block, spent_bits): which outputs of a block are referred to."""
+    return (
         spend_references(inputs_df)
         .groupBy(
             F.col("tx_hash").alias("spent_tx_hash"),
             index_block(F.col("output_index")).alias("spent_block"),
         )
-        .agg(F.bit_or(bit).alias("spent_bits"))
+        .agg(F.bit_or(_bit()).alias("spent_bits"))
     )
-    return outputs_df.join(
-        refs,
-        (F.col("tx_hash") == F.col("spent_tx_hash"))
-        & (index_block(F.col("output_index")) == F.col("spent_block"))
-        & (F.col("spent_bits").bitwiseAND(bit) != 0),
-        "left_anti",
-    ).select(outputs_df.columns)
 
 
 def spent_summary(outputs_df: DataFrame, utxo_df: DataFrame) -> DataFrame:

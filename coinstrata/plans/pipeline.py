@@ -26,11 +26,12 @@ from coinstrata.operators.history import (
 from coinstrata.operators.skew import WINDOW_ROWS
 from coinstrata.operators.spends import (
     input_addresses,
-    link_spends,
+    link_outputs,
+    linked_spends,
     spent_outputs,
+    unspent_outputs,
     within_input_bounds,
 )
-from coinstrata.operators.utxo import compute_utxo_set
 from coinstrata.session import own_folder
 from coinstrata.sources.files import delete
 from coinstrata.sources.json_export import first_part, load_blocks, load_transactions
@@ -145,17 +146,21 @@ class LedgerPipeline:
         """Flat inputs with just what tells which outputs are spent."""
         return self.flat_inputs("is_coinbase", "spent_tx_hash", "spent_output_index")
 
+    @property
+    def links(self) -> DataFrame:
+        """Inputs with the outputs they spend, and unspent outputs."""
+        return self.stage(
+            "links", lambda: link_outputs(self.records, self.outputs, self.references)
+        )
+
     @property
     def utxos(self) -> DataFrame:
-        return self.stage("utxos", lambda: compute_utxo_set(self.outputs, self.references))
+        return unspent_outputs(self.links)
 
     @property
     def spends(self) -> DataFrame:
         """Inputs with the outputs they spend, for clustering and for the history."""
-        sources = ["tx_hash", "output_index", "value", "addresses", "block_timestamp"]
-        return self.stage(
-            "spends", lambda: link_spends(self.records, self.flat_outputs(*sources))
-        )
+        return linked_spends(self.links)
 
     @property
     def clustering_inputs(self) -> DataFrame:

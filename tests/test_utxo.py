@@ -1,7 +1,9 @@
 from ledger_data import BTC, output, rows, spend, transaction
 
 from coinstrata import compute_utxo_set, explode_inputs, explode_outputs
+from coinstrata.operators.spends import link_outputs, link_spends, linked_spends, unspent_outputs
 from coinstrata.operators.utxo import spent_summary
+from coinstrata.plans.pipeline import LedgerPipeline
 
 
 def unspent(tx):
@@ -61,3 +63,37 @@ def test_summary_adds_up(ledger):
     assert tuple(summary) == (4, 1, 3, 25.0, 75.0)
     nothing = spent_summary(outputs.limit(0), unspent(tx).limit(0)).first()
     assert tuple(nothing) == (0, 0, 0, None, None)
+
+
+ODD = [
+    transaction("a", [output(0, 5, ["A"], "one"), output(1, 6, ["A", "B"])], coinbase=True, at=10),
+    transaction("a", [output(0, 7, None)], coinbase=True, at=20),
+    transaction("b", [output(17, 1, []), output(None, 2, ["N"])], [spend(0, "a", 0), spend(1, "a", 0)]),
+    transaction("c", [], [spend(0, "a", 17), spend(1, "b", 17), spend(2, "elsewhere", 4)]),
+    transaction("d", None, [spend(0, None, 0, ["R"]), spend(1, "a", None), spend(2, "a", -1)]),
+    transaction("e", [output(0, 9, ["E"])], [spend(0, "a", 1)], coinbase=None),
+]
+
+
+def test_links_are_spends_and_unspent_outputs(ledger):
+    tx = ledger(*ODD)
+    outputs, inputs = explode_outputs(tx), explode_inputs(tx)
+    links = link_outputs(tx, outputs, inputs)
+    assert rows(linked_spends(links)) == rows(link_spends(tx, outputs))
+    assert rows(unspent_outputs(links)) == rows(unspent(tx))
+    assert len(rows(unspent_outputs(links))) == 5
+    assert linked_spends(links).columns == link_spends(tx, outputs).columns
+    assert unspent_outputs(links).columns == outputs.columns
+
+
+def test_outputs_of_links_are_shuffled_once(spark, ledger, workdir):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        pipeline = LedgerPipeline(spark, lambda p: ledger(*ODD), lambda p: None, folder=workdir)
+        links = link_outputs(pipeline.records, pipeline.outputs, pipeline.references)
+        execution = links._jdf.queryExecution()
+        execution.executedPlan().executeCollect()
+        assert "ReusedExchange" in execution.executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
