@@ -9,7 +9,7 @@ from coinstrata.functions.amounts import (
     to_btc,
 )
 from coinstrata.functions.arrays import first_of, preferred_address, zip_fields
-from coinstrata.functions.calendar import day_of_epoch, month_key, timestamp_of_epoch
+from coinstrata.functions.calendar import begin_of_day, day_of_epoch, month_key, timestamp_of_epoch
 from coinstrata.functions.labels import (
     holder_category,
     holder_category_coarse,
@@ -19,6 +19,7 @@ from coinstrata.functions.labels import (
 
 __all__ = [
     "SATOSHI_PER_BTC",
+    "begin_of_day",
     "day_of_epoch",
     "exact_total",
     "first_of",

@@ -7,7 +7,7 @@ equi-join of inputs with outputs. A pipeline makes that join once and derives bo
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coinstrata.functions import first_of, preferred_address, zip_fields
+from coinstrata.functions import begin_of_day, first_of, preferred_address, zip_fields
 from coinstrata.operators.utxo import in_blocks, index_block, unspent_in_blocks
 
 _REFERENCE = {"tx_hash": "source_tx_hash", "output_index": "source_output_index"}
@@ -153,6 +153,38 @@ def unspent_outputs(links: DataFrame) -> DataFrame:
     return links.filter("unspent").select(*[F.col(new).alias(name) for name, new in _UNSPENT.items()])
 
 
+def spent_by_transaction(spends: DataFrame, clustered: Column) -> DataFrame:
+    """Rows for ``owned_history`` with what was spent, added up: one row for each transaction
+    and day on which its sources were created, with the smallest of their addresses. Times
+    are days, there is no single output's key.
+
+    All inputs of a transaction that takes part in the clustering (``clustered``) have one
+    owner, so any of its addresses tells whose they are. Other rows are added up by address.
+    Positive values are kept apart from others, so inflows and outflows stay the same.
+    """
+    spends = spends.withColumn("address", first_of(F.col("source_addresses")))
+    together = clustered & F.col("tx_hash").isNotNull()
+    return (
+        spends.filter(F.col("address").isNotNull())
+        .groupBy(
+            F.when(together, F.col("tx_hash")).alias("spender"),
+            F.when(together, F.lit(None)).otherwise(F.col("address")).alias("alone"),
+            begin_of_day(F.col("created_timestamp")).alias("block_timestamp"),
+            begin_of_day(F.col("spent_timestamp")).alias("spent_timestamp"),
+            (F.col("source_value") > 0).alias("positive"),
+        )
+        .agg(F.sum("source_value").alias("value"), F.min("address").alias("address"))
+        .select(
+            F.lit(None).cast("string").alias("tx_hash"),
+            F.lit(None).cast("int").alias("output_index"),
+            "value",
+            F.array("address").alias("addresses"),
+            "block_timestamp",
+            "spent_timestamp",
+        )
+    )
+
+
 def within_input_bounds(min_inputs: int, max_inputs: int | None) -> Column:
     enough = F.col("input_count") >= min_inputs
     return enough if max_inputs is None else enough & (F.col("input_count") <= max_inputs)

@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 from ledger_data import BTC, output, rows, spend, transaction
 
 from coinstrata import (
@@ -13,7 +15,8 @@ from coinstrata import (
     utxo_history,
 )
 from coinstrata.operators import history as h
-from coinstrata.operators.spends import link_spends, spent_outputs
+from coinstrata.operators.spends import link_spends, spent_by_transaction, spent_outputs
+from coinstrata.plans.pipeline import LedgerPipeline
 
 
 def epoch(day, seconds=0):
@@ -195,3 +198,25 @@ def test_trajectories_of_the_largest(spark):
     )
     found = h.holder_trajectories(daily, current(spark, a=3, b=2, c=1), k=2)
     assert rows(found, "entity_id", "cumulative_btc") == [("a", 3.0), ("b", 2.0)]
+
+
+def test_days_from_spends_by_transaction(spark, ledger, workdir):
+    day = 86400
+    records = ledger(
+        transaction("a", [output(0, 5, ["A"]), output(1, 6, ["B"]), output(2, -4, ["A"]), output(3, 0, ["B"])], coinbase=True, at=10),
+        transaction("b", [output(0, 7, ["A"]), output(1, None, ["C"]), output(2, 8, []), output(3, 9, [None])], coinbase=True, at=day + 5),
+        transaction("c", [output(0, 3, ["A"]), output(1, 2, ["D"])], [spend(i, "a", i) for i in range(4)], at=2 * day + 1),
+        transaction("d", [output(0, 1, ["C"])], [spend(i, "b", i, ["X"]) for i in range(4)], at=2 * day + 9),
+        transaction("e", None, [spend(0, "c", 0), spend(1, "d", 0), spend(2, "c", 0)], at=3 * day),
+        transaction("f", None, [spend(0, "c", 1)], at=3 * day),
+        transaction("g", None, [spend(0, "c", 0), spend(1, "c", 1), spend(2, "a", 1), spend(3, "none", 1)], at=4 * day),
+    )
+    for bounds in ({}, {"max_inputs": 3}, {"min_inputs": 4}):
+        # One pipeline takes days from bookings, the other from what transactions spend.
+        booked, added = (
+            LedgerPipeline(spark, lambda p: records, lambda p: None, folder=workdir, **bounds) for _ in range(2)
+        )
+        assert rows(h.daily_changes(booked.events)) == rows(added.daily)
+        assert "bookings" not in added._stages and added.daily.count() > 0
+        spent = spent_by_transaction(added.spends.filter("has_source"), F.col("input_count") >= 2)
+        assert spent.count() < spent_outputs(added.spends).count()
