@@ -141,7 +141,13 @@ def _components(numbered: DataFrame, vertices: DataFrame, root: str) -> DataFram
 
 
 def _order(vertex: Column, seed: int) -> Column:
-    return F.xxhash64(vertex, F.lit(seed))
+    # Of 32 bits, since it moves with each edge. Two vertices of one hash go by their numbers
+    # in ``_moves``; the next round has another seed.
+    return F.hash(vertex, F.lit(seed))
+
+
+def _place(vertex: str, seed: int) -> Column:
+    return F.struct(_order(F.col(vertex), seed), F.col(vertex))
 
 
 def _picks(edges: DataFrame, seed: int) -> DataFrame:
@@ -160,7 +166,7 @@ def _picks(edges: DataFrame, seed: int) -> DataFrame:
 def _moves(picks: DataFrame, seed: int) -> DataFrame:
     """v -> r: the smaller-hashed of the pick and the pick's pick."""
     second = picks.select(F.col("v").alias("w"), F.col("w").alias("x"))
-    first_is_smaller = _order(F.col("w"), seed) <= _order(F.col("x"), seed)
+    first_is_smaller = _place("w", seed) <= _place("x", seed)
     return picks.join(second, "w").select(
         "v", F.when(first_is_smaller, F.col("w")).otherwise(F.col("x")).alias("r")
     )

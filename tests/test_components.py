@@ -2,6 +2,7 @@ import random
 
 import pytest
 from ledger_data import rows
+from pyspark.sql import functions as F
 
 from coinstrata import connected_components
 from coinstrata.operators import components
@@ -93,3 +94,9 @@ def test_groups(spark, workdir):
 def test_no_shared_group(spark, workdir):
     members = spark.createDataFrame([("g", "a"), ("g", "a"), ("h", "b")], "group string, id string")
     assert connected_groups(members, workdir).count() == 0
+
+
+def test_vertices_of_one_hash_meet(spark, monkeypatch):
+    monkeypatch.setattr(components, "_order", lambda vertex, seed: F.lit(7))
+    picks = spark.createDataFrame([(1, 2), (2, 1), (3, 2)], "v long, w long")
+    assert rows(components._moves(picks, 0)) == [(1, 1), (2, 1), (3, 1)]
