@@ -203,6 +203,12 @@ class LedgerPipeline:
     def history(self) -> DataFrame:
         return self.stage("history", self._owned_history)
 
+    @property
+    def unwritten_history(self) -> DataFrame:
+        """The history, from its stage table only if that is there: for plans that need few of
+        its columns."""
+        return self._stages["history"] if "history" in self._stages else self._owned_history()
+
     @property
     def events(self) -> DataFrame:
         """Bookings of the history: from its stage table if that is there, else from one with

@@ -23,7 +23,7 @@ def global_counts(pipeline) -> DataFrame:
         _count(pipeline.edges).alias("edges"),
         clustering.select("address_count").scalar().alias("vertices"),
         clustering.select("entity_count").scalar().alias("entities"),
-        _count(pipeline.history).alias("history_rows"),
+        _count(pipeline.unwritten_history).alias("history_rows"),
     )
 
 

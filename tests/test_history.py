@@ -16,6 +16,7 @@ from coinstrata import (
 from coinstrata.operators import history as h
 from coinstrata.operators.spends import link_spends, spent_by_transaction, spent_outputs
 from coinstrata.plans.pipeline import LedgerPipeline
+from coinstrata.plans.reports import global_counts
 
 
 def epoch(day, seconds=0):
@@ -219,3 +220,17 @@ def test_days_from_spends_by_transaction(spark, ledger, workdir):
         assert "bookings" not in added._stages and added.daily.count() > 0
         spent = spent_by_transaction(added.spends.filter("has_source"), F.col("input_count") >= 2)
         assert spent.count() < spent_outputs(added.spends).count()
+
+
+def test_global_counts_do_not_write_the_history(spark, ledger, workdir):
+    records = ledger(
+        transaction("a", [output(0, 5, ["A"]), output(1, 6, ["B"]), output(2, 7, ["C"])], coinbase=True),
+        transaction("b", [output(0, 3, ["A"])], [spend(0, "a", 0), spend(1, "a", 1)]),
+    )
+    pipeline = LedgerPipeline(
+        spark, lambda p: records, lambda p: records.select("block_number").distinct(), folder=workdir
+    )
+    counts = global_counts(pipeline).first()
+    assert "history" not in pipeline._stages
+    assert counts.history_rows == pipeline.history.count() == 3
+    assert tuple(counts) == tuple(global_counts(pipeline).first())
