@@ -179,10 +179,11 @@ class LedgerPipeline:
     def entities(self) -> DataFrame:
         return self.stage(
             "entities",
-            lambda: cluster_addresses(self.clustering_inputs, self.folder, self._large_spenders()),
+            lambda: cluster_addresses(self.clustering_inputs, self.folder, self.large_spenders),
         )
 
-    def _large_spenders(self) -> DataFrame:
+    @property
+    def large_spenders(self) -> DataFrame:
         """Transactions with more inputs than a window should sort."""
         return self.spends.filter(F.col("input_count") > WINDOW_ROWS).select("tx_hash")
 

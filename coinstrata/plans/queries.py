@@ -688,7 +688,7 @@ def timeline_by_periods(p):
 @query
 def entity_bridges(p):
     """Inputs without which an entity falls into two parts of two addresses or more."""
-    return false_links.bridges(p.clustering_inputs, p.entities, p.folder, least_size=2)
+    return false_links.bridges(p.clustering_inputs, p.entities, p.folder, 2, p.large_spenders)
 
 
 @query

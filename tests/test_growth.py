@@ -518,6 +518,49 @@ def test_rounds_of_bridges_read_what_is_left(spark, workdir, monkeypatch):
     assert "numbers" not in read  # joined once, not in each round up
 
 
+def test_rounds_of_bridges_do_not_follow_the_depth(spark, workdir, monkeypatch):
+    """A chain of 30 transactions took a table for each of 60 levels, down and up again."""
+    pairs = [(f"c{i}", f"z{j:02d}") for i in range(30) for j in (i, i + 1)]
+    inputs = spark.createDataFrame(pairs, INPUTS)
+    entities = spark.createDataFrame([(f"z{j:02d}", "z00") for j in range(31)], "address string, entity_id string")
+    written = []
+    for name in ("write_counted", "write_table"):
+        def noted(df, path, write=getattr(false_links, name)):
+            written.append(path)
+            return write(df, path)
+
+        monkeypatch.setattr(false_links, name, noted)
+    found = rows(false_links.bridges(inputs, entities, workdir, least_size=4), "tx_hash", "address", "cut_off", "rest")
+    assert len(written) < 60
+    # From z00 on, each transaction cuts off what comes after it, by either of its inputs.
+    assert found == sorted((f"c{i}", f"z{j:02d}", 30 - i, i + 1) for i in range(3, 27) for j in (i, i + 1))
+
+
+def test_bridges_of_large_transactions(spark, workdir):
+    """Transactions with too many inputs for one task go by joins, with the same result."""
+    rng = random.Random(3)
+    pairs = [(f"t{rng.randrange(9)}", f"a{rng.randrange(30):02d}") for _ in range(34)]
+    pairs += [("wide", f"a{i:02d}") for i in range(0, 30, 3)] + [("wide", f"y{i}") for i in range(4)] * 2
+    inputs = spark.createDataFrame([*pairs, (None, "y0"), (None, "y1")], INPUTS)
+    entities = cluster_addresses(inputs.filter("tx_hash is not null"), workdir).select("address", "entity_id")
+    for large in ([], [("wide",), ("wide",), (None,), ("t3",)]):
+        named = spark.createDataFrame(large, "tx_hash string")
+        found = false_links.bridges(inputs, entities, workdir, large=named)
+        assert rows(found, "tx_hash", "address", "entity_id", "cut_off", "rest") == parts_by_hand(pairs, 1)
+
+
+def test_bridges_are_those_on_the_way_to_the_smallest_address(spark, workdir):
+    """Of inputs that no longer hold the entity together, those its smallest address reaches."""
+    pairs = [("t1", "a"), ("t1", "b"), ("t2", "c"), ("t2", "d"), ("t3", "d"), ("t3", "e"), ("u", "x"), ("u", "y"), ("u", "a")]
+    inputs = spark.createDataFrame(pairs, INPUTS)
+    known = [(address, "a") for address in "abcde"] + [("x", "x"), ("y", "x")]
+    entities = spark.createDataFrame(known, "address string, entity_id string")
+    found = false_links.bridges(inputs, entities, workdir)
+    assert rows(found, "tx_hash", "address", "entity_id", "cut_off", "rest") == [
+        ("t1", "a", "a", 1, 4), ("t1", "b", "a", 1, 4), ("u", "x", "x", 1, 1), ("u", "y", "x", 1, 1),
+    ]
+
+
 def test_a_mixing_transaction_is_named(spark, workdir):
     mixed = [("mix", 100_000)] * 6 + [("mix", 7), ("mix", 9)]
     plain = [("pay", 5), ("pay", 5), ("pay", 8), ("two", 3), ("two", 3), ("two", 3), ("two", 3), ("two", 3)]
